@@ -1,20 +1,23 @@
 """Detection patterns for free-text redaction and entity lexicons.
 
-Every pattern stays inside the common subset of Java regex (Spark) and
-RE2 (the SQL oracle): no look-around, no back-references, no ``.``/``\\s``
-(whose line-terminator sets differ).  Each pattern has exactly three
-groups: a consumed leading boundary, the entity body, a consumed trailing
-boundary; replacement keeps groups 1 and 3.  Because boundaries are
-consumed, two entities separated by a single character need a second pass;
-:func:`deidlake.operators.redact.redact` always runs two.
+A pattern is an entity body plus the set of characters that must not
+touch it on the left / right (its word class).  Two spellings are derived:
+
+* Spark (Java regex): ``(?<![W])(body)(?![W])`` -- one pass, group 1 is
+  the span, replacement ``<ENTITY>``.
+* SQL oracle (RE2 has no look-around): ``(^|[^W])(body)([^W]|$)`` with
+  boundaries consumed; two entities one character apart are found by a
+  second pass, so the oracle runs two passes.  Bodies start and end with
+  word characters, which makes both spellings replace the same spans.
+
+Bodies avoid ``.`` and ``\\s`` (different line-terminator sets in the two
+engines) and back-references.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-_NOT_WORD = r"[^\p{L}\p{N}_]"
-_NOT_ALNUM = r"[^0-9A-Za-z]"
 
 MONTHS = (
     "January", "February", "March", "April", "May", "June",
@@ -83,54 +86,66 @@ def _alternation(words) -> str:
 @dataclass(frozen=True)
 class Pattern:
     entity: str
-    regex: str  # three groups: lead boundary, body, trail boundary
+    body: str
+    lead: str = ""   # characters that must not precede the body ("" = any)
+    trail: str = ""  # characters that must not follow the body
+
+    @property
+    def regex(self) -> str:
+        """Java regex for Spark; group 1 is the span."""
+        lead = f"(?<![{self.lead}])" if self.lead else ""
+        trail = f"(?![{self.trail}])" if self.trail else ""
+        return f"{lead}({self.body}){trail}"
 
     @property
     def spark_replacement(self) -> str:
-        return f"$1<{self.entity}>$3"
+        return f"<{self.entity}>"
+
+    @property
+    def re2_regex(self) -> str:
+        """RE2 spelling: three groups, consumed boundaries; group 2 is the span."""
+        lead = f"^|[^{self.lead}]" if self.lead else ""
+        trail = f"[^{self.trail}]|$" if self.trail else ""
+        return f"({lead})({self.body})({trail})"
 
     @property
     def re2_replacement(self) -> str:
         return f"\\1<{self.entity}>\\3"
 
+    @property
+    def re2_passes(self) -> int:
+        return 2 if (self.lead or self.trail) else 1
 
-def _bounded(lead: str, body: str, trail: str) -> str:
-    return f"({lead})({body})({trail})"
 
+_WORD = r"\p{L}\p{N}_"
+_ALNUM = "0-9A-Za-z"
 
-EMAIL = Pattern(
-    "EMAIL_ADDRESS",
-    _bounded("", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}", ""),
-)
-URL = Pattern(
-    "URL",
-    _bounded("", r"(?:[Hh][Tt][Tt][Pp][Ss]?://|www\.)[^ \t\n\r\f<>\"']+", ""),
-)
+EMAIL = Pattern("EMAIL_ADDRESS", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}")
+URL = Pattern("URL", r"(?:[Hh][Tt][Tt][Pp][Ss]?://|www\.)[^ \t\n\r\f<>\"']+")
 _month = _alternation(MONTHS)
 DATE_TIME = Pattern(
     "DATE_TIME",
-    _bounded(
-        f"^|{_NOT_ALNUM}",
-        "(?:"
-        r"[0-9]{4}-[0-9]{2}-[0-9]{2}(?:[T ][0-9]{2}:[0-9]{2}(?::[0-9]{2})?)?"
-        r"|[0-9]{1,2}/[0-9]{1,2}/[0-9]{2,4}"
-        rf"|[0-9]{{1,2}}(?:st|nd|rd|th)? {_month} [0-9]{{4}}"
-        rf"|{_month} [0-9]{{1,2}}(?:st|nd|rd|th)?,? [0-9]{{4}}"
-        r"|[0-9]{1,2}:[0-9]{2}(?::[0-9]{2})?(?: ?[AaPp][Mm])?"
-        ")",
-        f"{_NOT_ALNUM}|$",
-    ),
+    "(?:"
+    r"[0-9]{4}-[0-9]{2}-[0-9]{2}(?:[T ][0-9]{2}:[0-9]{2}(?::[0-9]{2})?)?"
+    r"|[0-9]{1,2}/[0-9]{1,2}/[0-9]{2,4}"
+    rf"|[0-9]{{1,2}}(?:st|nd|rd|th)? {_month} [0-9]{{4}}"
+    rf"|{_month} [0-9]{{1,2}}(?:st|nd|rd|th)?,? [0-9]{{4}}"
+    r"|[0-9]{1,2}:[0-9]{2}(?::[0-9]{2})?(?: ?[AaPp][Mm])?"
+    ")",
+    lead=_ALNUM,
+    trail=_ALNUM,
 )
 PHONE = Pattern(
     "PHONE_NUMBER",
-    _bounded(
-        "^|[^0-9+]",
-        "(?:"
-        r"(?:\+?1[ .-]?)?(?:\([0-9]{3}\)|[0-9]{3})[ .-]?[0-9]{3}[ .-][0-9]{4}"
-        r"|\+[0-9]{2,3}[ .-]?[0-9]{2,4}[ .-][0-9]{3,4}[ .-][0-9]{3,4}"
-        ")",
-        "[^0-9]|$",
-    ),
+    "(?:"
+    r"(?:\+?1[ .-]?)?(?:\([0-9]{3}\)|[0-9]{3})[ .-]?[0-9]{3}[ .-][0-9]{4}"
+    r"|\+[0-9]{2,3}[ .-]?[0-9]{2,4}[ .-][0-9]{3,4}[ .-][0-9]{3,4}"
+    ")",
+    lead="0-9+",
+    # a phone may start with '+' or '(': such a character right after
+    # another phone must not be accepted as its end, else the one-pass and
+    # two-pass spellings would disagree
+    trail="0-9+(",
 )
 
 
@@ -139,7 +154,7 @@ def lexicon_pattern(entity: str, words, multiword: bool) -> Pattern:
     adjacent words into one span ("John Smith" -> one PERSON)."""
     alt = _alternation(words)
     body = f"{alt}(?: {alt})*" if multiword else alt
-    return Pattern(entity, _bounded(f"^|{_NOT_WORD}", body, f"{_NOT_WORD}|$"))
+    return Pattern(entity, body, lead=_WORD, trail=_WORD)
 
 
 PERSON = lexicon_pattern("PERSON", PERSON_NAMES, multiword=True)

@@ -20,10 +20,8 @@ def empty_to_null(column: str | Column) -> Column:
     return F.nullif(c, F.lit(""))
 
 
-def replace_pattern(c: Column, p: Pattern, passes: int = 2) -> Column:
-    for _ in range(passes):
-        c = F.regexp_replace(c, p.regex, p.spark_replacement)
-    return c
+def replace_pattern(c: Column, p: Pattern) -> Column:
+    return F.regexp_replace(c, p.regex, p.spark_replacement)
 
 
 def redact_expr(column: str | Column, entities=PII_ENTITIES, max_chars: int | None = None) -> Column:
@@ -38,15 +36,11 @@ def redact_expr(column: str | Column, entities=PII_ENTITIES, max_chars: int | No
     return c
 
 
-def spans_expr(column: str | Column, entities=PII_ENTITIES) -> Column:
-    """``array<struct<entity, span>>`` of every span :func:`redact_expr`
-    replaces, entity by entity (pass-1 spans, then spans only the second
-    pass finds)."""
-    c = empty_to_null(column)
-    parts = []
-    for p in patterns_for(entities):
-        for _ in range(2):
-            found = F.regexp_extract_all(c, F.lit(p.regex), 2)
-            parts.append(F.transform(found, lambda s, e=p.entity: F.struct(F.lit(e).alias("entity"), s.alias("span"))))
-            c = F.regexp_replace(c, p.regex, p.spark_replacement)
-    return F.concat(*parts)
+def _tagger(entity: str):
+    # one-argument lambda: PySpark reads a second parameter as the index
+    return lambda s: F.struct(F.lit(entity).alias("entity"), s.alias("span"))
+
+
+def span_steps(entities=PII_ENTITIES):
+    """(pattern, tagger) per detection pass, in redaction order."""
+    return [(p, _tagger(p.entity)) for p in patterns_for(entities)]

@@ -17,6 +17,7 @@ from deidlake.constants import CLIENT_ID_HASH_SUFFIX
 from deidlake.functions.dates import coarsen
 from deidlake.functions.hashing import salted_sha256
 from deidlake.functions.text import redact_expr
+from deidlake.operators.parallel import spread
 from deidlake.spec import ColumnRole, TableSpec
 
 TextFn = Callable[[Column], Column]
@@ -56,6 +57,9 @@ def deidentify(
         return df
     check_columns(df, spec)
     roles = _role_of(spec)
+    if text_mode == "redact" and spec.role_columns(ColumnRole.FREE_TEXT):
+        # regex work over long texts: make sure every core gets a share
+        df = spread(df, [c for c in spec.keys if c in df.columns] or df.columns[:1])
     kept: list[Column] = []
     hashed: list[Column] = []
     for name in df.columns:

@@ -366,3 +366,96 @@ def q_silver_propagation(spark, sf_dir):
     from deidlake.plans.flagship import flagship
 
     return flagship(spark, sf_dir)
+
+
+# ---------------------------------------------------------------- step 5: text
+
+from deidlake.functions import patterns as pat  # noqa: E402
+from deidlake.operators.redact import pii_spans, redact_table, redaction_audit  # noqa: E402
+
+
+def _sql_str(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+def _sql_redact(expr: str, patterns) -> str:
+    expr = f"NULLIF({expr}, '')"
+    for p in patterns:
+        for _ in range(p.re2_passes):
+            expr = f"regexp_replace({expr}, {_sql_str(p.re2_regex)}, {_sql_str(p.re2_replacement)}, 'g')"
+    return expr
+
+
+def _sql_spans(expr: str, patterns) -> str:
+    cur = f"NULLIF({expr}, '')"
+    parts = []
+    for p in patterns:
+        for _ in range(p.re2_passes):
+            parts.append(
+                f"list_transform(regexp_extract_all({cur}, {_sql_str(p.re2_regex)}, 2), "
+                f"lambda x: {{'entity': {_sql_str(p.entity)}, 'span': x}})"
+            )
+            cur = f"regexp_replace({cur}, {_sql_str(p.re2_regex)}, {_sql_str(p.re2_replacement)}, 'g')"
+    out = parts[0]
+    for part in parts[1:]:
+        out = f"list_concat({out}, {part})"
+    return out
+
+
+_SPANS_SQL = (
+    "SELECT doc_id, 'text' AS column_name, l[i].entity AS entity, l[i].span AS span "
+    f"FROM (SELECT doc_id, {_sql_spans('text', pat.DEFAULT_PATTERNS)} AS l FROM documents) "
+    "CROSS JOIN LATERAL generate_series(1, len(l)) AS g(i)"
+)
+
+
+@register("redact_email", f"SELECT doc_id, {_sql_redact('text', [pat.EMAIL])} AS text FROM documents")
+def q_redact_email(spark, sf_dir):
+    docs = d.table(spark, sf_dir, "documents").select("doc_id", "text")
+    return redact_table(docs, ["doc_id"], ["text"], entities=["EMAIL_ADDRESS"])
+
+
+@register("redact_phone", f"SELECT doc_id, {_sql_redact('text', [pat.PHONE])} AS text FROM documents")
+def q_redact_phone(spark, sf_dir):
+    docs = d.table(spark, sf_dir, "documents").select("doc_id", "text")
+    return redact_table(docs, ["doc_id"], ["text"], entities=["PHONE_NUMBER"])
+
+
+@register(
+    "redact_text",
+    f"SELECT conv_id, turn, role, {_sql_redact('text', pat.DEFAULT_PATTERNS)} AS text FROM conversations "
+    f"UNION ALL SELECT doc_id, -1, lang, {_sql_redact('text', pat.DEFAULT_PATTERNS)} FROM documents",
+)
+def q_redact_text(spark, sf_dir):
+    conv = d.table(spark, sf_dir, "conversations")
+    docs = d.table(spark, sf_dir, "documents").select(
+        F.col("doc_id").alias("conv_id"), F.lit(-1).cast("long").alias("turn"), F.col("lang").alias("role"), "text"
+    )
+    return redact_table(conv.unionByName(docs), ["conv_id", "turn"], ["text"])
+
+
+@register("pii_spans", _SPANS_SQL)
+def q_pii_spans(spark, sf_dir):
+    return pii_spans(d.table(spark, sf_dir, "documents"), ["doc_id"], "text")
+
+
+@register(
+    "redaction_audit",
+    f"SELECT entity, count(*) AS n_spans, count(DISTINCT doc_id) AS n_rows FROM ({_SPANS_SQL}) GROUP BY entity",
+)
+def q_redaction_audit(spark, sf_dir):
+    return redaction_audit(pii_spans(d.table(spark, sf_dir, "documents"), ["doc_id"], "text"), "doc_id")
+
+
+DOCUMENTS_SPEC = TableSpec(
+    "dbo.documents", ("doc_id", "text", "lang", "source", "n_chars"), UpdateMode.APPEND_AND_REMOVE,
+    {ColumnRole.FREE_TEXT: ("text",), ColumnRole.OTHER_IDENTIFIABLE: ("source",)}, keys=("doc_id",),
+)
+
+
+@register(
+    "deidentify_documents",
+    f"SELECT doc_id, {_sql_redact('text', pat.DEFAULT_PATTERNS)} AS text, lang, n_chars FROM documents",
+)
+def q_deidentify_documents(spark, sf_dir):
+    return deidentify(d.table(spark, sf_dir, "documents"), DOCUMENTS_SPEC, TEST_HASH_SALT)
