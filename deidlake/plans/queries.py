@@ -459,3 +459,129 @@ DOCUMENTS_SPEC = TableSpec(
 )
 def q_deidentify_documents(spark, sf_dir):
     return deidentify(d.table(spark, sf_dir, "documents"), DOCUMENTS_SPEC, TEST_HASH_SALT)
+
+
+# ---------------------------------------------------------------- step 4: catalog, validation, monitoring
+
+from deidlake.operators.monitor import row_counts  # noqa: E402
+from deidlake.operators.validate import column_drift, populated_columns, table_drift  # noqa: E402
+from deidlake.sources.jdbc import catalog_columns  # noqa: E402
+from deidlake.spec import spec_df  # noqa: E402
+
+# schema of the given test tables (names only; used to write the SQL side)
+TABLE_COLUMNS = {
+    "region": ("r_regionkey", "r_name"),
+    "nation": ("n_nationkey", "n_name", "n_regionkey"),
+    "customer": CUSTOMER,
+    "supplier": ("s_suppkey", "s_name", "s_nationkey", "s_acctbal"),
+    "part": ("p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice"),
+    "orders": ORDERS,
+    "lineitem": LINEITEM,
+    "events": EVENTS,
+    "documents": ("doc_id", "text", "lang", "source", "n_chars"),
+    "embeddings": ("vec_id", "embedding", "label"),
+    "pages": ("page_id", "url", "html"),
+    "benchmark": ("item_id", "text"),
+    "labels": ("doc_id", "quality", "toxic"),
+    "conversations": ("conv_id", "turn", "role", "text"),
+}
+
+# Declared classification used by the validation queries: some drift on
+# purpose (a missing column, an unclassified column, a vanished table).
+DECLARED = (
+    TableSpec("dbo.orders", ORDERS, UpdateMode.FULL_UPDATE),
+    TableSpec("dbo.customer", ("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_phone"),
+              UpdateMode.APPEND_AND_REMOVE, keys=("c_custkey",)),
+    TableSpec("dbo.lineitem", LINEITEM, UpdateMode.FULL_UPDATE),
+    TableSpec("dbo.events", EVENTS, UpdateMode.APPEND_AND_REMOVE, keys=("event_id",)),
+    TableSpec("dbo.documents", ("doc_id", "text", "lang", "source"), UpdateMode.APPEND_AND_REMOVE, keys=("doc_id",)),
+    TableSpec("dbo.conversations", ("conv_id", "turn", "role", "text"), UpdateMode.APPEND_AND_REMOVE,
+              keys=("conv_id", "turn")),
+    TableSpec("dbo.patients", ("patient_id", "name"), UpdateMode.NOT_IMPORT),
+)
+
+
+def _live_catalog(spark, sf_dir) -> DataFrame:
+    tables = {name: d.table(spark, sf_dir, name) for name in TABLE_COLUMNS}
+    return catalog_columns(populated_columns(tables, schema="dbo"), schema="dbo")
+
+
+def _live_catalog_sql() -> str:
+    parts = []
+    for name, cols in TABLE_COLUMNS.items():
+        counts = ", ".join(f"count({c}) AS {c}" for c in cols)
+        parts.append(
+            f"SELECT 'dbo' AS table_schema, '{name}' AS table_name, column_name, 'dbo.{name}' AS full_name "
+            f"FROM (UNPIVOT (SELECT {counts} FROM {name}) ON COLUMNS(*) INTO NAME column_name VALUE n) WHERE n > 0"
+        )
+    return " UNION ALL ".join(parts)
+
+
+def _declared_sql() -> str:
+    rows = ", ".join(f"('{s.name}', '{c}')" for s in DECLARED for c in s.columns)
+    return f"SELECT * FROM (VALUES {rows}) AS v(table_name, column_name)"
+
+
+_DRIFT_CTES = {
+    "live": f"SELECT full_name AS table_name, column_name FROM ({_live_catalog_sql()})",
+    "declared": _declared_sql(),
+}
+
+
+@register("catalog_listing", _live_catalog_sql())
+def q_catalog_listing(spark, sf_dir):
+    return _live_catalog(spark, sf_dir)
+
+
+@register(
+    "schema_drift_tables",
+    d.with_ctes(
+        "SELECT 'unclassified_table' AS kind, table_name, CAST(NULL AS VARCHAR) AS column_name FROM "
+        "(SELECT DISTINCT table_name FROM live EXCEPT SELECT DISTINCT table_name FROM declared) "
+        "UNION ALL SELECT 'classified_but_unexisting_table', table_name, NULL FROM "
+        "(SELECT DISTINCT table_name FROM declared EXCEPT SELECT DISTINCT table_name FROM live)",
+        **_DRIFT_CTES,
+    ),
+)
+def q_schema_drift_tables(spark, sf_dir):
+    live = _live_catalog(spark, sf_dir).select(F.col("full_name").alias("table_name"), "column_name")
+    return table_drift(live, spec_df(spark, DECLARED))
+
+
+@register(
+    "schema_drift_columns",
+    d.with_ctes(
+        "SELECT 'unclassified_column' AS kind, table_name, column_name FROM "
+        "(SELECT * FROM live WHERE table_name IN (SELECT table_name FROM declared) EXCEPT SELECT * FROM declared) "
+        "UNION ALL SELECT 'classified_but_unexisting_column', table_name, column_name FROM "
+        "(SELECT * FROM declared WHERE table_name IN (SELECT table_name FROM live) EXCEPT SELECT * FROM live)",
+        **_DRIFT_CTES,
+    ),
+)
+def q_schema_drift_columns(spark, sf_dir):
+    live = _live_catalog(spark, sf_dir).select(F.col("full_name").alias("table_name"), "column_name")
+    return column_drift(live, spec_df(spark, DECLARED).select("table_name", "column_name"))
+
+
+_PROJECTED = TableSpec("dbo.lineitem", LINEITEM, UpdateMode.FULL_UPDATE,
+                       skip_columns=("l_tax", "l_returnflag"))
+
+
+@register("projected_scan", "SELECT " + _cols(_PROJECTED.imported_columns) + " FROM lineitem")
+def q_projected_scan(spark, sf_dir):
+    # same projection the JDBC reader sends as a subquery; on Parquet it is
+    # pruned into the scan (ReadSchema)
+    return d.table(spark, sf_dir, "lineitem").select(*_PROJECTED.imported_columns)
+
+
+_IMPORTED = [s for s in DECLARED if s.is_imported]
+
+
+@register(
+    "ingest_row_counts",
+    " UNION ALL ".join(
+        f"SELECT '{s.name}' AS table_name, count(*) AS row_count FROM {s.short_name}" for s in _IMPORTED
+    ),
+)
+def q_ingest_row_counts(spark, sf_dir):
+    return row_counts({s.name: d.table(spark, sf_dir, s.short_name) for s in _IMPORTED})
