@@ -585,3 +585,55 @@ _IMPORTED = [s for s in DECLARED if s.is_imported]
 )
 def q_ingest_row_counts(spark, sf_dir):
     return row_counts({s.name: d.table(spark, sf_dir, s.short_name) for s in _IMPORTED})
+
+
+# ---------------------------------------------------------------- step 6: entities
+
+from deidlake.operators.entities import entity_counts, extract_entities, nested_entities  # noqa: E402
+
+
+def _entities_sql(table: str, id_col: str, text_col: str) -> str:
+    lex = ", ".join(f"('{t}', '{lab}', {len(t.split(' '))})" for t, lab in pat.ENTITY_LEXICON)
+    split = _sql_str(pat.TOKEN_SPLIT)
+    firsts = ", ".join(sorted({_sql_str(t.split(' ')[0]) for t, _ in pat.ENTITY_LEXICON}))
+    return f"""WITH RECURSIVE
+lex AS (SELECT * FROM (VALUES {lex}) AS v(term, label, n_words)),
+toks AS (SELECT {id_col} AS id, string_split_regex({text_col}, {split}) AS t FROM {table} WHERE {text_col} IS NOT NULL),
+starts AS (SELECT id, t, i FROM toks, generate_series(0, len(t) - 1) AS g(i)
+           WHERE t[i + 1] <> '' AND lower(t[i + 1]) IN ({firsts})),
+grams AS (SELECT id, i AS pos, n, array_to_string(t[i + 1:i + n], ' ') AS text
+          FROM starts, generate_series(1, {pat.MAX_TERM_WORDS}) AS g2(n) WHERE i + n <= len(t)),
+cand AS (SELECT g.id, g.pos, g.n, g.text, l.label FROM grams g JOIN lex l ON lower(g.text) = l.term AND g.n = l.n_words),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY n DESC, pos, label) AS r FROM cand),
+walk(id, r, taken, keep) AS (
+  SELECT id, CAST(0 AS BIGINT), CAST([] AS BIGINT[]), false FROM (SELECT DISTINCT id FROM ranked)
+  UNION ALL
+  SELECT w.id, c.r,
+         CASE WHEN list_has_any(w.taken, range(c.pos, c.pos + c.n)) THEN w.taken
+              ELSE list_concat(w.taken, range(c.pos, c.pos + c.n)) END,
+         NOT list_has_any(w.taken, range(c.pos, c.pos + c.n))
+  FROM walk w JOIN ranked c ON c.id = w.id AND c.r = w.r + 1)
+SELECT c.id AS {id_col}, c.label, CAST(c.pos AS INTEGER) AS pos, c.text
+FROM walk w JOIN ranked c ON c.id = w.id AND c.r = w.r WHERE w.keep"""
+
+
+_ENTITIES_SQL = _entities_sql("documents", "doc_id", "text")
+
+
+@register("entities_long", _ENTITIES_SQL)
+def q_entities_long(spark, sf_dir):
+    return extract_entities(d.table(spark, sf_dir, "documents"), ["doc_id"], "text")
+
+
+@register("entities_nested")
+def q_entities_nested(spark, sf_dir):
+    docs = d.table(spark, sf_dir, "documents").select("doc_id", "text")
+    return nested_entities(docs, ["doc_id"], "text", extract_entities(docs, ["doc_id"], "text")).drop("text")
+
+
+@register(
+    "entity_counts",
+    f"SELECT label, lower(text) AS term, count(*) AS n_mentions FROM ({_ENTITIES_SQL}) GROUP BY label, lower(text)",
+)
+def q_entity_counts(spark, sf_dir):
+    return entity_counts(extract_entities(d.table(spark, sf_dir, "documents"), ["doc_id"], "text"))
