@@ -637,3 +637,85 @@ def q_entities_nested(spark, sf_dir):
 )
 def q_entity_counts(spark, sf_dir):
     return entity_counts(extract_entities(d.table(spark, sf_dir, "documents"), ["doc_id"], "text"))
+
+
+# ---------------------------------------------------------------- step 7: provisioning, snapshots
+
+from functools import reduce  # noqa: E402
+
+from deidlake.operators.provision import provision  # noqa: E402
+from deidlake.operators.snapshot import fan_out, snapshot_database  # noqa: E402
+from deidlake.session import workspace_root  # noqa: E402
+
+PROVISION_COLUMNS = ("o_orderkey", "o_orderstatus", "o_totalprice", "o_orderdate")
+PROVISION_WHERE = "o_orderstatus = 'F' AND o_totalprice > 100000"
+
+
+@register("provision_projection", f"SELECT {_cols(PROVISION_COLUMNS)} FROM ({DEIDENTIFY_ORDERS_SQL})")
+def q_provision_projection(spark, sf_dir):
+    gold = deidentify(d.table(spark, sf_dir, "orders"), d.ORDERS_SPEC, TEST_HASH_SALT)
+    return provision(gold, PROVISION_COLUMNS)
+
+
+@register(
+    "provision_filtered",
+    f"SELECT {_cols(PROVISION_COLUMNS)} FROM ({DEIDENTIFY_ORDERS_SQL}) WHERE {PROVISION_WHERE}",
+)
+def q_provision_filtered(spark, sf_dir):
+    gold = deidentify(d.table(spark, sf_dir, "orders"), d.ORDERS_SPEC, TEST_HASH_SALT)
+    return provision(gold, PROVISION_COLUMNS, PROVISION_WHERE)
+
+
+SNAPSHOT_STAMP = "query-run"
+DESTINATIONS = ("dest_a", "dest_b")
+
+
+def _snapshot(spark, sf_dir):
+    root = workspace_root(spark) + "/snapshot-queries"
+    tables = {("dbo", name): d.table(spark, sf_dir, name) for name in TABLE_COLUMNS}
+    return root, snapshot_database(tables, root + "/staging", SNAPSHOT_STAMP)
+
+
+def _counts(spark, paths: dict[str, str], **labels) -> DataFrame:
+    parts = []
+    for name, path in paths.items():
+        df = spark.read.parquet(path).agg(F.count(F.lit(1)).alias("row_count"))
+        parts.append(df.select(*[F.lit(v).alias(k) for k, v in labels.items()], F.lit(name).alias("table_name"),
+                               "row_count"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _counts_sql(extra: str = "") -> str:
+    return " UNION ALL ".join(
+        f"SELECT {extra}'dbo_{t}' AS table_name, count(*) AS row_count FROM {t}" for t in TABLE_COLUMNS
+    )
+
+
+@register("db_snapshot", _counts_sql())
+def q_db_snapshot(spark, sf_dir):
+    _, staged = _snapshot(spark, sf_dir)
+    return _counts(spark, staged)
+
+
+def _fanned(spark, sf_dir, kind: str):
+    root, staged = _snapshot(spark, sf_dir)
+    dests = [f"{root}/{x}" for x in DESTINATIONS]
+    fan_out(spark, staged, dests, SNAPSHOT_STAMP)
+    parts = []
+    for name, dest in zip(DESTINATIONS, dests):
+        sub = "latest" if kind == "latest" else f"archive/{SNAPSHOT_STAMP}"
+        parts.append(_counts(spark, {t: f"{dest}/{sub}/{t}" for t in staged}, destination=name))
+    return reduce(DataFrame.unionByName, parts)
+
+
+_FAN_SQL = " UNION ALL ".join(f"SELECT * FROM ({_counts_sql(repr(x) + ' AS destination, ')})" for x in DESTINATIONS)
+
+
+@register("snapshot_latest", _FAN_SQL)
+def q_snapshot_latest(spark, sf_dir):
+    return _fanned(spark, sf_dir, "latest")
+
+
+@register("snapshot_archive", _FAN_SQL)
+def q_snapshot_archive(spark, sf_dir):
+    return _fanned(spark, sf_dir, "archive")

@@ -7,7 +7,6 @@ when that setting is unset, which happens in local tests."""
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -35,24 +34,29 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder; set a private one only if unset."""
-    current = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-    if not current:
-        current = tempfile.mkdtemp(prefix="deidlake-ckpt-")
-        spark.sparkContext.setCheckpointDir(current)
-    elif not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(current)
-    return current
+    """The shared folder named by ``spark.checkpoint.dir``.  Only when it is
+    unset (local tests) a private folder is created and set."""
+    conf = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get(
+        "spark.checkpoint.dir", None
+    )
+    if conf:
+        if not spark.sparkContext.getCheckpointDir():
+            spark.sparkContext.setCheckpointDir(conf)
+        return conf.rstrip("/")
+    current = spark.sparkContext.getCheckpointDir()
+    if current:
+        # set programmatically earlier in this application: Spark appended
+        # an application folder; the folder it was set to is its parent
+        return current.rstrip("/").rsplit("/", 1)[0]
+    local = tempfile.mkdtemp(prefix="deidlake-ckpt-")
+    spark.sparkContext.setCheckpointDir(local)
+    return local
 
 
 def workspace_root(spark: SparkSession) -> str:
-    """Root of the zone layout: ``spark.deidlake.root`` or a folder next to
-    the shared checkpoint directory."""
+    """Root of the zone layout and of query scratch output:
+    ``spark.deidlake.root`` if set, else ``<spark.checkpoint.dir>/deidlake``."""
     root = spark.conf.get(WORKSPACE_CONF, None)
     if root:
-        return root
-    base = checkpoint_dir(spark)
-    if "://" in base:
-        return base.rstrip("/") + "/deidlake-workspace"
-    root = os.path.join(os.path.dirname(base.rstrip("/")) or base, os.path.basename(base.rstrip("/")) + "-workspace")
-    return root
+        return root.rstrip("/")
+    return checkpoint_dir(spark) + "/deidlake"
