@@ -95,6 +95,8 @@ def apply_feed(spark, feed: DataFrame, dst: ZoneTable, src_keys, dst_keys,
     """Net the change rows of ``feed`` per key, transform them, and commit
     the keyed replace of ``dst`` as batch ``commit_id`` (idempotent: a
     re-delivered batch yields the same result)."""
+    if commit_id in dst.committed(spark):
+        return  # replay after a crash between commit and stream checkpoint
     net = ch.net_changes(feed, list(src_keys))
     data = ch.data_columns(net)
     inserts = on_inserts(net.where(F.col(CHANGE_TYPE_COLUMN) == INSERT).select(*data))
