@@ -9,9 +9,14 @@ driver."""
 from __future__ import annotations
 
 import datetime
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Tables are written by concurrent Spark jobs (the scheduler interleaves
+# their tasks); this bounds how many are in flight.
+DEFAULT_PARALLEL_TABLES = 8
+
 
 def snapshot_stamp(now: datetime.datetime | None = None) -> str:
     return (now or datetime.datetime.now(datetime.timezone.utc)).strftime("%Y%m%dT%H%M%SZ")
@@ -30,28 +35,41 @@ def _write(df: DataFrame, path: str, mode: str, single_file: bool, max_records_p
     w.parquet(path)
 
 
+def _run_all(jobs, parallel: int) -> None:
+    with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
+        for f in [pool.submit(j) for j in jobs]:
+            f.result()  # re-raise the first failure
+
+
 def snapshot_database(tables: dict[tuple[str, str], DataFrame], staging_root: str, stamp: str,
-                      single_file: bool = False, max_records_per_file: int | None = 5_000_000) -> dict[str, str]:
+                      single_file: bool = False, max_records_per_file: int | None = 5_000_000,
+                      parallel_tables: int = DEFAULT_PARALLEL_TABLES) -> dict[str, str]:
     """Write every (schema, table) to ``<staging_root>/<stamp>/<schema>_<table>``."""
-    out = {}
+    out, jobs = {}, []
     for (schema, table), df in tables.items():
         name = staged_name(schema, table)
         path = f"{staging_root.rstrip('/')}/{stamp}/{name}"
-        _write(df, path, "overwrite", single_file, max_records_per_file)
+        jobs.append(lambda df=df, path=path: _write(df, path, "overwrite", single_file, max_records_per_file))
         out[name] = path
+    _run_all(jobs, parallel_tables)
     return out
 
 
 def fan_out(spark: SparkSession, staged: dict[str, str], destinations, stamp: str,
-            single_file: bool = False) -> dict[str, list[str]]:
+            single_file: bool = False, kinds=("latest", "archive"),
+            parallel_tables: int = DEFAULT_PARALLEL_TABLES) -> dict[str, list[str]]:
     """Copy each staged table to ``<dest>/latest/<table>`` (replaced) and
     ``<dest>/archive/<stamp>/<table>`` (kept) for every destination."""
     written: dict[str, list[str]] = {}
+    jobs = []
     for name, path in staged.items():
         df = spark.read.parquet(path)
         for dest in destinations:
             root = dest.rstrip("/")
-            for target in (f"{root}/latest/{name}", f"{root}/archive/{stamp}/{name}"):
-                _write(df, target, "overwrite", single_file, None)
+            targets = {"latest": f"{root}/latest/{name}", "archive": f"{root}/archive/{stamp}/{name}"}
+            for kind in kinds:
+                target = targets[kind]
+                jobs.append(lambda df=df, target=target: _write(df, target, "overwrite", single_file, None))
                 written.setdefault(name, []).append(target)
+    _run_all(jobs, parallel_tables)
     return written

@@ -700,7 +700,7 @@ def q_db_snapshot(spark, sf_dir):
 def _fanned(spark, sf_dir, kind: str):
     root, staged = _snapshot(spark, sf_dir)
     dests = [f"{root}/{x}" for x in DESTINATIONS]
-    fan_out(spark, staged, dests, SNAPSHOT_STAMP)
+    fan_out(spark, staged, dests, SNAPSHOT_STAMP, kinds=(kind,))
     parts = []
     for name, dest in zip(DESTINATIONS, dests):
         sub = "latest" if kind == "latest" else f"archive/{SNAPSHOT_STAMP}"
