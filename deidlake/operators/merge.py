@@ -10,13 +10,12 @@ the join never runs twice.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from deidlake.constants import CHANGE_TYPE_COLUMN, DELETE, INSERT, ROW_HASH_COLUMN
 from deidlake.functions.hashing import row_hash
+from deidlake.operators.keys import key_columns, key_names
 from deidlake.spec import TableSpec, UpdateMode
 
 SIDE = "_side"
@@ -72,20 +71,24 @@ def merge_tagged(
     keys = list(keys)
     if not keys:
         raise ValueError("merge needs key columns")
-    source = dedupe_on_key(source, keys)
     cols = source.columns
     if target is None:
-        return source.withColumn(SIDE, F.lit(INSERT))
+        return dedupe_on_key(source, keys).withColumn(SIDE, F.lit(INSERT))
     missing = [c for c in cols if c not in target.columns]
     if missing:
         raise ValueError(f"target lacks source columns {missing}")
-    t = target.select(*[F.col(k).alias(f"_tk{i}") for i, k in enumerate(keys)], F.struct(*cols).alias("_t"))
-    s = source.select(*[F.col(k).alias(f"_sk{i}") for i, k in enumerate(keys)], F.struct(*cols).alias("_s"))
-    conds = [
-        (t[f"_tk{i}"].eqNullSafe(s[f"_sk{i}"]) if null_safe else (t[f"_tk{i}"] == s[f"_sk{i}"]))
-        for i in range(len(keys))
-    ]
-    joined = t.join(s, reduce(lambda a, b: a & b, conds), "full_outer")
+    names = key_names(keys) if null_safe else [f"_k{i}" for i in range(len(keys))]
+
+    def keyed(df):
+        return key_columns(df, keys) if null_safe else [df[k].alias(f"_k{i}") for i, k in enumerate(keys)]
+
+    # de-duplicate the source grouped by the SAME key columns the join uses:
+    # one shuffle of the source serves both (partial aggregation first)
+    s = source.select(*keyed(source), F.struct(*cols).alias("_row")).groupBy(*names).agg(
+        F.min("_row").alias("_s")
+    )
+    t = target.select(*keyed(target), F.struct(*cols).alias("_t"))
+    joined = t.join(s, names, "full_outer")
 
     def row(side, struct_col):
         return F.struct(F.lit(side).alias(SIDE), F.col(struct_col).alias("_r"))
