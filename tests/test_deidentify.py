@@ -104,3 +104,22 @@ def test_delete_layout_and_keys(spark):
     assert out.collect()[0]["ClientID_hashed"] == full.collect()[0]["ClientID_hashed"]
     with pytest.raises(ValueError):
         deidentified_keys(spec(df.columns, {R.DATE_TIME: ("T",)}, keys=("T",)))
+
+
+def test_pluggable_pandas_udfs(spark):
+    from deidlake.functions.udfs import entities_udf, text_udf
+
+    # defined inside the test: pickled by value (the test module is not
+    # importable on Python workers)
+    def _shout_factory():
+        return lambda t: t.upper()
+
+    def _fake_ner_factory():
+        return lambda t: [("CHEMICAL", w) for w in t.split() if w.endswith("ole")] + [("OTHER", "x")]
+
+    df = spark.createDataFrame([("note a", 1), ("", 2), (None, 3)], "NoteText string, ID long")
+    out = deidentify(df, spec(df.columns, {R.FREE_TEXT: ("NoteText",)}), TEST_HASH_SALT, text_fn=text_udf(_shout_factory))
+    assert dict((r["ID"], r["NoteText"]) for r in out.collect()) == {1: "NOTE A", 2: None, 3: None}
+    ex = spark.createDataFrame([("take aripiprazole", 1), (None, 2)], "t string, id long")
+    got = dict((r["id"], r["e"]) for r in ex.select("id", entities_udf(_fake_ner_factory)(ex.t).alias("e")).collect())
+    assert got == {1: [[], ["aripiprazole"]], 2: [[], []]}
