@@ -78,9 +78,40 @@ ENTITY_LEXICON = (
 )
 
 
+_META = set(".^$*+?()[]{}|\\")
+
+
+def _escape(text: str) -> str:
+    return "".join("\\" + ch if ch in _META else ch for ch in text)
+
+
 def _alternation(words) -> str:
-    # longest first so that a prefix never shadows a longer word
-    return "(?:" + "|".join(sorted(words, key=lambda w: (-len(w), w))) + ")"
+    """Alternation of ``words`` as a prefix trie: ``A(?:dam|n(?:na|drew))``.
+
+    At each position the engine only follows words sharing the next
+    character instead of trying every word.  Continuing a word is greedy
+    (``(?:...)?``), so a longer word is preferred over its prefix -- the
+    same choice as a longest-first alternation, in Java and in RE2."""
+    trie: dict = {}
+    for w in set(words):
+        node = trie
+        for ch in w:
+            node = node.setdefault(ch, {})
+        node[""] = {}
+
+    def build(node) -> str:
+        ends = "" in node
+        branches = []
+        for ch in sorted(k for k in node if k):
+            branches.append(_escape(ch) + build(node[ch]))
+        if not branches:
+            return ""
+        body = branches[0] if len(branches) == 1 else "(?:" + "|".join(branches) + ")"
+        if ends:
+            return f"(?:{body})?"
+        return body
+
+    return "(?:" + build(trie) + ")"
 
 
 @dataclass(frozen=True)
@@ -89,13 +120,18 @@ class Pattern:
     body: str
     lead: str = ""   # characters that must not precede the body ("" = any)
     trail: str = ""  # characters that must not follow the body
+    needles: tuple[str, ...] = ()  # every match contains one of these (cheap pre-check)
+    # Java-only start hint: a look-around that rejects positions where no
+    # match can start (one character test instead of trying the whole body);
+    # it never changes which spans match
+    start: str = ""
 
     @property
     def regex(self) -> str:
         """Java regex for Spark; group 1 is the span."""
         lead = f"(?<![{self.lead}])" if self.lead else ""
         trail = f"(?![{self.trail}])" if self.trail else ""
-        return f"{lead}({self.body}){trail}"
+        return f"{self.start}{lead}({self.body}){trail}"
 
     @property
     def spark_replacement(self) -> str:
@@ -120,8 +156,13 @@ class Pattern:
 _WORD = r"\p{L}\p{N}_"
 _ALNUM = "0-9A-Za-z"
 
-EMAIL = Pattern("EMAIL_ADDRESS", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}")
-URL = Pattern("URL", r"(?:[Hh][Tt][Tt][Pp][Ss]?://|www\.)[^ \t\n\r\f<>\"']+")
+# An e-mail found by leftmost search starts where its run of local-part
+# characters starts, or right where the previous match ended (\G), so
+# starting only there finds the same spans.
+EMAIL = Pattern("EMAIL_ADDRESS", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
+                needles=("@",), start=r"(?:\G|(?<![A-Za-z0-9._%+-]))")
+URL = Pattern("URL", r"(?:[Hh][Tt][Tt][Pp][Ss]?://|www\.)[^ \t\n\r\f<>\"']+", needles=("://", "www."),
+              start="(?=[Hhw])")
 _month = _alternation(MONTHS)
 DATE_TIME = Pattern(
     "DATE_TIME",
@@ -134,6 +175,7 @@ DATE_TIME = Pattern(
     ")",
     lead=_ALNUM,
     trail=_ALNUM,
+    start="(?=[0-9A-S])",
 )
 PHONE = Pattern(
     "PHONE_NUMBER",
@@ -146,6 +188,7 @@ PHONE = Pattern(
     # another phone must not be accepted as its end, else the one-pass and
     # two-pass spellings would disagree
     trail="0-9+(",
+    start=r"(?=[0-9(+])",
 )
 
 
@@ -154,7 +197,8 @@ def lexicon_pattern(entity: str, words, multiword: bool) -> Pattern:
     adjacent words into one span ("John Smith" -> one PERSON)."""
     alt = _alternation(words)
     body = f"{alt}(?: {alt})*" if multiword else alt
-    return Pattern(entity, body, lead=_WORD, trail=_WORD)
+    firsts = "".join(sorted({_escape(w[0]) for w in words}))
+    return Pattern(entity, body, lead=_WORD, trail=_WORD, start=f"(?=[{firsts}])")
 
 
 PERSON = lexicon_pattern("PERSON", PERSON_NAMES, multiword=True)

@@ -20,8 +20,22 @@ def empty_to_null(column: str | Column) -> Column:
     return F.nullif(c, F.lit(""))
 
 
+def may_match(c: Column, p: Pattern) -> Column | None:
+    """Byte-level pre-check (no regex, no string conversion); None if the
+    pattern has no required substring."""
+    if not p.needles:
+        return None
+    cond = None
+    for n in p.needles:
+        e = c.contains(n)
+        cond = e if cond is None else cond | e
+    return cond
+
+
 def replace_pattern(c: Column, p: Pattern) -> Column:
-    return F.regexp_replace(c, p.regex, p.spark_replacement)
+    replaced = F.regexp_replace(c, p.regex, p.spark_replacement)
+    guard = may_match(c, p)
+    return replaced if guard is None else F.when(guard, replaced).otherwise(c)
 
 
 def redact_expr(column: str | Column, entities=PII_ENTITIES, max_chars: int | None = None) -> Column:

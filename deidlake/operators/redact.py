@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from deidlake.constants import PII_ENTITIES
-from deidlake.functions.text import empty_to_null, redact_expr, span_steps
+from deidlake.functions.text import empty_to_null, may_match, redact_expr, span_steps
 from deidlake.operators.parallel import spread
 
 
@@ -33,6 +33,17 @@ def redact_table(df: DataFrame, key_columns, columns, entities=PII_ENTITIES, max
     return redact_columns(spread(df, key_columns), columns, entities, max_chars)
 
 
+SPAN_ARRAY = "array<struct<entity:string,span:string>>"
+
+
+def _extract(c, p, tag):
+    found = F.transform(F.regexp_extract_all(c, F.lit(p.regex), 1), tag)
+    guard = may_match(c, p)
+    if guard is None:
+        return found
+    return F.when(guard | c.isNull(), found).otherwise(F.array().cast(SPAN_ARRAY))
+
+
 def pii_spans(df: DataFrame, id_columns, column: str, entities=PII_ENTITIES) -> DataFrame:
     """One row per replaced span: ids, ``column_name``, ``entity``,
     ``span`` (original text), entity by entity in redaction order.
@@ -41,8 +52,6 @@ def pii_spans(df: DataFrame, id_columns, column: str, entities=PII_ENTITIES) ->
     by the previous one once (the projections are not collapsed because
     every intermediate text is used twice), so the cost is linear in the
     number of patterns."""
-    import pyspark.sql.functions as F
-
     id_columns = list(id_columns)
     cur = spread(df.select(*id_columns, empty_to_null(column).alias("_t")), id_columns)
     parts: list[str] = []
@@ -52,8 +61,14 @@ def pii_spans(df: DataFrame, id_columns, column: str, entities=PII_ENTITIES) ->
         part = f"_p{i}"
         cur = cur.select(
             *id_columns, *parts,
-            F.transform(F.regexp_extract_all(F.col("_t"), F.lit(p.regex), 1), tag).alias(part),
-            F.regexp_replace("_t", p.regex, p.spark_replacement).alias("_t"),
+            _extract(F.col("_t"), p, tag).alias(part),
+            F.col("_t"),
+        )
+        # replace only where the pattern was found: one scan for most rows
+        cur = cur.select(
+            *id_columns, *parts, part,
+            F.when(F.size(part) > 0, F.regexp_replace("_t", p.regex, p.spark_replacement))
+            .otherwise(F.col("_t")).alias("_t"),
         )
         parts.append(part)
     cur = cur.select(*id_columns, F.concat(*[F.col(c) for c in parts]).alias("_spans"))
