@@ -19,7 +19,7 @@ Outputs: long form (ids, label, pos, text) and the nested form
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from deidlake.constants import FEATURE_EXTRACTION_LABELS, FEATURE_EXTRACTION_SUFFIX
@@ -28,6 +28,16 @@ from deidlake.operators.parallel import spread
 
 # Lexicons up to this many terms are broadcast (a term is a short string).
 BROADCAST_TERMS = 200_000
+# Up to this many distinct first words, candidate positions are picked
+# inside each token array (no row per word); above it, a semi-join does it.
+INLINE_FIRST_WORDS = 512
+
+
+def first_words(lexicon: DataFrame, limit: int = INLINE_FIRST_WORDS) -> list[str] | None:
+    """The lexicon's distinct first words if there are at most ``limit``
+    (checked with ``limit + 1`` rows), else None."""
+    rows = lexicon.select("first_word").distinct().limit(limit + 1).collect()
+    return None if len(rows) > limit else sorted(r[0] for r in rows)
 
 
 def lexicon_df(spark: SparkSession, entries=ENTITY_LEXICON) -> DataFrame:
@@ -48,23 +58,29 @@ def _maybe_broadcast(lexicon: DataFrame, n_terms: int | None) -> DataFrame:
 
 
 def entity_candidates(df: DataFrame, id_columns, column: str, lexicon: DataFrame,
-                      max_words: int = MAX_TERM_WORDS, lexicon_size: int | None = None) -> DataFrame:
-    """All lexicon hits: ids, label, pos (word index), n (words), text."""
-    ids = list(id_columns)
-    toks = F.split(F.col(column), TOKEN_SPLIT)
-    base = spread(df.select(*ids, toks.alias("_tok")).where(F.col("_tok").isNotNull()), ids)
+                      max_words: int = MAX_TERM_WORDS, lexicon_size: int | None = None,
+                      firsts: list[str] | None = None) -> DataFrame:
+    """All lexicon hits: ids, label, pos (word index), n (words), text.
 
-    def window_at(i: Column) -> Column:
-        fields = [i.alias("pos")]
-        for k in range(max_words):
-            fields.append(F.get(F.col("_tok"), i + k).alias(f"t{k}"))
-        return F.struct(*fields)
-
-    positions = base.select(
-        *ids, F.inline(F.transform(F.sequence(F.lit(0), F.size("_tok") - 1), window_at))
-    ).where(F.col("t0") != "")
-    firsts = lexicon.select(F.col("first_word").alias("_w")).distinct()
-    cands = positions.join(_maybe_broadcast(firsts, lexicon_size), F.lower(F.col("t0")) == F.col("_w"), "left_semi")
+    ``firsts`` (small list of first words) selects candidate positions
+    inside each row; without it every word position becomes a row that is
+    semi-joined with the lexicon's first words."""
+    ids = list(id_columns)
+    # spread the raw text (smaller than its token array), then tokenize
+    text = spread(df.select(*ids, F.col(column).alias("_text")).where(F.col("_text").isNotNull()), ids)
+    base = text.select(*ids, F.split("_text", TOKEN_SPLIT).alias("_tok"))
+    # one row per word position with the next max_words-1 words, built with
+    # native array functions (arrays_zip of shifted slices; no per-element
+    # lambda, no copy of the token array per row)
+    n = F.size("_tok")
+    shifted = [F.slice("_tok", k + 1, n).alias(f"t{k}") for k in range(max_words)]
+    zipped = F.arrays_zip(F.sequence(F.lit(0), n - 1).alias("pos"), *shifted)
+    positions = base.select(*ids, F.inline(zipped)).where(F.col("t0") != "")
+    if firsts is not None:
+        cands = positions.where(F.lower("t0").isin(firsts)) if firsts else positions.limit(0)
+    else:
+        first = lexicon.select(F.col("first_word").alias("_w")).distinct()
+        cands = positions.join(_maybe_broadcast(first, lexicon_size), F.lower(F.col("t0")) == F.col("_w"), "left_semi")
 
     grams = []
     for n in range(1, max_words + 1):
@@ -106,10 +122,12 @@ def extract_entities(df: DataFrame, id_columns, column: str, lexicon: DataFrame
     entries = None
     if lexicon is None:
         lexicon, entries = lexicon_df(spark), len(ENTITY_LEXICON)
+        firsts = sorted({t.split(" ")[0] for t, _ in ENTITY_LEXICON})
     else:
-        # size check before broadcasting a caller-supplied lexicon
+        # size checks before broadcasting / inlining a caller-supplied lexicon
         entries = lexicon.limit(BROADCAST_TERMS + 1).count()
-    cands = entity_candidates(df, id_columns, column, lexicon, max_words, entries)
+        firsts = first_words(lexicon)
+    cands = entity_candidates(df, id_columns, column, lexicon, max_words, entries, firsts)
     return resolve_overlaps(cands, id_columns).select(*id_columns, "label", "pos", "text")
 
 
