@@ -5,6 +5,10 @@ would run on one core.  Hash-repartition by the row key only when the
 input has fewer partitions than the cluster has cores: on big inputs the
 scan is already wide and no shuffle is added.  A hash (not round-robin)
 repartition is deterministic, so a lost executor recomputes the same rows.
+
+Inputs that already went through a shuffle have
+``spark.sql.shuffle.partitions`` partitions and are left alone; asking an
+adaptive plan for its partition count would run its shuffle stages early.
 """
 
 from __future__ import annotations
@@ -12,9 +16,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 
+def _has_exchange(df: DataFrame) -> bool:
+    try:
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    except Exception:  # noqa: BLE001 - e.g. Spark Connect: no JVM plan access
+        return True
+    return "Exchange" in plan or "AdaptiveSparkPlan" in plan
+
+
 def spread(df: DataFrame, keys, min_partitions: int | None = None) -> DataFrame:
     spark = df.sparkSession
     target = min_partitions or max(spark.sparkContext.defaultParallelism * 2, 1)
-    if df.rdd.getNumPartitions() >= target:
+    if _has_exchange(df) or df.rdd.getNumPartitions() >= target:
         return df
     return df.repartition(target, *keys)
