@@ -719,3 +719,41 @@ def q_snapshot_latest(spark, sf_dir):
 @register("snapshot_archive", _FAN_SQL)
 def q_snapshot_archive(spark, sf_dir):
     return _fanned(spark, sf_dir, "archive")
+
+
+# ---------------------------------------------------------------- zones: jobs end to end
+
+import uuid  # noqa: E402
+
+from deidlake.plans import jobs  # noqa: E402
+from deidlake.sources.zones import ZoneTable, register_table  # noqa: E402
+
+ZONE_ORDERS_SPEC = TableSpec(
+    "dbo.orders", ORDERS, UpdateMode.FULL_UPDATE,
+    {ColumnRole.CLIENT_ID: ("o_custkey",), ColumnRole.DATE: ("o_orderdate",),
+     ColumnRole.OTHER_IDENTIFIABLE: ("o_orderpriority",)},
+    keys=("o_orderkey",),
+)
+
+
+@register(
+    "zone_scan",
+    d.with_ctes(
+        "SELECT o_orderkey, o_orderstatus, o_totalprice, "
+        "CAST(date_trunc('month', o_orderdate) AS TIMESTAMP) AS o_orderdate, "
+        f"{_md5(ORDERS)} AS {ROW_HASH_COLUMN}, {_sha('o_custkey')} AS o_custkey{CLIENT_ID_HASH_SUFFIX} FROM new",
+        new=d.ORDERS_NEW_SQL,
+    ),
+)
+def q_zone_scan(spark, sf_dir):
+    """Two ingest -> de-identify -> extract rounds (orders old, then new)
+    into a fresh zone root; the gold snapshot is read through a catalog
+    name (a partition-pruned read of the latest committed batch)."""
+    root = f"{workspace_root(spark)}/zone-queries/{uuid.uuid4().hex}"
+    cfg = jobs.RunConfig(root=root, salt=TEST_HASH_SALT)
+    specs = [ZONE_ORDERS_SPEC]
+    for batch, snapshot in ((1, d.orders_old(spark, sf_dir)), (2, d.orders_new(spark, sf_dir))):
+        jobs.run_ingestion(spark, cfg, specs, lambda s, df=snapshot: df, batch)
+        jobs.run_deidentification(spark, cfg, specs)
+        jobs.run_entity_extraction(spark, cfg, specs)
+    return register_table(spark, ZoneTable(root, "gold", ZONE_ORDERS_SPEC.name), "gold_orders")
