@@ -50,7 +50,8 @@ def ingest_table(spark: SparkSession, cfg: RunConfig, spec: TableSpec, source: D
     target = bronze.read_snapshot(spark)
     src = source.select(*spec.imported_columns)
     tagged = merge_tagged(target, src, spec.keys, spec.update_mode)
-    bronze.write_batch(spark, tagged, batch)
+    # only the change rows are written (merge-on-read layout)
+    bronze.write_batch(spark, tagged, batch, spec.merge_keys)
 
 
 def run_ingestion(spark: SparkSession, cfg: RunConfig, specs, read_source: SourceReader, batch: int,
@@ -93,35 +94,21 @@ def apply_feed(spark, feed: DataFrame, dst: ZoneTable, src_keys, dst_keys,
                on_inserts: Callable[[DataFrame], DataFrame],
                on_deletes: Callable[[DataFrame], DataFrame], commit_id: int) -> None:
     """Net the change rows of ``feed`` per key, transform them, and commit
-    the keyed replace of ``dst`` as batch ``commit_id`` (idempotent: a
-    re-delivered batch yields the same result)."""
+    them as batch ``commit_id`` of ``dst`` -- O(changes): the target is not
+    read, because readers apply changes as a keyed replace.  Delete rows
+    carry only the (de-identified) key columns, never raw values.
+    Idempotent: a re-delivered batch is skipped."""
     if commit_id in dst.committed(spark):
         return  # replay after a crash between commit and stream checkpoint
     net = ch.net_changes(feed, list(src_keys))
     data = ch.data_columns(net)
     inserts = on_inserts(net.where(F.col(CHANGE_TYPE_COLUMN) == INSERT).select(*data))
     delete_keys = on_deletes(net.where(F.col(CHANGE_TYPE_COLUMN) == DELETE).select(*data)).select(*dst_keys)
-    insert_keys = inserts.select(*dst_keys)
-    touched = insert_keys.unionByName(delete_keys).withColumn("_hit", F.lit(True))
-    target = dst.read_snapshot(spark)
-    if target is None:
-        tagged = inserts.withColumn(SIDE, F.lit(INSERT))
-    else:
-        # every target row whose key has a net change leaves (delete); the
-        # rest stays (keep); one left join, null-safe on the keys
-        t = target.alias("t")
-        k = touched.dropDuplicates(list(dst_keys)).alias("k")
-        cond = None
-        for c in dst_keys:
-            e = F.col(f"t.{c}").eqNullSafe(F.col(f"k.{c}"))
-            cond = e if cond is None else cond & e
-        joined = t.join(k, cond, "left")
-        old = joined.select(
-            *[F.col(f"t.{c}") for c in target.columns],
-            F.when(F.col("k._hit").isNull(), F.lit("keep")).otherwise(F.lit(DELETE)).alias(SIDE),
-        )
-        tagged = old.unionByName(inserts.select(*target.columns).withColumn(SIDE, F.lit(INSERT)))
-    dst.write_batch(spark, tagged, commit_id)
+    deletes = delete_keys.select(*[
+        F.col(c) if c in dst_keys else F.lit(None).cast(inserts.schema[c].dataType).alias(c) for c in inserts.columns
+    ])
+    changes = inserts.withColumn(SIDE, F.lit(INSERT)).unionByName(deletes.withColumn(SIDE, F.lit(DELETE)))
+    dst.write_batch(spark, changes, commit_id, list(dst_keys))
 
 
 def run_deidentification(spark: SparkSession, cfg: RunConfig, specs) -> dict[str, int | None]:
@@ -166,8 +153,9 @@ def run_entity_extraction(spark: SparkSession, cfg: RunConfig, specs) -> dict[st
 
 
 def run_cleaning(spark: SparkSession, cfg: RunConfig, specs) -> dict[str, list[int]]:
-    """Expire history nobody needs any more: bronze batches consumed by
-    silver, silver batches consumed by gold, gold batches before its latest."""
+    """Compact every zone table (base snapshot at its latest batch) and
+    expire history nobody needs any more: bronze batches consumed by silver,
+    silver batches consumed by gold, gold batches before its base."""
     removed = {}
     for spec in specs:
         if spec.update_mode.value == "not-import":
@@ -175,6 +163,9 @@ def run_cleaning(spark: SparkSession, cfg: RunConfig, specs) -> dict[str, list[i
         b, s, g = (cfg.table(z, spec) for z in ("bronze", "silver", "gold"))
         s_mark, g_mark = s.latest(spark), g.latest(spark)
         for zt, mark in ((b, s_mark), (s, g_mark), (g, g.latest(spark))):
+            if zt.latest(spark) is None:
+                continue
+            zt.compact(spark)
             if mark is not None:
                 removed[f"{zt.zone}/{spec.name}"] = zt.expire(spark, mark + 1)
     return removed

@@ -1,18 +1,22 @@
 """Zone tables on plain Parquet (no transaction log): bronze, silver, gold,
 internal, monitoring under one root.
 
-Layout of a table: ``<root>/<zone>/<schema.table>/batch_id=N/_side=S/``
-with ``S`` in keep / insert / delete -- the tagged output of one merge,
-written ONCE:
-
-* snapshot after batch N  = ``batch_id = N AND _side <> 'delete'``
-* change feed of batch N  = ``batch_id = N AND _side <> 'keep'``
-
-Both are partition-pruned reads.  Batch N is committed when the marker
-``_commits/N.json`` (holding the schema) exists; it is written after the
-data, so readers never see a half-written batch, and a failed batch is
-simply rewritten (dynamic partition overwrite replaces only batch N).
-One writer per table.
+Merge-on-read layout of a table: ``<root>/<zone>/<schema.table>/batch_id=N/_side=S/``
+
+* ``S = insert | delete``: the change rows of batch N (what a batch writes --
+  proportional to the change, not to the table);
+* ``S = base``: a compacted full snapshot as of batch N (written by
+  :meth:`ZoneTable.compact`).
+
+Snapshot as of N = latest base at or before N, with the net change per key of
+the later batches applied (keyed replace).  When the net change is small,
+AQE turns that anti join into a broadcast, so the base is scanned but not
+shuffled; compaction keeps the tail of changes short.
+
+Batch N is committed when ``_commits/N.json`` (schema, key columns, whether
+it holds a base) exists; it is written after the data, so readers never see a
+half-written batch, and a failed batch is simply rewritten (dynamic partition
+overwrite replaces only batch N).  One writer per table.
 """
 
 from __future__ import annotations
@@ -24,9 +28,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from deidlake.constants import BATCH_ID_COLUMN, CHANGE_TYPE_COLUMN
+from deidlake.constants import BATCH_ID_COLUMN, CHANGE_TYPE_COLUMN, DELETE, INSERT
 
 SIDE = "_side"
+BASE = "base"
 ZONES = ("bronze", "silver", "gold", "internal", "monitoring")
 
 
@@ -44,6 +49,14 @@ def zone_path(root: str, zone: str, table: str) -> str:
     return f"{root.rstrip('/')}/{zone}/{table}"
 
 
+def _dynamic_overwrite(df: DataFrame, path: str) -> None:
+    """Replace only the partitions present in ``df``.  The per-write option
+    is used, not the session conf: writes inside ``foreachBatch`` run on a
+    cloned session whose conf would still say STATIC (= wipe the table)."""
+    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(BATCH_ID_COLUMN, SIDE).parquet(path))
+
+
 @dataclass(frozen=True)
 class ZoneTable:
     root: str
@@ -66,7 +79,7 @@ class ZoneTable:
         out = []
         for st in fs.listStatus(p):
             name = st.getPath().getName()
-            if name.endswith(".json"):
+            if name.endswith(".json") and not name.startswith("."):
                 out.append(int(name[: -len(".json")]))
         return sorted(out)
 
@@ -74,17 +87,22 @@ class ZoneTable:
         c = self.committed(spark)
         return c[-1] if c else None
 
-    def schema(self, spark: SparkSession, batch: int) -> T.StructType:
+    def marker(self, spark: SparkSession, batch: int) -> dict:
         fs, p = _fs(spark, f"{self.commits_path}/{batch}.json")
         stream = fs.open(p)
         try:
-            reader = spark.sparkContext._jvm.java.io.BufferedReader(
-                spark.sparkContext._jvm.java.io.InputStreamReader(stream, "UTF-8")
-            )
+            jvm = spark.sparkContext._jvm
+            reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
             text = "".join(iter(reader.readLine, None))
         finally:
             stream.close()
-        return T.StructType.fromJson(json.loads(text)["schema"])
+        return json.loads(text)
+
+    def schema(self, spark: SparkSession, batch: int) -> T.StructType:
+        return T.StructType.fromJson(self.marker(spark, batch)["schema"])
+
+    def keys(self, spark: SparkSession, batch: int) -> list[str]:
+        return list(self.marker(spark, batch)["keys"])
 
     # ---- reads -------------------------------------------------------------
     def _read(self, spark: SparkSession, batch: int) -> DataFrame:
@@ -99,12 +117,29 @@ class ZoneTable:
         return spark.read.schema(full).parquet(self.path)
 
     def read_snapshot(self, spark: SparkSession, batch: int | None = None) -> DataFrame | None:
-        """Current (or batch ``batch``) snapshot; None if never committed."""
-        batch = self.latest(spark) if batch is None else batch
-        if batch is None:
+        """Snapshot as of ``batch`` (default: latest); None if never committed."""
+        from deidlake.operators.changes import apply_changes, net_changes
+
+        committed = [b for b in self.committed(spark) if batch is None or b <= batch]
+        if not committed:
             return None
-        df = self._read(spark, batch)
-        return df.where((F.col(BATCH_ID_COLUMN) == batch) & (F.col(SIDE) != "delete")).drop(BATCH_ID_COLUMN, SIDE)
+        upto = committed[-1]
+        markers = {b: self.marker(spark, b) for b in committed}
+        bases = [b for b in committed if markers[b].get("base")]
+        base_at = bases[-1] if bases else None
+        df = self._read(spark, upto)
+        data = [f.name for f in self.schema(spark, upto).fields]
+        keys = markers[upto]["keys"]
+        base = None
+        if base_at is not None:
+            base = df.where((F.col(BATCH_ID_COLUMN) == base_at) & (F.col(SIDE) == BASE)).select(*data)
+        tail = [b for b in committed if base_at is None or b > base_at]
+        if not tail:
+            return base
+        feed = df.where(F.col(BATCH_ID_COLUMN).isin(tail) & F.col(SIDE).isin(INSERT, DELETE)).withColumnRenamed(
+            SIDE, CHANGE_TYPE_COLUMN
+        )
+        return apply_changes(base, net_changes(feed, keys), keys)
 
     def read_changes(self, spark: SparkSession, after: int | None = None, upto: int | None = None) -> DataFrame | None:
         """Change rows (data + ``_change_type`` + ``batch_id``) of committed
@@ -114,43 +149,64 @@ class ZoneTable:
         if not committed:
             return None
         df = self._read(spark, committed[-1])
-        cond = F.col(BATCH_ID_COLUMN).isin(committed) & (F.col(SIDE) != "keep")
+        cond = F.col(BATCH_ID_COLUMN).isin(committed) & F.col(SIDE).isin(INSERT, DELETE)
         return df.where(cond).withColumnRenamed(SIDE, CHANGE_TYPE_COLUMN)
 
     # ---- writes ------------------------------------------------------------
-    def write_batch(self, spark: SparkSession, tagged: DataFrame, batch: int) -> None:
-        """Write the tagged rows of batch ``batch`` and commit it."""
+    def write_batch(self, spark: SparkSession, changes: DataFrame, batch: int, keys) -> None:
+        """Write the change rows (``_side`` insert/delete; other sides are
+        dropped) of batch ``batch`` and commit it."""
         if batch in self.committed(spark):
             raise ValueError(f"batch {batch} of {self.name} is already committed")
-        data = tagged.drop(SIDE)
-        out = tagged.withColumn(BATCH_ID_COLUMN, F.lit(batch).cast("long"))
-        prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-        try:
-            out.write.mode("overwrite").partitionBy(BATCH_ID_COLUMN, SIDE).parquet(self.path)
-        finally:
-            spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
-        self._commit(spark, batch, data.schema)
-
-    def _commit(self, spark: SparkSession, batch: int, schema: T.StructType) -> None:
+        data = changes.drop(SIDE)
+        missing = [k for k in keys if k not in data.columns]
+        if missing:
+            raise ValueError(f"key columns {missing} missing from {self.name}")
+        out = changes.where(F.col(SIDE).isin(INSERT, DELETE)).withColumn(BATCH_ID_COLUMN, F.lit(batch).cast("long"))
+        _dynamic_overwrite(out, self.path)
+        self._commit(spark, batch, {"batch_id": batch, "schema": json.loads(data.schema.json()),
+                                    "keys": list(keys), "base": False})
+
+    def compact(self, spark: SparkSession, batch: int | None = None) -> int | None:
+        """Write the snapshot as of ``batch`` (default: latest) as that
+        batch's base; later reads start there.  Returns the batch id."""
+        batch = self.latest(spark) if batch is None else batch
+        if batch is None:
+            return None
+        marker = self.marker(spark, batch)
+        if marker.get("base"):
+            return batch
+        snap = self.read_snapshot(spark, batch)
+        out = snap.withColumn(BATCH_ID_COLUMN, F.lit(batch).cast("long")).withColumn(SIDE, F.lit(BASE))
+        _dynamic_overwrite(out, self.path)
+        self._commit(spark, batch, dict(marker, base=True), replace=True)
+        return batch
+
+    def _commit(self, spark: SparkSession, batch: int, marker: dict, replace: bool = False) -> None:
         fs, p = _fs(spark, f"{self.commits_path}/{batch}.json")
         tmp_fs, tmp = _fs(spark, f"{self.commits_path}/.{batch}.json.tmp")
         stream = tmp_fs.create(tmp, True)
         try:
-            stream.write(json.dumps({"batch_id": batch, "schema": json.loads(schema.json())}).encode("utf-8"))
+            stream.write(json.dumps(marker).encode("utf-8"))
         finally:
             stream.close()
+        if replace and fs.exists(p):
+            fs.delete(p, False)
         if not fs.rename(tmp, p):
             raise OSError(f"could not commit batch {batch} of {self.name}")
 
     def expire(self, spark: SparkSession, before: int) -> list[int]:
-        """Remove the data of committed batches ``< before`` (never the
-        latest one); readers of the snapshot and of changes after ``before-1``
-        are unaffected.  Returns the removed batch ids."""
-        latest = self.latest(spark)
+        """Remove batches ``< before`` that the snapshot no longer needs
+        (older than the latest base) and no consumer needs (``before`` is the
+        smallest consumer watermark + 1).  Returns the removed batch ids."""
+        committed = self.committed(spark)
+        bases = [b for b in committed if self.marker(spark, b).get("base")]
+        if not bases:
+            return []
+        limit = min(before, bases[-1])
         removed = []
-        for b in self.committed(spark):
-            if b >= before or b == latest:
+        for b in committed:
+            if b >= limit:
                 continue
             fs, p = _fs(spark, f"{self.path}/{BATCH_ID_COLUMN}={b}")
             if fs.exists(p):
@@ -163,8 +219,8 @@ class ZoneTable:
 
 def register_table(spark: SparkSession, table: ZoneTable, qualified_name: str) -> DataFrame:
     """Expose the current snapshot under a catalog name (a view over the
-    pruned read; an external ``CREATE TABLE ... LOCATION`` cannot express
-    the batch/side selection)."""
+    merge-on-read snapshot; an external ``CREATE TABLE ... LOCATION`` cannot
+    express the base + changes selection)."""
     df = table.read_snapshot(spark)
     if df is None:
         raise ValueError(f"{table.name} has no committed batch")

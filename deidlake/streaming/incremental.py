@@ -35,8 +35,8 @@ def change_stream(spark: SparkSession, table: ZoneTable) -> DataFrame:
         T.StructField(BATCH_ID_COLUMN, T.LongType()), T.StructField(SIDE, T.StringType())
     ])
     stream = spark.readStream.schema(full).parquet(table.path)
-    # the filter on the partition column prunes the snapshot ("keep") files
-    return stream.where(F.col(SIDE) != "keep").withColumnRenamed(SIDE, CHANGE_TYPE_COLUMN)
+    # the filter on the partition column prunes the compacted base files
+    return stream.where(F.col(SIDE).isin("insert", "delete")).withColumnRenamed(SIDE, CHANGE_TYPE_COLUMN)
 
 
 def run_available_now(spark: SparkSession, src: ZoneTable, checkpoint: str,
