@@ -13,7 +13,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 
-from deidlake.constants import CLIENT_ID_HASH_SUFFIX
+from deidlake.constants import CLIENT_ID_HASH_SUFFIX, ROW_HASH_COLUMN
 from deidlake.functions.dates import coarsen
 from deidlake.functions.hashing import salted_sha256
 from deidlake.functions.text import redact_expr
@@ -45,11 +45,16 @@ def deidentify(
     text_fn: TextFn | None = None,
     text_mode: str = "redact",
     max_chars: int | None = None,
+    row_hash_mode: str = "rekey",
 ) -> DataFrame:
     """Apply the role of every classified column in a single projection.
 
     ``text_fn`` replaces the built-in regex/lexicon redaction (e.g. a pandas
     UDF wrapping a model); it receives the text column and returns a column.
+    ``row_hash_mode``: the merge key of full-update tables is an unsalted MD5
+    of the raw row; ``rekey`` (default) replaces it by a salted SHA-256 of
+    itself under the same name (still unique, no longer open to dictionary
+    attacks on low-entropy rows); ``compat`` keeps the MD5 as is.
     """
     if text_mode not in ("redact", "remove"):
         raise ValueError("text_mode must be 'redact' or 'remove'")
@@ -65,7 +70,9 @@ def deidentify(
     for name in df.columns:
         role = roles.get(name)
         col = df[name]
-        if role is None:
+        if name == ROW_HASH_COLUMN and role is None:
+            kept.append(_row_hash_key(col, salt, row_hash_mode))
+        elif role is None:
             kept.append(col)
         elif role is ColumnRole.OTHER_IDENTIFIABLE:
             continue
@@ -83,7 +90,16 @@ def deidentify(
     return df.select(*kept, *hashed)
 
 
-def delete_layout(df: DataFrame, spec: TableSpec, salt: str, text_mode: str = "redact") -> DataFrame:
+def _row_hash_key(col: Column, salt: str, mode: str) -> Column:
+    if mode == "compat":
+        return col
+    if mode != "rekey":
+        raise ValueError("row_hash_mode must be 'rekey' or 'compat'")
+    return salted_sha256(col, salt).alias(ROW_HASH_COLUMN)
+
+
+def delete_layout(df: DataFrame, spec: TableSpec, salt: str, text_mode: str = "redact",
+                  row_hash_mode: str = "rekey") -> DataFrame:
     """Give delete rows the de-identified column layout without the costly
     parts: identifiers dropped and ids hashed (so keys line up), dates and
     text left as they are."""
@@ -98,6 +114,8 @@ def delete_layout(df: DataFrame, spec: TableSpec, salt: str, text_mode: str = "r
             continue
         if role is ColumnRole.CLIENT_ID:
             hashed.append(salted_sha256(df[name], salt).alias(name + CLIENT_ID_HASH_SUFFIX))
+        elif name == ROW_HASH_COLUMN and role is None:
+            kept.append(_row_hash_key(df[name], salt, row_hash_mode))
         else:
             kept.append(df[name])
     return df.select(*kept, *hashed)

@@ -37,6 +37,7 @@ class RunConfig:
     max_chars: int | None = None        # optional truncation of free text
     extract_entities: bool = False
     compat_monitoring_names: bool = False
+    row_hash_mode: str = "rekey"        # or "compat": keep the raw-row MD5 in silver
     lexicon: DataFrame | None = field(default=None, repr=False)
 
     def table(self, zone: str, spec: TableSpec) -> ZoneTable:
@@ -120,8 +121,9 @@ def run_deidentification(spark: SparkSession, cfg: RunConfig, specs) -> dict[str
         src, dst = cfg.table("bronze", spec), cfg.table("silver", spec)
         done[spec.name] = _propagate(
             spark, src, dst, spec.merge_keys, deidentified_keys(spec),
-            lambda df, s=spec: deidentify(df, s, cfg.salt, cfg.text_fn, cfg.text_mode, cfg.max_chars),
-            lambda df, s=spec: delete_layout(df, s, cfg.salt, cfg.text_mode),
+            lambda df, s=spec: deidentify(df, s, cfg.salt, cfg.text_fn, cfg.text_mode, cfg.max_chars,
+                                          cfg.row_hash_mode),
+            lambda df, s=spec: delete_layout(df, s, cfg.salt, cfg.text_mode, cfg.row_hash_mode),
         )
     return done
 

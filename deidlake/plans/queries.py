@@ -358,7 +358,7 @@ def q_compact_changes(spark, sf_dir):
     d.with_ctes(
         "SELECT o_orderkey, o_orderstatus, o_totalprice, "
         "CAST(date_trunc('month', o_orderdate) AS TIMESTAMP) AS o_orderdate, "
-        f"{_md5(ORDERS)} AS {ROW_HASH_COLUMN}, {_sha('o_custkey')} AS o_custkey{CLIENT_ID_HASH_SUFFIX} FROM new",
+        f"{_sha(_md5(ORDERS))} AS {ROW_HASH_COLUMN}, {_sha('o_custkey')} AS o_custkey{CLIENT_ID_HASH_SUFFIX} FROM new",
         new=d.ORDERS_NEW_SQL,
     ),
 )
@@ -741,7 +741,7 @@ ZONE_ORDERS_SPEC = TableSpec(
     d.with_ctes(
         "SELECT o_orderkey, o_orderstatus, o_totalprice, "
         "CAST(date_trunc('month', o_orderdate) AS TIMESTAMP) AS o_orderdate, "
-        f"{_md5(ORDERS)} AS {ROW_HASH_COLUMN}, {_sha('o_custkey')} AS o_custkey{CLIENT_ID_HASH_SUFFIX} FROM new",
+        f"{_sha(_md5(ORDERS))} AS {ROW_HASH_COLUMN}, {_sha('o_custkey')} AS o_custkey{CLIENT_ID_HASH_SUFFIX} FROM new",
         new=d.ORDERS_NEW_SQL,
     ),
 )

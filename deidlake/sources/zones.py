@@ -87,6 +87,12 @@ class ZoneTable:
         c = self.committed(spark)
         return c[-1] if c else None
 
+    def next_batch(self, spark: SparkSession) -> int:
+        """Id for the next write: an abandoned attempt is retried under the
+        same id, so its leftovers are replaced rather than orphaned."""
+        latest = self.latest(spark)
+        return 1 if latest is None else latest + 1
+
     def marker(self, spark: SparkSession, batch: int) -> dict:
         fs, p = _fs(spark, f"{self.commits_path}/{batch}.json")
         stream = fs.open(p)
@@ -163,6 +169,11 @@ class ZoneTable:
         if missing:
             raise ValueError(f"key columns {missing} missing from {self.name}")
         out = changes.where(F.col(SIDE).isin(INSERT, DELETE)).withColumn(BATCH_ID_COLUMN, F.lit(batch).cast("long"))
+        # leftovers of a crashed, uncommitted attempt at this batch: a dynamic
+        # overwrite would only replace the partitions written this time
+        fs, leftover = _fs(spark, f"{self.path}/{BATCH_ID_COLUMN}={batch}")
+        if fs.exists(leftover):
+            fs.delete(leftover, True)
         _dynamic_overwrite(out, self.path)
         self._commit(spark, batch, {"batch_id": batch, "schema": json.loads(data.schema.json()),
                                     "keys": list(keys), "base": False})

@@ -123,3 +123,16 @@ def test_pluggable_pandas_udfs(spark):
     ex = spark.createDataFrame([("take aripiprazole", 1), (None, 2)], "t string, id long")
     got = dict((r["id"], r["e"]) for r in ex.select("id", entities_udf(_fake_ner_factory)(ex.t).alias("e")).collect())
     assert got == {1: [[], ["aripiprazole"]], 2: [[], []]}
+
+
+def test_row_hash_is_rekeyed_by_default(spark):
+    from deidlake.constants import ROW_HASH_COLUMN
+    from deidlake.functions.hashing import salted_sha256
+
+    df = spark.createDataFrame([(1, "c", "abc")], f"ID long, ClientID string, {ROW_HASH_COLUMN} string")
+    s = TableSpec("dbo.T", ("ID", "ClientID"), UpdateMode.FULL_UPDATE, {R.CLIENT_ID: ("ClientID",)})
+    rekeyed = deidentify(df, s, TEST_HASH_SALT).collect()[0][ROW_HASH_COLUMN]
+    expected = df.select(salted_sha256(ROW_HASH_COLUMN, TEST_HASH_SALT)).collect()[0][0]
+    assert rekeyed == expected and rekeyed != "abc"
+    assert deidentify(df, s, TEST_HASH_SALT, row_hash_mode="compat").collect()[0][ROW_HASH_COLUMN] == "abc"
+    assert delete_layout(df, s, TEST_HASH_SALT).collect()[0][ROW_HASH_COLUMN] == rekeyed

@@ -116,3 +116,29 @@ def test_jdbc_options_and_projection():
     assert partition_options("id", 0, 100, 8)["numPartitions"] == "8"
     spec = TableSpec("dbo.T", ("a", "b", 'c"d'), UpdateMode.FULL_UPDATE, skip_columns=("b",))
     assert projected_query(spec) == '(SELECT "a", "c""d" FROM dbo.T) tbl'
+
+
+def test_compaction_keeps_snapshot_and_abandoned_batch_is_replaced(spark, root):
+    spec = TableSpec("dbo.C", ("k", "v"), UpdateMode.DROP_AND_RECREATE, {}, keys=("k",))
+    cfg = jobs.RunConfig(root=root, salt=TEST_HASH_SALT)
+    bronze = ZoneTable(root, "bronze", spec.name)
+    for batch, data in enumerate([[(1, "a"), (2, "b")], [(2, "b2"), (3, "c")], [(3, "c"), (4, "d")]], start=1):
+        df = spark.createDataFrame(data, "k long, v string")
+        jobs.run_ingestion(spark, cfg, [spec], lambda s, df=df: df, bronze.next_batch(spark))
+    before = sorted(tuple(r) for r in bronze.read_snapshot(spark).collect())
+    assert before == [(3, "c"), (4, "d")]
+    assert bronze.compact(spark) == 3
+    assert sorted(tuple(r) for r in bronze.read_snapshot(spark).collect()) == before
+    assert sorted(tuple(r) for r in bronze.read_snapshot(spark, 2).collect()) == [(2, "b2"), (3, "c")]
+    assert bronze.expire(spark, 10) == [1, 2]
+    assert sorted(tuple(r) for r in bronze.read_snapshot(spark).collect()) == before
+    # a crashed attempt at batch 4 left files but no commit marker
+    stray = spark.createDataFrame([(9, "x", "delete", 4)], "k long, v string, _side string, batch_id long")
+    stray.write.mode("append").partitionBy("batch_id", "_side").parquet(bronze.path)
+    assert bronze.next_batch(spark) == 4
+    assert sorted(tuple(r) for r in bronze.read_snapshot(spark).collect()) == before  # uncommitted: invisible
+    df = spark.createDataFrame([(4, "d"), (5, "e")], "k long, v string")
+    jobs.run_ingestion(spark, cfg, [spec], lambda s: df, 4)
+    assert sorted(tuple(r) for r in bronze.read_snapshot(spark).collect()) == [(4, "d"), (5, "e")]
+    assert sorted((r["k"], r["_change_type"]) for r in bronze.read_changes(spark, after=3).collect()) == [
+        (3, "delete"), (5, "insert")]
