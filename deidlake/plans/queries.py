@@ -625,7 +625,19 @@ def q_entities_long(spark, sf_dir):
     return extract_entities(d.table(spark, sf_dir, "documents"), ["doc_id"], "text")
 
 
-@register("entities_nested")
+_NESTED_SQL = (
+    "SELECT d.doc_id, [" + ", ".join(
+        f"COALESCE(e.l{i}, CAST([] AS VARCHAR[]))" for i in range(2)
+    ) + "] AS text_feature_extraction FROM documents d LEFT JOIN (SELECT doc_id, "
+    + ", ".join(
+        f"list(text ORDER BY pos) FILTER (WHERE label = '{lab}') AS l{i}"
+        for i, lab in enumerate(("DISEASE", "CHEMICAL"))
+    )
+    + f" FROM ({_ENTITIES_SQL}) GROUP BY doc_id) e ON d.doc_id = e.doc_id"
+)
+
+
+@register("entities_nested", _NESTED_SQL)
 def q_entities_nested(spark, sf_dir):
     docs = d.table(spark, sf_dir, "documents").select("doc_id", "text")
     return nested_entities(docs, ["doc_id"], "text", extract_entities(docs, ["doc_id"], "text")).drop("text")
