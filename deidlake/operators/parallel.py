@@ -1,10 +1,12 @@
 """Parallelism guard for CPU-heavy per-row work (regex over long texts).
 
 A single large Parquet row group yields one scan task; text work on it
-would run on one core.  Hash-repartition by the row key only when the
-input has fewer partitions than the cluster has cores: on big inputs the
-scan is already wide and no shuffle is added.  A hash (not round-robin)
-repartition is deterministic, so a lost executor recomputes the same rows.
+would run on one core.  Hash-repartition whole rows only when the input has
+fewer partitions than the cluster has cores: on big inputs the scan is
+already wide and no shuffle is added.  Hashing the whole row (not a key
+that may be hot) spreads even a key holding a third of the rows, and a hash
+(not round-robin) repartition is deterministic, so a lost executor
+recomputes the same rows.
 
 Inputs that already went through a shuffle have
 ``spark.sql.shuffle.partitions`` partitions and are left alone; asking an
@@ -24,9 +26,11 @@ def _has_exchange(df: DataFrame) -> bool:
     return "Exchange" in plan or "AdaptiveSparkPlan" in plan
 
 
-def spread(df: DataFrame, keys, min_partitions: int | None = None) -> DataFrame:
+def spread(df: DataFrame, keys=None, min_partitions: int | None = None) -> DataFrame:
+    """``keys`` is accepted for call-site readability; rows are hashed on
+    all their columns."""
     spark = df.sparkSession
     target = min_partitions or max(spark.sparkContext.defaultParallelism * 2, 1)
     if _has_exchange(df) or df.rdd.getNumPartitions() >= target:
         return df
-    return df.repartition(target, *keys)
+    return df.repartition(target, *df.columns)
