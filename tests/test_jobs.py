@@ -142,3 +142,19 @@ def test_compaction_keeps_snapshot_and_abandoned_batch_is_replaced(spark, root):
     assert sorted(tuple(r) for r in bronze.read_snapshot(spark).collect()) == [(4, "d"), (5, "e")]
     assert sorted((r["k"], r["_change_type"]) for r in bronze.read_changes(spark, after=3).collect()) == [
         (3, "delete"), (5, "insert")]
+
+
+def test_monitoring_compat_names_and_text_removed_before_extraction(spark, root):
+    from deidlake.operators.monitor import monitoring_rows
+
+    compat = monitoring_rows(spark, [("dbo.T", 2)], logged_at="2024-01-01T00:00", compat_names=True)
+    assert compat.columns == ["Row_Count", "Date_Time", "Value"] and compat.collect()[0] == ("dbo.T", "2024-01-01T00:00", 2)
+    assert monitoring_rows(spark, []).count() == 0  # typed even when nothing was imported
+    cfg = jobs.RunConfig(root=root, salt=TEST_HASH_SALT, text_mode="remove", extract_entities=True)
+    src = spark.createDataFrame(ROUND1, SCHEMA)
+    jobs.run_ingestion(spark, cfg, [SPEC], lambda s: src, 1)
+    jobs.run_deidentification(spark, cfg, [SPEC])
+    jobs.run_entity_extraction(spark, cfg, [SPEC])
+    gold = ZoneTable(root, "gold", SPEC.name).read_snapshot(spark)
+    assert "NoteText" not in gold.columns and not any(c.endswith("_feature_extraction") for c in gold.columns)
+    assert gold.count() == 2

@@ -164,3 +164,19 @@ def test_hot_key_holding_a_third_of_rows(spark):
     net = dict((r["key"], r["value"]) for r in ch.net_changes(f, ["key"]).collect())
     hot = [(int(v[1:]) % 5, v) for v in (f"v{n - i:05d}" for i in range(0, n, 3))]
     assert net[-1] == max(hot)[1]
+
+
+rows_strategy = st.lists(st.tuples(st.integers(0, 6), st.sampled_from(["a", "b", None])), max_size=8)
+
+
+@settings(max_examples=15, deadline=None)
+@given(rows_strategy, rows_strategy)
+def test_full_update_result_is_source_as_a_set_and_rerun_is_quiet(spark, old, new):
+    mode = UpdateMode.FULL_UPDATE
+    first = snapshot_of(merge_tagged(None, spark.createDataFrame(old, KV), [], mode))
+    target = spark.createDataFrame(rows(first), first.schema)
+    tagged = merge_tagged(target, spark.createDataFrame(new, KV), [], mode)
+    assert {r[:2] for r in rows(snapshot_of(tagged))} == set(new)
+    again = snapshot_of(tagged)
+    again = spark.createDataFrame(rows(again), again.schema)
+    assert changes_of(merge_tagged(again, spark.createDataFrame(new, KV), [], mode)).count() == 0
