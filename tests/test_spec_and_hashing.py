@@ -1,5 +1,4 @@
 import pytest
-from pyspark.sql import functions as F
 
 from deidlake.constants import ROW_HASH_COLUMN, TEST_HASH_SALT
 from deidlake.functions.hashing import row_hash, salted_sha256
