@@ -6,7 +6,8 @@ Merge-on-read layout of a table: ``<root>/<zone>/<schema.table>/batch_id=N/_side
 * ``S = insert | delete``: the change rows of batch N (what a batch writes --
   proportional to the change, not to the table);
 * ``S = base``: a compacted full snapshot as of batch N (written by
-  :meth:`ZoneTable.compact`).
+  :meth:`ZoneTable.compact`).  The first batch of a table needs no separate
+  base: its insert rows ARE the snapshot (marker ``"base": "inserts"``).
 
 Snapshot as of N = latest base at or before N, with the net change per key of
 the later batches applied (keyed replace).  When the net change is small,
@@ -138,7 +139,8 @@ class ZoneTable:
         keys = markers[upto]["keys"]
         base = None
         if base_at is not None:
-            base = df.where((F.col(BATCH_ID_COLUMN) == base_at) & (F.col(SIDE) == BASE)).select(*data)
+            side = INSERT if markers[base_at]["base"] == "inserts" else BASE
+            base = df.where((F.col(BATCH_ID_COLUMN) == base_at) & (F.col(SIDE) == side)).select(*data)
         tail = [b for b in committed if base_at is None or b > base_at]
         if not tail:
             return base
@@ -174,9 +176,11 @@ class ZoneTable:
         fs, leftover = _fs(spark, f"{self.path}/{BATCH_ID_COLUMN}={batch}")
         if fs.exists(leftover):
             fs.delete(leftover, True)
+        first = not self.committed(spark)
         _dynamic_overwrite(out, self.path)
+        # a first load holds one insert per key: those rows are the snapshot
         self._commit(spark, batch, {"batch_id": batch, "schema": json.loads(data.schema.json()),
-                                    "keys": list(keys), "base": False})
+                                    "keys": list(keys), "base": "inserts" if first else False})
 
     def compact(self, spark: SparkSession, batch: int | None = None) -> int | None:
         """Write the snapshot as of ``batch`` (default: latest) as that
