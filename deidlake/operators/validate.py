@@ -10,7 +10,7 @@ from __future__ import annotations
 import json
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 UNCLASSIFIED_TABLE = "unclassified_table"
@@ -42,24 +42,31 @@ def populated_columns(tables: dict[str, DataFrame], schema: str = "dbo") -> Data
 
 
 def table_drift(live: DataFrame, declared: DataFrame) -> DataFrame:
-    lt = live.select("table_name").distinct()
-    dt = declared.select("table_name").distinct()
-    return lt.join(dt, "table_name", "left_anti").select(
-        F.lit(UNCLASSIFIED_TABLE).alias("kind"), "table_name", F.lit(None).cast("string").alias("column_name")
-    ).unionByName(
-        dt.join(lt, "table_name", "left_anti").select(
-            F.lit(MISSING_TABLE).alias("kind"), "table_name", F.lit(None).cast("string").alias("column_name")
-        )
+    """Tables on one side only: one full outer join of the distinct table
+    names (each side is read once)."""
+    lt = live.select("table_name").distinct().withColumn("_l", F.lit(True))
+    dt = declared.select("table_name").distinct().withColumn("_d", F.lit(True))
+    both = lt.join(dt, "table_name", "full_outer").where(F.col("_l").isNull() | F.col("_d").isNull())
+    return both.select(
+        F.when(F.col("_d").isNull(), F.lit(UNCLASSIFIED_TABLE)).otherwise(F.lit(MISSING_TABLE)).alias("kind"),
+        "table_name",
+        F.lit(None).cast("string").alias("column_name"),
     )
 
 
 def column_drift(live: DataFrame, declared: DataFrame) -> DataFrame:
-    """Column differences, only for tables present on both sides."""
-    common = live.select("table_name").distinct().join(declared.select("table_name").distinct(), "table_name")
+    """Column differences, only for tables present on both sides: one full
+    outer join on (table, column); per-table presence flags come from a
+    window over the catalog rows of that table (catalog-sized, not data)."""
     l = live.select("table_name", "column_name").distinct().withColumn("_l", F.lit(True))
     d = declared.select("table_name", "column_name").distinct().withColumn("_d", F.lit(True))
-    both = l.join(d, ["table_name", "column_name"], "full_outer").join(common, "table_name", "left_semi")
-    return both.where(F.col("_l").isNull() | F.col("_d").isNull()).select(
+    per_table = Window.partitionBy("table_name")
+    both = l.join(d, ["table_name", "column_name"], "full_outer").select(
+        "table_name", "column_name", "_l", "_d",
+        F.max(F.col("_l").isNotNull()).over(per_table).alias("_tl"),
+        F.max(F.col("_d").isNotNull()).over(per_table).alias("_td"),
+    )
+    return both.where(F.col("_tl") & F.col("_td") & (F.col("_l").isNull() | F.col("_d").isNull())).select(
         F.when(F.col("_d").isNull(), F.lit(UNCLASSIFIED_COLUMN)).otherwise(F.lit(MISSING_COLUMN)).alias("kind"),
         "table_name",
         "column_name",
