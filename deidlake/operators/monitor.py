@@ -24,7 +24,10 @@ def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
-    """Attach a row counter that fills when ``df`` is written: no extra scan."""
+    """Attach a row counter that fills when ``df`` is written: no extra scan
+    and the count belongs to exactly the data that was merged.  Caveat (a
+    Spark property of observed metrics): if a stage is recomputed after a
+    lost executor, its re-run tasks may count again; the log is advisory."""
     obs = Observation(f"rows_{name}")
     return df.observe(obs, F.count(F.lit(1)).alias("row_count")), obs
 

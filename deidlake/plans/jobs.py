@@ -171,3 +171,34 @@ def run_cleaning(spark: SparkSession, cfg: RunConfig, specs) -> dict[str, list[i
             if mark is not None:
                 removed[f"{zt.zone}/{spec.name}"] = zt.expire(spark, mark + 1)
     return removed
+
+
+# ------------------------------------------------------------------ provisioning, snapshots
+
+def run_provisioning(spark: SparkSession, cfg: RunConfig, query_base64: str, workspace_uuid: str,
+                     dest_root: str, stamp: str | None = None) -> dict[str, str]:
+    """Decode and validate a request, read each requested gold table,
+    filter + project it, write it under ``<dest_root>/<table>/<stamp>``.
+    Table names are ``schema.table`` as in the zone layout."""
+    from deidlake.operators.provision import decode_request, provision_all, write_provisioned
+
+    request = decode_request(query_base64, workspace_uuid)
+
+    def read(table: str) -> DataFrame:
+        df = ZoneTable(cfg.root, "gold", table).read_snapshot(spark)
+        if df is None:
+            raise KeyError(f"gold table {table} does not exist")
+        return df
+
+    return write_provisioned(provision_all(request, read), dest_root, stamp)
+
+
+def run_snapshot_distribution(spark: SparkSession, tables: dict[tuple[str, str], DataFrame], staging_root: str,
+                              destinations, stamp: str | None = None, single_file: bool = False) -> dict:
+    """Snapshot every (schema, table) to staging, then fan each one out to
+    ``latest/`` and ``archive/<stamp>/`` of every destination."""
+    from deidlake.operators.snapshot import fan_out, snapshot_database, snapshot_stamp
+
+    stamp = stamp or snapshot_stamp()
+    staged = snapshot_database(tables, staging_root, stamp, single_file=single_file)
+    return fan_out(spark, staged, destinations, stamp, single_file=single_file)

@@ -158,3 +158,28 @@ def test_monitoring_compat_names_and_text_removed_before_extraction(spark, root)
     gold = ZoneTable(root, "gold", SPEC.name).read_snapshot(spark)
     assert "NoteText" not in gold.columns and not any(c.endswith("_feature_extraction") for c in gold.columns)
     assert gold.count() == 2
+
+
+def test_provisioning_and_snapshot_jobs(spark, root, tmp_path):
+    import uuid as _uuid
+
+    from deidlake.operators.provision import TableRequest, encode_request
+
+    cfg = jobs.RunConfig(root=root, salt=TEST_HASH_SALT)
+    src = spark.createDataFrame(ROUND1, SCHEMA)
+    jobs.run_ingestion(spark, cfg, [SPEC], lambda s: src, 1)
+    jobs.run_deidentification(spark, cfg, [SPEC])
+    jobs.run_entity_extraction(spark, cfg, [SPEC])
+    req = encode_request({SPEC.name: TableRequest(("SequenceID", "DateAndTime"), "SequenceID > 1")})
+    dest = str(tmp_path / "workspace")
+    paths = jobs.run_provisioning(spark, cfg, req, str(_uuid.uuid4()), dest, stamp="2024-01-01-00-00-00")
+    got = spark.read.parquet(paths[SPEC.name])
+    assert got.columns == ["SequenceID", "DateAndTime"] and [r[0] for r in got.collect()] == [2]
+    assert paths[SPEC.name].endswith(f"{SPEC.name}/2024-01-01-00-00-00")
+
+    tables = {("dbo", "a"): spark.range(5).toDF("x"), ("dbo", "b"): spark.range(3).toDF("y")}
+    dests = [str(tmp_path / "d1"), str(tmp_path / "d2")]
+    written = jobs.run_snapshot_distribution(spark, tables, str(tmp_path / "stage"), dests, stamp="S1")
+    assert sorted(written) == ["dbo_a", "dbo_b"] and len(written["dbo_a"]) == 4
+    assert spark.read.parquet(f"{dests[1]}/latest/dbo_a").count() == 5
+    assert spark.read.parquet(f"{dests[0]}/archive/S1/dbo_b").count() == 3
