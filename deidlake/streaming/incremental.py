@@ -62,6 +62,12 @@ def run_available_now(spark: SparkSession, src: ZoneTable, checkpoint: str,
         .trigger(availableNow=True)
         .start()
     )
-    query.awaitTermination(timeout_s)
+    try:
+        finished = query.awaitTermination(timeout_s)
+    finally:
+        if query.isActive:
+            query.stop()  # timed out: do not leave a query running
     if query.exception() is not None:
         raise query.exception()
+    if finished is False:
+        raise TimeoutError(f"incremental run over {src.name} did not finish in {timeout_s}s")
