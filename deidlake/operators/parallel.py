@@ -34,3 +34,19 @@ def spread(df: DataFrame, keys=None, min_partitions: int | None = None) -> DataF
     if _has_exchange(df) or df.rdd.getNumPartitions() >= target:
         return df
     return df.repartition(target, *df.columns)
+
+
+def spread_by_size(df: DataFrame, bytes_per_partition: int = 8 << 20) -> DataFrame:
+    """For copies: split a narrow but large input (one big row group) into
+    about ``bytes_per_partition``-sized tasks, using the optimizer's size
+    estimate; small tables stay in few files, wide inputs are untouched."""
+    if _has_exchange(df):
+        return df
+    try:
+        size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    except Exception:  # noqa: BLE001 - no JVM plan access
+        return df
+    wanted = min(max(1, size // bytes_per_partition), max(df.sparkSession.sparkContext.defaultParallelism * 2, 1))
+    if df.rdd.getNumPartitions() >= wanted:
+        return df
+    return df.repartition(wanted, *df.columns)

@@ -13,6 +13,8 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
+from deidlake.operators.parallel import spread_by_size
+
 # Tables are written by concurrent Spark jobs (the scheduler interleaves
 # their tasks); this bounds how many are in flight.
 DEFAULT_PARALLEL_TABLES = 8
@@ -29,6 +31,8 @@ def staged_name(schema: str, table: str) -> str:
 def _write(df: DataFrame, path: str, mode: str, single_file: bool, max_records_per_file: int | None) -> None:
     if single_file:
         df = df.coalesce(1)
+    else:
+        df = spread_by_size(df)
     w = df.write.mode(mode)
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", max_records_per_file)
