@@ -15,7 +15,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from deidlake.constants import CHANGE_TYPE_COLUMN, DELETE, INSERT
+from deidlake.constants import CHANGE_TYPE_COLUMN, DELETE, FEATURE_EXTRACTION_SUFFIX, INSERT
 from deidlake.operators import changes as ch
 from deidlake.operators.deidentify import TextFn, deidentified_keys, deidentify, delete_layout
 from deidlake.operators.entities import extract_entities, nested_entities
@@ -36,6 +36,7 @@ class RunConfig:
     text_fn: TextFn | None = None       # pluggable detector (pandas UDF)
     max_chars: int | None = None        # optional truncation of free text
     extract_entities: bool = False
+    entity_fn: TextFn | None = None     # pluggable extractor -> array<array<string>> (pandas UDF)
     compat_monitoring_names: bool = False
     row_hash_mode: str = "rekey"        # or "compat": keep the raw-row MD5 in silver
     lexicon: DataFrame | None = field(default=None, repr=False)
@@ -135,6 +136,9 @@ def _gold_inserts(cfg: RunConfig, spec: TableSpec, keys):
         for col in spec.role_columns(ColumnRole.FREE_TEXT):
             if col not in df.columns:  # text removed upstream: nothing to extract
                 continue
+            if cfg.entity_fn is not None:
+                df = df.withColumn(col + FEATURE_EXTRACTION_SUFFIX, cfg.entity_fn(F.col(col)))
+                continue
             long = extract_entities(df, list(keys), col, cfg.lexicon)
             df = nested_entities(df, list(keys), col, long)
         return df

@@ -183,3 +183,16 @@ def test_provisioning_and_snapshot_jobs(spark, root, tmp_path):
     assert sorted(written) == ["dbo_a", "dbo_b"] and len(written["dbo_a"]) == 4
     assert spark.read.parquet(f"{dests[1]}/latest/dbo_a").count() == 5
     assert spark.read.parquet(f"{dests[0]}/archive/S1/dbo_b").count() == 3
+
+
+def test_injected_model_extractor(spark, root):
+    from deidlake.functions.udfs import entities_udf
+
+    def factory():  # pickled by value (defined inside the test)
+        return lambda t: [("CHEMICAL", w.strip(".")) for w in t.split() if w.strip(".").endswith("ole")]
+
+    cfg = jobs.RunConfig(root=root, salt=TEST_HASH_SALT, extract_entities=True, entity_fn=entities_udf(factory))
+    one_round(spark, cfg, ROUND1, 1)
+    gold = {r["SequenceID"]: r["NoteText_feature_extraction"]
+            for r in ZoneTable(root, "gold", SPEC.name).read_snapshot(spark).collect()}
+    assert gold == {1: [[], []], 2: [[], ["aripiprazole"]]}
