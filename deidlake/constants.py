@@ -1,6 +1,6 @@
 """Fixed values.
 
-These values must equal the ones the original pipelines use, otherwise
+These values must equal the ones the original jobs use, otherwise
 golden hashes, column names and entity labels would differ.  They are
 listed plainly and in their natural order.
 """

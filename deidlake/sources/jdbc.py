@@ -36,7 +36,7 @@ class JdbcSource:
 
 def partition_options(column: str, lower: int, upper: int, num_partitions: int) -> dict[str, str]:
     """Parallel read: ``num_partitions`` range queries over ``column``
-    (the original pipelines read every table through one connection)."""
+    (the original jobs read every table through one connection)."""
     if num_partitions < 1 or upper < lower:
         raise ValueError("invalid partition bounds")
     return {
