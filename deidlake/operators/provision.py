@@ -28,21 +28,21 @@ def decode_request(query_base64: str | None, workspace_uuid: str | None) -> dict
     """Validate and decode a request; ValueError names the failed rule
     (presence, UUID, base64, JSON, shape)."""
     if not query_base64:
-        raise ValueError("Parameter query_base64 needs to be set")
+        raise ValueError("query_base64 is required")
     if not workspace_uuid:
-        raise ValueError("Parameter workspace_uuid needs to be set")
+        raise ValueError("workspace_uuid is required")
     try:
         uuid.UUID(workspace_uuid)
     except ValueError as e:
-        raise ValueError("Parameter workspace_uuid is not a valid UUID") from e
+        raise ValueError(f"workspace_uuid {workspace_uuid!r} must be a UUID") from e
     try:
         text = base64.b64decode(query_base64, validate=True).decode("ascii")
     except (binascii.Error, UnicodeDecodeError, ValueError) as e:
-        raise ValueError("Parameter query_base64 is not a valid base64 value") from e
+        raise ValueError("query_base64 must be base64 of ASCII text") from e
     try:
         raw = json.loads(text)
     except json.JSONDecodeError as e:
-        raise ValueError("Parameter query_base64 is not a valid JSON value") from e
+        raise ValueError("the decoded request must be JSON") from e
     if not isinstance(raw, dict):
         raise ValueError("request must map table names to definitions")
     out = {}

@@ -91,7 +91,7 @@ def test_request_decoding_rules():
     ws = str(uuid.uuid4())
     assert decode_request(enc, ws) == req
     for bad_query, bad_ws, msg in [
-        (None, ws, "needs to be set"), (enc, None, "needs to be set"), (enc, "nope", "UUID"),
+        (None, ws, "is required"), (enc, None, "is required"), (enc, "nope", "UUID"),
         ("%%%", ws, "base64"), (base64.b64encode(b"{not json").decode(), ws, "JSON"),
     ]:
         with pytest.raises(ValueError, match=msg):
