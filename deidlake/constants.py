@@ -24,6 +24,18 @@ PII_ENTITIES = ("PERSON", "LOCATION", "DATE_TIME", "EMAIL_ADDRESS", "URL", "PHON
 FEATURE_EXTRACTION_LABELS = ("DISEASE", "CHEMICAL")
 # Minimum parallelism the original sized UDF work for (8 workers x 4 cores).
 MIN_TEXT_PARTITIONS = 8 * 4
+# Field names of the schema validation report.
+REPORT_UNCLASSIFIED_TABLES = "unclassified_tables"
+REPORT_MISSING_TABLES = "classified_but_unexisting_tables"
+REPORT_ANALYSED_TABLES = "analysed_tables"
+REPORT_UNCLASSIFIED_COLUMNS = "unclassified_columns"
+REPORT_MISSING_COLUMNS = "classified_but_unexisting_columns"
+# Column names of the monitoring log in compatibility mode (as the original
+# wrote them: the table name lands in "Row_Count", the count in "Value").
+MONITOR_COMPAT_COLUMNS = ("Row_Count", "Date_Time", "Value")
+# Time formats: monitoring timestamp, provisioning output folder.
+MONITOR_TIME_FORMAT = "%Y-%m-%dT%H:%M"
+PROVISION_FOLDER_FORMAT = "%Y-%m-%d-%H-%M-%S"
 # ---------------------------------------------------------------------------
 
 # Change-feed system columns (our own Parquet layout, always dropped by name).

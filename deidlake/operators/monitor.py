@@ -8,12 +8,14 @@ from functools import reduce
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from deidlake.constants import MONITOR_COMPAT_COLUMNS, MONITOR_TIME_FORMAT
+
 MONITOR_SCHEMA = "table_name string, logged_at string, row_count long"
-COMPAT_NAMES = {"table_name": "Row_Count", "logged_at": "Date_Time", "row_count": "Value"}
+COMPAT_NAMES = dict(zip(("table_name", "logged_at", "row_count"), MONITOR_COMPAT_COLUMNS))
 
 
 def now_minute() -> str:
-    return datetime.datetime.now(datetime.timezone.utc).strftime("%Y-%m-%dT%H:%M")
+    return datetime.datetime.now(datetime.timezone.utc).strftime(MONITOR_TIME_FORMAT)
 
 
 def row_counts(tables: dict[str, DataFrame]) -> DataFrame:

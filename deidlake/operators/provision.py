@@ -15,6 +15,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from deidlake.constants import PROVISION_FOLDER_FORMAT
+
 REQUEST_SCHEMA = "map<string, struct<columns: array<string>, where_statement: string>>"
 
 
@@ -79,7 +81,7 @@ def provision_all(request: dict[str, TableRequest], read: Callable[[str], DataFr
 
 
 def provision_timestamp(now: datetime.datetime | None = None) -> str:
-    return (now or datetime.datetime.now(datetime.timezone.utc)).strftime("%Y-%m-%d-%H-%M-%S")
+    return (now or datetime.datetime.now(datetime.timezone.utc)).strftime(PROVISION_FOLDER_FORMAT)
 
 
 def write_provisioned(frames: dict[str, DataFrame], dest_root: str, stamp: str | None = None) -> dict[str, str]:

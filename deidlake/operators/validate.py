@@ -13,10 +13,25 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from deidlake.constants import (
+    REPORT_ANALYSED_TABLES,
+    REPORT_MISSING_COLUMNS,
+    REPORT_MISSING_TABLES,
+    REPORT_UNCLASSIFIED_COLUMNS,
+    REPORT_UNCLASSIFIED_TABLES,
+)
+
+# drift kinds (rows of the drift frame)
 UNCLASSIFIED_TABLE = "unclassified_table"
 MISSING_TABLE = "classified_but_unexisting_table"
 UNCLASSIFIED_COLUMN = "unclassified_column"
 MISSING_COLUMN = "classified_but_unexisting_column"
+_REPORT_KEY = {
+    UNCLASSIFIED_TABLE: REPORT_UNCLASSIFIED_TABLES,
+    MISSING_TABLE: REPORT_MISSING_TABLES,
+    UNCLASSIFIED_COLUMN: REPORT_UNCLASSIFIED_COLUMNS,
+    MISSING_COLUMN: REPORT_MISSING_COLUMNS,
+}
 
 
 class SchemaValidationError(LookupError):
@@ -82,24 +97,23 @@ def drift_report(drift: DataFrame) -> dict:
     grouped = drift.groupBy("kind", "table_name").agg(
         F.sort_array(F.collect_set("column_name")).alias("columns")
     ).collect()
-    report = {UNCLASSIFIED_TABLE + "s": [], MISSING_TABLE + "s": [], "analysed_tables": {}}
+    report = {REPORT_UNCLASSIFIED_TABLES: [], REPORT_MISSING_TABLES: [], REPORT_ANALYSED_TABLES: {}}
     for r in grouped:
-        if r["kind"] == UNCLASSIFIED_TABLE:
-            report[UNCLASSIFIED_TABLE + "s"].append(r["table_name"])
-        elif r["kind"] == MISSING_TABLE:
-            report[MISSING_TABLE + "s"].append(r["table_name"])
+        key = _REPORT_KEY[r["kind"]]
+        if r["kind"] in (UNCLASSIFIED_TABLE, MISSING_TABLE):
+            report[key].append(r["table_name"])
         else:
-            t = report["analysed_tables"].setdefault(
-                r["table_name"], {UNCLASSIFIED_COLUMN + "s": [], MISSING_COLUMN + "s": []}
+            t = report[REPORT_ANALYSED_TABLES].setdefault(
+                r["table_name"], {REPORT_UNCLASSIFIED_COLUMNS: [], REPORT_MISSING_COLUMNS: []}
             )
-            t[r["kind"] + "s"] = list(r["columns"])
-    report[UNCLASSIFIED_TABLE + "s"].sort()
-    report[MISSING_TABLE + "s"].sort()
+            t[key] = list(r["columns"])
+    report[REPORT_UNCLASSIFIED_TABLES].sort()
+    report[REPORT_MISSING_TABLES].sort()
     return report
 
 
 def validate(live: DataFrame, declared: DataFrame) -> None:
     """Raise :class:`SchemaValidationError` with the report on any drift."""
     report = drift_report(schema_drift(live, declared))
-    if report[UNCLASSIFIED_TABLE + "s"] or report[MISSING_TABLE + "s"] or report["analysed_tables"]:
+    if any(report[k] for k in (REPORT_UNCLASSIFIED_TABLES, REPORT_MISSING_TABLES, REPORT_ANALYSED_TABLES)):
         raise SchemaValidationError(report)
