@@ -657,6 +657,7 @@ from functools import reduce  # noqa: E402
 
 from deidlake.operators.provision import provision  # noqa: E402
 from deidlake.operators.snapshot import fan_out, snapshot_database  # noqa: E402
+from deidlake.sources.parquet import list_tables as list_parquet_tables  # noqa: E402
 from deidlake.session import workspace_root  # noqa: E402
 
 PROVISION_COLUMNS = ("o_orderkey", "o_orderstatus", "o_totalprice", "o_orderdate")
@@ -684,7 +685,8 @@ DESTINATIONS = ("dest_a", "dest_b")
 
 def _snapshot(spark, sf_dir):
     root = workspace_root(spark) + "/snapshot-queries"
-    tables = {("dbo", name): d.table(spark, sf_dir, name) for name in TABLE_COLUMNS}
+    # whole-database listing (S4): every table found in the source folder
+    tables = {("dbo", name): d.table(spark, sf_dir, name) for name in list_parquet_tables(spark, sf_dir)}
     return root, snapshot_database(tables, root + "/staging", SNAPSHOT_STAMP)
 
 
