@@ -16,8 +16,8 @@ shuffled; compaction keeps the tail of changes short.
 
 Batch N is committed when ``_commits/N.json`` (schema, key columns, whether
 it holds a base) exists; it is written after the data, so readers never see a
-half-written batch, and a failed batch is simply rewritten (dynamic partition
-overwrite replaces only batch N).  One writer per table.
+half-written batch, and a failed batch is simply rewritten: its leftover
+folder is removed, then its partitions are appended.  One writer per table.
 """
 
 from __future__ import annotations
@@ -50,12 +50,13 @@ def zone_path(root: str, zone: str, table: str) -> str:
     return f"{root.rstrip('/')}/{zone}/{table}"
 
 
-def _dynamic_overwrite(df: DataFrame, path: str) -> None:
-    """Replace only the partitions present in ``df``.  The per-write option
-    is used, not the session conf: writes inside ``foreachBatch`` run on a
-    cloned session whose conf would still say STATIC (= wipe the table)."""
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(BATCH_ID_COLUMN, SIDE).parquet(path))
+def _append_partitions(df: DataFrame, path: str) -> None:
+    """Add the (batch, side) partitions of ``df`` to the table.  Callers
+    first remove any leftover of the same partitions, so appending is the
+    same as replacing them -- without staging-and-rename commit work, and
+    without depending on a session's overwrite mode (writes inside
+    ``foreachBatch`` run on a cloned session)."""
+    df.write.mode("append").partitionBy(BATCH_ID_COLUMN, SIDE).parquet(path)
 
 
 @dataclass(frozen=True)
@@ -171,13 +172,13 @@ class ZoneTable:
         if missing:
             raise ValueError(f"key columns {missing} missing from {self.name}")
         out = changes.where(F.col(SIDE).isin(INSERT, DELETE)).withColumn(BATCH_ID_COLUMN, F.lit(batch).cast("long"))
-        # leftovers of a crashed, uncommitted attempt at this batch: a dynamic
-        # overwrite would only replace the partitions written this time
+        # leftovers of a crashed, uncommitted attempt at this batch are removed
+        # first, so appending its partitions replaces them
         fs, leftover = _fs(spark, f"{self.path}/{BATCH_ID_COLUMN}={batch}")
         if fs.exists(leftover):
             fs.delete(leftover, True)
         first = not self.committed(spark)
-        _dynamic_overwrite(out, self.path)
+        _append_partitions(out, self.path)
         # a first load holds one insert per key: those rows are the snapshot
         self._commit(spark, batch, {"batch_id": batch, "schema": json.loads(data.schema.json()),
                                     "keys": list(keys), "base": "inserts" if first else False})
@@ -193,7 +194,11 @@ class ZoneTable:
             return batch
         snap = self.read_snapshot(spark, batch)
         out = snap.withColumn(BATCH_ID_COLUMN, F.lit(batch).cast("long")).withColumn(SIDE, F.lit(BASE))
-        _dynamic_overwrite(out, self.path)
+        # a failed earlier compaction may have left base files: drop them
+        fs, leftover = _fs(spark, f"{self.path}/{BATCH_ID_COLUMN}={batch}/{SIDE}={BASE}")
+        if fs.exists(leftover):
+            fs.delete(leftover, True)
+        _append_partitions(out, self.path)
         self._commit(spark, batch, dict(marker, base=True), replace=True)
         return batch
 
