@@ -10,7 +10,7 @@ the join never runs twice.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from deidlake.constants import CHANGE_TYPE_COLUMN, DELETE, INSERT, ROW_HASH_COLUMN
@@ -52,9 +52,15 @@ def merge_tagged(
     mode: UpdateMode = UpdateMode.APPEND_AND_REMOVE,
     null_safe: bool = True,
     hash_mode: str = "compat",
+    observation: Observation | None = None,
 ) -> DataFrame:
     """Tag every row of the merge result (see module doc).
 
+    ``observation`` receives ``row_count``, the number of source rows before
+    de-duplication: summed from per-key counts right after the final
+    aggregate, i.e. in the stage that also writes the result, where Spark
+    applies each partition's update once even when tasks are retried.
+
     * APPEND_AND_REMOVE: source-only keys inserted, target-only keys deleted,
       matched keys keep the target row unchanged.
     * FULL_UPDATE: same, keyed on the row hash (a changed row is delete old
@@ -72,11 +78,10 @@ def merge_tagged(
     if not keys:
         raise ValueError("merge needs key columns")
     cols = source.columns
-    if target is None:
-        return dedupe_on_key(source, keys).withColumn(SIDE, F.lit(INSERT))
-    missing = [c for c in cols if c not in target.columns]
-    if missing:
-        raise ValueError(f"target lacks source columns {missing}")
+    if target is not None:
+        missing = [c for c in cols if c not in target.columns]
+        if missing:
+            raise ValueError(f"target lacks source columns {missing}")
     names = key_names(keys) if null_safe else [f"_k{i}" for i in range(len(keys))]
 
     def keyed(df):
@@ -85,8 +90,13 @@ def merge_tagged(
     # de-duplicate the source grouped by the SAME key columns the join uses:
     # one shuffle of the source serves both (partial aggregation first)
     s = source.select(*keyed(source), F.struct(*cols).alias("_row")).groupBy(*names).agg(
-        F.min("_row").alias("_s")
+        F.min("_row").alias("_s"), F.count(F.lit(1)).alias("_n")
     )
+    if observation is not None:
+        s = s.observe(observation, F.coalesce(F.sum("_n"), F.lit(0)).alias("row_count"))
+    if target is None:
+        return s.select(*[F.col("_s." + c).alias(c) for c in cols]).withColumn(SIDE, F.lit(INSERT))
+    s = s.drop("_n")
     t = target.select(*keyed(target), F.struct(*cols).alias("_t"))
     joined = t.join(s, names, "full_outer")
 

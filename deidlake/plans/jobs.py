@@ -12,7 +12,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from deidlake.constants import CHANGE_TYPE_COLUMN, DELETE, FEATURE_EXTRACTION_SUFFIX, INSERT
@@ -20,7 +20,7 @@ from deidlake.operators import changes as ch
 from deidlake.operators.deidentify import TextFn, deidentified_keys, deidentify, delete_layout
 from deidlake.operators.entities import extract_entities, nested_entities
 from deidlake.operators.merge import merge_tagged
-from deidlake.operators.monitor import append_monitoring, counted, monitoring_rows
+from deidlake.operators.monitor import append_monitoring, monitoring_rows
 from deidlake.operators.validate import validate
 from deidlake.sources.zones import SIDE, ZoneTable
 from deidlake.spec import ColumnRole, TableSpec, spec_df
@@ -47,30 +47,32 @@ class RunConfig:
 
 # ------------------------------------------------------------------ ingestion
 
-def ingest_table(spark: SparkSession, cfg: RunConfig, spec: TableSpec, source: DataFrame, batch: int) -> None:
+def ingest_table(spark: SparkSession, cfg: RunConfig, spec: TableSpec, source: DataFrame, batch: int) -> int:
+    """Merge ``source`` into bronze as batch ``batch``; returns the number of
+    source rows (observed while writing -- the source is read once)."""
     bronze = cfg.table("bronze", spec)
     target = bronze.read_snapshot(spark)
     src = source.select(*spec.imported_columns)
-    tagged = merge_tagged(target, src, spec.keys, spec.update_mode)
+    obs = Observation(f"rows_{spec.short_name}_{batch}")
+    tagged = merge_tagged(target, src, spec.keys, spec.update_mode, observation=obs)
     # only the change rows are written (merge-on-read layout)
     bronze.write_batch(spark, tagged, batch, spec.merge_keys)
+    return int(obs.get.get("row_count", 0) or 0)
 
 
 def run_ingestion(spark: SparkSession, cfg: RunConfig, specs, read_source: SourceReader, batch: int,
                   live_catalog: DataFrame | None = None) -> DataFrame:
     """Validate the live catalog (if given), merge every imported table into
     bronze as batch ``batch`` and append (table, time, row count) rows to the
-    monitoring zone.  Counts come from an Observation on the write: the
-    source is read once."""
+    monitoring zone.  Counts are observed inside the merge while writing
+    (the source is read once; exact under task retries)."""
     if live_catalog is not None:
         validate(live_catalog, spec_df(spark, specs))
     counts = []
     for spec in specs:
         if not spec.is_imported:
             continue
-        src, obs = counted(read_source(spec), spec.short_name)
-        ingest_table(spark, cfg, spec, src, batch)
-        counts.append((spec.name, obs.get.get("row_count", 0)))
+        counts.append((spec.name, ingest_table(spark, cfg, spec, read_source(spec), batch)))
     rows = monitoring_rows(spark, counts, compat_names=cfg.compat_monitoring_names)
     append_monitoring(rows, f"{cfg.root.rstrip('/')}/monitoring/UpsertLogs")
     return rows
