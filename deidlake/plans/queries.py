@@ -683,8 +683,10 @@ SNAPSHOT_STAMP = "query-run"
 DESTINATIONS = ("dest_a", "dest_b")
 
 
-def _snapshot(spark, sf_dir):
-    root = workspace_root(spark) + "/snapshot-queries"
+def _snapshot(spark, sf_dir, query: str):
+    # one scratch folder per query: queries run concurrently never share it,
+    # and a rerun overwrites its own output (bounded disk use)
+    root = f"{workspace_root(spark)}/snapshot-queries/{query}"
     # whole-database listing (S4): every table found in the source folder
     tables = {("dbo", name): d.table(spark, sf_dir, name) for name in list_parquet_tables(spark, sf_dir)}
     return root, snapshot_database(tables, root + "/staging", SNAPSHOT_STAMP)
@@ -707,12 +709,12 @@ def _counts_sql(extra: str = "") -> str:
 
 @register("db_snapshot", _counts_sql())
 def q_db_snapshot(spark, sf_dir):
-    _, staged = _snapshot(spark, sf_dir)
+    _, staged = _snapshot(spark, sf_dir, "db_snapshot")
     return _counts(spark, staged)
 
 
 def _fanned(spark, sf_dir, kind: str):
-    root, staged = _snapshot(spark, sf_dir)
+    root, staged = _snapshot(spark, sf_dir, f"snapshot_{kind}")
     dests = [f"{root}/{x}" for x in DESTINATIONS]
     fan_out(spark, staged, dests, SNAPSHOT_STAMP, kinds=(kind,))
     parts = []
