@@ -196,3 +196,21 @@ def test_injected_model_extractor(spark, root):
     gold = {r["SequenceID"]: r["NoteText_feature_extraction"]
             for r in ZoneTable(root, "gold", SPEC.name).read_snapshot(spark).collect()}
     assert gold == {1: [[], []], 2: [[], ["aripiprazole"]]}
+
+
+def test_ingestion_validates_live_catalog_first(spark, root):
+    import pytest
+
+    from deidlake.operators.validate import SchemaValidationError
+
+    cfg = jobs.RunConfig(root=root, salt=TEST_HASH_SALT)
+    src = spark.createDataFrame(ROUND1, SCHEMA)
+    live = spark.createDataFrame([(SPEC.name, c) for c in SPEC.columns] + [(SPEC.name, "Extra")],
+                                 "table_name string, column_name string")
+    with pytest.raises(SchemaValidationError) as e:
+        jobs.run_ingestion(spark, cfg, [SPEC], lambda s: src, 1, live_catalog=live)
+    assert e.value.report["analysed_tables"][SPEC.name]["unclassified_columns"] == ["Extra"]
+    assert ZoneTable(root, "bronze", SPEC.name).latest(spark) is None  # nothing was ingested
+    ok = live.where("column_name <> 'Extra'")
+    jobs.run_ingestion(spark, cfg, [SPEC], lambda s: src, 1, live_catalog=ok)
+    assert ZoneTable(root, "bronze", SPEC.name).read_snapshot(spark).count() == 2
