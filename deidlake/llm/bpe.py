@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from deidlake.llm.common import pieces, rolling, utf8
+from deidlake.llm.common import binary_array, pieces, rolling, small_batches, utf8
 
 # ------------------------------------------------------- code point classes
 #: Classes of single code points.
@@ -192,7 +192,7 @@ class PairMerger(dict):
     """piece (str) -> ids; merges the pair of lowest rank, leftmost first.
     Short pieces are remembered, at most ``limit`` of them."""
 
-    def __init__(self, ranks: dict[bytes, int], limit: int = 300_000, longest: int = 64):
+    def __init__(self, ranks: dict[bytes, int], limit: int = 150_000, longest: int = 64):
         super().__init__()
         self.ranks, self.limit, self.longest = ranks, limit, longest
 
@@ -353,16 +353,20 @@ def _with(df: DataFrame, added: list[T.StructField]) -> tuple[list[str], T.Struc
     return [f.name for f in kept], T.StructType([*kept, *added])
 
 
-def encode(df: DataFrame, ranks_path: str, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
+def encode(df: DataFrame, ranks_path: str, text_col: str = "text", keep: list[str] | None = None,
+           decoded: bool = False) -> DataFrame:
     """Add ``ids`` (array of int) and ``piece_ids`` (number of ids of each
     piece, in order: with the ids these are the offsets that let any range of
     pieces be decoded alone).  ``keep`` names the input columns that stay
-    (default: all)."""
+    (default: all).  ``decoded`` adds what ``decode`` makes of the ids, in
+    the same task."""
     ints = T.ArrayType(T.IntegerType(), False)
     shared = _share(df, ranks_path)
+    small_batches(df.sparkSession)
     text = F.col(f"`{text_col}`").cast("string").alias("__text")
     rest = df.select(*[f"`{c}`" for c in (df.columns if keep is None else keep)])
-    kept, schema = _with(rest, [T.StructField("ids", ints, False), T.StructField("piece_ids", ints, False)])
+    kept, schema = _with(rest, [T.StructField("ids", ints, False), T.StructField("piece_ids", ints, False),
+                               *[T.StructField("decoded", T.BinaryType(), False)] * decoded])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(shared)
@@ -371,8 +375,10 @@ def encode(df: DataFrame, ranks_path: str, text_col: str = "text", keep: list[st
             for i, j in pieces(offsets):
                 part = batch.slice(i, j - i)
                 ids, at, counts, by_text = codec.encode([x or "" for x in part.column("__text").to_pylist()])
-                columns = [part.column(c) for c in kept]
-                yield pa.RecordBatch.from_arrays([*columns, _lists(ids, at), _lists(counts, by_text)], schema.names)
+                columns = [*(part.column(c) for c in kept), _lists(ids, at), _lists(counts, by_text)]
+                if decoded:
+                    columns.append(binary_array(*codec.decode(ids.astype(np.int64), at)))
+                yield pa.RecordBatch.from_arrays(columns, schema.names)
 
     names = [f"`{c}`" for c in kept]
     return df.select(*names, text).mapInArrow(run, schema)
@@ -392,10 +398,8 @@ def decode(df: DataFrame, ranks_path: str, ids_col: str = "ids") -> DataFrame:
                 part = batch.slice(i, j - i)
                 lists = part.column(ids_col)
                 at = np.concatenate([[0], np.cumsum(np.asarray(lists.value_lengths().fill_null(0), np.int64))])
-                data, bounds = codec.decode(np.asarray(lists.flatten(), np.int64), at)
-                out = pa.Array.from_buffers(pa.large_binary(), len(lists), [
-                    None, pa.py_buffer(np.ascontiguousarray(bounds, np.int64)), pa.py_buffer(data)])
-                yield pa.RecordBatch.from_arrays([*[part.column(c) for c in kept], out.cast(pa.binary())], schema.names)
+                out = binary_array(*codec.decode(np.asarray(lists.flatten(), np.int64), at))
+                yield pa.RecordBatch.from_arrays([*[part.column(c) for c in kept], out], schema.names)
 
     return df.mapInArrow(run, schema)
 
@@ -404,7 +408,7 @@ def digests(df: DataFrame, ranks_path: str, id_col: str = "doc_id", text_col: st
     """Encode, decode, and return (doc_id, n_tokens, ids_sha256,
     decoded_sha256) for each document."""
     source = df.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
-    coded = decode(encode(source, ranks_path, "text", ["doc_id"]), ranks_path)
+    coded = encode(source, ranks_path, "text", ["doc_id"], decoded=True)
     return coded.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")).cast("binary"), 256).alias("ids_sha256"),

@@ -21,7 +21,11 @@ from deidlake.session import workspace_root
 WORD = r"[^\x20\x09-\x0D]+"
 GAP = r"[\x20\x09-\x0D]+"
 #: NumPy temporaries are made for at most about this many text bytes at once.
-PIECE_BYTES = 2 << 20
+PIECE_BYTES = 500_000
+#: Powers of a hash's base are kept between calls up to this many.
+KEPT_POWERS = 1 << 19
+#: Rows of an Arrow batch: long texts make large batches.
+BATCH_ROWS = 1000
 NO_ID = np.iinfo(np.int64).min
 
 _IS_GAP = np.zeros(256, bool)
@@ -41,6 +45,13 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Let Python workers get batches of at most ``BATCH_ROWS`` texts."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, BATCH_ROWS)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -126,11 +137,11 @@ def _powers(n: int, base: int) -> tuple[np.ndarray, np.ndarray]:
     """base**i and base**-i modulo 2**64 for i < n, kept between calls."""
     have = _POWERS.get(base)
     if have is None or len(have[0]) < n:
-        size = 1 << max(16, (n - 1).bit_length())
+        size = KEPT_POWERS if n <= KEPT_POWERS else n
         up, down = np.full(size, base, np.uint64), np.full(size, pow(base, -1, 1 << 64), np.uint64)
         up[0] = down[0] = 1
         have = (np.cumprod(up, dtype=np.uint64), np.cumprod(down, dtype=np.uint64))
-        if size <= 4 * PIECE_BYTES:
+        if size <= KEPT_POWERS:
             _POWERS[base] = have
     return have[0][:n], have[1][:n]
 

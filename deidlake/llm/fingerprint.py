@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from deidlake.llm.common import NO_ID, mix64, partitions, pieces, rolling, utf8, word_hashes, word_spans
+from deidlake.llm.common import NO_ID, mix64, small_batches, partitions, pieces, rolling, utf8, word_hashes, word_spans
 
 EXACT, SKETCH = 8, 96
 SHINGLE = 3
@@ -152,6 +152,7 @@ def with_next(docs: DataFrame, id_col: str, text_col: str, run) -> DataFrame:
     source = docs.select(
         F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(NO_ID)).alias("id"),
         F.col(f"`{id_col}`").isNull().alias("none"), F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"))
+    small_batches(spark)
     n = partitions(spark)
     bounds = _bounds(source.select("id"), 4 * n)
     ascending = np.array(bounds[::-1], np.int64)

@@ -39,7 +39,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from deidlake.llm.common import lower_ascii, partitions, pieces, scratch, stored, utf8, word_spans
+from deidlake.llm.common import lower_ascii, small_batches, partitions, pieces, scratch, stored, utf8, word_spans
 
 BITS = 64
 SHINGLE = 4
@@ -243,6 +243,7 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                radius: int = RADIUS) -> DataFrame:
     """(id, tie, fp, root, component_id) of every row; ``root`` names the
     component, ``tie`` is a hash of the text."""
+    small_batches(docs.sparkSession)
     prints = stored(with_fingerprint(docs, id_col, text_col, shingle), "fingerprints")
     distinct = prints.groupBy("fp").agg(F.min("id").alias("least"))
     roots = connected(links(distinct.select("fp"), radius))

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from deidlake.llm.common import (
-    NO_ID, binary_array, partitions, pieces, rolling, text_bytes, utf8, word_hashes, word_spans,
+    NO_ID, binary_array, small_batches, partitions, pieces, rolling, text_bytes, utf8, word_hashes, word_spans,
 )
 
 Key = tuple[pa.Scalar, ...]
@@ -268,6 +268,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     The number of chunks follows the bytes of text (one scan); it is at
     least the number of shuffle partitions."""
     spark = docs.sparkSession
+    small_batches(spark)
     n = max(partitions(spark), -(-text_bytes(docs, text_col) // CHUNK_BYTES))
     bits = (n - 1).bit_length()
     source = docs.select(
