@@ -16,7 +16,7 @@ no estimate and is left alone.
 
 Shape of the job: one scan writes the spans and contexts (without the text)
 to the shared folder.  A second scan counts the documents of the candidate
-terms; candidates are told by a bit array of fixed size, and each batch sends
+terms; candidates are told by a bit array of fixed size, and each task sends
 a count per term instead of a row per word.  Spans are joined by id and text
 hash, so the query never shuffles the text; only ``sanitise`` does.
 
@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from deidlake.llm.common import PUNCTUATION, lower_ascii, mix64, pieces, stored, utf8, word_hashes, word_spans
+from deidlake.llm.common import PUNCTUATION, lower_ascii, mix64, pieces, small_batches, stored, utf8, word_hashes, word_spans
 
 #: Kinds in the order of results.
 KINDS = ("email", "ip", "card", "phone", "term")
@@ -47,6 +47,8 @@ GENERALISE, REMOVE = 0.8, 0.95
 SHORTEST_TERM = 3
 #: Bits of the array that tells candidate terms (512 KB).
 FILTER_BITS = 22
+#: Counts a task sums up before it sends them.
+HELD_TERMS = 500_000
 
 # ----------------------------------------------------------------- patterns
 # The data contract's patterns, written so that they take linear time.
@@ -206,6 +208,12 @@ def _document_counts(docs: DataFrame, text_col: str, candidates: DataFrame) -> D
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.unpackbits(shared.value).view(bool)
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def summed() -> tuple[np.ndarray, np.ndarray]:
+            values, which = np.unique(np.concatenate([v for v, _ in held]), return_inverse=True)
+            return values, np.bincount(which, np.concatenate([n for _, n in held])).astype(np.int64)
+
         for batch in batches:
             data, offsets = utf8(batch.column("text"))
             for i, j in pieces(offsets):
@@ -216,8 +224,13 @@ def _document_counts(docs: DataFrame, text_col: str, candidates: DataFrame) -> D
                 wanted = bits[_slots(term)]
                 term, doc = term[wanted], doc[wanted]
                 _, once = np.unique(mix64(term.view(np.uint64)) + doc.astype(np.uint64), return_index=True)
-                values, counts = np.unique(term[once], return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(values), pa.array(counts)], ["term", "n"])
+                held.append(np.unique(term[once], return_counts=True))
+                if sum(len(v) for v, _ in held) > HELD_TERMS:
+                    held = [summed()]
+                    if len(held[0][0]) > HELD_TERMS // 2:  # too many terms to keep for the whole task
+                        yield pa.RecordBatch.from_arrays([pa.array(x) for x in held.pop()], ["term", "n"])
+        if held:
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in summed()], ["term", "n"])
 
     rows = docs.select(F.col(f"`{text_col}`").cast("string").alias("text")).mapInArrow(run, "term long, n long")
     return rows.groupBy("term").agg(F.sum("n").alias("n_term"))
@@ -241,6 +254,7 @@ def disclosures(docs: DataFrame, found: DataFrame, text_col: str = "text") -> Da
 def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, tie, spans) of every row; ``spans`` are (kind, start, end,
     action) by kind and start, ``tie`` is the hash of the text."""
+    small_batches(docs.sparkSession)
     found = stored(_scan(docs, id_col, text_col), "pii-spans")
     risky = disclosures(docs, found, text_col).where(F.col("disclosure") >= GENERALISE)
     near = found.select("id", "tie", F.explode("context").alias("c")).select("id", "tie", "c.*")
