@@ -31,7 +31,7 @@ from deidlake.llm.common import words
 WEIGHTS = (5, 2, 1)
 MOST_COPIES = 3
 #: Documents of a group (on average).
-GROUP_ROWS = 20_000
+GROUP_ROWS = 2_000
 OUTPUTS = ("size", "source_size", "target", "copies", "taken")
 
 
