@@ -219,4 +219,3 @@ def patterns_for(entities) -> tuple[Pattern, ...]:
 
 # Word tokenizer shared by entity extraction (Spark) and its SQL oracle.
 TOKEN_SPLIT = r"[^\p{L}\p{N}]+"
-MAX_TERM_WORDS = 4

@@ -8,6 +8,7 @@ batches of texts arrive as pandas Series (Iterator UDF), never row by row.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -27,7 +28,7 @@ def _model(key: str, factory: Callable[[], object]):
 
 def text_udf(factory: Callable[[], Callable[[str], str | None]], key: str | None = None) -> Callable[[Column], Column]:
     """``factory()`` -> ``fn(text) -> redacted text``; falsy text -> NULL."""
-    cache_key = key or f"{factory.__module__}.{getattr(factory, '__qualname__', repr(factory))}"
+    cache_key = key or uuid.uuid4().hex  # each call has a model of its own unless a key says otherwise
 
     @F.pandas_udf("string")
     def _redact(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -44,7 +45,7 @@ def entities_udf(factory: Callable[[], Callable[[str], list[tuple[str, str]]]],
     document order.  Output: one list per label in ``labels`` order; labels
     outside ``labels`` are ignored; falsy text -> one empty list per label."""
     labels = tuple(labels)
-    cache_key = key or f"{factory.__module__}.{getattr(factory, '__qualname__', repr(factory))}"
+    cache_key = key or uuid.uuid4().hex  # each call has a model of its own unless a key says otherwise
 
     def per_text(fn, t):
         out = {lab: [] for lab in labels}

@@ -2,13 +2,15 @@
 
 Plan (all JVM-side, no Python worker):
 
-1. tokenize each text into words (``split`` on non-letter/digit runs);
-2. one row per word position with the next ``max_words-1`` words
-   (``inline`` of a per-row array -- no copy of the token array per row);
-3. semi-join the position rows with the lexicon's first words (broadcast
-   when the lexicon is small, checked; shuffle join otherwise) -> candidate
-   positions only;
-4. build 1..max_words-grams at candidates and equi-join with the lexicon;
+1. group the texts by ids (null-safe) and text, with the number of rows, so
+   that copies of a row are searched once and texts with a repeated id stay
+   apart;
+2. tokenize each text into words (``split`` on non-letter/digit runs);
+3. one row per word position with the following words, as many as the
+   longest term of the lexicon has (one number read from the lexicon);
+4. semi-join the position rows with the lexicon's first words, then equi-join
+   the n-grams at these positions with the terms; Catalyst and AQE choose the
+   join by the lexicon's measured size;
 5. per text, resolve overlaps like ``filter_spans``: longest first, then
    earliest; accept a span if none of its words is taken (a fold over the
    text's own candidates, bounded by the text's length).
@@ -19,33 +21,20 @@ Outputs: long form (ids, label, pos, text) and the nested form
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from deidlake.constants import FEATURE_EXTRACTION_LABELS, FEATURE_EXTRACTION_SUFFIX
-from deidlake.functions.patterns import ENTITY_LEXICON, MAX_TERM_WORDS, TOKEN_SPLIT
-from deidlake.operators.parallel import spread
+from deidlake.functions.patterns import ENTITY_LEXICON, TOKEN_SPLIT
 
-# Lexicons up to this many terms are broadcast (a term is a short string).
-BROADCAST_TERMS = 200_000
-# Up to this many distinct first words, candidate positions are picked
-# inside each token array (no row per word); above it, a semi-join does it.
-INLINE_FIRST_WORDS = 512
+TEXT_KEY = "_text_key"
 
 
-def first_words(lexicon: DataFrame, limit: int = INLINE_FIRST_WORDS) -> list[str] | None:
-    """The lexicon's distinct first words if there are at most ``limit``
-    (checked with ``limit + 1`` rows), else None."""
-    rows = lexicon.select("first_word").distinct().limit(limit + 1).collect()
-    return None if len(rows) > limit else sorted(r[0] for r in rows)
-
-
-def lexicon_df(spark: SparkSession, entries=ENTITY_LEXICON) -> DataFrame:
-    """(term, label, n_words, first_word) with terms normalised like texts:
-    lower case, words separated by single spaces."""
-    df = spark.createDataFrame(list(entries), "term string, label string")
+def normalised(terms: DataFrame) -> DataFrame:
+    """(term, label, n_words, first_word) of (term, label), the terms
+    normalised like texts: lower case, words separated by single spaces."""
     words = F.filter(F.split(F.lower("term"), TOKEN_SPLIT), lambda w: w != "")
-    return df.select(
+    return terms.select(
         F.array_join(words, " ").alias("term"),
         "label",
         F.size(words).alias("n_words"),
@@ -53,37 +42,31 @@ def lexicon_df(spark: SparkSession, entries=ENTITY_LEXICON) -> DataFrame:
     ).where(F.col("n_words") > 0).dropDuplicates(["term", "label"])
 
 
-def _maybe_broadcast(lexicon: DataFrame, n_terms: int | None) -> DataFrame:
-    return F.broadcast(lexicon) if n_terms is not None and n_terms <= BROADCAST_TERMS else lexicon
+def lexicon_df(spark: SparkSession, entries=ENTITY_LEXICON) -> DataFrame:
+    """``normalised`` of a list of (term, label)."""
+    return normalised(spark.createDataFrame(list(entries), "term string, label string"))
+
 
+def longest_term(lexicon: DataFrame) -> int:
+    """Words of the longest term (0 for an empty lexicon)."""
+    return lexicon.agg(F.max("n_words").alias("n")).first()["n"] or 0
 
-def entity_candidates(df: DataFrame, id_columns, column: str, lexicon: DataFrame,
-                      max_words: int = MAX_TERM_WORDS, lexicon_size: int | None = None,
-                      firsts: list[str] | None = None) -> DataFrame:
-    """All lexicon hits: ids, label, pos (word index), n (words), text.
 
-    ``firsts`` (small list of first words) selects candidate positions
-    inside each row; without it every word position becomes a row that is
-    semi-joined with the lexicon's first words."""
+def entity_candidates(texts: DataFrame, id_columns, lexicon: DataFrame, max_words: int) -> DataFrame:
+    """All lexicon hits in ``texts`` (ids, _text): ids, label, pos (word
+    index), n (words), text."""
     ids = list(id_columns)
-    # spread the raw text (smaller than its token array), then tokenize
-    text = spread(df.select(*ids, F.col(column).alias("_text")).where(F.col("_text").isNotNull()), ids)
-    base = text.select(*ids, F.split("_text", TOKEN_SPLIT).alias("_tok"))
-    # one row per word position with the next max_words-1 words, built with
-    # native array functions (arrays_zip of shifted slices; no per-element
-    # lambda, no copy of the token array per row)
+    base = texts.select(*ids, F.split("_text", TOKEN_SPLIT).alias("_tok"))
+    # native array functions: arrays_zip of shifted slices, no per-element lambda
     n = F.size("_tok")
-    shifted = [F.slice("_tok", k + 1, n).alias(f"t{k}") for k in range(max_words)]
+    shifted = [F.slice("_tok", k + 1, n).alias(f"t{k}") for k in range(max(max_words, 1))]
     zipped = F.arrays_zip(F.sequence(F.lit(0), n - 1).alias("pos"), *shifted)
     positions = base.select(*ids, F.inline(zipped)).where(F.col("t0") != "")
-    if firsts is not None:
-        cands = positions.where(F.lower("t0").isin(firsts)) if firsts else positions.limit(0)
-    else:
-        first = lexicon.select(F.col("first_word").alias("_w")).distinct()
-        cands = positions.join(_maybe_broadcast(first, lexicon_size), F.lower(F.col("t0")) == F.col("_w"), "left_semi")
+    first = lexicon.select(F.col("first_word").alias("_w")).distinct()
+    cands = positions.join(first, F.lower(F.col("t0")) == F.col("_w"), "left_semi")
 
     grams = []
-    for n in range(1, max_words + 1):
+    for n in range(1, max(max_words, 1) + 1):
         words = [F.col(f"t{k}") for k in range(n)]
         grams.append(F.struct(F.lit(n).alias("n"), F.concat_ws(" ", *words).alias("text"),
                               F.size(F.array_compact(F.array(*words))).alias("have")))
@@ -92,8 +75,7 @@ def entity_candidates(df: DataFrame, id_columns, column: str, lexicon: DataFrame
     ).select(*ids, "pos", F.col("g.n").alias("n"), F.col("g.text").alias("text"))
     lex = lexicon.select(F.col("term").alias("_term"), "label", F.col("n_words").alias("_nw"))
     return exploded.join(
-        _maybe_broadcast(lex, lexicon_size),
-        (F.lower(F.col("text")) == F.col("_term")) & (F.col("n") == F.col("_nw")),
+        lex, (F.lower(F.col("text")) == F.col("_term")) & (F.col("n") == F.col("_nw")),
     ).select(*ids, "label", "pos", "n", "text")
 
 
@@ -115,20 +97,28 @@ def resolve_overlaps(cands: DataFrame, id_columns) -> DataFrame:
     return kept.select(*ids, F.inline("_k")).select(*ids, "label", "pos", "n", "text")
 
 
+def text_key(column: str) -> Column:
+    """Tells texts with equal ids apart."""
+    return F.md5(F.col(column).cast("binary"))
+
+
 def extract_entities(df: DataFrame, id_columns, column: str, lexicon: DataFrame | None = None,
-                     max_words: int = MAX_TERM_WORDS) -> DataFrame:
-    """Long form: one row per accepted entity (ids, label, pos, text)."""
-    spark = df.sparkSession
-    entries = None
-    if lexicon is None:
-        lexicon, entries = lexicon_df(spark), len(ENTITY_LEXICON)
-        firsts = sorted({t.split(" ")[0] for t, _ in ENTITY_LEXICON})
-    else:
-        # size checks before broadcasting / inlining a caller-supplied lexicon
-        entries = lexicon.limit(BROADCAST_TERMS + 1).count()
-        firsts = first_words(lexicon)
-    cands = entity_candidates(df, id_columns, column, lexicon, max_words, entries, firsts)
-    return resolve_overlaps(cands, id_columns).select(*id_columns, "label", "pos", "text")
+                     by_text: bool = False) -> DataFrame:
+    """Long form: one row per accepted entity (ids, label, pos, text).
+
+    Entities of equal rows are found once and repeated as often as the row;
+    with ``by_text`` they aren't repeated, and ``TEXT_KEY`` is added, as
+    ``nested_entities`` takes them."""
+    ids = list(id_columns)
+    lexicon = lexicon_df(df.sparkSession) if lexicon is None else lexicon
+    texts = df.where(F.col(column).isNotNull()).groupBy(*ids, text_key(column).alias(TEXT_KEY)).agg(
+        F.first(column).alias("_text"), F.count(F.lit(1)).alias("_n"))
+    keys = [*ids, TEXT_KEY, "_n"]
+    found = resolve_overlaps(entity_candidates(texts, keys, lexicon, longest_term(lexicon)), keys)
+    if by_text:
+        return found.select(*ids, TEXT_KEY, "label", "pos", "text")
+    each = found.withColumn("_k", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_n"))))
+    return each.select(*ids, "label", "pos", "text")
 
 
 def _has_label(label: str):
@@ -142,13 +132,18 @@ def nested_entities(df: DataFrame, id_columns, column: str, long: DataFrame,
     ``labels`` order) of entity texts in document order; rows without
     entities (also NULL/empty text) get one empty list per label."""
     ids = list(id_columns)
-    per = long.groupBy(*ids).agg(F.sort_array(F.collect_list(F.struct("pos", "label", "text"))).alias("_e"))
+    keys = [*ids, *[c for c in (TEXT_KEY,) if c in long.columns]]
+    per = long.groupBy(*[F.col(k).alias(f"_own_{k}") for k in keys]).agg(
+        F.sort_array(F.collect_list(F.struct("pos", "label", "text"))).alias("_e"))
     lists = [F.transform(F.filter(F.col("_e"), _has_label(lab)), lambda e: e["text"]) for lab in labels]
     empty = F.array(*[F.array().cast("array<string>") for _ in labels])
     out_name = column + FEATURE_EXTRACTION_SUFFIX
-    joined = df.join(per, ids, "left")
+    same = F.lit(True)
+    for k in keys:  # null-safe, like all keys of this library
+        same = same & (text_key(column) if k == TEXT_KEY else F.col(k)).eqNullSafe(F.col(f"_own_{k}"))
+    joined = df.join(per, same, "left")
     return joined.select(
-        *[joined[c] for c in df.columns],
+        *[df[c] for c in df.columns],
         F.when(F.col("_e").isNull(), empty).otherwise(F.array(*lists)).alias(out_name),
     )
 

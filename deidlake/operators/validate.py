@@ -40,19 +40,16 @@ class SchemaValidationError(LookupError):
         super().__init__("Schema validation failed: " + json.dumps(report, sort_keys=True))
 
 
-def populated_columns(tables: dict[str, DataFrame], schema: str = "dbo") -> DataFrame:
-    """Live catalog of a set of tables: one row per column holding at least
-    one non-NULL value.  One global aggregate per table (partial counts per
-    partition, a single tiny shuffle)."""
+def live_columns(tables: dict[str, DataFrame], schema: str = "dbo") -> DataFrame:
+    """Live catalog of a set of tables: one row per column, with the table's
+    row count.  Names come from the tables' schemas, also of empty tables and
+    of columns without a value; the count reads no column."""
     parts = []
     for name, df in tables.items():
-        counts = df.agg(*[F.count(F.col(f"`{c}`")).alias(c) for c in df.columns])
-        long = counts.unpivot([], list(df.columns), "column_name", "n")
-        parts.append(
-            long.where(F.col("n") > 0).select(
-                F.lit(schema).alias("table_schema"), F.lit(name).alias("table_name"), "column_name"
-            )
-        )
+        names = F.array(*[F.lit(c) for c in df.columns])
+        parts.append(df.agg(F.count(F.lit(1)).alias("row_count")).select(
+            F.lit(schema).alias("table_schema"), F.lit(name).alias("table_name"),
+            F.explode(names).alias("column_name"), "row_count"))
     return reduce(DataFrame.unionByName, parts)
 
 

@@ -141,7 +141,7 @@ def _gold_inserts(cfg: RunConfig, spec: TableSpec, keys):
             if cfg.entity_fn is not None:
                 df = df.withColumn(col + FEATURE_EXTRACTION_SUFFIX, cfg.entity_fn(F.col(col)))
                 continue
-            long = extract_entities(df, list(keys), col, cfg.lexicon)
+            long = extract_entities(df, list(keys), col, cfg.lexicon, by_text=True)
             df = nested_entities(df, list(keys), col, long)
         return df
     return run

@@ -170,9 +170,9 @@ def q_dedupe_on_key(spark, sf_dir):
     return dedupe_on_key(d.table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"])
 
 
-@register("merge_first_load", d.ORDERS_NEW_SQL)
+@register("merge_first_load", "SELECT * FROM orders")
 def q_merge_first_load(spark, sf_dir):
-    return snapshot_of(merge_tagged(None, d.orders_new(spark, sf_dir), ["o_orderkey"]))
+    return snapshot_of(merge_tagged(None, d.table(spark, sf_dir, "orders"), ["o_orderkey"]))
 
 
 _APPEND_REMOVE_SNAPSHOT_SQL = d.with_ctes(
@@ -464,8 +464,9 @@ def q_deidentify_documents(spark, sf_dir):
 # ---------------------------------------------------------------- step 4: catalog, validation, monitoring
 
 from deidlake.operators.monitor import row_counts  # noqa: E402
-from deidlake.operators.validate import column_drift, populated_columns, table_drift  # noqa: E402
+from deidlake.operators.validate import column_drift, live_columns, table_drift  # noqa: E402
 from deidlake.sources.jdbc import catalog_columns  # noqa: E402
+from deidlake.sources.parquet import list_tables as list_parquet_tables  # noqa: E402
 from deidlake.spec import spec_df  # noqa: E402
 
 # schema of the given test tables (names only; used to write the SQL side)
@@ -501,20 +502,24 @@ DECLARED = (
 )
 
 
+def _live(spark, sf_dir) -> DataFrame:
+    # every table found in the folder: drift is about tables nobody listed
+    return live_columns({name: d.table(spark, sf_dir, name) for name in list_parquet_tables(spark, sf_dir)}, schema="dbo")
+
+
 def _live_catalog(spark, sf_dir) -> DataFrame:
-    tables = {name: d.table(spark, sf_dir, name) for name in TABLE_COLUMNS}
-    return catalog_columns(populated_columns(tables, schema="dbo"), schema="dbo")
+    return catalog_columns(_live(spark, sf_dir), schema="dbo")
 
 
 def _live_catalog_sql() -> str:
-    parts = []
-    for name, cols in TABLE_COLUMNS.items():
-        counts = ", ".join(f"count({c}) AS {c}" for c in cols)
-        parts.append(
-            f"SELECT 'dbo' AS table_schema, '{name}' AS table_name, column_name, 'dbo.{name}' AS full_name "
-            f"FROM (UNPIVOT (SELECT {counts} FROM {name}) ON COLUMNS(*) INTO NAME column_name VALUE n) WHERE n > 0"
-        )
-    return " UNION ALL ".join(parts)
+    return " UNION ALL ".join(
+        f"SELECT 'dbo' AS table_schema, '{name}' AS table_name, unnest({list(cols)!r}) AS column_name, 'dbo.{name}' AS full_name"
+        for name, cols in TABLE_COLUMNS.items())
+
+
+def _catalog_counts_sql() -> str:
+    counts = " UNION ALL ".join(f"SELECT 'dbo.{t}' AS full_name, count(*) AS row_count FROM {t}" for t in TABLE_COLUMNS)
+    return f"SELECT * FROM ({_live_catalog_sql()}) JOIN ({counts}) USING (full_name)"
 
 
 def _declared_sql() -> str:
@@ -528,9 +533,11 @@ _DRIFT_CTES = {
 }
 
 
-@register("catalog_listing", _live_catalog_sql())
+@register("catalog_listing", _catalog_counts_sql())
 def q_catalog_listing(spark, sf_dir):
-    return _live_catalog(spark, sf_dir)
+    live = _live(spark, sf_dir)
+    counts = live.select(F.concat_ws(".", "table_schema", "table_name").alias("full_name"), "column_name", "row_count")
+    return catalog_columns(live, schema="dbo").join(counts, ["full_name", "column_name"])
 
 
 @register(
@@ -589,20 +596,41 @@ def q_ingest_row_counts(spark, sf_dir):
 
 # ---------------------------------------------------------------- step 6: entities
 
-from deidlake.operators.entities import entity_counts, extract_entities, nested_entities  # noqa: E402
+from deidlake.operators.entities import entity_counts, extract_entities, nested_entities, normalised  # noqa: E402
+
+
+# Terms taken from a given table whose passages occur in the documents: the
+# first six words of each benchmark text, and the two words after them.
+LEXICON_SPANS = (("DISEASE", 1, 6), ("CHEMICAL", 7, 2))
+
+
+def benchmark_lexicon(spark, sf_dir) -> DataFrame:
+    words = F.filter(F.split("text", pat.TOKEN_SPLIT), lambda w: w != "")
+    texts = d.table(spark, sf_dir, "benchmark").select(words.alias("w"))
+    terms = F.array(*[F.struct(F.array_join(F.slice("w", start, n), " ").alias("term"), F.lit(label).alias("label"))
+                      for label, start, n in LEXICON_SPANS])
+    return normalised(texts.select(F.inline(terms)))
+
+
+def _benchmark_lexicon_sql() -> str:
+    split = _sql_str(pat.TOKEN_SPLIT)
+    words = f"SELECT list_filter(string_split_regex(text, {split}), lambda x: x <> '') AS w FROM benchmark"
+    parts = " UNION ".join(
+        f"SELECT lower(array_to_string(w[{a}:{a + n - 1}], ' ')) AS term, '{label}' AS label, len(w[{a}:{a + n - 1}]) AS n_words FROM ({words})"
+        for label, a, n in LEXICON_SPANS)
+    return f"SELECT DISTINCT * FROM ({parts}) WHERE n_words > 0"
 
 
 def _entities_sql(table: str, id_col: str, text_col: str) -> str:
-    lex = ", ".join(f"('{t}', '{lab}', {len(t.split(' '))})" for t, lab in pat.ENTITY_LEXICON)
     split = _sql_str(pat.TOKEN_SPLIT)
-    firsts = ", ".join(sorted({_sql_str(t.split(' ')[0]) for t, _ in pat.ENTITY_LEXICON}))
     return f"""WITH RECURSIVE
-lex AS (SELECT * FROM (VALUES {lex}) AS v(term, label, n_words)),
+lex AS ({_benchmark_lexicon_sql()}),
+sizes AS (SELECT DISTINCT n_words AS n FROM lex),
 toks AS (SELECT {id_col} AS id, string_split_regex({text_col}, {split}) AS t FROM {table} WHERE {text_col} IS NOT NULL),
 starts AS (SELECT id, t, i FROM toks, generate_series(0, len(t) - 1) AS g(i)
-           WHERE t[i + 1] <> '' AND lower(t[i + 1]) IN ({firsts})),
+           WHERE t[i + 1] <> '' AND lower(t[i + 1]) IN (SELECT string_split(term, ' ')[1] FROM lex)),
 grams AS (SELECT id, i AS pos, n, array_to_string(t[i + 1:i + n], ' ') AS text
-          FROM starts, generate_series(1, {pat.MAX_TERM_WORDS}) AS g2(n) WHERE i + n <= len(t)),
+          FROM starts, sizes WHERE i + n <= len(t)),
 cand AS (SELECT g.id, g.pos, g.n, g.text, l.label FROM grams g JOIN lex l ON lower(g.text) = l.term AND g.n = l.n_words),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY n DESC, pos, label) AS r FROM cand),
 walk(id, r, taken, keep) AS (
@@ -622,7 +650,7 @@ _ENTITIES_SQL = _entities_sql("documents", "doc_id", "text")
 
 @register("entities_long", _ENTITIES_SQL)
 def q_entities_long(spark, sf_dir):
-    return extract_entities(d.table(spark, sf_dir, "documents"), ["doc_id"], "text")
+    return extract_entities(d.table(spark, sf_dir, "documents"), ["doc_id"], "text", benchmark_lexicon(spark, sf_dir))
 
 
 _NESTED_SQL = (
@@ -640,7 +668,8 @@ _NESTED_SQL = (
 @register("entities_nested", _NESTED_SQL)
 def q_entities_nested(spark, sf_dir):
     docs = d.table(spark, sf_dir, "documents").select("doc_id", "text")
-    return nested_entities(docs, ["doc_id"], "text", extract_entities(docs, ["doc_id"], "text")).drop("text")
+    long = extract_entities(docs, ["doc_id"], "text", benchmark_lexicon(spark, sf_dir), by_text=True)
+    return nested_entities(docs, ["doc_id"], "text", long).drop("text")
 
 
 @register(
@@ -648,7 +677,7 @@ def q_entities_nested(spark, sf_dir):
     f"SELECT label, lower(text) AS term, count(*) AS n_mentions FROM ({_ENTITIES_SQL}) GROUP BY label, lower(text)",
 )
 def q_entity_counts(spark, sf_dir):
-    return entity_counts(extract_entities(d.table(spark, sf_dir, "documents"), ["doc_id"], "text"))
+    return entity_counts(extract_entities(d.table(spark, sf_dir, "documents"), ["doc_id"], "text", benchmark_lexicon(spark, sf_dir)))
 
 
 # ---------------------------------------------------------------- step 7: provisioning, snapshots

@@ -35,7 +35,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.  Only when it is
-    unset (local tests) a private folder is created and set."""
+    unset, and only on a local master, a private folder is created and set."""
     conf = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get(
         "spark.checkpoint.dir", None
     )
@@ -48,6 +48,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         # set programmatically earlier in this application: Spark appended
         # an application folder; the folder it was set to is its parent
         return current.rstrip("/").rsplit("/", 1)[0]
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
     local = tempfile.mkdtemp(prefix="deidlake-ckpt-")
     spark.sparkContext.setCheckpointDir(local)
     return local

@@ -56,12 +56,77 @@ def test_entities_match_brute_force_and_fixture(spark):
     assert counts[("CHEMICAL", "lithium")] == 1
 
 
-def test_custom_lexicon_is_size_checked(spark):
+def test_custom_lexicon(spark):
     df = spark.createDataFrame([(1, "Take Foo Bar daily")], "id long, t string")
     lex = lexicon_df(spark, [("foo bar", "CHEMICAL")])
     assert [(r["label"], r["text"]) for r in extract_entities(df, ["id"], "t", lex).collect()] == [("CHEMICAL", "Foo Bar")]
 
 
+def test_terms_of_any_length(spark):
+    df = spark.createDataFrame([(1, "an acute severe chronic left heart failure today")], "id long, t string")
+    lex = lexicon_df(spark, [("Acute severe chronic left heart failure", "DISEASE"), ("heart", "CHEMICAL")])
+    assert [tuple(r) for r in extract_entities(df, ["id"], "t", lex).collect()] == [
+        (1, "DISEASE", 1, "acute severe chronic left heart failure")]
+    assert extract_entities(df, ["id"], "t", lex.limit(0)).count() == 0
+
+
+def test_entities_of_null_and_repeated_ids(spark):
+    rows = [(None, "has depression"), (1, "has depression"), (1, "took lithium, depression"), (2, "lithium"), (2, "lithium")]
+    df = spark.createDataFrame(rows, "id long, t string")
+    lex = lexicon_df(spark, [("depression", "DISEASE"), ("lithium", "CHEMICAL")])
+    assert extract_entities(df, ["id"], "t", lex).count() == 6
+    nested = nested_entities(df, ["id"], "t", extract_entities(df, ["id"], "t", lex, by_text=True)).collect()
+    assert len(nested) == 5
+    assert {(r["id"], r["t"]): r["t_feature_extraction"] for r in nested} == {
+        (None, "has depression"): [["depression"], []], (1, "has depression"): [["depression"], []],
+        (1, "took lithium, depression"): [["depression"], ["lithium"]], (2, "lithium"): [[], ["lithium"]]}
+
+
+def test_catalog_keeps_empty_tables_and_columns_without_values(spark):
+    from deidlake.operators.validate import live_columns
+
+    tables = {"a": spark.createDataFrame([(1, None)], "x long, y string"), "b": spark.createDataFrame([], "z long")}
+    assert sorted(map(tuple, live_columns(tables).collect())) == [("dbo", "a", "x", 1), ("dbo", "a", "y", 1), ("dbo", "b", "z", 0)]
+
+
+def test_each_model_factory_has_its_own_model(spark):
+    from pyspark.sql import functions as F
+
+    from deidlake.functions.udfs import entities_udf, text_udf
+
+    def replacing(token):
+        return lambda: lambda text: token
+
+    def finding(token):
+        return lambda: lambda text: [("DISEASE", token)]
+
+    df = spark.createDataFrame([("t",)], "t string").coalesce(1)
+    for token in "ABC":
+        assert df.select(text_udf(replacing(token))(F.col("t"))).first()[0] == token
+        assert df.select(entities_udf(finding(token))(F.col("t"))).first()[0] == [[token], []]
+
+
+def test_no_private_folder_off_a_local_master():
+    import pytest
+
+    from deidlake.session import checkpoint_dir
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getConf(self):
+            return {}
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext, conf = Context(), {}
+
+    with pytest.raises(RuntimeError):
+        checkpoint_dir(Session())
+
+
 def test_schema_validation_report(spark):
     live = spark.createDataFrame(
         [("dbo.AmsAppointment", c) for c in ("SequenceID", "Location", "Comment", "SuperUnclassified")]

@@ -41,11 +41,6 @@ def test_text_paths_stay_in_the_jvm(static, name):
     assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p and "MapInPandas" not in p
 
 
-def test_lexicon_join_is_broadcast(static):
-    p = plan(entry.queries()["entities_long"](static, SF))
-    assert "BroadcastHashJoin" in p and "SortMergeJoin" not in p
-
-
 def test_projection_and_filter_reach_the_scan(static):
     p = plan(entry.queries()["provision_filtered"](static, SF))
     assert "PushedFilters: [IsNotNull(o_orderstatus), IsNotNull(o_totalprice), EqualTo(o_orderstatus,F)" in p
