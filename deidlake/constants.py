@@ -22,8 +22,6 @@ MAX_TEXT_CHARS = 20_000
 PII_ENTITIES = ("PERSON", "LOCATION", "DATE_TIME", "EMAIL_ADDRESS", "URL", "PHONE_NUMBER")
 # Entity labels of feature extraction, in output order.
 FEATURE_EXTRACTION_LABELS = ("DISEASE", "CHEMICAL")
-# Minimum parallelism the original sized UDF work for (8 workers x 4 cores).
-MIN_TEXT_PARTITIONS = 8 * 4
 # Field names of the schema validation report.
 REPORT_UNCLASSIFIED_TABLES = "unclassified_tables"
 REPORT_MISSING_TABLES = "classified_but_unexisting_tables"

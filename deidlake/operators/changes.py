@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from deidlake.constants import BATCH_ID_COLUMN, CHANGE_TYPE_COLUMN, DELETE, INSERT
+from deidlake.operators.keys import check_orderable, key_columns, key_names
 
 SYSTEM_COLUMNS = (CHANGE_TYPE_COLUMN, BATCH_ID_COLUMN)
 
@@ -52,6 +53,7 @@ def net_changes(feed: DataFrame, keys) -> DataFrame:
     partial aggregate, so a key with very many changes is collapsed before
     the shuffle."""
     keys = list(keys)
+    check_orderable(feed, keys)
     cols = data_columns(feed)
     rest = [c for c in cols if c not in keys]
     order = F.struct(
@@ -68,25 +70,37 @@ def net_changes(feed: DataFrame, keys) -> DataFrame:
     ).select(*cols, CHANGE_TYPE_COLUMN, BATCH_ID_COLUMN)
 
 
-def apply_changes(target: DataFrame | None, net: DataFrame, keys, null_safe: bool = True) -> DataFrame:
-    """Keyed replace: drop every target row whose key has a net change,
-    then add the net inserts.  Idempotent, so a re-delivered batch is
-    harmless.  ``target=None`` (first load) keeps the inserts only.
-
-    Note: the anti join uses ALL net-change keys; anti-joining the inserts
-    against the target instead would keep the stale row of an updated key."""
+def apply_changes(target: DataFrame | None, net: DataFrame, keys) -> DataFrame:
+    """The target with its rows of changed keys replaced by the net inserts:
+    one full outer join on null-safe key columns, in which ``net`` and all
+    that it is computed from appear once.  ``net`` and the target hold one row
+    per key.  Idempotent, so a re-delivered batch is harmless.
+    ``target=None`` (first load) keeps the inserts only."""
     keys = list(keys)
-    inserts = net.where(F.col(CHANGE_TYPE_COLUMN) == F.lit(INSERT)).select(*data_columns(net))
+    cols = data_columns(net)
+    is_insert = F.col(CHANGE_TYPE_COLUMN) == F.lit(INSERT)
     if target is None:
-        return inserts
-    inserts = inserts.select(*target.columns)
+        return net.where(is_insert).select(*cols)
+    cols = target.columns
+    n = net.select(*key_columns(net, keys), is_insert.alias("_i"), F.struct(*cols).alias("_n"))
+    t = target.select(*key_columns(target, keys), F.struct(*cols).alias("_t"))
+    joined = t.join(n, key_names(keys), "full_outer")
+    # a key without a net change keeps its row; a deleted one has no row left
+    row = F.when(F.col("_i").isNull(), F.col("_t")).when(F.col("_i"), F.col("_n"))
+    return joined.select(row.alias("_r")).where(F.col("_r").isNotNull()).select(*[F.col("_r." + c).alias(c) for c in cols])
+
+
+def replace_by_key(target: DataFrame, net: DataFrame, keys) -> DataFrame:
+    """The same result for net changes that are cheap to read twice, such as
+    stored batches: an anti join, which AQE turns into a broadcast when the
+    changes are few, so that a large target is scanned but not shuffled.
+
+    The anti join uses ALL net-change keys; anti-joining the inserts alone
+    would keep the stale row of an updated key."""
     changed = net.select(*keys)
-    if null_safe:
-        cond = reduce(lambda a, b: a & b, [target[k].eqNullSafe(changed[k]) for k in keys])
-        kept = target.join(changed, cond, "left_anti")
-    else:
-        kept = target.join(changed, keys, "left_anti")
-    return kept.unionByName(inserts)
+    cond = reduce(lambda a, b: a & b, [target[k].eqNullSafe(changed[k]) for k in keys])
+    inserts = net.where(F.col(CHANGE_TYPE_COLUMN) == F.lit(INSERT)).select(*target.columns)
+    return target.join(changed, cond, "left_anti").unionByName(inserts)
 
 
 def compact_changes(feed: DataFrame, keys, upto: int) -> DataFrame:

@@ -46,3 +46,19 @@ def key_columns(df: DataFrame, keys, prefix: str = "_k") -> list[Column]:
 
 def key_names(keys, prefix: str = "_k") -> list[str]:
     return [f"{prefix}{i}{s}" for i in range(len(keys)) for s in ("v", "n")]
+
+
+def _has_map(dtype: T.DataType) -> bool:
+    if isinstance(dtype, T.ArrayType):
+        return _has_map(dtype.elementType)
+    if isinstance(dtype, T.StructType):
+        return any(_has_map(f.dataType) for f in dtype.fields)
+    return isinstance(dtype, (T.MapType, T.VariantType))
+
+
+def check_orderable(df: DataFrame, keys) -> None:
+    """One row per key is picked by the order of its other columns: a column
+    without an order is refused by name (turn it into JSON text first)."""
+    bad = [f.name for f in df.schema.fields if f.name not in keys and _has_map(f.dataType)]
+    if bad:
+        raise TypeError(f"columns {bad} hold maps, which have no order; convert them, e.g. by to_json")

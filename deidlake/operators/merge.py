@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 
 from deidlake.constants import CHANGE_TYPE_COLUMN, DELETE, INSERT, ROW_HASH_COLUMN
 from deidlake.functions.hashing import row_hash
-from deidlake.operators.keys import key_columns, key_names
-from deidlake.spec import TableSpec, UpdateMode
+from deidlake.operators.keys import check_orderable, key_columns, key_names
+from deidlake.spec import UpdateMode
 
 SIDE = "_side"
 KEEP = "keep"
@@ -36,6 +36,7 @@ def dedupe_on_key(df: DataFrame, keys) -> DataFrame:
     rest = [c for c in df.columns if c not in keys]
     if not rest:
         return df.dropDuplicates(keys)
+    check_orderable(df, keys)
     survivor = F.min(F.struct(*[F.col(c) for c in rest])).alias("_s")
     return df.groupBy(*keys).agg(survivor).select(*keys, "_s.*").select(*df.columns)
 
@@ -45,6 +46,27 @@ def with_row_hash(df: DataFrame, mode: str = "compat") -> DataFrame:
     return df.select(*cols, row_hash(cols, mode).alias(ROW_HASH_COLUMN))
 
 
+def _check_same_columns(target: DataFrame, cols) -> None:
+    missing = [c for c in cols if c not in target.columns]
+    if missing:
+        raise ValueError(f"target lacks source columns {missing}")
+    dropped = [c for c in target.columns if c not in cols]
+    if dropped:
+        raise ValueError(f"source lacks target columns {dropped}")
+
+
+def _one_per_key(source: DataFrame, keyed, names, observation: Observation | None) -> DataFrame:
+    """The de-duplicated source, grouped by the SAME key columns the join
+    uses: one shuffle of the source serves both (partial aggregation first)."""
+    check_orderable(source, ())
+    s = source.select(*keyed, F.struct(*source.columns).alias("_row")).groupBy(*names).agg(
+        F.min("_row").alias("_s"), F.count(F.lit(1)).alias("_n")
+    )
+    if observation is not None:
+        s = s.observe(observation, F.coalesce(F.sum("_n"), F.lit(0)).alias("row_count"))
+    return s
+
+
 def merge_tagged(
     target: DataFrame | None,
     source: DataFrame,
@@ -79,21 +101,13 @@ def merge_tagged(
         raise ValueError("merge needs key columns")
     cols = source.columns
     if target is not None:
-        missing = [c for c in cols if c not in target.columns]
-        if missing:
-            raise ValueError(f"target lacks source columns {missing}")
+        _check_same_columns(target, cols)
     names = key_names(keys) if null_safe else [f"_k{i}" for i in range(len(keys))]
 
     def keyed(df):
         return key_columns(df, keys) if null_safe else [df[k].alias(f"_k{i}") for i, k in enumerate(keys)]
 
-    # de-duplicate the source grouped by the SAME key columns the join uses:
-    # one shuffle of the source serves both (partial aggregation first)
-    s = source.select(*keyed(source), F.struct(*cols).alias("_row")).groupBy(*names).agg(
-        F.min("_row").alias("_s"), F.count(F.lit(1)).alias("_n")
-    )
-    if observation is not None:
-        s = s.observe(observation, F.coalesce(F.sum("_n"), F.lit(0)).alias("row_count"))
+    s = _one_per_key(source, keyed(source), names, observation)
     if target is None:
         return s.select(*[F.col("_s." + c).alias(c) for c in cols]).withColumn(SIDE, F.lit(INSERT))
     s = s.drop("_n")
@@ -127,7 +141,29 @@ def changes_of(tagged: DataFrame) -> DataFrame:
     return tagged.where(F.col(SIDE) != KEEP).withColumnRenamed(SIDE, CHANGE_TYPE_COLUMN)
 
 
-def merge(target, source, spec: TableSpec, **kw) -> tuple[DataFrame, DataFrame]:
-    """(new snapshot, change rows) for ``spec``'s update mode."""
-    tagged = merge_tagged(target, source, spec.keys, spec.update_mode, **kw)
-    return snapshot_of(tagged), changes_of(tagged)
+def merge_changes(target: DataFrame | None, source: DataFrame, keys, mode: UpdateMode,
+                  observation: Observation | None = None) -> DataFrame:
+    """Only the insert and delete rows of the merge, tagged like
+    :func:`merge_tagged`.
+
+    Where matched keys keep their row (APPEND_AND_REMOVE, FULL_UPDATE) the
+    target's key columns decide, so only those are read and shuffled; the
+    delete rows then hold the key, and nulls elsewhere.  DROP_AND_RECREATE
+    compares whole rows and deletes whole rows."""
+    if target is None or mode not in (UpdateMode.APPEND_AND_REMOVE, UpdateMode.FULL_UPDATE):
+        return merge_tagged(target, source, keys, mode, observation=observation).where(F.col(SIDE) != KEEP)
+    if mode == UpdateMode.FULL_UPDATE:
+        source, keys = with_row_hash(source), [ROW_HASH_COLUMN]
+    keys = list(keys)
+    if not keys:
+        raise ValueError("merge needs key columns")
+    cols = source.columns
+    _check_same_columns(target, cols)
+    names = key_names(keys)
+    s = _one_per_key(source, key_columns(source, keys), names, observation).drop("_n")
+    t = target.select(*key_columns(target, keys), F.struct(*keys).alias("_t"))
+    changed = t.join(s, names, "full_outer").where(F.col("_t").isNull() | F.col("_s").isNull())
+    is_new = F.col("_t").isNull()
+    return changed.select(
+        *[F.when(is_new, F.col("_s." + c)).otherwise(F.col("_t." + c) if c in keys else F.lit(None)).alias(c) for c in cols],
+        F.when(is_new, F.lit(INSERT)).otherwise(F.lit(DELETE)).alias(SIDE))

@@ -4,9 +4,9 @@ A single large Parquet row group yields one scan task; text work on it
 would run on one core.  Hash-repartition whole rows only when the input has
 fewer partitions than the cluster has cores: on big inputs the scan is
 already wide and no shuffle is added.  Hashing the whole row (not a key
-that may be hot) spreads even a key holding a third of the rows, and a hash
-(not round-robin) repartition is deterministic, so a lost executor
-recomputes the same rows.
+that may be hot) spreads a key holding a third of the rows, as long as the
+rows differ; exact copies of one row stay together.  A hash (not round-robin)
+repartition is deterministic, so a lost executor recomputes the same rows.
 
 Inputs that already went through a shuffle have
 ``spark.sql.shuffle.partitions`` partitions and are left alone; asking an
@@ -34,19 +34,3 @@ def spread(df: DataFrame, keys=None, min_partitions: int | None = None) -> DataF
     if _has_exchange(df) or df.rdd.getNumPartitions() >= target:
         return df
     return df.repartition(target, *df.columns)
-
-
-def spread_by_size(df: DataFrame, bytes_per_partition: int = 8 << 20) -> DataFrame:
-    """For copies: split a narrow but large input (one big row group) into
-    about ``bytes_per_partition``-sized tasks, using the optimizer's size
-    estimate; small tables stay in few files, wide inputs are untouched."""
-    if _has_exchange(df):
-        return df
-    try:
-        size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
-    except Exception:  # noqa: BLE001 - no JVM plan access
-        return df
-    wanted = min(max(1, size // bytes_per_partition), max(df.sparkSession.sparkContext.defaultParallelism * 2, 1))
-    if df.rdd.getNumPartitions() >= wanted:
-        return df
-    return df.repartition(wanted, *df.columns)

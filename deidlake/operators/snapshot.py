@@ -2,7 +2,8 @@
 
 Every table is written by Spark in parallel files (no ``coalesce(1)``
 unless a single file is explicitly requested; ``max_records_per_file``
-bounds file size instead).  The fan-out re-reads the staged snapshot and
+bounds file size instead).  A copy follows the splits of the scan, without
+a shuffle; ``partitions`` asks for one explicitly.  The fan-out re-reads the staged snapshot and
 lets executors write each destination -- nothing streams through the
 driver."""
 
@@ -12,8 +13,8 @@ import datetime
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
-
-from deidlake.operators.parallel import spread_by_size
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Tables are written by concurrent Spark jobs (the scheduler interleaves
 # their tasks); this bounds how many are in flight.
@@ -28,11 +29,12 @@ def staged_name(schema: str, table: str) -> str:
     return f"{schema}_{table}" if schema else table
 
 
-def _write(df: DataFrame, path: str, mode: str, single_file: bool, max_records_per_file: int | None) -> None:
+def _write(df: DataFrame, path: str, mode: str, single_file: bool, max_records_per_file: int | None,
+           partitions: int | None = None) -> None:
     if single_file:
         df = df.coalesce(1)
-    else:
-        df = spread_by_size(df)
+    elif partitions is not None:
+        df = df.repartition(partitions, *df.columns)
     w = df.write.mode(mode)
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", max_records_per_file)
@@ -47,18 +49,30 @@ def _run_all(jobs, parallel: int) -> None:
 
 def snapshot_database(tables: dict[tuple[str, str], DataFrame], staging_root: str, stamp: str,
                       single_file: bool = False, max_records_per_file: int | None = 5_000_000,
-                      parallel_tables: int = DEFAULT_PARALLEL_TABLES) -> dict[str, str]:
+                      parallel_tables: int = DEFAULT_PARALLEL_TABLES, partitions: int | None = None) -> dict[str, str]:
     """Write every (schema, table) to ``<staging_root>/<stamp>/<schema>_<table>``."""
     out, jobs = {}, []
     for (schema, table), df in tables.items():
         name = staged_name(schema, table)
         path = f"{staging_root.rstrip('/')}/{stamp}/{name}"
-        jobs.append(lambda df=df, path=path: _write(df, path, "overwrite", single_file, max_records_per_file))
+        jobs.append(lambda df=df, path=path: _write(df, path, "overwrite", single_file, max_records_per_file,
+                                                        partitions))
         out[name] = path
     _run_all(jobs, parallel_tables)
     return out
 
 
+def content_checksum(df: DataFrame) -> DataFrame:
+    """One row: ``row_count`` and ``content_sum``, the sum over all rows of
+    the first 32 bits of the MD5 of the row's integer and string columns (in
+    column order, nulls left out), as decimal text.  The sum doesn't depend on
+    the order of rows or files; null for an empty table."""
+    whole = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.StringType)
+    cols = [F.col(f.name).cast("string") for f in df.schema.fields if isinstance(f.dataType, whole)]
+    digest = F.conv(F.substring(F.md5(F.concat_ws("|", *cols)), 1, 8), 16, 10).cast("decimal(20,0)")
+    return df.agg(F.count(F.lit(1)).alias("row_count"), F.sum(digest).cast("string").alias("content_sum"))
+
+
 def fan_out(spark: SparkSession, staged: dict[str, str], destinations, stamp: str,
             single_file: bool = False, kinds=("latest", "archive"),
             parallel_tables: int = DEFAULT_PARALLEL_TABLES) -> dict[str, list[str]]:

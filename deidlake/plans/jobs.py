@@ -19,10 +19,10 @@ from deidlake.constants import CHANGE_TYPE_COLUMN, DELETE, FEATURE_EXTRACTION_SU
 from deidlake.operators import changes as ch
 from deidlake.operators.deidentify import TextFn, deidentified_keys, deidentify, delete_layout
 from deidlake.operators.entities import extract_entities, nested_entities
-from deidlake.operators.merge import merge_tagged
+from deidlake.operators.merge import merge_changes
 from deidlake.operators.monitor import append_monitoring, monitoring_rows
 from deidlake.operators.validate import validate
-from deidlake.sources.zones import SIDE, ZoneTable
+from deidlake.sources.zones import SIDE, ZoneTable, register_table
 from deidlake.spec import ColumnRole, TableSpec, spec_df
 
 SourceReader = Callable[[TableSpec], DataFrame]
@@ -40,6 +40,7 @@ class RunConfig:
     compat_monitoring_names: bool = False
     row_hash_mode: str = "rekey"        # or "compat": keep the raw-row MD5 in silver
     lexicon: DataFrame | None = field(default=None, repr=False)
+    text_partitions: int | None = None  # partitions for text work; None: those of the net changes
 
     def table(self, zone: str, spec: TableSpec) -> ZoneTable:
         return ZoneTable(self.root, zone, spec.name)
@@ -54,20 +55,18 @@ def ingest_table(spark: SparkSession, cfg: RunConfig, spec: TableSpec, source: D
     target = bronze.read_snapshot(spark)
     src = source.select(*spec.imported_columns)
     obs = Observation(f"rows_{spec.short_name}_{batch}")
-    tagged = merge_tagged(target, src, spec.keys, spec.update_mode, observation=obs)
-    # only the change rows are written (merge-on-read layout)
-    bronze.write_batch(spark, tagged, batch, spec.merge_keys)
+    changes = merge_changes(target, src, spec.keys, spec.update_mode, observation=obs)
+    bronze.write_batch(spark, changes, batch, spec.merge_keys)
     return int(obs.get.get("row_count", 0) or 0)
 
 
 def run_ingestion(spark: SparkSession, cfg: RunConfig, specs, read_source: SourceReader, batch: int,
-                  live_catalog: DataFrame | None = None) -> DataFrame:
-    """Validate the live catalog (if given), merge every imported table into
+                  live_catalog: DataFrame) -> DataFrame:
+    """Validate the live catalog (table_name, column_name), merge every imported table into
     bronze as batch ``batch`` and append (table, time, row count) rows to the
     monitoring zone.  Counts are observed inside the merge while writing
     (the source is read once; exact under task retries)."""
-    if live_catalog is not None:
-        validate(live_catalog, spec_df(spark, specs))
+    validate(live_catalog, spec_df(spark, specs))
     counts = []
     for spec in specs:
         if not spec.is_imported:
@@ -85,11 +84,10 @@ def _propagate(spark, src: ZoneTable, dst: ZoneTable, src_keys, dst_keys,
                on_deletes: Callable[[DataFrame], DataFrame]) -> int | None:
     """Consume src batches after dst's watermark; commit dst under the
     newest consumed src batch id.  Returns that id (None if nothing new)."""
-    latest = src.latest(spark)
-    mark = dst.latest(spark)
-    if latest is None or (mark is not None and latest <= mark):
+    new = src.unconsumed(spark, dst.latest(spark))
+    if new is None:
         return None
-    feed = src.read_changes(spark, after=mark, upto=latest)
+    latest, feed = new
     apply_feed(spark, feed, dst, src_keys, dst_keys, on_inserts, on_deletes, latest)
     return latest
 
@@ -103,7 +101,7 @@ def apply_feed(spark, feed: DataFrame, dst: ZoneTable, src_keys, dst_keys,
     carry only the (de-identified) key columns, never raw values.
     Idempotent: a re-delivered batch is skipped."""
     if commit_id in dst.committed(spark):
-        return  # replay after a crash between commit and stream checkpoint
+        return  # replay after a crash between this commit and the consumer's marker
     net = ch.net_changes(feed, list(src_keys))
     data = ch.data_columns(net)
     inserts = on_inserts(net.where(F.col(CHANGE_TYPE_COLUMN) == INSERT).select(*data))
@@ -115,6 +113,11 @@ def apply_feed(spark, feed: DataFrame, dst: ZoneTable, src_keys, dst_keys,
     dst.write_batch(spark, changes, commit_id, list(dst_keys))
 
 
+def _spread_text(cfg: RunConfig, df: DataFrame, keys) -> DataFrame:
+    """The net changes hold one row per key, so hashing the key spreads them evenly."""
+    return df if cfg.text_partitions is None else df.repartition(cfg.text_partitions, *keys)
+
+
 def run_deidentification(spark: SparkSession, cfg: RunConfig, specs) -> dict[str, int | None]:
     """bronze -> silver for every imported table."""
     done = {}
@@ -124,8 +127,8 @@ def run_deidentification(spark: SparkSession, cfg: RunConfig, specs) -> dict[str
         src, dst = cfg.table("bronze", spec), cfg.table("silver", spec)
         done[spec.name] = _propagate(
             spark, src, dst, spec.merge_keys, deidentified_keys(spec),
-            lambda df, s=spec: deidentify(df, s, cfg.salt, cfg.text_fn, cfg.text_mode, cfg.max_chars,
-                                          cfg.row_hash_mode),
+            lambda df, s=spec: deidentify(_spread_text(cfg, df, s.merge_keys), s, cfg.salt, cfg.text_fn,
+                                          cfg.text_mode, cfg.max_chars, cfg.row_hash_mode),
             lambda df, s=spec: delete_layout(df, s, cfg.salt, cfg.text_mode, cfg.row_hash_mode),
         )
     return done
@@ -135,6 +138,7 @@ def _gold_inserts(cfg: RunConfig, spec: TableSpec, keys):
     def run(df: DataFrame) -> DataFrame:
         if not cfg.extract_entities or spec.skip_entity_extraction:
             return df
+        df = _spread_text(cfg, df, keys)
         for col in spec.role_columns(ColumnRole.FREE_TEXT):
             if col not in df.columns:  # text removed upstream: nothing to extract
                 continue
@@ -147,9 +151,11 @@ def _gold_inserts(cfg: RunConfig, spec: TableSpec, keys):
     return run
 
 
-def run_entity_extraction(spark: SparkSession, cfg: RunConfig, specs) -> dict[str, int | None]:
+def run_entity_extraction(spark: SparkSession, cfg: RunConfig, specs,
+                          database: str | None = None) -> dict[str, int | None]:
     """silver -> gold; with extraction on, every FREE_TEXT column gets
-    ``<col>_feature_extraction``."""
+    ``<col>_feature_extraction``.  With ``database``, each gold table is
+    registered there as ``<schema>_<table>`` (an external Parquet table)."""
     done = {}
     for spec in specs:
         if spec.update_mode.value == "not-import":
@@ -157,6 +163,8 @@ def run_entity_extraction(spark: SparkSession, cfg: RunConfig, specs) -> dict[st
         keys = deidentified_keys(spec)
         src, dst = cfg.table("silver", spec), cfg.table("gold", spec)
         done[spec.name] = _propagate(spark, src, dst, keys, keys, _gold_inserts(cfg, spec, keys), lambda df: df)
+        if database is not None and dst.latest(spark) is not None:
+            register_table(spark, dst, f"{database}.{spec.name.replace('.', '_')}")
     return done
 
 
@@ -171,9 +179,11 @@ def run_cleaning(spark: SparkSession, cfg: RunConfig, specs) -> dict[str, list[i
         b, s, g = (cfg.table(z, spec) for z in ("bronze", "silver", "gold"))
         s_mark, g_mark = s.latest(spark), g.latest(spark)
         for zt, mark in ((b, s_mark), (s, g_mark), (g, g.latest(spark))):
-            if zt.latest(spark) is None:
+            committed = zt.committed(spark)
+            if not committed:
                 continue
-            zt.compact(spark)
+            if len(committed) > 1:  # a first load alone is its own snapshot
+                zt.compact(spark)
             if mark is not None:
                 removed[f"{zt.zone}/{spec.name}"] = zt.expire(spark, mark + 1)
     return removed

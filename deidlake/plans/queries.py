@@ -685,8 +685,7 @@ def q_entity_counts(spark, sf_dir):
 from functools import reduce  # noqa: E402
 
 from deidlake.operators.provision import provision  # noqa: E402
-from deidlake.operators.snapshot import fan_out, snapshot_database  # noqa: E402
-from deidlake.sources.parquet import list_tables as list_parquet_tables  # noqa: E402
+from deidlake.operators.snapshot import content_checksum, fan_out, snapshot_database  # noqa: E402
 from deidlake.session import workspace_root  # noqa: E402
 
 PROVISION_COLUMNS = ("o_orderkey", "o_orderstatus", "o_totalprice", "o_orderdate")
@@ -713,9 +712,9 @@ DESTINATIONS = ("dest_a", "dest_b")
 
 
 def _snapshot(spark, sf_dir, query: str):
-    # one scratch folder per query: queries run concurrently never share it,
-    # and a rerun overwrites its own output (bounded disk use)
-    root = f"{workspace_root(spark)}/snapshot-queries/{query}"
+    # one scratch folder per application and query: neither applications nor
+    # queries share one, and a rerun overwrites its own output
+    root = f"{workspace_root(spark)}/snapshot-queries/{spark.sparkContext.applicationId}/{query}"
     # whole-database listing (S4): every table found in the source folder
     tables = {("dbo", name): d.table(spark, sf_dir, name) for name in list_parquet_tables(spark, sf_dir)}
     return root, snapshot_database(tables, root + "/staging", SNAPSHOT_STAMP)
@@ -724,15 +723,24 @@ def _snapshot(spark, sf_dir, query: str):
 def _counts(spark, paths: dict[str, str], **labels) -> DataFrame:
     parts = []
     for name, path in paths.items():
-        df = spark.read.parquet(path).agg(F.count(F.lit(1)).alias("row_count"))
+        df = content_checksum(spark.read.parquet(path))
         parts.append(df.select(*[F.lit(v).alias(k) for k, v in labels.items()], F.lit(name).alias("table_name"),
-                               "row_count"))
+                               "row_count", "content_sum"))
     return reduce(DataFrame.unionByName, parts)
 
 
+# columns that are neither integers nor strings, which the checksum leaves out
+UNCHECKED = {"c_acctbal", "s_acctbal", "p_retailprice", "o_totalprice", "o_orderdate", "l_quantity", "l_extendedprice",
+             "l_discount", "l_tax", "l_shipdate", "ts", "value", "embedding"}
+
+
 def _counts_sql(extra: str = "") -> str:
+    def digest(table):
+        cols = ", ".join(f"CAST({c} AS VARCHAR)" for c in TABLE_COLUMNS[table] if c not in UNCHECKED)
+        return f"CAST(sum(CAST('0x' || substr(md5(concat_ws('|', {cols})), 1, 8) AS BIGINT)) AS VARCHAR) AS content_sum"
+
     return " UNION ALL ".join(
-        f"SELECT {extra}'dbo_{t}' AS table_name, count(*) AS row_count FROM {t}" for t in TABLE_COLUMNS
+        f"SELECT {extra}'dbo_{t}' AS table_name, count(*) AS row_count, {digest(t)} FROM {t}" for t in TABLE_COLUMNS
     )
 
 
@@ -766,12 +774,11 @@ def q_snapshot_archive(spark, sf_dir):
     return _fanned(spark, sf_dir, "archive")
 
 
-# ---------------------------------------------------------------- zones: jobs end to end
-
-import uuid  # noqa: E402
+# ---------------------------------------------------------------- zones
 
-from deidlake.plans import jobs  # noqa: E402
-from deidlake.sources.zones import ZoneTable, register_table  # noqa: E402
+from deidlake.operators.deidentify import deidentified_keys  # noqa: E402
+from deidlake.operators.merge import SIDE  # noqa: E402
+from deidlake.sources.zones import ZoneTable  # noqa: E402
 
 ZONE_ORDERS_SPEC = TableSpec(
     "dbo.orders", ORDERS, UpdateMode.FULL_UPDATE,
@@ -791,14 +798,12 @@ ZONE_ORDERS_SPEC = TableSpec(
     ),
 )
 def q_zone_scan(spark, sf_dir):
-    """Two ingest -> de-identify -> extract rounds (orders old, then new)
-    into a fresh zone root; the gold snapshot is read through a catalog
-    name (a partition-pruned read of the latest committed batch)."""
-    root = f"{workspace_root(spark)}/zone-queries/{uuid.uuid4().hex}"
-    cfg = jobs.RunConfig(root=root, salt=TEST_HASH_SALT)
-    specs = [ZONE_ORDERS_SPEC]
-    for batch, snapshot in ((1, d.orders_old(spark, sf_dir)), (2, d.orders_new(spark, sf_dir))):
-        jobs.run_ingestion(spark, cfg, specs, lambda s, df=snapshot: df, batch)
-        jobs.run_deidentification(spark, cfg, specs)
-        jobs.run_entity_extraction(spark, cfg, specs)
-    return register_table(spark, ZoneTable(root, "gold", ZONE_ORDERS_SPEC.name), "gold_orders")
+    """The de-identified new orders, written as the first batch of a zone
+    table and read back as its snapshot."""
+    silver = ZoneTable(f"{workspace_root(spark)}/zone-queries/{spark.sparkContext.applicationId}", "silver",
+                       ZONE_ORDERS_SPEC.name)
+    silver.drop(spark)  # of an earlier run in this application
+    merged = merge_tagged(None, d.orders_new(spark, sf_dir), [], UpdateMode.FULL_UPDATE)
+    rows = deidentify(merged.drop(SIDE), ZONE_ORDERS_SPEC, TEST_HASH_SALT).withColumn(SIDE, F.lit("insert"))
+    silver.write_batch(spark, rows, 1, deidentified_keys(ZONE_ORDERS_SPEC))
+    return silver.read_snapshot(spark)

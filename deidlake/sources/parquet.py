@@ -22,12 +22,3 @@ def list_tables(spark: SparkSession, directory: str, suffix: str = ".parquet") -
         if name.endswith(suffix):
             names.append(name[: -len(suffix)])
     return sorted(names)
-
-
-def read_table(spark: SparkSession, directory: str, name: str, suffix: str = ".parquet") -> DataFrame:
-    return spark.read.parquet(f"{directory.rstrip('/')}/{name}{suffix}")
-
-
-def path_exists(spark: SparkSession, path: str) -> bool:
-    fs, hpath = _fs_and_path(spark, path)
-    return bool(fs.exists(hpath))

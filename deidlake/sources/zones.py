@@ -1,28 +1,24 @@
-"""Zone tables on plain Parquet (no transaction log): bronze, silver, gold,
-internal, monitoring under one root.
-
-Merge-on-read layout of a table: ``<root>/<zone>/<schema.table>/batch_id=N/_side=S/``
-
-* ``S = insert | delete``: the change rows of batch N (what a batch writes --
-  proportional to the change, not to the table);
-* ``S = base``: a compacted full snapshot as of batch N (written by
-  :meth:`ZoneTable.compact`).  The first batch of a table needs no separate
-  base: its insert rows ARE the snapshot (marker ``"base": "inserts"``).
-
-Snapshot as of N = latest base at or before N, with the net change per key of
-the later batches applied (keyed replace).  When the net change is small,
-AQE turns that anti join into a broadcast, so the base is scanned but not
-shuffled; compaction keeps the tail of changes short.
-
-Batch N is committed when ``_commits/N.json`` (schema, key columns, whether
-it holds a base) exists; it is written after the data, so readers never see a
-half-written batch, and a failed batch is simply rewritten: its leftover
-folder is removed, then its partitions are appended.  One writer per table.
+"""Zone tables as plain Parquet directories: bronze, silver, gold, internal,
+monitoring under one root.
+
+``<root>/<zone>/<schema.table>/changes/batch_id=N/``
+    the change rows of batch N, with ``_change_type`` insert or delete: a
+    batch writes in proportion to the change, not to the table;
+``<root>/<zone>/<schema.table>/base/batch_id=N/``
+    the whole snapshot as of batch N (:meth:`ZoneTable.compact`).
+
+A directory counts when Spark's own ``_SUCCESS`` file is in it.  Nothing that
+is published is ever rewritten or renamed: compaction writes a directory of
+its own, and expiry takes ``_SUCCESS`` away before the data.  The schema is
+that of the files; the key columns stand in the metadata of ``_change_type``.
+
+Snapshot as of N = latest base at or before N (or the inserts of the first
+load) with the net change per key of the later batches applied.  One writer
+per table, whose batch ids grow.
 """
 
 from __future__ import annotations
 
-import json
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,7 +28,6 @@ from pyspark.sql import types as T
 from deidlake.constants import BATCH_ID_COLUMN, CHANGE_TYPE_COLUMN, DELETE, INSERT
 
 SIDE = "_side"
-BASE = "base"
 ZONES = ("bronze", "silver", "gold", "internal", "monitoring")
 
 
@@ -50,13 +45,10 @@ def zone_path(root: str, zone: str, table: str) -> str:
     return f"{root.rstrip('/')}/{zone}/{table}"
 
 
-def _append_partitions(df: DataFrame, path: str) -> None:
-    """Add the (batch, side) partitions of ``df`` to the table.  Callers
-    first remove any leftover of the same partitions, so appending is the
-    same as replacing them -- without staging-and-rename commit work, and
-    without depending on a session's overwrite mode (writes inside
-    ``foreachBatch`` run on a cloned session)."""
-    df.write.mode("append").partitionBy(BATCH_ID_COLUMN, SIDE).parquet(path)
+def _publish(df: DataFrame, path: str) -> None:
+    """Write ``df`` as the directory ``path``, leftovers of a failed attempt
+    replaced; ``_SUCCESS`` appears last."""
+    df.write.mode("overwrite").option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true").parquet(path)
 
 
 @dataclass(frozen=True)
@@ -69,21 +61,20 @@ class ZoneTable:
     def path(self) -> str:
         return zone_path(self.root, self.zone, self.name)
 
-    @property
-    def commits_path(self) -> str:
-        return f"{self.path}/_commits"
+    def _dir(self, kind: str, batch: int | str) -> str:
+        return f"{self.path}/{kind}/{BATCH_ID_COLUMN}={batch}"
+
+    # ---- what is published ---------------------------------------------------
+    def _batches(self, spark: SparkSession, kind: str, marker: str = "/_SUCCESS") -> list[int]:
+        fs, pattern = _fs(spark, self._dir(kind, "*") + marker)
+        found = [st.getPath().getParent() if marker else st.getPath() for st in fs.globStatus(pattern) or []]
+        return sorted(int(p.getName().split("=")[1]) for p in found)
 
-    # ---- metadata ----------------------------------------------------------
     def committed(self, spark: SparkSession) -> list[int]:
-        fs, p = _fs(spark, self.commits_path)
-        if not fs.exists(p):
-            return []
-        out = []
-        for st in fs.listStatus(p):
-            name = st.getPath().getName()
-            if name.endswith(".json") and not name.startswith("."):
-                out.append(int(name[: -len(".json")]))
-        return sorted(out)
+        return self._batches(spark, "changes")
+
+    def bases(self, spark: SparkSession) -> list[int]:
+        return self._batches(spark, "base")
 
     def latest(self, spark: SparkSession) -> int | None:
         c = self.committed(spark)
@@ -95,154 +86,134 @@ class ZoneTable:
         latest = self.latest(spark)
         return 1 if latest is None else latest + 1
 
-    def marker(self, spark: SparkSession, batch: int) -> dict:
-        fs, p = _fs(spark, f"{self.commits_path}/{batch}.json")
-        stream = fs.open(p)
-        try:
-            jvm = spark.sparkContext._jvm
-            reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
-            text = "".join(iter(reader.readLine, None))
-        finally:
-            stream.close()
-        return json.loads(text)
+    def _stored(self, spark: SparkSession, batch: int) -> T.StructType:
+        return spark.read.parquet(self._dir("changes", batch)).schema
 
     def schema(self, spark: SparkSession, batch: int) -> T.StructType:
-        return T.StructType.fromJson(self.marker(spark, batch)["schema"])
+        return T.StructType([f for f in self._stored(spark, batch).fields if f.name != CHANGE_TYPE_COLUMN])
 
     def keys(self, spark: SparkSession, batch: int) -> list[str]:
-        return list(self.marker(spark, batch)["keys"])
+        return list(self._stored(spark, batch)[CHANGE_TYPE_COLUMN].metadata["keys"])
+
+    def _is_first_load(self, spark: SparkSession, batch: int) -> bool:
+        return bool(self._stored(spark, batch)[CHANGE_TYPE_COLUMN].metadata["first_load"])
 
     # ---- reads -------------------------------------------------------------
-    def _read(self, spark: SparkSession, batch: int) -> DataFrame:
-        data_schema = self.schema(spark, batch)
-        full = T.StructType(list(data_schema.fields) + [
-            T.StructField(BATCH_ID_COLUMN, T.LongType()), T.StructField(SIDE, T.StringType())
-        ])
-        fs, p = _fs(spark, self.path)
-        has_data = any(st.getPath().getName().startswith(f"{BATCH_ID_COLUMN}=") for st in fs.listStatus(p))
-        if not has_data:
-            return spark.createDataFrame([], full)
-        return spark.read.schema(full).parquet(self.path)
+    def _read(self, spark: SparkSession, batches: list[int]) -> DataFrame:
+        """Change rows of exactly these batches, in the schema of the last."""
+        full = T.StructType([*self.schema(spark, batches[-1]).fields,
+                             T.StructField(CHANGE_TYPE_COLUMN, T.StringType()),
+                             T.StructField(BATCH_ID_COLUMN, T.LongType())])
+        paths = [self._dir("changes", b) for b in batches]
+        return spark.read.schema(full).option("basePath", f"{self.path}/changes").parquet(*paths)
 
     def read_snapshot(self, spark: SparkSession, batch: int | None = None) -> DataFrame | None:
         """Snapshot as of ``batch`` (default: latest); None if never committed."""
-        from deidlake.operators.changes import apply_changes, net_changes
+        from deidlake.operators.changes import net_changes, replace_by_key
 
         committed = [b for b in self.committed(spark) if batch is None or b <= batch]
         if not committed:
             return None
-        upto = committed[-1]
-        markers = {b: self.marker(spark, b) for b in committed}
-        bases = [b for b in committed if markers[b].get("base")]
-        base_at = bases[-1] if bases else None
-        df = self._read(spark, upto)
-        data = [f.name for f in self.schema(spark, upto).fields]
-        keys = markers[upto]["keys"]
-        base = None
-        if base_at is not None:
-            side = INSERT if markers[base_at]["base"] == "inserts" else BASE
-            base = df.where((F.col(BATCH_ID_COLUMN) == base_at) & (F.col(SIDE) == side)).select(*data)
-        tail = [b for b in committed if base_at is None or b > base_at]
+        schema = self.schema(spark, committed[-1])
+        bases = [b for b in self.bases(spark) if b <= committed[-1]]
+        if bases:
+            start = bases[-1]
+            base = spark.read.schema(schema).parquet(self._dir("base", start))
+        elif self._is_first_load(spark, committed[0]):
+            # a first load holds one insert per key: those rows are the snapshot
+            start = committed[0]
+            full = T.StructType([*schema.fields, T.StructField(CHANGE_TYPE_COLUMN, T.StringType())])
+            first = spark.read.schema(full).parquet(self._dir("changes", start))
+            base = first.where(F.col(CHANGE_TYPE_COLUMN) == INSERT).drop(CHANGE_TYPE_COLUMN)
+        else:
+            raise ValueError(f"the history of {self.name} up to batch {committed[-1]} has expired")
+        tail = [b for b in committed if b > start]
         if not tail:
             return base
-        feed = df.where(F.col(BATCH_ID_COLUMN).isin(tail) & F.col(SIDE).isin(INSERT, DELETE)).withColumnRenamed(
-            SIDE, CHANGE_TYPE_COLUMN
-        )
-        return apply_changes(base, net_changes(feed, keys), keys)
+        keys = self.keys(spark, committed[-1])
+        return replace_by_key(base, net_changes(self._read(spark, tail), keys), keys)
 
     def read_changes(self, spark: SparkSession, after: int | None = None, upto: int | None = None) -> DataFrame | None:
         """Change rows (data + ``_change_type`` + ``batch_id``) of committed
         batches in ``(after, upto]``."""
         committed = [b for b in self.committed(spark)
                      if (after is None or b > after) and (upto is None or b <= upto)]
-        if not committed:
+        return self._read(spark, committed) if committed else None
+
+    def unconsumed(self, spark: SparkSession, mark: int | None) -> tuple[int, DataFrame] | None:
+        """(newest batch id, change rows) of the batches committed after
+        ``mark``, or None.  The ids are listed first and exactly these are
+        read, so a batch that appears meanwhile waits for the next call.  A
+        new consumer (``mark`` None) of a table whose first batches have
+        expired gets the whole snapshot as inserts."""
+        ids = [b for b in self.committed(spark) if mark is None or b > mark]
+        if not ids:
             return None
-        df = self._read(spark, committed[-1])
-        cond = F.col(BATCH_ID_COLUMN).isin(committed) & F.col(SIDE).isin(INSERT, DELETE)
-        return df.where(cond).withColumnRenamed(SIDE, CHANGE_TYPE_COLUMN)
+        if mark is None and not self._is_first_load(spark, ids[0]):
+            snap = self.read_snapshot(spark, ids[-1])
+            return ids[-1], snap.select("*", F.lit(INSERT).alias(CHANGE_TYPE_COLUMN),
+                                        F.lit(ids[-1]).cast("long").alias(BATCH_ID_COLUMN))
+        return ids[-1], self._read(spark, ids)
 
     # ---- writes ------------------------------------------------------------
     def write_batch(self, spark: SparkSession, changes: DataFrame, batch: int, keys) -> None:
         """Write the change rows (``_side`` insert/delete; other sides are
-        dropped) of batch ``batch`` and commit it."""
-        if batch in self.committed(spark):
-            raise ValueError(f"batch {batch} of {self.name} is already committed")
-        data = changes.drop(SIDE)
-        missing = [k for k in keys if k not in data.columns]
+        dropped) as batch ``batch`` and publish it."""
+        latest = self.latest(spark)
+        if latest is not None and batch <= latest:
+            raise ValueError(f"batch {batch} of {self.name} is already committed or older than batch {latest}")
+        missing = [k for k in keys if k not in changes.columns]
         if missing:
             raise ValueError(f"key columns {missing} missing from {self.name}")
-        out = changes.where(F.col(SIDE).isin(INSERT, DELETE)).withColumn(BATCH_ID_COLUMN, F.lit(batch).cast("long"))
-        # leftovers of a crashed, uncommitted attempt at this batch are removed
-        # first, so appending its partitions replaces them
-        fs, leftover = _fs(spark, f"{self.path}/{BATCH_ID_COLUMN}={batch}")
-        if fs.exists(leftover):
-            fs.delete(leftover, True)
-        first = not self.committed(spark)
-        _append_partitions(out, self.path)
-        # a first load holds one insert per key: those rows are the snapshot
-        self._commit(spark, batch, {"batch_id": batch, "schema": json.loads(data.schema.json()),
-                                    "keys": list(keys), "base": "inserts" if first else False})
+        about = {"keys": list(keys), "first_load": latest is None}
+        data = [c for c in changes.columns if c != SIDE]
+        out = changes.where(F.col(SIDE).isin(INSERT, DELETE)).select(
+            *data, F.col(SIDE).alias(CHANGE_TYPE_COLUMN, metadata=about))
+        _publish(out, self._dir("changes", batch))
 
     def compact(self, spark: SparkSession, batch: int | None = None) -> int | None:
         """Write the snapshot as of ``batch`` (default: latest) as that
         batch's base; later reads start there.  Returns the batch id."""
         batch = self.latest(spark) if batch is None else batch
-        if batch is None:
-            return None
-        marker = self.marker(spark, batch)
-        if marker.get("base"):
-            return batch
-        snap = self.read_snapshot(spark, batch)
-        out = snap.withColumn(BATCH_ID_COLUMN, F.lit(batch).cast("long")).withColumn(SIDE, F.lit(BASE))
-        # a failed earlier compaction may have left base files: drop them
-        fs, leftover = _fs(spark, f"{self.path}/{BATCH_ID_COLUMN}={batch}/{SIDE}={BASE}")
-        if fs.exists(leftover):
-            fs.delete(leftover, True)
-        _append_partitions(out, self.path)
-        self._commit(spark, batch, dict(marker, base=True), replace=True)
+        if batch is not None and batch not in self.bases(spark):
+            _publish(self.read_snapshot(spark, batch), self._dir("base", batch))
         return batch
 
-    def _commit(self, spark: SparkSession, batch: int, marker: dict, replace: bool = False) -> None:
-        fs, p = _fs(spark, f"{self.commits_path}/{batch}.json")
-        tmp_fs, tmp = _fs(spark, f"{self.commits_path}/.{batch}.json.tmp")
-        stream = tmp_fs.create(tmp, True)
-        try:
-            stream.write(json.dumps(marker).encode("utf-8"))
-        finally:
-            stream.close()
-        if replace and fs.exists(p):
-            fs.delete(p, False)
-        if not fs.rename(tmp, p):
-            raise OSError(f"could not commit batch {batch} of {self.name}")
-
     def expire(self, spark: SparkSession, before: int) -> list[int]:
         """Remove batches ``< before`` that the snapshot no longer needs
         (older than the latest base) and no consumer needs (``before`` is the
-        smallest consumer watermark + 1).  Returns the removed batch ids."""
-        committed = self.committed(spark)
-        bases = [b for b in committed if self.marker(spark, b).get("base")]
+        smallest consumer watermark + 1).  Returns the removed batch ids.
+        What an interrupted expiry left behind goes with the next one."""
+        bases = self.bases(spark)
         if not bases:
             return []
         limit = min(before, bases[-1])
-        removed = []
-        for b in committed:
-            if b >= limit:
-                continue
-            fs, p = _fs(spark, f"{self.path}/{BATCH_ID_COLUMN}={b}")
-            if fs.exists(p):
-                fs.delete(p, True)
-            fs, c = _fs(spark, f"{self.commits_path}/{b}.json")
-            fs.delete(c, False)
-            removed.append(b)
+        removed = [b for b in self.committed(spark) if b < limit]
+        for kind in ("changes", "base"):
+            for b in self._batches(spark, kind, marker=""):
+                if b < limit:
+                    fs, marker = _fs(spark, self._dir(kind, b) + "/_SUCCESS")
+                    fs.delete(marker, False)
+                    fs.delete(_fs(spark, self._dir(kind, b))[1], True)
         return removed
 
+    def drop(self, spark: SparkSession) -> None:
+        fs, p = _fs(spark, self.path)
+        fs.delete(p, True)
+
 
 def register_table(spark: SparkSession, table: ZoneTable, qualified_name: str) -> DataFrame:
-    """Expose the current snapshot under a catalog name (a view over the
-    merge-on-read snapshot; an external ``CREATE TABLE ... LOCATION`` cannot
-    express the base + changes selection)."""
-    df = table.read_snapshot(spark)
-    if df is None:
+    """Register the current snapshot in the catalog as an external table over
+    its base directory, which is written if there is none yet.  A table
+    registered before is moved to the new base."""
+    batch = table.compact(spark)
+    if batch is None:
         raise ValueError(f"{table.name} has no committed batch")
-    df.createOrReplaceTempView(qualified_name)
-    return spark.table(qualified_name)
+    location = table._dir("base", batch).replace("'", "\\'")
+    name = ".".join(f"`{part}`" for part in qualified_name.split("."))
+    if "." in qualified_name:
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {name.rsplit('.', 1)[0]}")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING parquet LOCATION '{location}'")
+    spark.sql(f"ALTER TABLE {name} SET LOCATION '{location}'")
+    spark.catalog.refreshTable(name)
+    return spark.table(name)

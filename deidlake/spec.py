@@ -31,11 +31,6 @@ class ColumnRole(Enum):
     DATE = "date"
 
 
-class DateUnit(Enum):
-    MONTH = "month"
-    HOUR = "hour"
-
-
 def _as_tuple(value, what: str) -> tuple[str, ...]:
     if isinstance(value, str):
         # ("COLUMN_1") is a string, not a tuple: refuse it instead of
@@ -104,10 +99,6 @@ class TableSpec:
     def short_name(self) -> str:
         return self.name.split(".", 1)[1] if "." in self.name else self.name
 
-    @property
-    def schema_name(self) -> str:
-        return self.name.split(".", 1)[0] if "." in self.name else ""
-
 
 SPEC_SCHEMA = "table_name string, column_name string, role string"
 

@@ -1,10 +1,11 @@
-"""Incremental propagation with Structured Streaming.
-
-The change partitions of a zone table are a file stream; a query with
-``trigger(availableNow=True)`` consumes everything new since its
-checkpoint and stops, so a scheduled run is exactly-once without any
-marker bookkeeping.  ``foreachBatch`` applies the (possibly multi-batch)
-micro-batch with the same keyed replace as the batch job.
+"""Incremental propagation for any consumer of a zone table.
+
+A consumer keeps a marker of its own, a small Parquet table of the batch ids
+it has consumed.  A run lists the published batches beyond the marker, reads
+exactly those, applies them with the keyed replace of the batch jobs, and
+appends the newest id to the marker.  Files that appear meanwhile belong to a
+batch that is not published yet, and wait for the next run.  A crash between
+applying and marking repeats the batches, which the keyed replace allows.
 """
 
 from __future__ import annotations
@@ -13,61 +14,28 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-from deidlake.constants import BATCH_ID_COLUMN, CHANGE_TYPE_COLUMN
-from deidlake.sources.zones import SIDE, ZoneTable
-
-
-class UncommittedBatch(RuntimeError):
-    """Raised inside a micro-batch that saw files of a batch whose commit
-    marker is not written yet; the query fails without advancing its
-    checkpoint and the next run sees the files again."""
-
-
-def change_stream(spark: SparkSession, table: ZoneTable) -> DataFrame:
-    """Streaming change rows (data + ``_change_type`` + ``batch_id``)."""
-    latest = table.latest(spark)
-    if latest is None:
-        raise ValueError(f"{table.name} has no committed batch yet")
-    data = table.schema(spark, latest)
-    full = T.StructType(list(data.fields) + [
-        T.StructField(BATCH_ID_COLUMN, T.LongType()), T.StructField(SIDE, T.StringType())
-    ])
-    # files of an abandoned (never committed) attempt may be deleted when the
-    # batch is retried; a replayed micro-batch must not fail on them
-    stream = spark.readStream.schema(full).option("ignoreMissingFiles", "true").parquet(table.path)
-    # the filter on the partition column prunes the compacted base files
-    return stream.where(F.col(SIDE).isin("insert", "delete")).withColumnRenamed(SIDE, CHANGE_TYPE_COLUMN)
-
-
-def run_available_now(spark: SparkSession, src: ZoneTable, checkpoint: str,
-                      apply: Callable[[DataFrame, int], None], timeout_s: float | None = None) -> None:
-    """Consume all committed changes of ``src`` not yet seen by
-    ``checkpoint``; ``apply(feed, newest_batch_id)`` writes the result."""
-
-    def each(batch_df: DataFrame, epoch_id: int) -> None:
-        ids = [r[0] for r in batch_df.select(BATCH_ID_COLUMN).distinct().collect()]  # few batch ids
-        if not ids:
-            return
-        committed = set(src.committed(spark))
-        missing = [b for b in ids if b not in committed]
-        if missing:
-            raise UncommittedBatch(f"batches {missing} of {src.name} are not committed yet")
-        apply(batch_df, max(ids))
 
-    query = (
-        change_stream(spark, src).writeStream.foreachBatch(each)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-    try:
-        finished = query.awaitTermination(timeout_s)
-    finally:
-        if query.isActive:
-            query.stop()  # timed out: do not leave a query running
-    if query.exception() is not None:
-        raise query.exception()
-    if finished is False:
-        raise TimeoutError(f"incremental run over {src.name} did not finish in {timeout_s}s")
+from deidlake.constants import BATCH_ID_COLUMN
+from deidlake.sources.zones import ZoneTable, _fs
+
+
+def consumed(spark: SparkSession, marker: str) -> int | None:
+    """The newest batch id in the marker table, None for a new consumer."""
+    fs, p = _fs(spark, marker + "/_SUCCESS")
+    if not fs.exists(p):
+        return None
+    return spark.read.schema(f"{BATCH_ID_COLUMN} long").parquet(marker).agg(F.max(BATCH_ID_COLUMN)).first()[0]
+
+
+def run_available_now(spark: SparkSession, src: ZoneTable, marker: str,
+                      apply: Callable[[DataFrame, int], None]) -> int | None:
+    """Consume all committed changes of ``src`` that ``marker`` doesn't name;
+    ``apply(feed, newest_batch_id)`` writes the result.  Returns the newest
+    batch id, None if there was nothing new."""
+    new = src.unconsumed(spark, consumed(spark, marker))
+    if new is None:
+        return None
+    newest, feed = new
+    apply(feed, newest)
+    spark.range(1).select(F.lit(newest).cast("long").alias(BATCH_ID_COLUMN)).coalesce(1).write.mode("append").parquet(marker)
+    return newest

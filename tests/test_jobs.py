@@ -4,7 +4,7 @@ from deidlake.constants import TEST_HASH_SALT
 from deidlake.plans import jobs
 from deidlake.sources.jdbc import JdbcSource, partition_options, projected_query
 from deidlake.sources.zones import ZoneTable
-from deidlake.spec import ColumnRole, TableSpec, UpdateMode
+from deidlake.spec import ColumnRole, TableSpec, UpdateMode, spec_df
 from deidlake.streaming.incremental import run_available_now
 
 SCHEMA = "SequenceID int, ClientID string, DateAndTime timestamp, NoteText string"
@@ -20,14 +20,25 @@ SPEC = TableSpec(
 SKIPPED = TableSpec("dbo.Other", ("a",), UpdateMode.NOT_IMPORT)
 
 
+def ingest(spark, cfg, specs, read_source, batch):
+    """Ingestion against a live catalog that agrees with the specs."""
+    live = spec_df(spark, specs).select("table_name", "column_name")
+    return jobs.run_ingestion(spark, cfg, specs, read_source, batch, live)
+
+
 def one_round(spark, cfg, data, batch):
     src = spark.createDataFrame(data, SCHEMA)
-    logged = jobs.run_ingestion(spark, cfg, [SPEC, SKIPPED], lambda spec: src, batch)
+    logged = ingest(spark, cfg, [SPEC, SKIPPED], lambda spec: src, batch)
     jobs.run_deidentification(spark, cfg, [SPEC, SKIPPED])
     jobs.run_entity_extraction(spark, cfg, [SPEC, SKIPPED])
     return logged
 
 
+def leave_unpublished(spark, df, path):
+    """What a crash before the commit leaves: data files without _SUCCESS."""
+    df.write.mode("overwrite").option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(path)
+
+
 def test_two_rounds_end_to_end(spark, root):
     cfg = jobs.RunConfig(root=root, salt=TEST_HASH_SALT, extract_entities=True)
     logged = one_round(spark, cfg, ROUND1, 1)
@@ -64,7 +75,7 @@ def test_unconsumed_batches_are_netted(spark, root):
                      keys=("k",))
     for batch, data in enumerate([[(1, "a"), (2, "b")], [(1, "a")], [(1, "a"), (2, "b2")]], start=1):
         df = spark.createDataFrame(data, "k long, v string")
-        jobs.run_ingestion(spark, cfg, [spec], lambda s, df=df: df, batch)
+        ingest(spark, cfg, [spec], lambda s, df=df: df, batch)
         if batch == 1:
             jobs.run_deidentification(spark, cfg, [spec])
     jobs.run_deidentification(spark, cfg, [spec])
@@ -75,35 +86,35 @@ def test_unconsumed_batches_are_netted(spark, root):
     assert ZoneTable(root, "bronze", spec.name).read_snapshot(spark).count() == 2
 
 
-def test_streaming_available_now_restart(spark, root, tmp_path):
+def test_incremental_consumer_restart(spark, root, tmp_path):
     cfg = jobs.RunConfig(root=root, salt=TEST_HASH_SALT)
     spec = TableSpec("dbo.S", ("k", "v"), UpdateMode.DROP_AND_RECREATE, {}, keys=("k",))
     bronze, silver = ZoneTable(root, "bronze", spec.name), ZoneTable(root, "silver", spec.name)
-    ckpt = str(tmp_path / "ckpt")
+    marker = str(tmp_path / "marker")
 
     def apply(feed, newest):
         jobs.apply_feed(spark, feed, silver, ["k"], ["k"], lambda d: d, lambda d: d, newest)
 
-    def ingest(batch, data):
+    def load(batch, data):
         df = spark.createDataFrame(data, "k long, v string")
-        jobs.run_ingestion(spark, cfg, [spec], lambda s: df, batch)
+        ingest(spark, cfg, [spec], lambda s: df, batch)
 
-    ingest(1, [(1, "a"), (2, "b")])
-    ingest(2, [(1, "a2"), (3, "c")])
-    run_available_now(spark, bronze, ckpt, apply, timeout_s=120)
+    load(1, [(1, "a"), (2, "b")])
+    load(2, [(1, "a2"), (3, "c")])
+    run_available_now(spark, bronze, marker, apply)
     assert sorted(tuple(r) for r in silver.read_snapshot(spark).collect()) == [(1, "a2"), (3, "c")]
     first = silver.committed(spark)
-    run_available_now(spark, bronze, ckpt, apply, timeout_s=120)   # nothing new
+    run_available_now(spark, bronze, marker, apply)   # nothing new
     assert silver.committed(spark) == first
-    ingest(3, [(3, "c"), (4, "d")])
-    run_available_now(spark, bronze, ckpt, apply, timeout_s=120)
+    load(3, [(3, "c"), (4, "d")])
+    run_available_now(spark, bronze, marker, apply)
     assert sorted(tuple(r) for r in silver.read_snapshot(spark).collect()) == [(3, "c"), (4, "d")]
 
 
 def test_empty_first_batch_keeps_schema(spark, root):
     cfg = jobs.RunConfig(root=root, salt=TEST_HASH_SALT)
     empty = spark.createDataFrame([], SCHEMA)
-    jobs.run_ingestion(spark, cfg, [SPEC], lambda s: empty, 1)
+    ingest(spark, cfg, [SPEC], lambda s: empty, 1)
     jobs.run_deidentification(spark, cfg, [SPEC])
     silver = ZoneTable(root, "silver", SPEC.name).read_snapshot(spark)
     assert silver.count() == 0 and "ClientID_hashed" in silver.columns and "ClientID" not in silver.columns
@@ -124,7 +135,7 @@ def test_compaction_keeps_snapshot_and_abandoned_batch_is_replaced(spark, root):
     bronze = ZoneTable(root, "bronze", spec.name)
     for batch, data in enumerate([[(1, "a"), (2, "b")], [(2, "b2"), (3, "c")], [(3, "c"), (4, "d")]], start=1):
         df = spark.createDataFrame(data, "k long, v string")
-        jobs.run_ingestion(spark, cfg, [spec], lambda s, df=df: df, bronze.next_batch(spark))
+        ingest(spark, cfg, [spec], lambda s, df=df: df, bronze.next_batch(spark))
     before = sorted(tuple(r) for r in bronze.read_snapshot(spark).collect())
     assert before == [(3, "c"), (4, "d")]
     assert bronze.compact(spark) == 3
@@ -133,12 +144,12 @@ def test_compaction_keeps_snapshot_and_abandoned_batch_is_replaced(spark, root):
     assert bronze.expire(spark, 10) == [1, 2]
     assert sorted(tuple(r) for r in bronze.read_snapshot(spark).collect()) == before
     # a crashed attempt at batch 4 left files but no commit marker
-    stray = spark.createDataFrame([(9, "x", "delete", 4)], "k long, v string, _side string, batch_id long")
-    stray.write.mode("append").partitionBy("batch_id", "_side").parquet(bronze.path)
+    stray = spark.createDataFrame([(9, "x", "delete")], "k long, v string, _change_type string")
+    leave_unpublished(spark, stray, f"{bronze.path}/changes/batch_id=4")
     assert bronze.next_batch(spark) == 4
     assert sorted(tuple(r) for r in bronze.read_snapshot(spark).collect()) == before  # uncommitted: invisible
     df = spark.createDataFrame([(4, "d"), (5, "e")], "k long, v string")
-    jobs.run_ingestion(spark, cfg, [spec], lambda s: df, 4)
+    ingest(spark, cfg, [spec], lambda s: df, 4)
     assert sorted(tuple(r) for r in bronze.read_snapshot(spark).collect()) == [(4, "d"), (5, "e")]
     assert sorted((r["k"], r["_change_type"]) for r in bronze.read_changes(spark, after=3).collect()) == [
         (3, "delete"), (5, "insert")]
@@ -152,7 +163,7 @@ def test_monitoring_compat_names_and_text_removed_before_extraction(spark, root)
     assert monitoring_rows(spark, []).count() == 0  # typed even when nothing was imported
     cfg = jobs.RunConfig(root=root, salt=TEST_HASH_SALT, text_mode="remove", extract_entities=True)
     src = spark.createDataFrame(ROUND1, SCHEMA)
-    jobs.run_ingestion(spark, cfg, [SPEC], lambda s: src, 1)
+    ingest(spark, cfg, [SPEC], lambda s: src, 1)
     jobs.run_deidentification(spark, cfg, [SPEC])
     jobs.run_entity_extraction(spark, cfg, [SPEC])
     gold = ZoneTable(root, "gold", SPEC.name).read_snapshot(spark)
@@ -167,7 +178,7 @@ def test_provisioning_and_snapshot_jobs(spark, root, tmp_path):
 
     cfg = jobs.RunConfig(root=root, salt=TEST_HASH_SALT)
     src = spark.createDataFrame(ROUND1, SCHEMA)
-    jobs.run_ingestion(spark, cfg, [SPEC], lambda s: src, 1)
+    ingest(spark, cfg, [SPEC], lambda s: src, 1)
     jobs.run_deidentification(spark, cfg, [SPEC])
     jobs.run_entity_extraction(spark, cfg, [SPEC])
     req = encode_request({SPEC.name: TableRequest(("SequenceID", "DateAndTime"), "SequenceID > 1")})
@@ -214,3 +225,82 @@ def test_ingestion_validates_live_catalog_first(spark, root):
     ok = live.where("column_name <> 'Extra'")
     jobs.run_ingestion(spark, cfg, [SPEC], lambda s: src, 1, live_catalog=ok)
     assert ZoneTable(root, "bronze", SPEC.name).read_snapshot(spark).count() == 2
+
+
+def changes_table(spark, root, batches):
+    """A zone table with the given (key, value, side) rows as batches."""
+    zt = ZoneTable(root, "bronze", "dbo.Z")
+    for batch, data in batches.items():
+        zt.write_batch(spark, spark.createDataFrame(data, "k long, v string, _side string"), batch, ["k"])
+    return zt
+
+
+def test_consumer_waits_for_a_batch_whose_files_are_still_appearing(spark, root, tmp_path):
+    src = changes_table(spark, root, {1: [(1, "a", "insert")]})
+    marker, seen = str(tmp_path / "marker"), []
+
+    def apply(feed, newest):
+        seen.append((newest, sorted(r["k"] for r in feed.collect())))
+
+    # half of batch 2 is there when the first run lists the table
+    part = spark.createDataFrame([(2, "b", "insert")], "k long, v string, _change_type string")
+    leave_unpublished(spark, part, f"{src.path}/changes/batch_id=2")
+    assert run_available_now(spark, src, marker, apply) == 1
+    src.write_batch(spark, spark.createDataFrame([(2, "b", "insert"), (3, "c", "insert")],
+                                                 "k long, v string, _side string"), 2, ["k"])
+    assert run_available_now(spark, src, marker, apply) == 2
+    assert run_available_now(spark, src, marker, apply) is None
+    assert seen == [(1, [1]), (2, [2, 3])]
+
+
+def test_crash_inside_compaction_and_expiry_keeps_every_batch(spark, root, monkeypatch):
+    from deidlake.sources import zones
+
+    zt = changes_table(spark, root, {1: [(1, "a", "insert"), (2, "b", "insert")], 2: [(2, None, "delete"), (3, "c", "insert")]})
+    want = [(1, "a"), (3, "c")]
+    # the data of the base is written, its publication fails
+    monkeypatch.setattr(zones, "_publish", lambda df, path: leave_unpublished(spark, df, path))
+    zt.compact(spark)
+    monkeypatch.undo()
+    assert zt.committed(spark) == [1, 2] and zt.bases(spark) == [] and zt.next_batch(spark) == 3
+    assert sorted(tuple(r) for r in zt.read_snapshot(spark).collect()) == want
+    assert zt.compact(spark) == 2 and zt.bases(spark) == [2]
+    # expiry got as far as batch 1's _SUCCESS
+    fs, p = zones._fs(spark, f"{zt.path}/changes/batch_id=1/_SUCCESS")
+    fs.delete(p, False)
+    assert zt.committed(spark) == [2] and zt.next_batch(spark) == 3
+    assert sorted(tuple(r) for r in zt.read_snapshot(spark).collect()) == want
+    zt.expire(spark, 10)
+    assert not fs.exists(p.getParent())  # the leftovers went
+
+
+def test_new_consumer_of_expired_history_starts_from_the_snapshot(spark, root):
+    zt = changes_table(spark, root, {1: [(1, "a", "insert")], 2: [(2, "b", "insert")]})
+    zt.compact(spark)
+    zt.expire(spark, 3)
+    newest, feed = zt.unconsumed(spark, None)
+    assert newest == 2
+    assert sorted((r["k"], r["_change_type"]) for r in feed.collect()) == [(1, "insert"), (2, "insert")]
+    assert zt.unconsumed(spark, 2) is None
+
+
+def test_gold_tables_are_registered_by_name(spark, root):
+    cfg = jobs.RunConfig(root=root, salt=TEST_HASH_SALT)
+    for batch, data in ((1, ROUND1), (2, ROUND2)):
+        src = spark.createDataFrame(data, SCHEMA)
+        ingest(spark, cfg, [SPEC], lambda s: src, batch)
+        jobs.run_deidentification(spark, cfg, [SPEC])
+        jobs.run_entity_extraction(spark, cfg, [SPEC], database="gold_db")
+        got = spark.newSession().sql("SELECT SequenceID FROM gold_db.dbo_PrgProgressNote ORDER BY 1").collect()
+        assert [r[0] for r in got] == sorted(r[0] for r in data)
+    spark.sql("DROP DATABASE gold_db CASCADE")
+
+
+def test_snapshot_checksum_sees_contents(spark):
+    from deidlake.operators.snapshot import content_checksum
+
+    a = spark.createDataFrame([(1, "x"), (2, None)], "k int, v string")
+    same = spark.createDataFrame([(2, None), (1, "x")], "k int, v string")
+    other = spark.createDataFrame([(1, "y"), (2, None)], "k int, v string")
+    assert content_checksum(a).first() == content_checksum(same).first() != content_checksum(other).first()
+    assert content_checksum(a.limit(0)).first() == (0, None)

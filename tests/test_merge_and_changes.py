@@ -180,3 +180,31 @@ def test_full_update_result_is_source_as_a_set_and_rerun_is_quiet(spark, old, ne
     again = snapshot_of(tagged)
     again = spark.createDataFrame(rows(again), again.schema)
     assert changes_of(merge_tagged(again, spark.createDataFrame(new, KV), [], mode)).count() == 0
+
+
+def test_merge_changes_by_key(spark):
+    from deidlake.operators.merge import merge_changes
+
+    target = spark.createDataFrame([(1, "a"), (2, "b"), (None, "n")], "k int, v string")
+    source = spark.createDataFrame([(1, "changed"), (3, "c"), (3, "d"), (None, "x")], "k int, v string")
+    got = merge_changes(target, source, ["k"], UpdateMode.APPEND_AND_REMOVE)
+    assert rows(got, "k", "v", "_side") == [(2, None, "delete"), (3, "c", "insert")]
+
+
+def test_columns_must_agree_and_have_an_order(spark):
+    two = spark.createDataFrame([(1, "a")], "k int, v string")
+    with pytest.raises(ValueError, match="source lacks target columns"):
+        merge_tagged(two, two.select("k"), ["k"])
+    maps = two.selectExpr("k", "map('a', v) AS m")
+    for use in (lambda: dedupe_on_key(maps, ["k"]), lambda: merge_tagged(None, maps, ["k"])):
+        with pytest.raises(TypeError, match="'m'"):
+            use()
+
+
+def test_apply_changes_with_null_keys(spark):
+    target = spark.createDataFrame([(None, "n"), (1, "a"), (2, "b")], "key int, v string")
+    net = spark.createDataFrame([(None, "n2", "insert", 1), (2, None, "delete", 1), (3, "c", "insert", 1)],
+                                "key int, v string, _change_type string, batch_id long")
+    want = [(1, "a"), (3, "c"), (None, "n2")]
+    assert rows(ch.apply_changes(target, net, ["key"])) == want
+    assert rows(ch.replace_by_key(target, net, ["key"])) == want

@@ -3,7 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry
-from deidlake.operators.merge import merge_tagged
+from deidlake.operators.merge import merge_changes, merge_tagged
 from deidlake.spec import UpdateMode
 
 SF = "/root/testdata/sf0.001"
@@ -48,15 +48,26 @@ def test_projection_and_filter_reach_the_scan(static):
     assert "ReadSchema: struct<o_orderkey:bigint,o_orderstatus:string,o_totalprice:double,o_orderdate:timestamp_ntz>" in p
 
 
-def test_zone_reads_are_partition_pruned(spark, root):
-    from deidlake.plans import jobs
+def test_zone_reads_open_only_the_requested_batches(spark, root):
     from deidlake.sources.zones import ZoneTable
-    from deidlake.spec import TableSpec
-
-    spec = TableSpec("dbo.P", ("k", "v"), UpdateMode.DROP_AND_RECREATE, {}, keys=("k",))
-    cfg = jobs.RunConfig(root=root, salt="s")
-    for b, data in enumerate([[(1, "a")], [(2, "b")]], start=1):
-        df = spark.createDataFrame(data, "k long, v string")
-        jobs.run_ingestion(spark, cfg, [spec], lambda s, df=df: df, b)
-    p = plan(ZoneTable(root, "bronze", spec.name).read_changes(spark, after=1))
-    assert "PartitionFilters: [isnotnull(batch_id" in p and "_side" in p.split("PartitionFilters:")[1]
+
+    zt = ZoneTable(root, "bronze", "dbo.P")
+    for b in (1, 2):
+        zt.write_batch(spark, spark.createDataFrame([(b, "insert")], "k long, _side string"), b, ["k"])
+    files = zt.read_changes(spark, after=1).inputFiles()
+    assert files and all("/changes/batch_id=2/" in f for f in files)
+
+
+def test_apply_changes_runs_each_merge_below_it_once(static):
+    p = plan(entry.queries()["apply_changes"](static, SF))
+    assert p.count("SortMergeJoin") + p.count("ShuffledHashJoin") + p.count("BroadcastHashJoin") <= 3
+
+
+def test_keyed_ingest_shuffles_only_the_targets_keys(static, tmp_path):
+    t, s = str(tmp_path / "t"), str(tmp_path / "s")
+    static.range(1000).selectExpr("id AS k", "CAST(id AS STRING) AS v").write.parquet(t)
+    static.range(500, 1500).selectExpr("id AS k", "CAST(id AS STRING) AS v").write.parquet(s)
+    p = plan(merge_changes(static.read.parquet(t), static.read.parquet(s), ["k"], UpdateMode.APPEND_AND_REMOVE))
+    assert p.count("Exchange hashpartitioning") == 2
+    scans = [line for line in p.splitlines() if "FileScan" in line]
+    assert any("ReadSchema: struct<k:bigint>" in line for line in scans)

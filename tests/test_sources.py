@@ -1,4 +1,4 @@
-from deidlake.sources.parquet import list_tables, path_exists, read_table
+from deidlake.sources.parquet import list_tables
 from deidlake.sources.zones import zone_path
 
 import pytest
@@ -10,8 +10,6 @@ def test_parquet_database_listing(spark, tmp_path):
     spark.range(2).write.parquet(f"{db}/beta.parquet")
     (tmp_path / "db" / "notes.txt").write_text("not a table")
     assert list_tables(spark, db) == ["alpha", "beta"]
-    assert read_table(spark, db, "beta").count() == 2
-    assert path_exists(spark, f"{db}/alpha.parquet") and not path_exists(spark, f"{db}/gamma.parquet")
 
 
 def test_zone_path_keeps_schema():

@@ -23,7 +23,7 @@ def test_spec_keys_and_flags():
         TableSpec("dbo.t", ("a",), UpdateMode.APPEND_AND_REMOVE)  # keys are mandatory
     skipped = TableSpec("dbo.t", ("a", "b"), UpdateMode.NOT_IMPORT, skip_columns=("b",))
     assert not skipped.is_imported and skipped.imported_columns == ("a",)
-    assert skipped.short_name == "t" and skipped.schema_name == "dbo"
+    assert skipped.short_name == "t"
 
 
 def test_spec_df(spark):
