@@ -48,13 +48,3 @@ def redact_expr(column: str | Column, entities=PII_ENTITIES, max_chars: int | No
     for p in patterns_for(entities):
         c = replace_pattern(c, p)
     return c
-
-
-def _tagger(entity: str):
-    # one-argument lambda: PySpark reads a second parameter as the index
-    return lambda s: F.struct(F.lit(entity).alias("entity"), s.alias("span"))
-
-
-def span_steps(entities=PII_ENTITIES):
-    """(pattern, tagger) per detection pass, in redaction order."""
-    return [(p, _tagger(p.entity)) for p in patterns_for(entities)]

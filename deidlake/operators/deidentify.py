@@ -18,6 +18,7 @@ from deidlake.functions.dates import coarsen
 from deidlake.functions.hashing import salted_sha256
 from deidlake.functions.text import redact_expr
 from deidlake.operators.parallel import spread
+from deidlake.operators.redact import redact_names
 from deidlake.spec import ColumnRole, TableSpec
 
 TextFn = Callable[[Column], Column]
@@ -46,11 +47,13 @@ def deidentify(
     text_mode: str = "redact",
     max_chars: int | None = None,
     row_hash_mode: str = "rekey",
+    names: DataFrame | None = None,
 ) -> DataFrame:
     """Apply the role of every classified column in a single projection.
 
     ``text_fn`` replaces the built-in regex/lexicon redaction (e.g. a pandas
     UDF wrapping a model); it receives the text column and returns a column.
+    ``names`` (term, label) adds names to the built-in PERSON and LOCATION words.
     ``row_hash_mode``: the merge key of full-update tables is an unsalted MD5
     of the raw row; ``rekey`` (default) replaces it by a salted SHA-256 of
     itself under the same name (still unique, no longer open to dictionary
@@ -87,7 +90,11 @@ def deidentify(
             kept.append(coarsen(name, df.schema[name].dataType, "hour").alias(name))
         elif role is ColumnRole.DATE:
             kept.append(coarsen(name, df.schema[name].dataType, "month").alias(name))
-    return df.select(*kept, *hashed)
+    out = df.select(*kept, *hashed)
+    if names is not None and text_mode == "redact" and text_fn is None:
+        for name in spec.role_columns(ColumnRole.FREE_TEXT):
+            out = redact_names(out, name, names)
+    return out
 
 
 def _row_hash_key(col: Column, salt: str, mode: str) -> Column:

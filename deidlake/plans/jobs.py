@@ -39,7 +39,8 @@ class RunConfig:
     entity_fn: TextFn | None = None     # pluggable extractor -> array<array<string>> (pandas UDF)
     compat_monitoring_names: bool = False
     row_hash_mode: str = "rekey"        # or "compat": keep the raw-row MD5 in silver
-    lexicon: DataFrame | None = field(default=None, repr=False)
+    lexicon: DataFrame | None = field(default=None, repr=False)  # of entity extraction
+    names: DataFrame | None = field(default=None, repr=False)    # (term, label) for redaction
     text_partitions: int | None = None  # partitions for text work; None: those of the net changes
 
     def table(self, zone: str, spec: TableSpec) -> ZoneTable:
@@ -128,7 +129,7 @@ def run_deidentification(spark: SparkSession, cfg: RunConfig, specs) -> dict[str
         done[spec.name] = _propagate(
             spark, src, dst, spec.merge_keys, deidentified_keys(spec),
             lambda df, s=spec: deidentify(_spread_text(cfg, df, s.merge_keys), s, cfg.salt, cfg.text_fn,
-                                          cfg.text_mode, cfg.max_chars, cfg.row_hash_mode),
+                                          cfg.text_mode, cfg.max_chars, cfg.row_hash_mode, cfg.names),
             lambda df, s=spec: delete_layout(df, s, cfg.salt, cfg.text_mode, cfg.row_hash_mode),
         )
     return done

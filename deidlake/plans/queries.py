@@ -386,27 +386,32 @@ def _sql_redact(expr: str, patterns) -> str:
     return expr
 
 
-def _sql_spans(expr: str, patterns) -> str:
-    cur = f"NULLIF({expr}, '')"
-    parts = []
-    for p in patterns:
+def _spans_sql(table: str, id_col: str, column: str) -> str:
+    """Spans with offsets: every pass cuts the text at a mark, so that the
+    pieces between the marks give the offsets, and masks the spans with text
+    of equal length for the next pass."""
+    mark, fill = "\ue0ff", "\ue0fe"
+    ctes = [f"t0 AS (SELECT {id_col} AS id, NULLIF({column}, '') AS t FROM {table})"]
+    found = []
+    k = 0
+    for p in pat.DEFAULT_PATTERNS:
         for _ in range(p.re2_passes):
-            parts.append(
-                f"list_transform(regexp_extract_all({cur}, {_sql_str(p.re2_regex)}, 2), "
-                f"lambda x: {{'entity': {_sql_str(p.entity)}, 'span': x}})"
-            )
-            cur = f"regexp_replace({cur}, {_sql_str(p.re2_regex)}, {_sql_str(p.re2_replacement)}, 'g')"
-    out = parts[0]
-    for part in parts[1:]:
-        out = f"list_concat({out}, {part})"
-    return out
+            regex = _sql_str(p.re2_regex)
+            ctes.append(
+                f"f{k} AS (SELECT id, t, regexp_extract_all(t, {regex}, 2) AS s, "
+                f"string_split(regexp_replace(t, {regex}, '\\1{mark}\\3', 'g'), '{mark}') AS g FROM t{k})")
+            at = "list_sum(list_transform(g[1:i], lambda x: len(x))) + COALESCE(list_sum(list_transform(s[1:i - 1], lambda x: len(x))), 0)"
+            found.append(f"SELECT id, '{p.entity}' AS entity, s[i] AS span, CAST({at} AS INTEGER) AS start "
+                         f"FROM f{k} CROSS JOIN LATERAL generate_series(1, len(s)) AS x(i)")
+            masked = ("array_to_string(list_transform(range(1, len(g) + 1), lambda i: g[i] || COALESCE('<' || "
+                      f"repeat('{fill}', greatest(len(s[i]) - 2, 0)) || '>', '')), '')")
+            ctes.append(f"t{k + 1} AS (SELECT id, {masked} AS t FROM f{k})")
+            k += 1
+    return (f"WITH {', '.join(ctes)} SELECT id AS {id_col}, '{column}' AS column_name, entity, span, start, "
+            f"CAST(start + len(span) AS INTEGER) AS \"end\" FROM ({' UNION ALL '.join(found)})")
 
 
-_SPANS_SQL = (
-    "SELECT doc_id, 'text' AS column_name, l[i].entity AS entity, l[i].span AS span "
-    f"FROM (SELECT doc_id, {_sql_spans('text', pat.DEFAULT_PATTERNS)} AS l FROM documents) "
-    "CROSS JOIN LATERAL generate_series(1, len(l)) AS g(i)"
-)
+_SPANS_SQL = _spans_sql("documents", "doc_id", "text")
 
 
 @register("redact_email", f"SELECT doc_id, {_sql_redact('text', [pat.EMAIL])} AS text FROM documents")
@@ -434,6 +439,22 @@ def q_redact_text(spark, sf_dir):
     return redact_table(conv.unionByName(docs), ["conv_id", "turn"], ["text"])
 
 
+@register(
+    "redact_pages",
+    f"SELECT page_id, {_sql_redact('url', pat.DEFAULT_PATTERNS)} AS url, "
+    f"{_sql_redact('html', pat.DEFAULT_PATTERNS)} AS html FROM pages",
+)
+def q_redact_pages(spark, sf_dir):
+    pages = d.table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return redact_table(pages, ["page_id"], ["url", "html"])
+
+
+@register("pii_spans_pages", " UNION ALL ".join(f"SELECT * FROM ({_spans_sql('pages', 'page_id', c)})" for c in ("url", "html")))
+def q_pii_spans_pages(spark, sf_dir):
+    pages = d.table(spark, sf_dir, "pages")
+    return pii_spans(pages, ["page_id"], "url").unionByName(pii_spans(pages, ["page_id"], "html"))
+
+
 @register("pii_spans", _SPANS_SQL)
 def q_pii_spans(spark, sf_dir):
     return pii_spans(d.table(spark, sf_dir, "documents"), ["doc_id"], "text")

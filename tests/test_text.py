@@ -57,3 +57,67 @@ def test_spans_and_audit(texts):
     assert (3, "PERSON", "John Smith") in got
     audit = dict((r["entity"], (r["n_spans"], r["n_rows"])) for r in redaction_audit(spans, "id").collect())
     assert audit["LOCATION"][0] == 4 and audit["PERSON"][1] == 3
+
+
+# hand-written: (id, entity, span, start) of the cases above, and of texts
+# where a span follows another of a different length
+EXPECTED = {
+    0: [("EMAIL_ADDRESS", "john.doe@example.com", 9), ("URL", "https://example.org/a?b=1", 39)],
+    1: [("PHONE_NUMBER", "+1 (743) 555-3824", 5), ("PHONE_NUMBER", "555-123-4567", 27)],
+    3: [("PERSON", "John Smith", 0), ("PERSON", "Adam", 11), ("PERSON", "Anna", 16),
+        ("LOCATION", "London", 28), ("LOCATION", "Paris", 35), ("LOCATION", "Berlin", 41)],
+    6: [("EMAIL_ADDRESS", "a@b.co", 0), ("EMAIL_ADDRESS", "c@d.io", 7),
+        ("URL", "https://x.y/z,www.q.org", 14)],
+}
+
+
+def test_span_offsets(texts):
+    got = pii_spans(texts, ["id"], "text").collect()
+    for i, want in EXPECTED.items():
+        mine = sorted((r["start"], r["entity"], r["span"]) for r in got if r["id"] == i)
+        assert mine == sorted((s, e, x) for e, x, s in want)
+    for r in got:
+        assert CASES[r["id"]][r["start"]:r["end"]] == r["span"]
+
+
+def test_all_six_entities_with_offsets(spark):
+    text = "é😀 Anna wrote a.b@c.org on 2023-08-16 from Paris, see https://x.org/y or call 555-123-4567."
+    want = [("PERSON", "Anna"), ("EMAIL_ADDRESS", "a.b@c.org"), ("DATE_TIME", "2023-08-16"),
+            ("LOCATION", "Paris"), ("URL", "https://x.org/y"), ("PHONE_NUMBER", "555-123-4567")]
+    df = spark.createDataFrame([(1, text)], "id int, text string")
+    got = sorted((r["start"], r["entity"], r["span"], r["end"]) for r in pii_spans(df, ["id"], "text").collect())
+    assert got == sorted((text.index(s), e, s, text.index(s) + len(s)) for e, s in want)
+
+
+def test_names_from_a_lexicon(spark):
+    from deidlake.operators.redact import redact_names
+
+    lexicon = spark.createDataFrame([("john", "PERSON"), ("Smith", "PERSON"), ("Priya Nair", "PERSON"), ("Date", "PERSON"),
+                                     ("Prague", "LOCATION"), ("San Juan Bautista del Monte Alto", "LOCATION")],
+                                    "term string, label string")
+    cases = {
+        "john smith and Priya Nair met in Prague": "<PERSON> and <PERSON> met in <LOCATION>",
+        "Johnson, prague.": "Johnson, <LOCATION>.",
+        "  <DATE_TIME> Date!": "  <DATE_TIME> <PERSON>!",
+        "San Juan Bautista del Monte Alto": "<LOCATION>",
+        "nothing here": "nothing here",
+        "": "",
+        None: None,
+    }
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(cases)] * 2, "id int, text string")
+    got = redact_names(df, "text", lexicon).collect()
+    assert len(got) == 2 * len(cases)
+    for r in got:
+        assert r["text"] == list(cases.values())[r["id"]]
+    exact = redact_names(df, "text", lexicon, case_sensitive=True).where("id = 0").first()["text"]
+    assert exact == "<PERSON> smith and <PERSON> met in <LOCATION>"
+
+
+def test_deidentify_takes_names(spark):
+    from deidlake.operators.deidentify import deidentify
+    from deidlake.spec import ColumnRole, TableSpec, UpdateMode
+
+    names = spark.createDataFrame([("Priya", "PERSON")], "term string, label string")
+    spec = TableSpec("dbo.N", ("k", "note"), UpdateMode.APPEND_AND_REMOVE, {ColumnRole.FREE_TEXT: ("note",)}, keys=("k",))
+    df = spark.createDataFrame([(1, "priya Smith in London")], "k int, note string")
+    assert deidentify(df, spec, "s", names=names).first()["note"] == "<PERSON> in <LOCATION>"
