@@ -8,8 +8,8 @@ of the text (``add``, ``subtract``).
 A paragraph's vector has two parts.  ``EXACT`` lanes are uniform 16-bit
 numbers from a hash of the whole paragraph: equal sums mean, but for chance
 of 2^-128, equal multisets.  ``SKETCH`` lanes add up +1 or -1 for each word
-triple of the paragraph (a shorter paragraph is one shingle), and one lane
-counts the shingles.  In the difference of two fingerprints everything the
+triple of the paragraph (a shorter paragraph is one shingle), and the last two
+lanes are one number modulo 2^32, the count of the shingles.  In the difference of two fingerprints everything the
 texts share cancels, and the mean square of the sketch lanes estimates how
 many shingles are left (the tug-of-war sketch), which gives the likeness
 1 - left / all.  Sketch lanes are read as signed numbers; they hold up to
@@ -37,7 +37,7 @@ from deidlake.llm.common import NO_ID, mix64, small_batches, partitions, pieces,
 
 EXACT, SKETCH = 8, 96
 SHINGLE = 3
-LANES = EXACT + SKETCH + 1
+LANES = EXACT + SKETCH + 2
 _TRIPLE = 0x8C4B2D19E3F7A651
 
 
@@ -83,7 +83,7 @@ def vectors(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         bits = np.unpackbits(byte[:, None], axis=1)
         ones = np.add.reduceat(bits, edges, axis=0, dtype=np.int64)
         out[have, EXACT + low:EXACT + low + 8] = (2 * ones - total[:, None]).astype(np.uint16)
-    out[have, -1] = total.astype(np.uint16)
+    out[have, -2], out[have, -1] = total.astype(np.uint16), (total >> 16).astype(np.uint16)
     return out
 
 
@@ -92,21 +92,29 @@ def _covering(paragraphs: np.ndarray) -> np.ndarray:
     return paragraphs if paragraphs[0] == 0 else np.concatenate([[0], paragraphs])
 
 
+def _count(a: np.ndarray) -> np.ndarray:
+    return a[..., -2].astype(np.uint32) | (a[..., -1].astype(np.uint32) << np.uint32(16))
+
+
+def _with_count(a: np.ndarray, count: np.ndarray) -> np.ndarray:
+    a[..., -2], a[..., -1] = count.astype(np.uint16), (count >> np.uint32(16)).astype(np.uint16)
+    return a
+
+
 def add(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Fingerprint of a text with the paragraphs of another one added."""
-    return a + b
+    return _with_count(a + b, _count(a) + _count(b))
 
 
 def subtract(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Fingerprint of a text with the paragraphs of another one deleted."""
-    return a - b
+    return _with_count(a - b, _count(a) - _count(b))
 
 
 def likeness(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Likeness (0 to 1) of fingerprints, row by row."""
-    left = ((a - b)[:, EXACT:-1].view(np.int16).astype(np.float64) ** 2).mean(axis=1)
-    # the counts modulo 2^16; texts of more shingles have more than the sketch tells
-    every = np.maximum(a[:, -1].astype(np.float64) + b[:, -1], 1)
+    left = (np.ascontiguousarray((a - b)[:, EXACT:-2]).view(np.int16).astype(np.float64) ** 2).mean(axis=1)
+    every = np.maximum(_count(a).astype(np.float64) + _count(b), 1)
     same = (a == b).all(axis=1)
     return np.where(same, 1.0, np.clip(1 - left / every, 0, 1))
 

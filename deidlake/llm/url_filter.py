@@ -112,12 +112,12 @@ def branches(tree: DataFrame) -> DataFrame:
     same = F.coalesce(enough & (F.col("share") - before["share"] <= Z_SAME * error), F.lit(False))
     marked = leaves.withColumn("opens", F.when(same, F.lit(0)).otherwise(F.lit(1)))
     grouped = marked.withColumn("branch", F.sum("opens").over(siblings))
-    total = leaves.agg((F.sum("rejected") / F.sum("labels")).alias("prior"))  # one row
+    prior = leaves.agg((F.sum("rejected") / F.sum("labels")).alias("prior")).scalar()
     merged = grouped.groupBy("host", "shape", "branch").agg(
         F.sum("labels").alias("branch_labels"), F.sum("rejected").alias("branch_rejected"),
         F.collect_list("template").alias("members"))
-    merged = merged.join(F.broadcast(total), how="left").where("branch_labels > 0")
-    purity = (F.col("branch_rejected") + PRIOR_WEIGHT * F.col("prior")) / (F.col("branch_labels") + PRIOR_WEIGHT)
+    merged = merged.where("branch_labels > 0")
+    purity = (F.col("branch_rejected") + PRIOR_WEIGHT * prior) / (F.col("branch_labels") + PRIOR_WEIGHT)
     return merged.select("host", F.explode("members").alias("template"), purity.alias("purity"),
                          F.col("branch_labels").alias("labels"))
 

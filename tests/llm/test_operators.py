@@ -334,6 +334,18 @@ def test_fingerprints_of_edited_texts(request, name):
     assert all(0 <= r["near_edited"] <= 1 and 0 <= r["near_next"] <= 1 for r in got)
 
 
+def test_likeness_of_very_long_texts():
+    """More shingles than 2^16: the count must not wrap."""
+    lines = [" ".join(f"w{k}x{i}" for i in range(10)) for k in range(10_000)]
+    def of(ls):
+        data = np.frombuffer("\n".join(ls).encode(), np.uint8)
+        return fingerprint.vectors(data, np.array([0, len(data)]))
+    whole = of(lines)
+    assert (fingerprint.add(of(lines[:9_000]), of(lines[9_000:])) == whole).all()
+    assert (fingerprint.subtract(whole, of(lines[9_000:])) == of(lines[:9_000])).all()
+    assert abs(fingerprint.likeness(whole, of(lines[:9_000] + [x.replace("w", "v") for x in lines[9_000:]]))[0] - 0.9) < 0.05
+
+
 def test_fingerprint_is_a_multiset_hash():
     def of(text):
         data = np.frombuffer(text.encode(), np.uint8)
