@@ -4,16 +4,18 @@ path-template tree per host.  DataFrame operations only.
 Tree: a segment that holds nothing but an identifier (digits, a long
 hexadecimal string, a date; an extension may follow) becomes a wildcard by
 its form.  Then, per host and parent, children of which there are many and
-most occur once are variable too and become one wildcard.  Branches with the
-same shape under a host that differ only in literal segments are put in order
-of their share of rejected labels; neighbours whose shares don't differ
-significantly are merged.  A branch is rejected if its purity, the share of
-rejected labels smoothed by the overall share, is high enough and rests on
-enough labels.  An URL without labelled company is allowed.
+most occur once are variable too and become one wildcard.  Branches with
+enough labels that have the same shape under a host, i.e. differ only in
+literal segments, are put in order of their share of rejected labels;
+neighbours whose shares don't differ significantly are merged.  A branch is
+rejected if its purity, the share of rejected labels smoothed by the overall
+share, is high enough.  An URL without labelled company is allowed.
 
 Everything after the parsing works on the table of distinct (host, template)
 with counts, which partial aggregation makes before the shuffle, so a host
-with a third of all URLs costs its distinct templates.
+with a third of all URLs costs its distinct templates.  Templates whose shares
+agree to a thousandth don't differ and are added up first: what is put in
+order is at most ``SHARES`` + 1 rows for each host and shape.
 
 Defined results: a null URL, or one without "://", has an empty host and
 path and no rule; ties between rules of one length go to the smaller text;
@@ -37,6 +39,8 @@ MANY_CHILDREN = 30
 PRIOR_WEIGHT = 5.0
 REJECT_PURITY = 0.8
 LEAST_LABELS = 5
+#: Shares are told apart to one part in so many.
+SHARES = 1000
 #: Standard normal quantile up to which two shares don't differ.
 Z_SAME = 1.96
 
@@ -98,34 +102,33 @@ def templates(urls: DataFrame) -> DataFrame:
 
 
 def branches(tree: DataFrame) -> DataFrame:
-    """(host, template, purity, labels): templates after merging; ``purity``
-    is that of the merged branch, null where no label is known."""
-    leaves = tree.groupBy("host", "template").agg(*[F.sum(c).alias(c) for c in ("n", "labels", "rejected")])
-    shape = F.transform("template", lambda s: s == "*")
-    leaves = leaves.withColumn("shape", shape).withColumn(
-        "share", F.when(F.col("labels") > 0, F.col("rejected") / F.col("labels")))
-    siblings = Window.partitionBy("host", "shape").orderBy(F.col("share").asc_nulls_first(), "template")
-    before = {c: F.lag(c).over(siblings) for c in ("labels", "rejected", "share")}
+    """(host, template, purity, labels) of the templates with enough labels,
+    after merging: ``purity`` and ``labels`` are those of the merged branch."""
+    leaves = tree.groupBy("host", "template").agg(*[F.sum(c).alias(c) for c in ("labels", "rejected")])
+    prior = leaves.agg((F.sum("rejected") / F.sum("labels")).alias("prior")).scalar()
+    share = F.round(SHARES * F.col("rejected") / F.col("labels")).cast("int")
+    leaves = leaves.where(F.col("labels") >= LEAST_LABELS).select(
+        "host", "template", "labels", "rejected", F.transform("template", lambda s: s == "*").alias("shape"), share.alias("share"))
+    levels = leaves.groupBy("host", "shape", "share").agg(*[F.sum(c).alias(c) for c in ("labels", "rejected")])
+    siblings = Window.partitionBy("host", "shape").orderBy("share")
+    before = {c: F.lag(c).over(siblings) for c in ("labels", "rejected")}
     pooled = (F.col("rejected") + before["rejected"]) / (F.col("labels") + before["labels"])
     error = F.sqrt(pooled * (1 - pooled) * (1 / F.col("labels") + 1 / before["labels"]))
-    enough = (F.col("labels") >= LEAST_LABELS) & (before["labels"] >= LEAST_LABELS)
-    same = F.coalesce(enough & (F.col("share") - before["share"] <= Z_SAME * error), F.lit(False))
-    marked = leaves.withColumn("opens", F.when(same, F.lit(0)).otherwise(F.lit(1)))
-    grouped = marked.withColumn("branch", F.sum("opens").over(siblings))
-    prior = leaves.agg((F.sum("rejected") / F.sum("labels")).alias("prior")).scalar()
-    merged = grouped.groupBy("host", "shape", "branch").agg(
-        F.sum("labels").alias("branch_labels"), F.sum("rejected").alias("branch_rejected"),
-        F.collect_list("template").alias("members"))
-    merged = merged.where("branch_labels > 0")
-    purity = (F.col("branch_rejected") + PRIOR_WEIGHT * prior) / (F.col("branch_labels") + PRIOR_WEIGHT)
-    return merged.select("host", F.explode("members").alias("template"), purity.alias("purity"),
-                         F.col("branch_labels").alias("labels"))
+    apart = F.col("rejected") / F.col("labels") - before["rejected"] / before["labels"]
+    opens = F.when(apart <= Z_SAME * error, 0).otherwise(1)
+    merged = levels.withColumn("opens", opens).withColumn("branch", F.sum("opens").over(siblings))
+    whole = Window.partitionBy("host", "shape", "branch")
+    merged = merged.withColumns({c: F.sum(c).over(whole) for c in ("labels", "rejected")})
+    purity = (F.col("rejected") + PRIOR_WEIGHT * prior) / (F.col("labels") + PRIOR_WEIGHT)
+    merged = merged.select("host", "shape", "share", purity.alias("purity"), "labels")
+    return leaves.select("host", "template", "shape", "share").join(merged, ["host", "shape", "share"]).select(
+        "host", "template", "purity", "labels")
 
 
 def rejected_paths(urls: DataFrame) -> DataFrame:
     """(host, segments) of the forms whose branch is rejected."""
     tree = templates(urls)
-    bad = branches(tree).where((F.col("purity") >= REJECT_PURITY) & (F.col("labels") >= LEAST_LABELS))
+    bad = branches(tree).where(F.col("purity") >= REJECT_PURITY)
     return tree.join(bad.select("host", "template"), ["host", "template"], "left_semi").select("host", "segments")
 
 
