@@ -18,8 +18,9 @@ over many tasks.
 Defined results: a null or empty text has size 0 and takes nothing; sources
 without words have target 0; ties and repeated rows are separate documents,
 ranked by size, id and text hash; an empty table gives an empty result;
-a run on the same rows gives the same copies, whatever their order.  Columns
-called like an output column (``OUTPUTS``) are replaced, others are kept."""
+a run on the same rows gives the same copies, whatever their order.
+``with_copies`` replaces columns called like an output column (``OUTPUTS``)
+and keeps others, ``mix`` keeps all."""
 
 from __future__ import annotations
 
@@ -65,9 +66,16 @@ def with_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 seed: int = 0, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
     """Add ``OUTPUTS``: a document's words, its source's words and target,
     the document's copies, and the words these take."""
-    kept = [c for c in docs.columns if c.lower() not in OUTPUTS and not c.startswith("__")]
+    kept = [F.col(f"doc.`{c}`") for c in docs.columns if c.lower() not in OUTPUTS]
+    return _placed(docs, id_col, text_col, source_col, seed, weights).select(*kept, *OUTPUTS)
+
+
+def _placed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+            seed: int = 0, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
+    """(doc, OUTPUTS): the columns of ``docs`` as one struct, so that their
+    names clash with nothing."""
     sized = docs.select(
-        *[F.col(f"`{c}`") for c in kept], F.size(words(F.col(f"`{text_col}`").cast("string"))).cast("long").alias("size"),
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.size(words(F.col(f"`{text_col}`").cast("string"))).cast("long").alias("size"),
         F.col(f"`{source_col}`").cast("string").alias("__source"),
         F.xxhash64(F.col(f"`{id_col}`"), F.lit(seed)).alias("__deal"),
         F.xxhash64(F.col(f"`{text_col}`")).alias("__tie"), F.col(f"`{id_col}`").alias("__id"),
@@ -99,12 +107,12 @@ def with_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     at = F.col("__before") + F.col("__rank")
     crossed = lambda n: F.floor(n * rate + _offset(F.col("__source"), seed))
     placed = placed.withColumn("copies", F.least(crossed(at) - crossed(at - 1), F.lit(MOST_COPIES)).cast("long"))
-    return placed.withColumn("taken", F.col("copies") * F.col("size")).select(*[F.col(f"`{c}`") for c in kept], *OUTPUTS)
+    return placed.withColumn("taken", F.col("copies") * F.col("size")).select("doc", *OUTPUTS)
 
 
 def mix(docs: DataFrame, **options) -> DataFrame:
     """The mixture itself: each document as often as it has copies, with the
     columns of the input."""
-    out = with_copies(docs, **options)
-    names = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in OUTPUTS and not c.startswith("__")]
-    return out.where("copies > 0").withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select(*names)
+    out = _placed(docs, **options).where("copies > 0")
+    each = out.select("doc", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))).alias("copy"))
+    return each.select(*[F.col(f"doc.`{c}`") for c in docs.columns])
