@@ -154,7 +154,7 @@ def _hash_terms(terms: list[str]) -> np.ndarray:
 
 # -------------------------------------------------------------------- Spark
 
-_FOUND = ("id long, tie long, spans array<struct<kind:int,start:int,end:int>>, "
+_FOUND = ("id long, tie long, spans array<struct<kind:int,start:int,end:int,entity:long>>, "
           "context array<struct<entity:long,term:long,start:int,end:int>>")
 
 
@@ -166,7 +166,7 @@ def _scan(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Base spans of every row, and the hashed terms around them."""
     text = F.col(f"`{text_col}`")
     source = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), _tie(text).alias("tie"), text.cast("string").alias("text"))
-    span_type = pa.list_(pa.struct([("kind", pa.int32()), ("start", pa.int32()), ("end", pa.int32())]))
+    span_type = pa.list_(pa.struct([("kind", pa.int32()), ("start", pa.int32()), ("end", pa.int32()), ("entity", pa.int64())]))
     context_type = pa.list_(pa.struct([("entity", pa.int64()), ("term", pa.int64()), ("start", pa.int32()), ("end", pa.int32())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -176,8 +176,8 @@ def _scan(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 text = text.as_py() or ""
                 own = base_spans(text)
                 near = list(contexts(text, own)) if own else []
-                spans.append([{"kind": k, "start": a, "end": b} for k, a, b in own])
                 entities = _hash_terms([f"{k}:{entity_of(k, text[a:b])}" for k, a, b in own])
+                spans.append([{"kind": k, "start": a, "end": b, "entity": int(e)} for (k, a, b), e in zip(own, entities)])
                 terms = _hash_terms([t for _, t, _, _ in near])
                 context.append([{"entity": int(entities[i]), "term": int(t), "start": a, "end": b}
                                 for (i, _, a, b), t in zip(near, terms)])
@@ -242,7 +242,7 @@ def disclosures(docs: DataFrame, found: DataFrame, text_col: str = "text") -> Da
     near = found.select(F.explode(F.array_distinct(F.transform("context", lambda c: F.struct(c["entity"], c["term"])))).alias("p"))
     pairs = near.groupBy("p.entity", "p.term").agg(F.count(F.lit(1)).alias("n_pair")).where(F.col("n_pair") >= LEAST_DOCUMENTS)
     pairs = stored(pairs, "pairs")
-    own = found.select(F.explode(F.array_distinct(F.transform("context", lambda c: c["entity"]))).alias("entity"))
+    own = found.select(F.explode(F.array_distinct(F.transform("spans", lambda s: s["entity"]))).alias("entity"))
     entities = own.groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
     terms = _document_counts(docs, text_col, pairs)
     gain = F.log(F.lit(float(total)) * F.col("n_pair") / (F.col("n_entity") * F.col("n_term")))
@@ -298,16 +298,16 @@ def replaced(text: str, spans: list) -> str:
 def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with personal data and disclosing terms replaced."""
     spans = find(docs, id_col, text_col).where(F.size("spans") > 0)
-    spans = spans.groupBy(F.col("id").alias("__id"), F.col("tie").alias("__tie")).agg(F.first("spans").alias("__spans"))
-    names = [F.col(f"`{c}`") for c in docs.columns]
-    keyed = docs.select(*names, F.col(f"`{id_col}`").cast("long").alias("__own"), _tie(F.col(f"`{text_col}`")).alias("__own_tie"))
-    rows = keyed.join(spans, F.col("__own").eqNullSafe(F.col("__id")) & (F.col("__own_tie") == F.col("__tie")), "left")
-    rows = rows.select(*names, "__spans")
+    spans = spans.groupBy("id", "tie").agg(F.first("spans").alias("spans"))
+    # the columns as one struct: their names clash with nothing
+    doc = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")
+    keyed = docs.select(doc, F.col(f"`{id_col}`").cast("long").alias("own"), _tie(F.col(f"`{text_col}`")).alias("own_tie"))
+    rows = keyed.join(spans, F.col("own").eqNullSafe(F.col("id")) & (F.col("own_tie") == F.col("tie")), "left").select("doc", "spans")
     schema, at = docs.schema, docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            spans, columns = batch.column("__spans"), [batch.column(i) for i in range(len(schema))]
+            spans, columns = batch.column("spans"), batch.column("doc").flatten()
             texts, lengths = columns[at].to_pylist(), columns[schema.names.index("n_chars")].to_pylist() if "n_chars" in schema.names else None
             for k in np.flatnonzero(np.asarray(spans.is_valid())).tolist():
                 texts[k] = replaced(texts[k], spans[k].as_py())
