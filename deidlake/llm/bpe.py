@@ -363,7 +363,10 @@ def encode(df: DataFrame, ranks_path: str, text_col: str = "text", keep: list[st
     ints = T.ArrayType(T.IntegerType(), False)
     shared = _share(df, ranks_path)
     small_batches(df.sparkSession)
-    text = F.col(f"`{text_col}`").cast("string").alias("__text")
+    own = "text"  # a name that no column has
+    while own in map(str.lower, df.columns):
+        own += "_"
+    text = F.col(f"`{text_col}`").cast("string").alias(own)
     rest = df.select(*[f"`{c}`" for c in (df.columns if keep is None else keep)])
     kept, schema = _with(rest, [T.StructField("ids", ints, False), T.StructField("piece_ids", ints, False),
                                *[T.StructField("decoded", T.BinaryType(), False)] * decoded])
@@ -371,10 +374,10 @@ def encode(df: DataFrame, ranks_path: str, text_col: str = "text", keep: list[st
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(shared)
         for batch in batches:
-            _, offsets = utf8(batch.column("__text"))
+            _, offsets = utf8(batch.column(own))
             for i, j in pieces(offsets):
                 part = batch.slice(i, j - i)
-                ids, at, counts, by_text = codec.encode([x or "" for x in part.column("__text").to_pylist()])
+                ids, at, counts, by_text = codec.encode([x or "" for x in part.column(own).to_pylist()])
                 columns = [*(part.column(c) for c in kept), _lists(ids, at), _lists(counts, by_text)]
                 if decoded:
                     columns.append(binary_array(*codec.decode(ids.astype(np.int64), at)))

@@ -264,11 +264,12 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     (null last), then the smallest hash of the text."""
     found = components(docs, id_col, text_col, shingle, radius)
     first = found.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "tie")).alias("row"))
-    first = stored(first.select(F.col("row.id").alias("__id"), F.col("row.tie").alias("__tie")), "representatives")
-    names = [F.col(f"`{c}`") for c in docs.columns]
+    first = stored(first.select(F.col("row.id").alias("id"), F.col("row.tie").alias("tie")), "representatives")
+    # the columns as one struct: their names clash with nothing
+    doc = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")
     id_, tie = F.col(f"`{id_col}`").cast("long"), _tie(F.col(f"`{text_col}`"))
-    keyed = docs.select(*names, id_.alias("__own_id"), tie.alias("__own_tie"))
-    kept = keyed.join(first, keyed["__own_id"].eqNullSafe(first["__id"]) & (keyed["__own_tie"] == first["__tie"]), "left_semi")
-    one = F.row_number().over(Window.partitionBy("__own_id", "__own_tie").orderBy(*[
-        F.xxhash64(F.col(f"`{c}`")) for c in docs.columns]))
-    return kept.withColumn("__row", one).where("__row = 1").select(*names)
+    keyed = docs.select(doc, id_.alias("own_id"), tie.alias("own_tie"))
+    kept = keyed.join(first, keyed["own_id"].eqNullSafe(first["id"]) & (keyed["own_tie"] == first["tie"]), "left_semi")
+    names = [F.col(f"doc.`{c}`") for c in docs.columns]
+    one = F.row_number().over(Window.partitionBy("own_id", "own_tie").orderBy(*[F.xxhash64(c) for c in names]))
+    return kept.withColumn("number", one).where("number = 1").select(*names)
