@@ -181,6 +181,17 @@ def test_pii_removes_terms_that_disclose(spark):
     assert all(out[i] == t for i, t in rows if i >= 10)
 
 
+def test_pii_counts_entities_without_neighbours(spark):
+    """An entity that mostly stands alone isn't disclosed by a term that is as
+    frequent elsewhere: n(e) counts every document with the entity."""
+    rows = [(0, "x@y.org wrote to zanzibar"), (1, "x@y.org wrote to zanzibar")] + [(k, "x@y.org") for k in range(2, 30)]
+    rows += [(k, "zanzibar wrote") for k in (30, 31)] + [(k, f"day {k}") for k in range(32, 60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = pii._scan(docs, "doc_id", "text")
+    gains = {abs(round(r["disclosure"], 6)) for r in pii.disclosures(docs, found).collect()}
+    assert gains == {0.0}  # n(e, t) = 2, n(t) = 4, n(e) = 30, N = 60: log(60 * 2 / (30 * 4)) / log(60 / 30)
+
+
 def test_pii_sanitise_keeps_rows(odd, empty):
     out = pii.sanitise(odd)
     assert out.columns == odd.columns and out.count() == odd.count()
@@ -311,6 +322,11 @@ def test_url_templates_generalise_merge_and_reject(spark):
     pages = spark.createDataFrame([(k, u, y) for k, (u, y) in enumerate(rows)], "page_id long, url string, y int")
     got = {rows[r["page_id"]][0]: r["verdict"] for r in url_filter.judge(pages, rules=(), label=F.col("y")).collect()}
     assert {u: v for u, v in got.items() if v == "block"}.keys() == {u for u, _ in rows if "/spam/" in u or "/junk/" in u}
+    found = url_filter.branches(url_filter.templates(pages.select(
+        url_filter.host_of(F.col("url")).alias("host"), url_filter.path_of(F.col("url")).alias("path"), F.col("y").alias("label"))))
+    assert {(tuple(r["template"]), r["labels"], round(r["purity"], 6)) for r in found.collect()} == {
+        (("spam", "*"), 36, round((36 + 5 * 36 / 66) / 41, 6)), (("junk", "*"), 36, round((36 + 5 * 36 / 66) / 41, 6)),
+        (("good", "*"), 30, round(5 * 36 / 66 / 35, 6))}
     urls = pages.select(url_filter.host_of(F.col("url")).alias("host"), url_filter.path_of(F.col("url")).alias("path"), F.col("y").alias("label"))
     assert {tuple(r["template"]) for r in url_filter.templates(urls).where("host = 'g'").collect()} == {("*",)}
 
@@ -403,6 +419,24 @@ def test_mixing(request, name):
     assert mixed.count() == sum(r["copies"] for r in got)
 
 
+# ------------------------------------------------------- clashing columns
+
+def test_operators_that_keep_rows_keep_columns_of_any_name(spark, odd):
+    """Names of the operators' own columns, in the input."""
+    names = ("id", "tie", "doc", "own", "spans", "number", "row", "root", "fp", "__id", "__text", "__spans", "__row",
+             "__source", "__group", "copy", "copies", "size", "target", "Taken", "score", "toxic", "fold")
+    docs = odd.withColumns({n: F.concat(F.lit(n), F.col("doc_id").cast("string")) for n in names})
+    rows = bag(r["__id"] for r in docs.collect())
+    labels = spark.createDataFrame([(k, k % 2) for k in range(40)], "doc_id long, toxic int")
+    for out in (toxicity.without_toxic(docs, labels), simhash.one_of_each(docs), pii.sanitise(docs), mixing.mix(docs)):
+        assert out.columns == docs.columns
+        assert all(r[n] is None or r[n] == f"{n}{r['doc_id']}" for r in out.collect() for n in names)
+    assert bag(r["__id"] for r in pii.sanitise(docs).collect()) == rows
+    assert bag(r["__id"] for r in mixing.with_copies(docs).collect()) == rows
+    coded = bpe.encode(docs.withColumn("text_", F.lit("x")), PATH)
+    assert bag(r["__id"] for r in coded.collect()) == rows
+
+
 # ------------------------------------------------------------------ queries
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
