@@ -29,6 +29,8 @@ import string
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from deidlake.llm.common import stored
+
 BLOCK, ALLOW = "block", "allow"
 #: Fixed rules of the data contract.
 RULES = (("net/", BLOCK), ("example.net/en/", ALLOW), ("example.com/de/", BLOCK), ("org/fr/", ALLOW))
@@ -87,6 +89,7 @@ def templates(urls: DataFrame) -> DataFrame:
     seen = urls.groupBy("host", form(F.col("path")).alias("segments")).agg(
         F.count(F.lit(1)).alias("n"), F.count("label").alias("labels"),
         F.coalesce(F.sum("label"), F.lit(0)).alias("rejected"))
+    seen = stored(seen, "url-forms")  # read several times
     nodes = seen.select("host", "segments", "n", F.posexplode("segments").alias("depth", "segment"))
     nodes = nodes.withColumn("parent", F.slice("segments", 1, F.col("depth")))
     children = nodes.groupBy("host", "parent", "segment").agg(F.sum("n").alias("n"))
@@ -127,7 +130,7 @@ def branches(tree: DataFrame) -> DataFrame:
 
 def rejected_paths(urls: DataFrame) -> DataFrame:
     """(host, segments) of the forms whose branch is rejected."""
-    tree = templates(urls)
+    tree = stored(templates(urls), "url-templates")
     bad = branches(tree).where(F.col("purity") >= REJECT_PURITY)
     return tree.join(bad.select("host", "template"), ["host", "template"], "left_semi").select("host", "segments")
 
