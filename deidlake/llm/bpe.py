@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from deidlake.llm.common import binary_array, pieces, rolling, small_batches, utf8
+from deidlake.llm.common import binary_array, pieces, rolling, small_batches, unused, utf8
 
 # ------------------------------------------------------- code point classes
 #: Classes of single code points.
@@ -363,9 +363,7 @@ def encode(df: DataFrame, ranks_path: str, text_col: str = "text", keep: list[st
     ints = T.ArrayType(T.IntegerType(), False)
     shared = _share(df, ranks_path)
     small_batches(df.sparkSession)
-    own = "text"  # a name that no column has
-    while own in map(str.lower, df.columns):
-        own += "_"
+    (own,) = unused(df, "own")
     text = F.col(f"`{text_col}`").cast("string").alias(own)
     rest = df.select(*[f"`{c}`" for c in (df.columns if keep is None else keep)])
     kept, schema = _with(rest, [T.StructField("ids", ints, False), T.StructField("piece_ids", ints, False),

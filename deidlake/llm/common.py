@@ -56,6 +56,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """For each of ``names`` a column name that ``df`` doesn't have."""
+    taken, tail = {c.lower() for c in df.columns}, ""
+    while any((n + tail).lower() in taken for n in names):
+        tail += "_"
+    return [n + tail for n in names]
+
+
 def words(text: Column) -> Column:
     """Array of the words of a text; empty for a null or empty text."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), GAP), "")

@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from deidlake.llm.common import PUNCTUATION, lower_ascii, mix64, pieces, small_batches, stored, utf8, word_hashes, word_spans
+from deidlake.llm.common import PUNCTUATION, lower_ascii, mix64, pieces, small_batches, stored, unused, utf8, word_hashes, word_spans
 
 #: Kinds in the order of results.
 KINDS = ("email", "ip", "card", "phone", "term")
@@ -298,16 +298,16 @@ def replaced(text: str, spans: list) -> str:
 def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with personal data and disclosing terms replaced."""
     spans = find(docs, id_col, text_col).where(F.size("spans") > 0)
-    spans = spans.groupBy("id", "tie").agg(F.first("spans").alias("spans"))
-    # the columns as one struct: their names clash with nothing
-    doc = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")
-    keyed = docs.select(doc, F.col(f"`{id_col}`").cast("long").alias("own"), _tie(F.col(f"`{text_col}`")).alias("own_tie"))
-    rows = keyed.join(spans, F.col("own").eqNullSafe(F.col("id")) & (F.col("own_tie") == F.col("tie")), "left").select("doc", "spans")
+    id_, tie, own, own_tie, found = unused(docs, "id", "tie", "own", "own_tie", "found")
+    spans = spans.groupBy(F.col("id").alias(id_), F.col("tie").alias(tie)).agg(F.first("spans").alias(found))
+    names = [F.col(f"`{c}`") for c in docs.columns]
+    keyed = docs.select(*names, F.col(f"`{id_col}`").cast("long").alias(own), _tie(F.col(f"`{text_col}`")).alias(own_tie))
+    rows = keyed.join(spans, F.col(own).eqNullSafe(F.col(id_)) & (F.col(own_tie) == F.col(tie)), "left").select(*names, found)
     schema, at = docs.schema, docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            spans, columns = batch.column("spans"), batch.column("doc").flatten()
+            spans, columns = batch.column(found), [batch.column(i) for i in range(len(schema))]
             texts, lengths = columns[at].to_pylist(), columns[schema.names.index("n_chars")].to_pylist() if "n_chars" in schema.names else None
             for k in np.flatnonzero(np.asarray(spans.is_valid())).tolist():
                 texts[k] = replaced(texts[k], spans[k].as_py())

@@ -39,7 +39,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from deidlake.llm.common import lower_ascii, small_batches, partitions, pieces, scratch, stored, utf8, word_spans
+from deidlake.llm.common import lower_ascii, small_batches, partitions, pieces, scratch, stored, unused, utf8, word_spans
 
 BITS = 64
 SHINGLE = 4
@@ -264,12 +264,10 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     (null last), then the smallest hash of the text."""
     found = components(docs, id_col, text_col, shingle, radius)
     first = found.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "tie")).alias("row"))
-    first = stored(first.select(F.col("row.id").alias("id"), F.col("row.tie").alias("tie")), "representatives")
-    # the columns as one struct: their names clash with nothing
-    doc = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")
-    id_, tie = F.col(f"`{id_col}`").cast("long"), _tie(F.col(f"`{text_col}`"))
-    keyed = docs.select(doc, id_.alias("own_id"), tie.alias("own_tie"))
-    kept = keyed.join(first, keyed["own_id"].eqNullSafe(first["id"]) & (keyed["own_tie"] == first["tie"]), "left_semi")
-    names = [F.col(f"doc.`{c}`") for c in docs.columns]
-    one = F.row_number().over(Window.partitionBy("own_id", "own_tie").orderBy(*[F.xxhash64(c) for c in names]))
-    return kept.withColumn("number", one).where("number = 1").select(*names)
+    id_, tie, own_id, own_tie, number = unused(docs, "id", "tie", "own_id", "own_tie", "number")
+    first = stored(first.select(F.col("row.id").alias(id_), F.col("row.tie").alias(tie)), "representatives")
+    names = [F.col(f"`{c}`") for c in docs.columns]
+    keyed = docs.select(*names, F.col(f"`{id_col}`").cast("long").alias(own_id), _tie(F.col(f"`{text_col}`")).alias(own_tie))
+    kept = keyed.join(first, keyed[own_id].eqNullSafe(first[id_]) & (keyed[own_tie] == first[tie]), "left_semi")
+    one = F.row_number().over(Window.partitionBy(own_id, own_tie).orderBy(*[F.xxhash64(c) for c in names]))
+    return kept.withColumn(number, one).where(F.col(number) == 1).select(*names)
