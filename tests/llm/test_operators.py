@@ -280,6 +280,31 @@ def test_toxicity_held_out(spark):
     assert sum(r["predicted"] for r in clean) < 0.01 * len(clean)
 
 
+@pytest.mark.parametrize("share", [0.05, 0.3, 0.6])
+def test_toxicity_at_any_share_of_toxic_documents(spark, share):
+    """Toxic words, and a toxic pair of ordinary words, in two languages of
+    which one is more often toxic."""
+    rnd = random.Random(7)
+    languages = [[f"{x}{k}" for k in range(300)] for x in ("en", "de")]
+    rows, truth = [], {}
+    for i in range(1200):
+        toxic = rnd.random() < share
+        language = languages[rnd.random() < (0.3 if toxic else 0.6)]
+        ws = [language[int(300 * rnd.random() ** 2)] for _ in range(60)] + ["cold", "fish"]
+        rnd.shuffle(ws)
+        ws = [w for k, w in enumerate(ws) if not (w == "fish" and k and ws[k - 1] == "cold")]
+        kind = i % 2 if toxic else None
+        if toxic:
+            ws[10:10] = ["scum"] * 2 if kind else ["cold", "fish"] * 3
+        rows.append((i, " ".join(ws)))
+        truth[i] = (int(toxic), kind)
+    labels = spark.createDataFrame([(i, t) for i, (t, _) in truth.items()], "doc_id long, toxic int")
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = [(*truth[r["doc_id"]], r["predicted"]) for r in toxicity.score(docs, labels).where("held_out").collect()]
+    clean, word, pair = ([p for t, k, p in found if (t, k) == kind] for kind in ((0, None), (1, 1), (1, 0)))
+    assert sum(word) >= 0.8 * len(word) and sum(pair) >= 0.8 * len(pair) and sum(clean) <= 0.05 * len(clean)
+
+
 def test_toxicity_odd_rows(spark, odd, empty):
     labels = spark.createDataFrame([(4, 1, 0), (5, 0, 1), (6, 1, None), (None, 0, 1)], "doc_id long, quality int, toxic int")
     out = toxicity.score(odd, labels).collect()
