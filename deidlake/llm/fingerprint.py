@@ -1,19 +1,21 @@
 """Document fingerprints: a homomorphic hash of the multiset of paragraphs.
 
 A paragraph (line of a text) is hashed to a wide vector; the fingerprint of a
-text is the sum of its paragraphs' vectors, each lane modulo 2^16.  Sums don't
+text is the sum of its paragraphs' vectors, each lane modulo 2^32.  Sums don't
 depend on the order, and paragraphs can be added or deleted without the rest
 of the text (``add``, ``subtract``).
 
-A paragraph's vector has two parts.  ``EXACT`` lanes are uniform 16-bit
-numbers from a hash of the whole paragraph: equal sums mean, but for chance
-of 2^-128, equal multisets.  ``SKETCH`` lanes add up +1 or -1 for each word
-triple of the paragraph (a shorter paragraph is one shingle), and the last two
-lanes are one number modulo 2^32, the count of the shingles.  In the difference of two fingerprints everything the
-texts share cancels, and the mean square of the sketch lanes estimates how
-many shingles are left (the tug-of-war sketch), which gives the likeness
-1 - left / all.  Sketch lanes are read as signed numbers; they hold up to
-2^15 shingles more of one sign than of the other.
+A paragraph's vector has three parts.  ``EXACT`` lanes are uniform 32-bit
+numbers from a hash of the whole paragraph: equal sums mean, but for a
+negligible chance, equal multisets of fewer than 2^32 paragraphs.  ``SKETCH``
+lanes add up +1 or -1 for each word triple of the paragraph (a shorter
+paragraph is one shingle), and the last lane counts the shingles.  The mean
+square of the sketch lanes estimates the sum of the squared counts of a text's
+shingles (the tug-of-war sketch), and so does that of the difference of two
+fingerprints, in which everything the texts share cancels.  The likeness is
+1 - |a - b|^2 / (|a|^2 + |b|^2): 0 if no shingle is shared, 1 if all counts
+agree, however often a line is repeated.  Sketch lanes are read as signed
+numbers; no text that a column holds (2^31 bytes) has shingles to overflow them.
 
 Defined results: a null text is an empty one; empty texts have the zero
 vector and likeness 1 to each other; equal texts have equal fingerprints and
@@ -37,14 +39,14 @@ from deidlake.llm.common import NO_ID, mix64, small_batches, partitions, pieces,
 
 EXACT, SKETCH = 8, 96
 SHINGLE = 3
-LANES = EXACT + SKETCH + 2
+LANES = EXACT + SKETCH + 1
 _TRIPLE = 0x8C4B2D19E3F7A651
 
 
 def vectors(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Fingerprints (texts, LANES) of uint16 of consecutive texts."""
+    """Fingerprints (texts, LANES) of uint32 of consecutive texts."""
     n = len(offsets) - 1
-    out = np.zeros((n, LANES), np.uint16)
+    out = np.zeros((n, LANES), np.uint32)
     if not len(data):
         return out
     # paragraphs: the bytes between newlines
@@ -57,11 +59,11 @@ def vectors(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     # rows of equal documents are neighbours, so sums go by segments
     edges = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]])) if len(doc) else np.zeros(0, np.int64)
     whole = word_hashes(data, start, end)
-    lanes = np.empty((len(start), EXACT), np.uint16)
+    lanes = np.empty((len(start), EXACT), np.uint32)
     for k in range(EXACT):
-        lanes[:, k] = mix64(whole, k + 1).astype(np.uint16)
+        lanes[:, k] = mix64(whole, k + 1).astype(np.uint32)
     if len(doc):
-        out[doc[edges], :EXACT] = np.add.reduceat(lanes, edges, axis=0, dtype=np.uint16)
+        out[doc[edges], :EXACT] = np.add.reduceat(lanes, edges, axis=0, dtype=np.uint32)
     # shingles inside the paragraphs
     paragraphs = np.concatenate([start, [len(data)]])
     ws, we, first = word_spans(data, _covering(paragraphs))
@@ -82,8 +84,8 @@ def vectors(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
             mix64(hashes, 9) >> np.uint64(low - 64)).astype(np.uint8)
         bits = np.unpackbits(byte[:, None], axis=1)
         ones = np.add.reduceat(bits, edges, axis=0, dtype=np.int64)
-        out[have, EXACT + low:EXACT + low + 8] = (2 * ones - total[:, None]).astype(np.uint16)
-    out[have, -2], out[have, -1] = total.astype(np.uint16), (total >> 16).astype(np.uint16)
+        out[have, EXACT + low:EXACT + low + 8] = (2 * ones - total[:, None]).astype(np.uint32)
+    out[have, -1] = total.astype(np.uint32)
     return out
 
 
@@ -92,35 +94,30 @@ def _covering(paragraphs: np.ndarray) -> np.ndarray:
     return paragraphs if paragraphs[0] == 0 else np.concatenate([[0], paragraphs])
 
 
-def _count(a: np.ndarray) -> np.ndarray:
-    return a[..., -2].astype(np.uint32) | (a[..., -1].astype(np.uint32) << np.uint32(16))
-
-
-def _with_count(a: np.ndarray, count: np.ndarray) -> np.ndarray:
-    a[..., -2], a[..., -1] = count.astype(np.uint16), (count >> np.uint32(16)).astype(np.uint16)
-    return a
-
-
 def add(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Fingerprint of a text with the paragraphs of another one added."""
-    return _with_count(a + b, _count(a) + _count(b))
+    return a + b
 
 
 def subtract(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Fingerprint of a text with the paragraphs of another one deleted."""
-    return _with_count(a - b, _count(a) - _count(b))
+    return a - b
+
+
+def _squares(a: np.ndarray) -> np.ndarray:
+    """Estimated sum of squared shingle counts of each fingerprint."""
+    return (np.ascontiguousarray(a[:, EXACT:-1]).view(np.int32).astype(np.float64) ** 2).mean(axis=1)
 
 
 def likeness(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Likeness (0 to 1) of fingerprints, row by row."""
-    left = (np.ascontiguousarray((a - b)[:, EXACT:-2]).view(np.int16).astype(np.float64) ** 2).mean(axis=1)
-    every = np.maximum(_count(a).astype(np.float64) + _count(b), 1)
+    every = np.maximum(_squares(a) + _squares(b), 1e-9)
     same = (a == b).all(axis=1)
-    return np.where(same, 1.0, np.clip(1 - left / every, 0, 1))
+    return np.where(same, 1.0, np.clip(1 - _squares(a - b) / every, 0, 1))
 
 
 def text_of(vector: np.ndarray) -> str:
-    return vector.astype(">u2").tobytes().hex()
+    return vector.astype(">u4").tobytes().hex()
 
 
 # --------------------------------------------------------------------- Spark
@@ -225,7 +222,7 @@ def _edit_part(table: pa.Table) -> pa.Table:
 def vectors_of(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """``vectors`` by pieces, so that temporaries stay small."""
     parts = [vectors(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i]) for i, j in pieces(offsets, 1 << 20)]
-    return np.concatenate(parts) if parts else np.zeros((0, LANES), np.uint16)
+    return np.concatenate(parts) if parts else np.zeros((0, LANES), np.uint32)
 
 
 def edited(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

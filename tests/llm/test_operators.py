@@ -387,6 +387,21 @@ def test_likeness_of_very_long_texts():
     assert abs(fingerprint.likeness(whole, of(lines[:9_000] + [x.replace("w", "v") for x in lines[9_000:]]))[0] - 0.9) < 0.05
 
 
+@pytest.mark.parametrize("times", [100, 70_000])
+def test_likeness_of_repeated_lines(times):
+    """Counts of lines, n of one and none of others: 1 - |a - b|^2 / (|a|^2 + |b|^2)."""
+    def of(*lines):
+        data = np.frombuffer("".join((" ".join(f"{x}{i}" for i in range(10)) + "\n") * n for x, n in lines).encode(), np.uint8)
+        return fingerprint.vectors(data, np.array([0, len(data)]))
+
+    whole, half, other = of(("a", times)), of(("a", times // 2), ("b", times // 2)), of(("c", times))
+    assert abs(fingerprint.likeness(whole, half)[0] - 2 / 3) < 0.15
+    assert fingerprint.likeness(whole, other)[0] < 0.3
+    assert fingerprint.likeness(of(("a", 1 << 16)), of(("c", 1 << 16)))[0] < 0.3  # no multiple of 2^16 cancels
+    assert (of(("a", 1 << 16))[:, :fingerprint.EXACT] != of(("c", 1 << 16))[:, :fingerprint.EXACT]).any()
+    assert (fingerprint.subtract(half, of(("b", times // 2))) == of(("a", times // 2))).all()
+
+
 def test_fingerprint_is_a_multiset_hash():
     def of(text):
         data = np.frombuffer(text.encode(), np.uint8)
