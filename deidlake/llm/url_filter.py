@@ -5,11 +5,14 @@ Tree: a segment that holds nothing but an identifier (digits, a long
 hexadecimal string, a date; an extension may follow) becomes a wildcard by
 its form.  Then, per host and parent, children of which there are many and
 most occur once are variable too and become one wildcard.  Branches with
-enough labels that have the same shape under a host, i.e. differ only in
-literal segments, are put in order of their share of rejected labels;
-neighbours whose shares don't differ significantly are merged.  A branch is
-rejected if its purity, the share of rejected labels smoothed by the overall
-share, is high enough.  An URL without labelled company is allowed.
+labels, however few, that have the same shape under a host, i.e. differ only
+in literal segments, are put in order of their share of rejected labels;
+neighbours whose shares don't differ significantly are merged.  A merged
+branch is rejected if its purity, the share of rejected labels smoothed by the
+overall share, is high enough.  A branch without labels takes the share of its
+shape under the host, smoothed by the host's; only known verdicts count there,
+because a rule for a path says nothing of the paths beside it.  An URL without
+labelled company on its host is allowed.
 
 Everything after the parsing works on the table of distinct (host, template)
 with counts, which partial aggregation makes before the shuffle, so a host
@@ -40,7 +43,6 @@ MANY_CHILDREN = 30
 #: Weight of the overall share in a branch's purity, and what rejects it.
 PRIOR_WEIGHT = 5.0
 REJECT_PURITY = 0.8
-LEAST_LABELS = 5
 #: Shares are told apart to one part in so many.
 SHARES = 1000
 #: Standard normal quantile up to which two shares don't differ.
@@ -85,10 +87,14 @@ def form(path: Column) -> Column:
 def templates(urls: DataFrame) -> DataFrame:
     """(host, segments, template, n, labels, rejected) of urls (host, path,
     label), ``label`` being 1 (reject), 0 or null: ``segments`` as ``form``
-    gives them, ``template`` with the variable ones as wildcards too."""
+    gives them, ``template`` with the variable ones as wildcards too.  Of the
+    labels, ``known`` (``label`` if there is no such column) count in
+    ``known_labels`` and ``known_rejected``."""
+    known = F.col("known" if "known" in urls.columns else "label")
     seen = urls.groupBy("host", form(F.col("path")).alias("segments")).agg(
         F.count(F.lit(1)).alias("n"), F.count("label").alias("labels"),
-        F.coalesce(F.sum("label"), F.lit(0)).alias("rejected"))
+        F.coalesce(F.sum("label"), F.lit(0)).alias("rejected"), F.count(known).alias("known_labels"),
+        F.coalesce(F.sum(known), F.lit(0)).alias("known_rejected"))
     seen = stored(seen, "url-forms")  # read several times
     nodes = seen.select("host", "segments", "n", F.posexplode("segments").alias("depth", "segment"))
     nodes = nodes.withColumn("parent", F.slice("segments", 1, F.col("depth")))
@@ -105,12 +111,12 @@ def templates(urls: DataFrame) -> DataFrame:
 
 
 def branches(tree: DataFrame) -> DataFrame:
-    """(host, template, purity, labels) of the templates with enough labels,
-    after merging: ``purity`` and ``labels`` are those of the merged branch."""
+    """(host, template, purity, labels) of the templates with labels, after
+    merging: ``purity`` and ``labels`` are those of the merged branch."""
     leaves = tree.groupBy("host", "template").agg(*[F.sum(c).alias(c) for c in ("labels", "rejected")])
     prior = leaves.agg((F.sum("rejected") / F.sum("labels")).alias("prior")).scalar()
     share = F.round(SHARES * F.col("rejected") / F.col("labels")).cast("int")
-    leaves = leaves.where(F.col("labels") >= LEAST_LABELS).select(
+    leaves = leaves.where(F.col("labels") > 0).select(
         "host", "template", "labels", "rejected", F.transform("template", lambda s: s == "*").alias("shape"), share.alias("share"))
     levels = leaves.groupBy("host", "shape", "share").agg(*[F.sum(c).alias(c) for c in ("labels", "rejected")])
     siblings = Window.partitionBy("host", "shape").orderBy("share")
@@ -128,10 +134,27 @@ def branches(tree: DataFrame) -> DataFrame:
         "host", "template", "purity", "labels")
 
 
+def unlabelled(tree: DataFrame) -> DataFrame:
+    """(host, template, purity) of the templates without labels on hosts with
+    known ones: the share of the branches of the same shape under the host,
+    smoothed by the host's, which is smoothed by the overall one."""
+    counts = tree.groupBy("host", F.transform("template", lambda s: s == "*").alias("shape")).agg(
+        F.sum("known_labels").alias("labels"), F.sum("known_rejected").alias("rejected"))
+    prior = tree.agg((F.sum("rejected") / F.sum("labels")).alias("prior")).scalar()
+    smooth = lambda above: (F.col("rejected") + PRIOR_WEIGHT * above) / (F.col("labels") + PRIOR_WEIGHT)
+    hosts = counts.groupBy("host").agg(F.sum("labels").alias("labels"), F.sum("rejected").alias("rejected"))
+    hosts = hosts.where(F.col("labels") > 0).select("host", smooth(prior).alias("of_host"))
+    shapes = counts.join(hosts, "host").select("host", "shape", smooth(F.col("of_host")).alias("purity"))
+    leaves = tree.groupBy("host", "template").agg(F.sum("labels").alias("labels")).where(F.col("labels") == 0)
+    leaves = leaves.withColumn("shape", F.transform("template", lambda s: s == "*"))
+    return leaves.join(shapes, ["host", "shape"]).select("host", "template", "purity")
+
+
 def rejected_paths(urls: DataFrame) -> DataFrame:
     """(host, segments) of the forms whose branch is rejected."""
     tree = stored(templates(urls), "url-templates")
-    bad = branches(tree).where(F.col("purity") >= REJECT_PURITY)
+    judged = branches(tree).select("host", "template", "purity").unionByName(unlabelled(tree))
+    bad = judged.where(F.col("purity") >= REJECT_PURITY)
     return tree.join(bad.select("host", "template"), ["host", "template"], "left_semi").select("host", "segments")
 
 
@@ -150,7 +173,7 @@ def judge(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", rules
         decided = F.when(F.col("rule") == text, F.lit(verdict)).otherwise(decided)
     parsed = parsed.withColumn("decided", decided)
     labelled = parsed.select("host", "path", F.coalesce(
-        F.col("known"), F.when(F.col("decided") == BLOCK, 1).when(F.col("decided") == ALLOW, 0)).alias("label"))
+        F.col("known"), F.when(F.col("decided") == BLOCK, 1).when(F.col("decided") == ALLOW, 0)).alias("label"), "known")
     bad = rejected_paths(labelled).withColumn("bad", F.lit(True))
     out = parsed.withColumn("segments", form(F.col("path"))).join(bad, ["host", "segments"], "left")
     verdict = F.coalesce("decided", F.when(F.col("bad"), F.lit(BLOCK)).otherwise(F.lit(ALLOW)))

@@ -356,6 +356,22 @@ def test_url_templates_generalise_merge_and_reject(spark):
     assert {tuple(r["template"]) for r in url_filter.templates(urls).where("host = 'g'").collect()} == {("*",)}
 
 
+def test_url_small_branches_are_merged_before_they_are_judged(spark):
+    """A host with 24 sections of 4 rejected labels each, one without labels;
+    another with accepted ones beside a section without labels."""
+    word = lambda k: "abcdefghij"[k // 10] * 3 + "klmnopqrst"[k % 10]
+    rows = [(f"http://bad/{word(k)}/{i}", 1 if k else None) for k in range(25) for i in range(4)]
+    rows += [(f"http://mixed/{word(k)}/{i}", k % 2 if k else None) for k in range(25) for i in range(4)]
+    rows += [(f"http://fine/{word(k)}/{i}", 0 if k else None) for k in range(25) for i in range(4)]
+    pages = spark.createDataFrame([(k, u, y) for k, (u, y) in enumerate(rows)], "page_id long, url string, y int")
+    got = {rows[r["page_id"]][0]: r["verdict"] for r in url_filter.judge(pages, rules=(), label=F.col("y")).collect()}
+    assert all((v == "block") == (u.startswith("http://bad/") or ("mixed" in u and dict(rows)[u] == 1)) for u, v in got.items())
+    # verdicts of rules don't reach the paths beside theirs
+    rows = [(k, f"http://example.com/{'de' if k < 50 else 'en'}/{k}") for k in range(100)]
+    ruled = url_filter.judge(spark.createDataFrame(rows, "page_id long, url string")).collect()
+    assert all((r["verdict"] == "block") == (r["page_id"] < 50) for r in ruled)
+
+
 # ------------------------------------------------------------------------ 9
 
 @pytest.mark.parametrize("name", ["docs", "odd", "empty"])
