@@ -3,8 +3,11 @@ path-template tree per host.  DataFrame operations only.
 
 Tree: a segment that holds nothing but an identifier (digits, a long
 hexadecimal string, a date; an extension may follow) becomes a wildcard by
-its form.  Then, per host and parent, children of which there are many and
-most occur once are variable too and become one wildcard.  Branches with
+its form.  Then, level by level and per host and parent (as generalised so far, so
+that what lies below a wildcard is pooled), children are variable too and
+become one wildcard if there are many, evenly spread (by the entropy of their
+shares of the distinct forms) and at least as many as a child has forms below
+it on average.  Copies of an URL don't matter.  Branches with
 labels, however few, that have the same shape under a host, i.e. differ only
 in literal segments, are put in order of their share of rejected labels;
 neighbours whose shares don't differ significantly are merged.  A merged
@@ -38,7 +41,7 @@ BLOCK, ALLOW = "block", "allow"
 #: Fixed rules of the data contract.
 RULES = (("net/", BLOCK), ("example.net/en/", ALLOW), ("example.com/de/", BLOCK), ("org/fr/", ALLOW))
 
-#: Children of a node from which it counts as variable if most occur once.
+#: Children of a node from which it counts as variable if evenly spread.
 MANY_CHILDREN = 30
 #: Weight of the overall share in a branch's purity, and what rejects it.
 PRIOR_WEIGHT = 5.0
@@ -96,18 +99,30 @@ def templates(urls: DataFrame) -> DataFrame:
         F.coalesce(F.sum("label"), F.lit(0)).alias("rejected"), F.count(known).alias("known_labels"),
         F.coalesce(F.sum(known), F.lit(0)).alias("known_rejected"))
     seen = stored(seen, "url-forms")  # read several times
-    nodes = seen.select("host", "segments", "n", F.posexplode("segments").alias("depth", "segment"))
-    nodes = nodes.withColumn("parent", F.slice("segments", 1, F.col("depth")))
-    children = nodes.groupBy("host", "parent", "segment").agg(F.sum("n").alias("n"))
-    variable = children.groupBy("host", "parent").agg(
-        F.count(F.lit(1)).alias("children"), F.count_if(F.col("n") == 1).alias("single"))
-    variable = variable.where((F.col("children") >= MANY_CHILDREN) & (2 * F.col("single") > F.col("children")))
-    marked = nodes.join(variable.select("host", "parent", F.lit(True).alias("is_variable")), ["host", "parent"], "left")
-    pairs = F.sort_array(F.collect_list(F.struct(
-        "depth", F.when(F.col("is_variable"), F.lit("*")).otherwise(F.col("segment")).alias("segment"))))
-    named = marked.groupBy("host", "segments").agg(
-        F.transform(pairs, lambda x: x["segment"]).alias("template"))
-    return seen.join(named, ["host", "segments"])
+    named = seen.withColumn("template", F.col("segments"))
+    for depth in range(_levels(seen)):
+        # the parent as generalised so far, so children below a wildcard are pooled
+        parent, segment = F.slice("template", 1, depth), F.get("template", F.lit(depth))
+        nodes = named.where(F.size("template") > depth).select("host", parent.alias("parent"), segment.alias("segment"))
+        children = nodes.groupBy("host", "parent", "segment").agg(F.count(F.lit(1)).cast("double").alias("n"))
+        total, several = F.sum("n"), F.count(F.lit(1))
+        even = F.exp(F.log(total) - F.sum(F.col("n") * F.log("n")) / total)  # children that count, by entropy
+        variable = children.groupBy("host", "parent").agg(several.alias("children"), (even * several / total).alias("per"), even.alias("even"))
+        variable = variable.where((F.col("children") >= MANY_CHILDREN) & (2 * F.col("even") > F.col("children")) & (F.col("per") >= 1))
+        marked = variable.select("host", F.col("parent").alias("__parent"), F.lit(True).alias("is_variable"))
+        one = F.transform("template", lambda s, k: F.when(k == depth, F.lit("*")).otherwise(s))
+        named = named.withColumn("__parent", parent).join(marked, ["host", "__parent"], "left").withColumn(
+            "template", F.when(F.col("is_variable") & (F.size("template") > depth), one).otherwise(F.col("template")))
+        named = stored(named.select(*seen.columns, "template"), "url-levels")
+    return named
+
+
+def _levels(seen: DataFrame) -> int:
+    """Depth below which no host has enough forms for a variable segment."""
+    sizes = seen.groupBy("host", F.size("segments").alias("size")).agg(F.count(F.lit(1)).alias("n"))
+    deeper = Window.partitionBy("host").orderBy(F.col("size").desc())
+    sizes = sizes.withColumn("deeper", F.sum("n").over(deeper)).where(F.col("deeper") >= MANY_CHILDREN)
+    return sizes.agg(F.max("size")).first()[0] or 0
 
 
 def branches(tree: DataFrame) -> DataFrame:

@@ -372,6 +372,22 @@ def test_url_small_branches_are_merged_before_they_are_judged(spark):
     assert all((r["verdict"] == "block") == (r["page_id"] < 50) for r in ruled)
 
 
+def test_url_templates_of_copies_and_below_wildcards(spark):
+    """Every URL twice; several pages for each name; names below names; and
+    sections with many pages each, which stay."""
+    word = lambda k: "abcdefghij"[k // 10] * 3 + "klmnopqrst"[k % 10]
+    paths = [("u", f"/user/{word(k)}/{x}") for k in range(40) for x in ("home", "mail")]
+    paths += [("v", f"/{word(k)}/x{word(k + i)}") for k in range(40) for i in (1, 2)]
+    paths += [("s", f"/sec{word(k)}/page{word(i)}") for k in range(31) for i in range(60)]
+    urls = spark.createDataFrame([(h, p, None) for h, p in paths * 2], "host string, path string, label int")
+    got = {}
+    for r in url_filter.templates(urls).collect():
+        got.setdefault(r["host"], set()).add(tuple(r["template"]))
+    assert got["u"] == {("user", "*", "home"), ("user", "*", "mail")}
+    assert got["v"] == {("*", "*")}
+    assert got["s"] == {(f"sec{word(k)}", "*") for k in range(31)}
+
+
 # ------------------------------------------------------------------------ 9
 
 @pytest.mark.parametrize("name", ["docs", "odd", "empty"])
