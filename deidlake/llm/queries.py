@@ -6,7 +6,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from deidlake.llm import bpe, fingerprint, mixing, pii, quality, simhash, substring_dedup, toxicity, url_filter, warc
+from deidlake.llm import (
+    bpe, collocations, embedding_dedup, fingerprint, mixing, pii, prefix_trie, quality, simhash, substring_dedup, toxicity, url_filter, warc)
 from deidlake.llm.common import table
 
 #: Rank file of the tokenizer; a parameter, the file stays where it is.
@@ -54,9 +55,21 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", "taken", "copies")
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(table(spark, sf_dir, "conversations"))
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+def op13_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.components(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_bpe, op2_substring_dedup, op3_quality, op4_pii, op5_warc, op6_simhash, op7_toxicity, op8_url_filter,
-    op9_fingerprint, op10_mixing)}
+    op9_fingerprint, op10_mixing, op11_prefix_trie, op12_collocations, op13_embedding_dedup)}
 
 SUBSTRING_SQL = r"""
 WITH docs AS (
@@ -79,4 +92,8 @@ SELECT page_id, payload_bytes, payload_digest, CASE WHEN r = page_id THEN 'respo
        CASE WHEN r <> page_id THEN r END AS refers_to FROM q
 """
 
-ORACLES = {"op2_substring_dedup": SUBSTRING_SQL, "op3_quality": quality.JUDGE_SQL, "op5_warc": WARC_SQL}
+ORACLES = {
+    "op11_prefix_trie": prefix_trie.TRIE_SQL, "op12_collocations": collocations.COLLOCATIONS_SQL,
+    "op13_embedding_dedup": embedding_dedup.COMPONENTS_SQL,
+    "op2_substring_dedup": SUBSTRING_SQL, "op3_quality": quality.JUDGE_SQL, "op5_warc": WARC_SQL,
+}
