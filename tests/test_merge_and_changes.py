@@ -7,7 +7,7 @@ from deidlake.operators import changes as ch
 from deidlake.operators.merge import changes_of, dedupe_on_key, merge_tagged, snapshot_of
 from deidlake.spec import UpdateMode
 
-from conftest import rows
+from helpers import rows
 
 KV = "key long, value string"
 START = [(1, "a"), (2, "b"), (3, "c")]
