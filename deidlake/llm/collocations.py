@@ -51,7 +51,7 @@ COVER = 80
 SCALE = 2_000_000
 TOP = 2000
 NO_LANG = "und"
-SHARD_WORDS = 1 << 21
+SHARD_WORDS = 1 << 20
 #: Bits of a number within its shard, and of a shard's within its task.
 LOCAL_BITS, TASK_BITS = 27, 16
 #: Parts of a language that are ranked on their own first.
@@ -239,42 +239,47 @@ def only(tokens: np.ndarray, kept: np.ndarray) -> np.ndarray:
 
 # ------------------------------------------------------------------ counting
 
-def _pairs(shard_rows: DataFrame, words: DataFrame) -> DataFrame:
-    """Index and pairs of every shard: (shard, local, x, y, n, forward,
-    backward); a row without ``n`` holds the index."""
-    names = ["shard", "local", "x", "y", "n", "forward", "backward"]
+def _indices(shard_rows: DataFrame, words: DataFrame) -> DataFrame:
+    """(shard, forward, backward, names): the index of every shard over its
+    frequent words, and the words' ids in order of their symbols 1, 2, ..."""
+    schema = pa.schema([("shard", pa.int64()), ("forward", pa.binary()), ("backward", pa.binary()), ("names", pa.binary())])
 
     def run(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
-        schema = pa.schema([(n, pa.int64()) for n in names[:5]] + [(n, pa.binary()) for n in names[5:]])
         if not len(left) or not len(right):
             return schema.empty_table()
         tokens = _unpacked(left.column("tokens")[0].as_py())
         local, name = right.column("local").to_numpy(), right.column("id").to_numpy()
-        # symbols 1.. for the words that stand beside another one
-        kept = np.zeros(max(int(tokens.max()), int(local.max())) + 1, np.int64)
+        kept = np.zeros(max(int(tokens.max()), int(local.max())) + 1, np.int32)
         kept[local] = np.arange(1, len(local) + 1)
         symbols = only(tokens, kept)
+        # symbols 1.. for the words that stand beside another one
         used, symbols = np.unique(np.append(symbols, 0), return_inverse=True)
-        symbols = symbols[:-1]
         if len(used) < 2:
             return schema.empty_table()
-        name = np.concatenate([[0], name])[used]
-        forward, backward = Index.of(symbols)
-        index = Index(forward, backward)
-        which, symbol, found = index.left(index.words())
-        n = len(which)
-        shard = key[0].as_py()
-        rows = pa.Table.from_arrays(
-            [pa.array(np.full(n, shard, np.int64)), pa.array(np.arange(n)), pa.array(name[symbol]), pa.array(name[which + 1]),
-             pa.array(found.size.astype(np.int64)), pa.nulls(n, pa.binary()), pa.nulls(n, pa.binary())], schema=schema)
-        whole = pa.Table.from_arrays(
-            [pa.array([shard]), pa.array([0]), pa.array([0]), pa.array([0]), pa.array([None], pa.int64()),
-             pa.array([_packed(forward)]), pa.array([_packed(backward)])], schema=schema)
-        return pa.concat_tables([whole, rows])
+        forward, backward = Index.of(symbols[:-1].astype(np.int32))
+        names = name[used[1:] - 1].astype("<i8").tobytes()
+        return pa.Table.from_arrays([pa.array([key[0].as_py()]), pa.array([_packed(forward)]), pa.array([_packed(backward)]), pa.array([names])],
+                                    schema=schema)
 
     tokens = shard_rows.where("tokens is not null").select("shard", "tokens")
     return tokens.groupBy("shard").cogroup(words.select("shard", "local", "id").groupBy("shard")).applyInArrow(
-        run, "shard long, local long, x long, y long, n long, forward binary, backward binary")
+        run, "shard long, forward binary, backward binary, names binary")
+
+
+def _pairs(indices: DataFrame) -> DataFrame:
+    """(id, x, y, n) of the pairs of words of every shard; ``id`` numbers them."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                shard, forward, backward, names = (batch.column(c)[row].as_py() for c in ("shard", "forward", "backward", "names"))
+                index = Index(_unpacked(forward), _unpacked(backward))
+                names = np.frombuffer(names, "<i8")
+                which, symbol, found = index.left(index.words())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array((shard << LOCAL_BITS) + np.arange(len(which))), pa.array(names[symbol - 1]), pa.array(names[which]),
+                     pa.array(found.size.astype(np.int32))], ["id", "x", "y", "n"])
+
+    return indices.mapInArrow(run, "id long, x long, y long, n int")
 
 
 def _longer(indices: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -306,10 +311,12 @@ def _longer(indices: DataFrame, pairs: DataFrame) -> DataFrame:
 
 
 def _frequent(rows: DataFrame, key: list[str], least: int) -> DataFrame:
-    """Rows (shard, local, n, ...) whose key has a sum ``f`` of at least
-    ``least`` over all shards, with the key's ``id``."""
-    same = Window.partitionBy(*key)
-    return rows.withColumns({"f": F.sum("n").over(same), "id": F.min(_number(F.col("shard"), F.col("local"))).over(same)}).where(F.col("f") >= least)
+    """Rows (id, n, ...) whose key has a sum ``f`` of at least ``least`` over
+    all shards: (shard, local, id, f, ...) with the smallest id of the key."""
+    same, own = Window.partitionBy(*key), F.col("own")
+    found = rows.withColumnRenamed("id", "own").withColumns({"f": F.sum("n").over(same), "id": F.min(own).over(same)})
+    return found.where(F.col("f") >= least).withColumns(
+        {"shard": F.shiftright(own, LOCAL_BITS), "local": own.bitwiseAND(F.lit((1 << LOCAL_BITS) - 1))})
 
 
 def _named(df: DataFrame, name: str, **columns: str) -> DataFrame:
@@ -320,13 +327,12 @@ def phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", lea
     """All candidates, covered ones dropped: (lang, phrase, a, l, r, n, score)."""
     small_batches(docs.sparkSession)
     own = stored(shards(docs, text_col, lang_col, size), "shards")
-    vocabulary = own.where("tokens is null").drop("tokens")
+    vocabulary = own.where("tokens is null").select(_number(F.col("shard"), F.col("local")).alias("id"), "lang", "word", "n")
     total = vocabulary.groupBy("lang").agg(F.sum("n").alias("n"))
     words = stored(_frequent(vocabulary, ["lang", "word"], least).select("shard", "local", "id", "lang", "word", "f"), "frequent-words")
-    found = stored(_pairs(own, words), "indices")
-    pairs = stored(_frequent(found.where("n is not null").drop("forward", "backward"), ["x", "y"], least).select(
-        "shard", "local", "id", "x", "y", "f"), "frequent-pairs")
-    longer = _longer(found.where("n is null").select("shard", "forward", "backward"), pairs)
+    indices = stored(_indices(own, words), "indices")
+    pairs = stored(_frequent(_pairs(indices), ["x", "y"], least).select("shard", "local", "id", "x", "y", "f"), "frequent-pairs")
+    longer = _longer(indices.drop("names"), pairs)
     longer = stored(longer.groupBy("words", "x", "z", "y").agg(F.sum("n").alias("f")).where(F.col("f") >= least), "longer-phrases")
 
     one_each = F.col("id") == _number(F.col("shard"), F.col("local"))

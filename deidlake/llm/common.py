@@ -26,6 +26,7 @@ PIECE_BYTES = 500_000
 KEPT_POWERS = 1 << 19
 #: Rows of an Arrow batch: long texts make large batches.
 BATCH_ROWS = 1000
+BATCH_BYTES = 16 << 20
 NO_ID = np.iinfo(np.int64).min
 
 _IS_GAP = np.zeros(256, bool)
@@ -46,10 +47,13 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Let Python workers get batches of at most ``BATCH_ROWS`` texts."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
-        spark.conf.set(name, BATCH_ROWS)
+    """Let Python workers get batches of at most ``BATCH_ROWS`` texts and
+    about ``BATCH_BYTES`` (a single longer text is a batch of its own)."""
+    for name, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
+        name = f"spark.sql.execution.arrow.{name}"
+        now = spark.conf.get(name)  # the default has a unit
+        if not (now.isdigit() and 0 < int(now) <= most):
+            spark.conf.set(name, most)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
