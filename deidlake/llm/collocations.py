@@ -42,7 +42,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from deidlake.llm.common import binary_array, lower_ascii, pieces, small_batches, stored, utf8, word_spans
+from deidlake.llm.common import binary_array, discard, lower_ascii, pieces, small_batches, stored, utf8, word_spans
 
 LEAST = 30
 LONGEST = 4
@@ -311,12 +311,13 @@ def _longer(indices: DataFrame, pairs: DataFrame) -> DataFrame:
 
 
 def _frequent(rows: DataFrame, key: list[str], least: int) -> DataFrame:
-    """Rows (id, n, ...) whose key has a sum ``f`` of at least ``least`` over
-    all shards: (shard, local, id, f, ...) with the smallest id of the key."""
+    """Of rows (id, n, key) those whose key has a sum of at least ``least``
+    over all shards: (shard, local, id) with the smallest id of the key, and on
+    the row that has it the key and the sum ``f``."""
     same, own = Window.partitionBy(*key), F.col("own")
-    found = rows.withColumnRenamed("id", "own").withColumns({"f": F.sum("n").over(same), "id": F.min(own).over(same)})
-    return found.where(F.col("f") >= least).withColumns(
-        {"shard": F.shiftright(own, LOCAL_BITS), "local": own.bitwiseAND(F.lit((1 << LOCAL_BITS) - 1))})
+    found = rows.withColumnRenamed("id", "own").withColumns({"f": F.sum("n").over(same), "id": F.min(own).over(same)}).where(F.col("f") >= least)
+    return found.select(F.shiftright(own, LOCAL_BITS).alias("shard"), own.bitwiseAND(F.lit((1 << LOCAL_BITS) - 1)).cast("int").alias("local"), "id",
+                        *[F.when(own == F.col("id"), F.col(c)).alias(c) for c in (*key, "f")])
 
 
 def _named(df: DataFrame, name: str, **columns: str) -> DataFrame:
@@ -326,17 +327,18 @@ def _named(df: DataFrame, name: str, **columns: str) -> DataFrame:
 def phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", least: int = LEAST, size: int = SHARD_WORDS) -> DataFrame:
     """All candidates, covered ones dropped: (lang, phrase, a, l, r, n, score)."""
     small_batches(docs.sparkSession)
-    own = stored(shards(docs, text_col, lang_col, size), "shards")
+    own = stored(shards(docs, text_col, lang_col, size), "shards", "zstd")
     vocabulary = own.where("tokens is null").select(_number(F.col("shard"), F.col("local")).alias("id"), "lang", "word", "n")
-    total = vocabulary.groupBy("lang").agg(F.sum("n").alias("n"))
-    words = stored(_frequent(vocabulary, ["lang", "word"], least).select("shard", "local", "id", "lang", "word", "f"), "frequent-words")
-    indices = stored(_indices(own, words), "indices")
-    pairs = stored(_frequent(_pairs(indices), ["x", "y"], least).select("shard", "local", "id", "x", "y", "f"), "frequent-pairs")
+    total = stored(vocabulary.groupBy("lang").agg(F.sum("n").alias("n")), "words-of-languages")
+    words = stored(_frequent(vocabulary, ["lang", "word"], least), "frequent-words", "zstd")
+    indices = stored(_indices(own, words), "indices", "zstd")
+    if not total.isEmpty():
+        discard(own)
+    pairs = stored(_frequent(_pairs(indices), ["x", "y"], least), "frequent-pairs", "zstd")
     longer = _longer(indices.drop("names"), pairs)
     longer = stored(longer.groupBy("words", "x", "z", "y").agg(F.sum("n").alias("f")).where(F.col("f") >= least), "longer-phrases")
 
-    one_each = F.col("id") == _number(F.col("shard"), F.col("local"))
-    one, two = words.where(one_each), pairs.where(one_each)
+    one, two = words.where("f is not null"), pairs.where("f is not null")
     two = (two.join(_named(one, "x", lang="lang", first="word", f_first="f"), "x").join(_named(one, "y", last="word", f_last="f"), "y")
            .select("id", "lang", "first", "last", "f", "f_first", "f_last"))
     two = stored(two, "pairs-with-words")

@@ -38,14 +38,23 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{workspace_root(spark)}/llm/{name}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """Write ``df`` to the shared folder and read it back: later actions
     neither recompute it nor depend on the executors that made it."""
     path = scratch(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Remove the folder of a table made by ``stored`` that nothing reads any more."""
+    spark = df.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(df.select("_metadata.file_path").first()[0]).getParent()
+    if path.getParent().toUri().getPath() != spark._jvm.org.apache.hadoop.fs.Path(f"{workspace_root(spark)}/llm").toUri().getPath():
+        raise ValueError(f"not a table of this subpackage: {path}")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def small_batches(spark: SparkSession) -> None:
     """Let Python workers get batches of at most ``BATCH_ROWS`` texts and
     about ``BATCH_BYTES`` (a single longer text is a batch of its own)."""
