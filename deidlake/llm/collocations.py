@@ -7,11 +7,12 @@ Phrases are found in three steps, each summed up over all shards by Spark:
 1. words: counts of each shard's words.  The words found often enough (as
    often as a phrase must be) go back to the shards that have them.
 2. two words: a shard replaces other words by breaks (no phrase with them can
-   be frequent), builds its index and extends every word to the left.  The
-   frequent pairs go back to their shards.
+   be frequent), builds its index and extends every word to the left.
 3. three and four words: pairs are extended to the right, if the last two
-   words are a frequent pair, and the results to the left, if the first three
-   are one of them; the sums over all shards decide.
+   words are a pair too, and the results to the left, if the first three are
+   one of them; the sums over all shards decide.  Only pairs in a bitmap of
+   the frequent ones are extended: it has 2^28 bits at most, so its size is
+   bounded, and a bit that is set by chance costs work but changes no count.
 
 The index is the Burrows-Wheeler transform of the ids and of the reversed ids.
 Suffixes are sorted by their first four words only, which is enough for
@@ -22,8 +23,8 @@ at the far end are frequent is whether the interval lies in one of theirs.
 
 A phrase can't be more frequent than its parts, so leaving out extensions of
 rare parts loses nothing, and a phrase that covers another by two more words
-implies one by one more word that covers it too.  A phrase or word is named by
-the first (shard, number) that has it: exact, not a hash.
+implies one by one more word that covers it too.  A word is named by the first
+(shard, number) that has it: exact, not a hash.
 
 Defined results: a null or empty text has no words; a null language counts as
 ``und``; texts of any length belong to one shard as a whole; repeated rows
@@ -42,7 +43,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from deidlake.llm.common import binary_array, discard, lower_ascii, pieces, small_batches, stored, utf8, word_spans
+from deidlake.llm.common import binary_array, discard, lower_ascii, mix64, pieces, small_batches, stored, utf8, word_spans
 
 LEAST = 30
 LONGEST = 4
@@ -54,6 +55,8 @@ NO_LANG = "und"
 SHARD_WORDS = 1 << 20
 #: Bits of a number within its shard, and of a shard's within its task.
 LOCAL_BITS, TASK_BITS = 27, 16
+#: Bits of the bitmap for each frequent pair, and as a power of two at most.
+PAIR_BITS, MOST_BITS = 16, 28
 #: Parts of a language that are ranked on their own first.
 SPREAD = 64
 
@@ -266,48 +269,70 @@ def _indices(shard_rows: DataFrame, words: DataFrame) -> DataFrame:
         run, "shard long, forward binary, backward binary, names binary")
 
 
+def _open(row: dict) -> tuple[Index, np.ndarray]:
+    return Index(_unpacked(row["forward"]), _unpacked(row["backward"])), np.frombuffer(row["names"], "<i8")
+
+
 def _pairs(indices: DataFrame) -> DataFrame:
-    """(id, x, y, n) of the pairs of words of every shard; ``id`` numbers them."""
+    """(x, y, n) of the pairs of words of every shard."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in range(batch.num_rows):
-                shard, forward, backward, names = (batch.column(c)[row].as_py() for c in ("shard", "forward", "backward", "names"))
-                index = Index(_unpacked(forward), _unpacked(backward))
-                names = np.frombuffer(names, "<i8")
+            for row in batch.to_pylist():
+                index, names = _open(row)
                 which, symbol, found = index.left(index.words())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array((shard << LOCAL_BITS) + np.arange(len(which))), pa.array(names[symbol - 1]), pa.array(names[which]),
-                     pa.array(found.size.astype(np.int32))], ["id", "x", "y", "n"])
+                    [pa.array(names[symbol - 1]), pa.array(names[which]), pa.array(found.size.astype(np.int64))], ["x", "y", "n"])
 
-    return indices.mapInArrow(run, "id long, x long, y long, n int")
+    return indices.select("forward", "backward", "names").mapInArrow(run, "x long, y long, n long")
 
 
-def _longer(indices: DataFrame, pairs: DataFrame) -> DataFrame:
-    """(words, x, z, y, n) of the phrases of three (pairs x, y) and four words
-    (pairs x, z, y) of every shard."""
-    schema = pa.schema([("words", pa.int32()), ("x", pa.int64()), ("z", pa.int64()), ("y", pa.int64()), ("n", pa.int64())])
+def _bit(x: np.ndarray, y: np.ndarray, bits: int) -> np.ndarray:
+    return (mix64(mix64(x.view(np.uint64)) ^ y.view(np.uint64), 1) >> np.uint64(64 - bits)).astype(np.int64)
 
-    def table(words: int, x: np.ndarray, z: np.ndarray, y: np.ndarray, n: np.ndarray) -> pa.Table:
-        return pa.Table.from_arrays([pa.array(np.full(len(x), words, np.int32)), *[pa.array(c.astype(np.int64)) for c in (x, z, y, n)]], schema=schema)
 
-    def run(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
-        if not len(left) or not len(right):
-            return schema.empty_table()
-        index = Index(_unpacked(left.column("forward")[0].as_py()), _unpacked(left.column("backward")[0].as_py()))
-        two = index.left(index.words())[2][right.column("local").to_numpy()]
-        name = right.column("id").to_numpy()
-        which, _, three = index.right(two)
-        last = _holder(two.back, two.size, three.back)
-        both = last >= 0
-        three, x, y = three[both], name[which[both]], name[last[both]]
-        which, _, four = index.left(three)
-        first = _holder(three.low, three.size, four.low)
-        both = first >= 0
-        first, which = first[both], which[both]
-        return pa.concat_tables([table(3, x, np.zeros(len(x)), y, three.size), table(4, x[first], x[which], y[which], four.size[both])])
-
-    return indices.groupBy("shard").cogroup(pairs.select("shard", "local", "id").groupBy("shard")).applyInArrow(
-        run, "words int, x long, z long, y long, n long")
+def _bitmap(pairs: DataFrame, bits: int) -> np.ndarray:
+    """2^bits bits, as bytes, with those of the pairs set."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bit = _bit(batch.column("x").to_numpy(), batch.column("y").to_numpy(), bits)
+            yield pa.RecordBatch.from_arrays([pa.array(bit >> 15), pa.array(bit & 32767)], ["part", "place"])
+
+    parts = pairs.select("x", "y").mapInArrow(run, "part long, place long").groupBy("part").agg(
+        F.bitmap_construct_agg("place").alias("set")).collect()  # at most 2^(bits - 15) rows of 4 KB
+    out = np.zeros((1 << bits) >> 3, np.uint8)
+    for part, found in parts:
+        out[part * 4096:(part + 1) * 4096] = np.frombuffer(found, np.uint8)
+    return out
+
+
+def _longer(indices: DataFrame, bitmap, bits: int) -> DataFrame:
+    """(w1, w2, w3, w4, n) of the phrases of three (w4 null) and four words of
+    every shard whose pairs are in the broadcast bitmap."""
+    names_ = ["w1", "w2", "w3", "w4", "n"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        often = bitmap.value
+        for batch in batches:
+            for row in batch.to_pylist():
+                index, names = _open(row)
+                which, symbol, two = index.left(index.words())
+                x, y = names[symbol - 1], names[which]
+                bit = _bit(x, y, bits)
+                kept = np.flatnonzero(often[bit >> 3] >> (bit & 7).astype(np.uint8) & 1)
+                two, x, y = two[kept], x[kept], y[kept]
+                which, symbol, three = index.right(two)
+                both = _holder(two.back, two.size, three.back) >= 0
+                which, three = which[both], three[both]
+                w = [x[which], y[which], names[symbol[both] - 1]]
+                yield pa.RecordBatch.from_arrays(
+                    [*map(pa.array, w), pa.nulls(len(which), pa.int64()), pa.array(three.size.astype(np.int64))], names_)
+                which, symbol, four = index.left(three)
+                both = _holder(three.low, three.size, four.low) >= 0
+                which = which[both]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(names[symbol[both] - 1]), *[pa.array(c[which]) for c in w], pa.array(four.size[both].astype(np.int64))], names_)
+
+    return indices.select("forward", "backward", "names").mapInArrow(run, "w1 long, w2 long, w3 long, w4 long, n long")
 
 
 def _frequent(rows: DataFrame, key: list[str], least: int) -> DataFrame:
@@ -320,13 +345,14 @@ def _frequent(rows: DataFrame, key: list[str], least: int) -> DataFrame:
                         *[F.when(own == F.col("id"), F.col(c)).alias(c) for c in (*key, "f")])
 
 
-def _named(df: DataFrame, name: str, **columns: str) -> DataFrame:
-    return df.select(F.col("id").alias(name), *[F.col(v).alias(k) for k, v in columns.items()])
+def _named(df: DataFrame, **columns: str) -> DataFrame:
+    return df.select(*[F.col(v).alias(k) for k, v in columns.items()])
 
 
 def phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", least: int = LEAST, size: int = SHARD_WORDS) -> DataFrame:
     """All candidates, covered ones dropped: (lang, phrase, a, l, r, n, score)."""
-    small_batches(docs.sparkSession)
+    spark = docs.sparkSession
+    small_batches(spark)
     own = stored(shards(docs, text_col, lang_col, size), "shards", "zstd")
     vocabulary = own.where("tokens is null").select(_number(F.col("shard"), F.col("local")).alias("id"), "lang", "word", "n")
     total = stored(vocabulary.groupBy("lang").agg(F.sum("n").alias("n")), "words-of-languages")
@@ -334,25 +360,26 @@ def phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", lea
     indices = stored(_indices(own, words), "indices", "zstd")
     if not total.isEmpty():
         discard(own)
-    pairs = stored(_frequent(_pairs(indices), ["x", "y"], least), "frequent-pairs", "zstd")
-    longer = _longer(indices.drop("names"), pairs)
-    longer = stored(longer.groupBy("words", "x", "z", "y").agg(F.sum("n").alias("f")).where(F.col("f") >= least), "longer-phrases")
-
-    one, two = words.where("f is not null"), pairs.where("f is not null")
-    two = (two.join(_named(one, "x", lang="lang", first="word", f_first="f"), "x").join(_named(one, "y", last="word", f_last="f"), "y")
-           .select("id", "lang", "first", "last", "f", "f_first", "f_last"))
+    enough = lambda df, *key: df.groupBy(*key).agg(F.sum("n").alias("f")).where(F.col("f") >= least)
+    pairs = stored(enough(_pairs(indices), "x", "y"), "frequent-pairs")
+    bits = min(MOST_BITS, max(15, (PAIR_BITS * pairs.count()).bit_length()))
+    bitmap = spark.sparkContext.broadcast(_bitmap(pairs, bits))
+    longer = stored(enough(_longer(indices, bitmap, bits), "w1", "w2", "w3", "w4"), "longer-phrases")
+
+    one = words.where("f is not null")
+    two = pairs.join(_named(one, x="id", lang="lang", first="word", f_first="f"), "x").join(_named(one, y="id", last="word", f_last="f"), "y")
     two = stored(two, "pairs-with-words")
-    three = longer.where("words = 3").select("x", "y", "f")
-    three_words = (three.join(_named(two, "x", lang="lang", w1="first", w2="last", f1="f_first", f12="f"), "x")
-                   .join(_named(two, "y", w3="last", f23="f", f3="f_last"), "y"))
-    four = longer.where("words = 4").select("x", "z", "y", "f")
-    four_words = (four.join(_named(two, "x", lang="lang", w1="first", w2="last", f1="f_first", f12="f"), "x")
-                  .join(_named(two, "y", w3="first", w4="last", f34="f", f4="f_last"), "y")
-                  .join(three.select("x", F.col("y").alias("z"), F.col("f").alias("f123")), ["x", "z"])
-                  .join(three.select(F.col("x").alias("z"), "y", F.col("f").alias("f234")), ["z", "y"]))
-    over_two = reduce(DataFrame.unionByName, [three.select(F.col(c).alias("id"), "f") for c in ("x", "y")]).groupBy("id").agg(F.max("f").alias("over"))
-    over_three = four.select("x", F.col("z").alias("y"), "f").unionByName(four.select(F.col("z").alias("x"), "y", "f"))
-    over_three = over_three.groupBy("x", "y").agg(F.max("f").alias("over"))
+    three, four = longer.where("w4 is null").drop("w4"), longer.where("w4 is not null")
+    three_words = (three.join(_named(two, w1="x", w2="y", lang="lang", t1="first", t2="last", f1="f_first", f12="f"), ["w1", "w2"])
+                   .join(_named(two, w2="x", w3="y", t3="last", f23="f", f3="f_last"), ["w2", "w3"]))
+    four_words = (four.join(_named(two, w1="x", w2="y", lang="lang", t1="first", t2="last", f1="f_first", f12="f"), ["w1", "w2"])
+                  .join(_named(two, w3="x", w4="y", t3="first", t4="last", f34="f", f4="f_last"), ["w3", "w4"])
+                  .join(_named(three, w1="w1", w2="w2", w3="w3", f123="f"), ["w1", "w2", "w3"])
+                  .join(_named(three, w2="w1", w3="w2", w4="w3", f234="f"), ["w2", "w3", "w4"]))
+    over_two = _named(three, x="w1", y="w2", f="f").unionByName(_named(three, x="w2", y="w3", f="f"))
+    over_two = over_two.groupBy("x", "y").agg(F.max("f").alias("over"))
+    over_three = _named(four, w1="w1", w2="w2", w3="w3", f="f").unionByName(_named(four, w1="w2", w2="w3", w3="w4", f="f"))
+    over_three = over_three.groupBy("w1", "w2", "w3").agg(F.max("f").alias("over"))
 
     wide = lambda c: F.col(c).cast("decimal(38,0)") if isinstance(c, str) else c
 
@@ -364,9 +391,9 @@ def phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", lea
             "lang", F.concat_ws(" ", *names).alias("phrase"), F.col("f").alias("a"), "cut.l", "cut.r", "cut.score")
 
     found = [
-        scored(two.join(over_two, "id", "left"), ["first", "last"], [("f_first", "f_last")]),
-        scored(three_words.join(over_three, ["x", "y"], "left"), ["w1", "w2", "w3"], [("f1", "f23"), ("f12", "f3")]),
-        scored(four_words, ["w1", "w2", "w3", "w4"], [("f1", "f234"), ("f12", "f34"), ("f123", "f4")]),
+        scored(two.join(over_two, ["x", "y"], "left"), ["first", "last"], [("f_first", "f_last")]),
+        scored(three_words.join(over_three, ["w1", "w2", "w3"], "left"), ["t1", "t2", "t3"], [("f1", "f23"), ("f12", "f3")]),
+        scored(four_words, ["t1", "t2", "t3", "t4"], [("f1", "f234"), ("f12", "f34"), ("f123", "f4")]),
     ]
     return reduce(DataFrame.unionByName, found).join(total, "lang").select("lang", "phrase", "a", "l", "r", "n", "score")
 
