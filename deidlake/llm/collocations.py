@@ -4,15 +4,17 @@ A shard holds whole texts of about ``SHARD_WORDS`` words, as ids of (lang,
 word) with a break between pieces; a task makes its shards one after another.
 Phrases are found in three steps, each summed up over all shards by Spark:
 
-1. words: counts of each shard's words.  The words found often enough (as
-   often as a phrase must be) go back to the shards that have them.
-2. two words: a shard replaces other words by breaks (no phrase with them can
-   be frequent), builds its index and extends every word to the left.
+1. words: counts of each shard's words.
+2. two words: a shard replaces words that aren't found often enough (as often
+   as a phrase must be) by breaks, since no phrase with them can be frequent,
+   builds its index and extends every word to the left.
 3. three and four words: pairs are extended to the right, if the last two
    words are a pair too, and the results to the left, if the first three are
-   one of them; the sums over all shards decide.  Only pairs in a bitmap of
-   the frequent ones are extended: it has 2^28 bits at most, so its size is
-   bounded, and a bit that is set by chance costs work but changes no count.
+   one of them; the sums over all shards decide.
+
+What is frequent reaches the shards as a bitmap of words and one of pairs, of
+2^28 bits at most: their size is bounded, and a bit that is set by chance costs
+work but changes no count.
 
 The index is the Burrows-Wheeler transform of the ids and of the reversed ids.
 Suffixes are sorted by their first four words only, which is enough for
@@ -23,8 +25,9 @@ at the far end are frequent is whether the interval lies in one of theirs.
 
 A phrase can't be more frequent than its parts, so leaving out extensions of
 rare parts loses nothing, and a phrase that covers another by two more words
-implies one by one more word that covers it too.  A word is named by the first
-(shard, number) that has it: exact, not a hash.
+implies one by one more word that covers it too.  Words are named by 64-bit
+hashes; the vocabulary is searched for two words of one name, and if there are
+any, all starts anew with other names.
 
 Defined results: a null or empty text has no words; a null language counts as
 ``und``; texts of any length belong to one shard as a whole; repeated rows
@@ -38,8 +41,9 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 import zstandard
-from pyspark import TaskContext
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -53,10 +57,10 @@ SCALE = 2_000_000
 TOP = 2000
 NO_LANG = "und"
 SHARD_WORDS = 1 << 20
-#: Bits of a number within its shard, and of a shard's within its task.
-LOCAL_BITS, TASK_BITS = 27, 16
-#: Bits of the bitmap for each frequent pair, and as a power of two at most.
-PAIR_BITS, MOST_BITS = 16, 28
+#: Seed of Spark's xxhash64, by which the shards name words too.
+HASH_SEED = 42
+#: Bits of a bitmap for each word or pair in it, and as a power of two at most.
+BITS_EACH, MOST_BITS = 16, 28
 #: Parts of a language that are ranked on their own first.
 SPREAD = 64
 
@@ -76,10 +80,6 @@ def _unpacked(data: bytes) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view("<i4").ravel()
 
 
-def _number(shard: Column, local: Column) -> Column:
-    return shard * (1 << LOCAL_BITS) + local
-
-
 # -------------------------------------------------------------------- shards
 
 class _Shard:
@@ -105,45 +105,69 @@ class _Shard:
         self.lang.append(np.repeat(code, np.diff(first)))
         self.size += len(start)
 
-    def rows(self, shard: int) -> Iterator[pa.RecordBatch]:
-        """The shard's tokens (0 for a break), then its vocabulary."""
+    def rows(self, tag: str) -> Iterator[pa.RecordBatch]:
+        """The shard's tokens (0 for a break) and its words' names, then its
+        vocabulary."""
         found = pa.chunked_array(self.words, pa.binary()).combine_chunks().dictionary_encode()
         pair = found.indices.to_numpy().astype(np.int64) * len(self.langs) + np.concatenate(self.lang)
         pairs, code, n = np.unique(pair, return_inverse=True, return_counts=True)
         first = np.concatenate(self.first)
         tokens = np.zeros(len(code) + int(first.sum()) + 1, np.int32)
         tokens[np.arange(len(code)) + np.cumsum(first)] = code + 1
+        words = found.dictionary.take(pa.array(pairs // len(self.langs)))
+        lang = pairs % len(self.langs)
+        heads = [f"{tag}\0{x}\0".encode() for x in self.langs]
+        names = np.fromiter((xxhash.xxh64_intdigest(heads[k] + w, HASH_SEED) for k, w in zip(lang.tolist(), words.to_pylist())), np.uint64, len(pairs))
         yield pa.RecordBatch.from_arrays(
-            [pa.array([shard], pa.int64()), pa.array([0], pa.int64()), pa.array([None], pa.string()), pa.array([None], pa.string()),
-             pa.array([0], pa.int64()), pa.array([_packed(tokens)], pa.binary())], ["shard", "local", "lang", "word", "n", "tokens"])
-        names = pa.array(list(self.langs), pa.string())
-        count = len(pairs)
+            [pa.array([None], pa.string()), pa.array([None], pa.string()), pa.array([0], pa.int64()), pa.array([_packed(tokens)], pa.binary()),
+             pa.array([names.tobytes()], pa.binary())], SHARD_COLUMNS)
+        none = pa.nulls(len(pairs), pa.binary())
         yield pa.RecordBatch.from_arrays(
-            [pa.array(np.full(count, shard, np.int64)), pa.array(np.arange(1, count + 1)), names.take(pa.array(pairs % len(self.langs))),
-             found.dictionary.take(pa.array(pairs // len(self.langs))).cast(pa.string()), pa.array(n.astype(np.int64)),
-             pa.nulls(count, pa.binary())], ["shard", "local", "lang", "word", "n", "tokens"])
+            [pa.array(list(self.langs), pa.string()).take(pa.array(lang)), words.cast(pa.string()), pa.array(n.astype(np.int64)), none, none],
+            SHARD_COLUMNS)
 
 
-def shards(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", size: int = SHARD_WORDS) -> DataFrame:
-    """(shard, local, lang, word, n, tokens): a row with the tokens of each
-    shard, and one for each of its words."""
+SHARD_COLUMNS = ["lang", "word", "n", "tokens", "names"]
+
+
+def shards(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", size: int = SHARD_WORDS, tag: str = "") -> DataFrame:
+    """(lang, word, n, tokens, names): a row with the tokens of each shard, and
+    one for each of its words."""
     source = docs.select(F.col(f"`{text_col}`").cast("string").alias("text"),
                          F.coalesce(F.col(f"`{lang_col}`").cast("string"), F.lit(NO_LANG)).alias("lang"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number, current = TaskContext.get().partitionId() << TASK_BITS, _Shard()
+        current = _Shard()
         for batch in batches:
             data, offsets = utf8(batch.column("text"))
             langs = batch.column("lang").to_pylist()
             for i, j in pieces(offsets):
                 current.add(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i], langs[i:j])
                 if current.size >= size:
-                    yield from current.rows(number)
-                    number, current = number + 1, _Shard()
+                    yield from current.rows(tag)
+                    current = _Shard()
         if current.size:
-            yield from current.rows(number)
+            yield from current.rows(tag)
+
+    return source.mapInArrow(run, "lang string, word string, n long, tokens binary, names binary")
 
-    return source.mapInArrow(run, "shard long, local long, lang string, word string, n long, tokens binary")
+
+def _name(tag: str) -> Column:
+    """The name of a word, as the shards make it."""
+    return F.xxhash64(F.concat(F.lit(f"{tag}\0"), F.col("lang"), F.lit("\0"), F.col("word")))
+
+
+def vocabulary_and_shards(docs: DataFrame, text_col: str, lang_col: str, size: int) -> tuple[DataFrame, DataFrame]:
+    """(id, lang, word, f) of every word, and the shards (tokens, names)."""
+    for turn in range(9):
+        own = stored(shards(docs, text_col, lang_col, size, str(turn)), "shards", "zstd")
+        words = own.where("tokens is null").groupBy("lang", "word").agg(F.sum("n").alias("f"))
+        words = stored(words.select(_name(str(turn)).alias("id"), "lang", "word", "f"), "vocabulary", "zstd")
+        if words.groupBy("id").count().where("count > 1").isEmpty():
+            break
+    else:
+        raise RuntimeError("words share names whatever the hash")
+    return words, own.where("tokens is not null").select("tokens", "names")
 
 
 # --------------------------------------------------------------------- index
@@ -242,31 +266,27 @@ def only(tokens: np.ndarray, kept: np.ndarray) -> np.ndarray:
 
 # ------------------------------------------------------------------ counting
 
-def _indices(shard_rows: DataFrame, words: DataFrame) -> DataFrame:
-    """(shard, forward, backward, names): the index of every shard over its
-    frequent words, and the words' ids in order of their symbols 1, 2, ..."""
-    schema = pa.schema([("shard", pa.int64()), ("forward", pa.binary()), ("backward", pa.binary()), ("names", pa.binary())])
-
-    def run(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
-        if not len(left) or not len(right):
-            return schema.empty_table()
-        tokens = _unpacked(left.column("tokens")[0].as_py())
-        local, name = right.column("local").to_numpy(), right.column("id").to_numpy()
-        kept = np.zeros(max(int(tokens.max()), int(local.max())) + 1, np.int32)
-        kept[local] = np.arange(1, len(local) + 1)
-        symbols = only(tokens, kept)
-        # symbols 1.. for the words that stand beside another one
-        used, symbols = np.unique(np.append(symbols, 0), return_inverse=True)
-        if len(used) < 2:
-            return schema.empty_table()
-        forward, backward = Index.of(symbols[:-1].astype(np.int32))
-        names = name[used[1:] - 1].astype("<i8").tobytes()
-        return pa.Table.from_arrays([pa.array([key[0].as_py()]), pa.array([_packed(forward)]), pa.array([_packed(backward)]), pa.array([names])],
-                                    schema=schema)
-
-    tokens = shard_rows.where("tokens is not null").select("shard", "tokens")
-    return tokens.groupBy("shard").cogroup(words.select("shard", "local", "id").groupBy("shard")).applyInArrow(
-        run, "shard long, forward binary, backward binary, names binary")
+def _indices(own: DataFrame, bitmap: Broadcast, bits: int) -> DataFrame:
+    """(forward, backward, names): the index of every shard over its words in
+    the broadcast bitmap, and their names in order of their symbols 1, 2, ..."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        often = bitmap.value
+        for batch in batches:
+            for row in batch.to_pylist():
+                tokens, names = _unpacked(row["tokens"]), np.frombuffer(row["names"], "<i8")
+                found = _in_bitmap(often, _bit(names, np.zeros_like(names), bits))
+                kept = np.concatenate([[0], np.cumsum(found) * found]).astype(np.int32)
+                symbols = only(tokens, kept)
+                # symbols 1.. for the words that stand beside another one
+                used, symbols = np.unique(np.append(symbols, 0), return_inverse=True)
+                if len(used) < 2:
+                    continue
+                forward, backward = Index.of(symbols[:-1].astype(np.int32))
+                names = names[found][used[1:] - 1]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([_packed(forward)]), pa.array([_packed(backward)]), pa.array([names.tobytes()])], ["forward", "backward", "names"])
+
+    return own.mapInArrow(run, "forward binary, backward binary, names binary")
 
 
 def _open(row: dict) -> tuple[Index, np.ndarray]:
@@ -283,15 +303,21 @@ def _pairs(indices: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(names[symbol - 1]), pa.array(names[which]), pa.array(found.size.astype(np.int64))], ["x", "y", "n"])
 
-    return indices.select("forward", "backward", "names").mapInArrow(run, "x long, y long, n long")
+    return indices.mapInArrow(run, "x long, y long, n long")
 
 
 def _bit(x: np.ndarray, y: np.ndarray, bits: int) -> np.ndarray:
     return (mix64(mix64(x.view(np.uint64)) ^ y.view(np.uint64), 1) >> np.uint64(64 - bits)).astype(np.int64)
 
 
-def _bitmap(pairs: DataFrame, bits: int) -> np.ndarray:
-    """2^bits bits, as bytes, with those of the pairs set."""
+def _in_bitmap(bitmap: np.ndarray, bit: np.ndarray) -> np.ndarray:
+    return (bitmap[bit >> 3] >> (bit & 7).astype(np.uint8) & 1).astype(bool)
+
+
+def _bitmap(pairs: DataFrame) -> tuple[Broadcast, int]:
+    """2^bits bits, as bytes, with those of the pairs (x, y) set; bits."""
+    bits = min(MOST_BITS, max(15, (BITS_EACH * pairs.count()).bit_length()))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             bit = _bit(batch.column("x").to_numpy(), batch.column("y").to_numpy(), bits)
@@ -302,10 +328,10 @@ def _bitmap(pairs: DataFrame, bits: int) -> np.ndarray:
     out = np.zeros((1 << bits) >> 3, np.uint8)
     for part, found in parts:
         out[part * 4096:(part + 1) * 4096] = np.frombuffer(found, np.uint8)
-    return out
+    return pairs.sparkSession.sparkContext.broadcast(out), bits
 
 
-def _longer(indices: DataFrame, bitmap, bits: int) -> DataFrame:
+def _longer(indices: DataFrame, bitmap: Broadcast, bits: int) -> DataFrame:
     """(w1, w2, w3, w4, n) of the phrases of three (w4 null) and four words of
     every shard whose pairs are in the broadcast bitmap."""
     names_ = ["w1", "w2", "w3", "w4", "n"]
@@ -317,8 +343,7 @@ def _longer(indices: DataFrame, bitmap, bits: int) -> DataFrame:
                 index, names = _open(row)
                 which, symbol, two = index.left(index.words())
                 x, y = names[symbol - 1], names[which]
-                bit = _bit(x, y, bits)
-                kept = np.flatnonzero(often[bit >> 3] >> (bit & 7).astype(np.uint8) & 1)
+                kept = np.flatnonzero(_in_bitmap(often, _bit(x, y, bits)))
                 two, x, y = two[kept], x[kept], y[kept]
                 which, symbol, three = index.right(two)
                 both = _holder(two.back, two.size, three.back) >= 0
@@ -332,17 +357,7 @@ def _longer(indices: DataFrame, bitmap, bits: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(names[symbol[both] - 1]), *[pa.array(c[which]) for c in w], pa.array(four.size[both].astype(np.int64))], names_)
 
-    return indices.select("forward", "backward", "names").mapInArrow(run, "w1 long, w2 long, w3 long, w4 long, n long")
-
-
-def _frequent(rows: DataFrame, key: list[str], least: int) -> DataFrame:
-    """Of rows (id, n, key) those whose key has a sum of at least ``least``
-    over all shards: (shard, local, id) with the smallest id of the key, and on
-    the row that has it the key and the sum ``f``."""
-    same, own = Window.partitionBy(*key), F.col("own")
-    found = rows.withColumnRenamed("id", "own").withColumns({"f": F.sum("n").over(same), "id": F.min(own).over(same)}).where(F.col("f") >= least)
-    return found.select(F.shiftright(own, LOCAL_BITS).alias("shard"), own.bitwiseAND(F.lit((1 << LOCAL_BITS) - 1)).cast("int").alias("local"), "id",
-                        *[F.when(own == F.col("id"), F.col(c)).alias(c) for c in (*key, "f")])
+    return indices.mapInArrow(run, "w1 long, w2 long, w3 long, w4 long, n long")
 
 
 def _named(df: DataFrame, **columns: str) -> DataFrame:
@@ -351,22 +366,18 @@ def _named(df: DataFrame, **columns: str) -> DataFrame:
 
 def phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", least: int = LEAST, size: int = SHARD_WORDS) -> DataFrame:
     """All candidates, covered ones dropped: (lang, phrase, a, l, r, n, score)."""
-    spark = docs.sparkSession
-    small_batches(spark)
-    own = stored(shards(docs, text_col, lang_col, size), "shards", "zstd")
-    vocabulary = own.where("tokens is null").select(_number(F.col("shard"), F.col("local")).alias("id"), "lang", "word", "n")
-    total = stored(vocabulary.groupBy("lang").agg(F.sum("n").alias("n")), "words-of-languages")
-    words = stored(_frequent(vocabulary, ["lang", "word"], least), "frequent-words", "zstd")
-    indices = stored(_indices(own, words), "indices", "zstd")
+    small_batches(docs.sparkSession)
+    enough = lambda df, *key: df.groupBy(*key).agg(F.sum("n").alias("f")).where(F.col("f") >= least)
+    vocabulary, own = vocabulary_and_shards(docs, text_col, lang_col, size)
+    total = vocabulary.groupBy("lang").agg(F.sum("f").alias("n"))
+    one = vocabulary.where(F.col("f") >= least)
+    indices = stored(_indices(own, *_bitmap(one.select(F.col("id").alias("x"), F.lit(0).cast("long").alias("y")))), "indices", "zstd")
     if not total.isEmpty():
         discard(own)
-    enough = lambda df, *key: df.groupBy(*key).agg(F.sum("n").alias("f")).where(F.col("f") >= least)
     pairs = stored(enough(_pairs(indices), "x", "y"), "frequent-pairs")
-    bits = min(MOST_BITS, max(15, (PAIR_BITS * pairs.count()).bit_length()))
-    bitmap = spark.sparkContext.broadcast(_bitmap(pairs, bits))
+    bitmap, bits = _bitmap(pairs)
     longer = stored(enough(_longer(indices, bitmap, bits), "w1", "w2", "w3", "w4"), "longer-phrases")
 
-    one = words.where("f is not null")
     two = pairs.join(_named(one, x="id", lang="lang", first="word", f_first="f"), "x").join(_named(one, y="id", last="word", f_last="f"), "y")
     two = stored(two, "pairs-with-words")
     three, four = longer.where("w4 is null").drop("w4"), longer.where("w4 is not null")
