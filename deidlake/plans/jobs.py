@@ -19,6 +19,7 @@ from deidlake.constants import CHANGE_TYPE_COLUMN, DELETE, FEATURE_EXTRACTION_SU
 from deidlake.operators import changes as ch
 from deidlake.operators.deidentify import TextFn, deidentified_keys, deidentify, delete_layout
 from deidlake.operators.entities import extract_entities, nested_entities
+from deidlake.operators.keys import key_columns, key_names
 from deidlake.operators.merge import merge_changes
 from deidlake.operators.monitor import append_monitoring, monitoring_rows
 from deidlake.operators.validate import validate
@@ -85,21 +86,23 @@ def _propagate(spark, src: ZoneTable, dst: ZoneTable, src_keys, dst_keys,
                on_deletes: Callable[[DataFrame], DataFrame]) -> int | None:
     """Consume src batches after dst's watermark; commit dst under the
     newest consumed src batch id.  Returns that id (None if nothing new)."""
-    new = src.unconsumed(spark, dst.latest(spark))
+    mark = dst.latest(spark)
+    new = src.unconsumed(spark, mark)
     if new is None:
         return None
-    latest, feed = new
-    apply_feed(spark, feed, dst, src_keys, dst_keys, on_inserts, on_deletes, latest)
-    return latest
+    apply_feed(spark, new.feed, dst, src_keys, dst_keys, on_inserts, on_deletes, new.newest, reset=new.reset and mark is not None)
+    return new.newest
 
 
 def apply_feed(spark, feed: DataFrame, dst: ZoneTable, src_keys, dst_keys,
                on_inserts: Callable[[DataFrame], DataFrame],
-               on_deletes: Callable[[DataFrame], DataFrame], commit_id: int) -> None:
+               on_deletes: Callable[[DataFrame], DataFrame], commit_id: int, reset: bool = False) -> None:
     """Net the change rows of ``feed`` per key, transform them, and commit
     them as batch ``commit_id`` of ``dst`` -- O(changes): the target is not
     read, because readers apply changes as a keyed replace.  Delete rows
-    carry only the (de-identified) key columns, never raw values.
+    carry only the (de-identified) key columns, never raw values.  With
+    ``reset`` the feed is the whole snapshot, because changes have expired: the
+    keys that the target has besides are deleted, which reads its key columns.
     Idempotent: a re-delivered batch is skipped."""
     if commit_id in dst.committed(spark):
         return  # replay after a crash between this commit and the consumer's marker
@@ -107,6 +110,11 @@ def apply_feed(spark, feed: DataFrame, dst: ZoneTable, src_keys, dst_keys,
     data = ch.data_columns(net)
     inserts = on_inserts(net.where(F.col(CHANGE_TYPE_COLUMN) == INSERT).select(*data))
     delete_keys = on_deletes(net.where(F.col(CHANGE_TYPE_COLUMN) == DELETE).select(*data)).select(*dst_keys)
+    if reset:
+        held = dst.read_snapshot(spark)
+        kept = inserts.select(*key_columns(inserts, dst_keys))
+        gone = held.select(*dst_keys, *key_columns(held, dst_keys)).join(kept, key_names(dst_keys), "left_anti")
+        delete_keys = delete_keys.unionByName(gone.select(*dst_keys))
     deletes = delete_keys.select(*[
         F.col(c) if c in dst_keys else F.lit(None).cast(inserts.schema[c].dataType).alias(c) for c in inserts.columns
     ])
@@ -172,7 +180,8 @@ def run_entity_extraction(spark: SparkSession, cfg: RunConfig, specs,
 def run_cleaning(spark: SparkSession, cfg: RunConfig, specs) -> dict[str, list[int]]:
     """Compact every zone table (base snapshot at its latest batch) and
     expire history nobody needs any more: bronze batches consumed by silver,
-    silver batches consumed by gold, gold batches before its base."""
+    silver batches consumed by gold, gold batches before its base -- and, in
+    each zone, only what all registered consumers of the table have consumed."""
     removed = {}
     for spec in specs:
         if spec.update_mode.value == "not-import":

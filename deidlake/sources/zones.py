@@ -6,11 +6,15 @@ monitoring under one root.
     batch writes in proportion to the change, not to the table;
 ``<root>/<zone>/<schema.table>/base/batch_id=N/``
     the whole snapshot as of batch N (:meth:`ZoneTable.compact`).
+``<root>/<zone>/<schema.table>/consumers/consumer=NAME/batch_id=N/``
+    one row: the registered consumer NAME has consumed batch N (0: none yet).
+    No batch beyond the smallest of these marks ever expires.
 
 A directory counts when Spark's own ``_SUCCESS`` file is in it.  Nothing that
 is published is ever rewritten or renamed: compaction writes a directory of
 its own, and expiry takes ``_SUCCESS`` away before the data.  The schema is
-that of the files; the key columns stand in the metadata of ``_change_type``.
+that of the files; the key columns and the batch before stand in the metadata
+of ``_change_type``, so a consumer sees whether batches after its mark are gone.
 
 Snapshot as of N = latest base at or before N (or the inserts of the first
 load) with the net change per key of the later batches applied.  One writer
@@ -19,7 +23,9 @@ per table, whose batch ids grow.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,6 +57,21 @@ def _publish(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true").parquet(path)
 
 
+class HistoryExpired(RuntimeError):
+    """Batches that a consumer hasn't seen have expired, and what it holds
+    isn't known, so the keys deleted in them can't be told."""
+
+
+class Unconsumed(NamedTuple):
+    """What a consumer has to apply: the change rows up to batch ``newest``.
+    With ``reset`` they are the whole snapshot as inserts, and every other key
+    that the consumer holds is gone."""
+
+    newest: int
+    feed: DataFrame
+    reset: bool
+
+
 @dataclass(frozen=True)
 class ZoneTable:
     root: str
@@ -98,6 +119,11 @@ class ZoneTable:
     def _is_first_load(self, spark: SparkSession, batch: int) -> bool:
         return bool(self._stored(spark, batch)[CHANGE_TYPE_COLUMN].metadata["first_load"])
 
+    def _follows(self, spark: SparkSession, batch: int, mark: int) -> bool:
+        """Is ``mark`` the batch before ``batch``, or a later one?"""
+        before = self._stored(spark, batch)[CHANGE_TYPE_COLUMN].metadata.get("previous")
+        return before is not None and before <= mark
+
     # ---- reads -------------------------------------------------------------
     def _read(self, spark: SparkSession, batches: list[int]) -> DataFrame:
         """Change rows of exactly these batches, in the schema of the last."""
@@ -140,20 +166,61 @@ class ZoneTable:
                      if (after is None or b > after) and (upto is None or b <= upto)]
         return self._read(spark, committed) if committed else None
 
-    def unconsumed(self, spark: SparkSession, mark: int | None) -> tuple[int, DataFrame] | None:
-        """(newest batch id, change rows) of the batches committed after
-        ``mark``, or None.  The ids are listed first and exactly these are
-        read, so a batch that appears meanwhile waits for the next call.  A
-        new consumer (``mark`` None) of a table whose first batches have
-        expired gets the whole snapshot as inserts."""
+    def unconsumed(self, spark: SparkSession, mark: int | None) -> Unconsumed | None:
+        """What is new to a consumer that has consumed ``mark`` (None: nothing
+        yet), or None.  The ids are listed first and exactly these are read, so
+        a batch that appears meanwhile waits for the next call.  If batches
+        after the mark have expired, the snapshot comes instead (``reset``),
+        never a part of the changes."""
         ids = [b for b in self.committed(spark) if mark is None or b > mark]
         if not ids:
             return None
-        if mark is None and not self._is_first_load(spark, ids[0]):
-            snap = self.read_snapshot(spark, ids[-1])
-            return ids[-1], snap.select("*", F.lit(INSERT).alias(CHANGE_TYPE_COLUMN),
-                                        F.lit(ids[-1]).cast("long").alias(BATCH_ID_COLUMN))
-        return ids[-1], self._read(spark, ids)
+        whole = self._is_first_load(spark, ids[0]) if mark is None else self._follows(spark, ids[0], mark)
+        if whole:
+            return Unconsumed(ids[-1], self._read(spark, ids), False)
+        snap = self.read_snapshot(spark, ids[-1])
+        return Unconsumed(ids[-1], snap.select("*", F.lit(INSERT).alias(CHANGE_TYPE_COLUMN),
+                                               F.lit(ids[-1]).cast("long").alias(BATCH_ID_COLUMN)), True)
+
+    # ---- consumers ---------------------------------------------------------
+    def _marks_of(self, spark: SparkSession, consumer: str, marker: str = "/_SUCCESS") -> list[int]:
+        if not re.fullmatch(r"[A-Za-z0-9_.-]+", consumer):
+            raise ValueError(f"consumer {consumer!r}: letters, digits, '_', '.' and '-' only")
+        return self._batches(spark, f"consumers/consumer={consumer}", marker)
+
+    def mark(self, spark: SparkSession, consumer: str) -> int | None:
+        """The newest batch that ``consumer`` has consumed; None if it isn't
+        registered or has consumed nothing."""
+        marks = self._marks_of(spark, consumer)
+        return (marks[-1] or None) if marks else None
+
+    def register_consumer(self, spark: SparkSession, consumer: str) -> None:
+        """Keep every batch from now on until ``consumer`` has consumed it."""
+        if not self._marks_of(spark, consumer):
+            self.mark_consumed(spark, consumer, 0)
+
+    def mark_consumed(self, spark: SparkSession, consumer: str, batch: int) -> None:
+        """Note that ``consumer`` has consumed ``batch``.  The new mark is
+        published before older ones go; a crash between leaves both, and the
+        newest counts."""
+        kind = f"consumers/consumer={consumer}"
+        older = [b for b in self._marks_of(spark, consumer, marker="") if b < batch]
+        _publish(spark.range(1).select(F.current_timestamp().alias("noted")).coalesce(1), self._dir(kind, batch))
+        for b in older:
+            fs, path = _fs(spark, self._dir(kind, b))
+            fs.delete(path, True)
+
+    def unregister_consumer(self, spark: SparkSession, consumer: str) -> None:
+        self._marks_of(spark, consumer)
+        fs, path = _fs(spark, f"{self.path}/consumers/consumer={consumer}")
+        fs.delete(path, True)
+
+    def consumers(self, spark: SparkSession) -> dict[str, int]:
+        """Newest consumed batch of every registered consumer (0: none yet)."""
+        fs, pattern = _fs(spark, f"{self.path}/consumers/consumer=*")
+        names = [st.getPath().getName().split("=", 1)[1] for st in fs.globStatus(pattern) or []]
+        marks = {name: self._marks_of(spark, name) for name in names}
+        return {name: m[-1] for name, m in marks.items() if m}
 
     # ---- writes ------------------------------------------------------------
     def write_batch(self, spark: SparkSession, changes: DataFrame, batch: int, keys) -> None:
@@ -165,7 +232,7 @@ class ZoneTable:
         missing = [k for k in keys if k not in changes.columns]
         if missing:
             raise ValueError(f"key columns {missing} missing from {self.name}")
-        about = {"keys": list(keys), "first_load": latest is None}
+        about = {"keys": list(keys), "first_load": latest is None, "previous": 0 if latest is None else latest}
         data = [c for c in changes.columns if c != SIDE]
         out = changes.where(F.col(SIDE).isin(INSERT, DELETE)).select(
             *data, F.col(SIDE).alias(CHANGE_TYPE_COLUMN, metadata=about))
@@ -181,13 +248,13 @@ class ZoneTable:
 
     def expire(self, spark: SparkSession, before: int) -> list[int]:
         """Remove batches ``< before`` that the snapshot no longer needs
-        (older than the latest base) and no consumer needs (``before`` is the
-        smallest consumer watermark + 1).  Returns the removed batch ids.
-        What an interrupted expiry left behind goes with the next one."""
+        (older than the latest base) and that every registered consumer has
+        consumed.  Returns the removed batch ids.  What an interrupted expiry
+        left behind goes with the next one."""
         bases = self.bases(spark)
         if not bases:
             return []
-        limit = min(before, bases[-1])
+        limit = min([before, bases[-1], *[m + 1 for m in self.consumers(spark).values()]])
         removed = [b for b in self.committed(spark) if b < limit]
         for kind in ("changes", "base"):
             for b in self._batches(spark, kind, marker=""):

@@ -86,11 +86,11 @@ def test_unconsumed_batches_are_netted(spark, root):
     assert ZoneTable(root, "bronze", spec.name).read_snapshot(spark).count() == 2
 
 
-def test_incremental_consumer_restart(spark, root, tmp_path):
+def test_incremental_consumer_restart(spark, root):
     cfg = jobs.RunConfig(root=root, salt=TEST_HASH_SALT)
     spec = TableSpec("dbo.S", ("k", "v"), UpdateMode.DROP_AND_RECREATE, {}, keys=("k",))
     bronze, silver = ZoneTable(root, "bronze", spec.name), ZoneTable(root, "silver", spec.name)
-    marker = str(tmp_path / "marker")
+    marker = "to-silver"
 
     def apply(feed, newest):
         jobs.apply_feed(spark, feed, silver, ["k"], ["k"], lambda d: d, lambda d: d, newest)
@@ -235,9 +235,9 @@ def changes_table(spark, root, batches):
     return zt
 
 
-def test_consumer_waits_for_a_batch_whose_files_are_still_appearing(spark, root, tmp_path):
+def test_consumer_waits_for_a_batch_whose_files_are_still_appearing(spark, root):
     src = changes_table(spark, root, {1: [(1, "a", "insert")]})
-    marker, seen = str(tmp_path / "marker"), []
+    marker, seen = "late", []
 
     def apply(feed, newest):
         seen.append((newest, sorted(r["k"] for r in feed.collect())))
@@ -278,8 +278,8 @@ def test_new_consumer_of_expired_history_starts_from_the_snapshot(spark, root):
     zt = changes_table(spark, root, {1: [(1, "a", "insert")], 2: [(2, "b", "insert")]})
     zt.compact(spark)
     zt.expire(spark, 3)
-    newest, feed = zt.unconsumed(spark, None)
-    assert newest == 2
+    newest, feed, reset = zt.unconsumed(spark, None)
+    assert newest == 2 and reset
     assert sorted((r["k"], r["_change_type"]) for r in feed.collect()) == [(1, "insert"), (2, "insert")]
     assert zt.unconsumed(spark, 2) is None
 
