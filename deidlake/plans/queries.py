@@ -828,3 +828,35 @@ def q_zone_scan(spark, sf_dir):
     rows = deidentify(merged.drop(SIDE), ZONE_ORDERS_SPEC, TEST_HASH_SALT).withColumn(SIDE, F.lit("insert"))
     silver.write_batch(spark, rows, 1, deidentified_keys(ZONE_ORDERS_SPEC))
     return silver.read_snapshot(spark)
+
+
+@register("consumer_catch_up", d.ORDERS_NEW_SQL)
+def q_consumer_catch_up(spark, sf_dir):
+    """A consumer's copy of the orders: it has consumed the old orders when the
+    batch that makes them the new ones expires (the consumer being away), and
+    catches up by the snapshot and the deletes."""
+    from deidlake.streaming.incremental import run_available_now
+
+    root = f"{workspace_root(spark)}/zone-queries/{spark.sparkContext.applicationId}"
+    keys = list(d.ORDERS_SPEC.keys)
+    source, copy = ZoneTable(root, "bronze", "dbo.orders_feed"), ZoneTable(root, "silver", "dbo.orders_copy")
+    for zone_table in (source, copy):
+        zone_table.drop(spark)  # of an earlier run in this application
+    feed = d.orders_feed(spark, sf_dir)
+
+    def publish(batch: int, rows) -> None:
+        source.write_batch(spark, rows.drop(BATCH_ID_COLUMN).withColumnRenamed(CHANGE_TYPE_COLUMN, SIDE), batch, keys)
+
+    def apply(changes, newest: int) -> None:
+        copy.write_batch(spark, changes.drop(BATCH_ID_COLUMN).withColumnRenamed(CHANGE_TYPE_COLUMN, SIDE), newest, keys)
+
+    publish(1, feed.where(F.col(BATCH_ID_COLUMN) == 0))
+    run_available_now(spark, source, "copy", apply)
+    source.unregister_consumer(spark, "copy")
+    publish(2, feed.where(F.col(BATCH_ID_COLUMN) == 1))
+    publish(3, feed.where(F.lit(False)))
+    source.compact(spark)
+    source.expire(spark, 3)
+    source.mark_consumed(spark, "copy", 1)
+    run_available_now(spark, source, "copy", apply, lambda: copy.read_snapshot(spark))
+    return copy.read_snapshot(spark)
