@@ -125,11 +125,17 @@ def _levels(seen: DataFrame) -> int:
     return sizes.agg(F.max("size")).first()[0] or 0
 
 
+def _share(counts: DataFrame) -> Column:
+    """Share of rejected labels; 0 if there are no labels."""
+    share = F.try_divide(F.sum("rejected").cast("double"), F.sum("labels").cast("double"))
+    return counts.agg(F.coalesce(share, F.lit(0.0)).alias("prior")).scalar()
+
+
 def branches(tree: DataFrame) -> DataFrame:
     """(host, template, purity, labels) of the templates with labels, after
     merging: ``purity`` and ``labels`` are those of the merged branch."""
     leaves = tree.groupBy("host", "template").agg(*[F.sum(c).alias(c) for c in ("labels", "rejected")])
-    prior = leaves.agg((F.sum("rejected") / F.sum("labels")).alias("prior")).scalar()
+    prior = _share(leaves)
     share = F.round(SHARES * F.col("rejected") / F.col("labels")).cast("int")
     leaves = leaves.where(F.col("labels") > 0).select(
         "host", "template", "labels", "rejected", F.transform("template", lambda s: s == "*").alias("shape"), share.alias("share"))
@@ -155,7 +161,7 @@ def unlabelled(tree: DataFrame) -> DataFrame:
     smoothed by the host's, which is smoothed by the overall one."""
     counts = tree.groupBy("host", F.transform("template", lambda s: s == "*").alias("shape")).agg(
         F.sum("known_labels").alias("labels"), F.sum("known_rejected").alias("rejected"))
-    prior = tree.agg((F.sum("rejected") / F.sum("labels")).alias("prior")).scalar()
+    prior = _share(tree)
     smooth = lambda above: (F.col("rejected") + PRIOR_WEIGHT * above) / (F.col("labels") + PRIOR_WEIGHT)
     hosts = counts.groupBy("host").agg(F.sum("labels").alias("labels"), F.sum("rejected").alias("rejected"))
     hosts = hosts.where(F.col("labels") > 0).select("host", smooth(prior).alias("of_host"))

@@ -533,3 +533,11 @@ def test_pipeline(spark):
         assert docs.columns == before.columns
         docs = docs.persist()
     assert bag(map(tuple, p.run(spark, SF).collect())) == bag(map(tuple, bpe.digests(docs, PATH).collect()))
+
+
+def test_urls_without_a_rule_are_allowed(spark):
+    """No URL fits a rule, so there are no labels at all."""
+    rows = [(i, f"http://host{i % 3}.info/user/{i}/x") for i in range(60)] + [(100, None), (101, "no url"), (102, "://")]
+    got = url_filter.judge(spark.createDataFrame(rows, "page_id long, url string")).collect()
+    assert sorted(r["page_id"] for r in got) == sorted(i for i, _ in rows)
+    assert {(r["rule"], r["verdict"]) for r in got} == {(None, "allow")}
