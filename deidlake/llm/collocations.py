@@ -2,19 +2,20 @@
 
 A shard holds whole texts of about ``SHARD_WORDS`` words, as ids of (lang,
 word) with a break between pieces; a task makes its shards one after another.
-Phrases are found in three steps, each summed up over all shards by Spark:
+Phrases are found in four steps, each summed up over all shards by Spark:
 
 1. words: counts of each shard's words.
 2. two words: a shard replaces words that aren't found often enough (as often
    as a phrase must be) by breaks, since no phrase with them can be frequent,
    builds its index and extends every word to the left.
-3. three and four words: pairs are extended to the right, if the last two
-   words are a pair too, and the results to the left, if the first three are
-   one of them; the sums over all shards decide.
+3. three words: pairs are extended to the right, if the last two words are a
+   pair too.
+4. four words: phrases of three are extended to the left, if the first three
+   are one of them.
 
-What is frequent reaches the shards as a bitmap of words and one of pairs, of
-2^28 bits at most: their size is bounded, and a bit that is set by chance costs
-work but changes no count.
+What is frequent of a step reaches the shards as a bitmap of 2^28 bits at most:
+its size is bounded, and a bit that is set by chance costs work but changes no
+count.
 
 The index is the Burrows-Wheeler transform of the ids and of the reversed ids.
 Suffixes are sorted by their first four words only, which is enough for
@@ -274,7 +275,7 @@ def _indices(own: DataFrame, bitmap: Broadcast, bits: int) -> DataFrame:
         for batch in batches:
             for row in batch.to_pylist():
                 tokens, names = _unpacked(row["tokens"]), np.frombuffer(row["names"], "<i8")
-                found = _in_bitmap(often, _bit(names, np.zeros_like(names), bits))
+                found = _in_bitmap(often, _bit([names], bits))
                 kept = np.concatenate([[0], np.cumsum(found) * found]).astype(np.int32)
                 symbols = only(tokens, kept)
                 # symbols 1.. for the words that stand beside another one
@@ -306,58 +307,62 @@ def _pairs(indices: DataFrame) -> DataFrame:
     return indices.mapInArrow(run, "x long, y long, n long")
 
 
-def _bit(x: np.ndarray, y: np.ndarray, bits: int) -> np.ndarray:
-    return (mix64(mix64(x.view(np.uint64)) ^ y.view(np.uint64), 1) >> np.uint64(64 - bits)).astype(np.int64)
+def _bit(words: list[np.ndarray], bits: int) -> np.ndarray:
+    """Place of each phrase, given by the names of its words, in a bitmap."""
+    out = np.zeros(len(words[0]), np.uint64)
+    for k, name in enumerate(words):
+        out = mix64(out ^ name.view(np.uint64), k)
+    return (out >> np.uint64(64 - bits)).astype(np.int64)
 
 
 def _in_bitmap(bitmap: np.ndarray, bit: np.ndarray) -> np.ndarray:
     return (bitmap[bit >> 3] >> (bit & 7).astype(np.uint8) & 1).astype(bool)
 
 
-def _bitmap(pairs: DataFrame) -> tuple[Broadcast, int]:
-    """2^bits bits, as bytes, with those of the pairs (x, y) set; bits."""
-    bits = min(MOST_BITS, max(15, (BITS_EACH * pairs.count()).bit_length()))
+def _bitmap(found: DataFrame, *words: str) -> tuple[Broadcast, int]:
+    """2^bits bits, as bytes, with those of the phrases set; bits."""
+    spark = found.sparkSession
+    bits = min(MOST_BITS, max(15, (BITS_EACH * found.count()).bit_length()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            bit = _bit(batch.column("x").to_numpy(), batch.column("y").to_numpy(), bits)
+            bit = _bit([c.to_numpy() for c in batch.columns], bits)
             yield pa.RecordBatch.from_arrays([pa.array(bit >> 15), pa.array(bit & 32767)], ["part", "place"])
 
-    parts = pairs.select("x", "y").mapInArrow(run, "part long, place long").groupBy("part").agg(
+    parts = found.select(*words).mapInArrow(run, "part long, place long").groupBy("part").agg(
         F.bitmap_construct_agg("place").alias("set")).collect()  # at most 2^(bits - 15) rows of 4 KB
     out = np.zeros((1 << bits) >> 3, np.uint8)
-    for part, found in parts:
-        out[part * 4096:(part + 1) * 4096] = np.frombuffer(found, np.uint8)
-    return pairs.sparkSession.sparkContext.broadcast(out), bits
+    for part, piece in parts:
+        out[part * 4096:(part + 1) * 4096] = np.frombuffer(piece, np.uint8)
+    return spark.sparkContext.broadcast(out), bits
 
 
-def _longer(indices: DataFrame, bitmap: Broadcast, bits: int) -> DataFrame:
-    """(w1, w2, w3, w4, n) of the phrases of three (w4 null) and four words of
-    every shard whose pairs are in the broadcast bitmap."""
-    names_ = ["w1", "w2", "w3", "w4", "n"]
+def _longer(indices: DataFrame, pairs: tuple[Broadcast, int], triples: tuple[Broadcast, int] | None = None) -> DataFrame:
+    """(w1, w2, w3, n) of the phrases of three words of every shard whose pairs
+    are in the broadcast bitmap; with that of phrases of three,
+    (w1, w2, w3, w4, n) of those of four."""
+    names_ = ["w1", "w2", "w3", *(["w4"] if triples else []), "n"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        often = bitmap.value
         for batch in batches:
             for row in batch.to_pylist():
                 index, names = _open(row)
                 which, symbol, two = index.left(index.words())
                 x, y = names[symbol - 1], names[which]
-                kept = np.flatnonzero(_in_bitmap(often, _bit(x, y, bits)))
+                kept = np.flatnonzero(_in_bitmap(pairs[0].value, _bit([x, y], pairs[1])))
                 two, x, y = two[kept], x[kept], y[kept]
-                which, symbol, three = index.right(two)
-                both = _holder(two.back, two.size, three.back) >= 0
-                which, three = which[both], three[both]
-                w = [x[which], y[which], names[symbol[both] - 1]]
-                yield pa.RecordBatch.from_arrays(
-                    [*map(pa.array, w), pa.nulls(len(which), pa.int64()), pa.array(three.size.astype(np.int64))], names_)
-                which, symbol, four = index.left(three)
-                both = _holder(three.low, three.size, four.low) >= 0
-                which = which[both]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(names[symbol[both] - 1]), *[pa.array(c[which]) for c in w], pa.array(four.size[both].astype(np.int64))], names_)
+                which, symbol, found = index.right(two)
+                both = np.flatnonzero(_holder(two.back, two.size, found.back) >= 0)
+                found, words = found[both], [x[which[both]], y[which[both]], names[symbol[both] - 1]]
+                if triples:
+                    kept = np.flatnonzero(_in_bitmap(triples[0].value, _bit(words, triples[1])))
+                    three, words = found[kept], [c[kept] for c in words]
+                    which, symbol, found = index.left(three)
+                    both = np.flatnonzero(_holder(three.low, three.size, found.low) >= 0)
+                    found, words = found[both], [names[symbol[both] - 1], *[c[which[both]] for c in words]]
+                yield pa.RecordBatch.from_arrays([*map(pa.array, words), pa.array(found.size.astype(np.int64))], names_)
 
-    return indices.mapInArrow(run, "w1 long, w2 long, w3 long, w4 long, n long")
+    return indices.mapInArrow(run, ", ".join(f"{c} long" for c in names_))
 
 
 def _named(df: DataFrame, **columns: str) -> DataFrame:
@@ -371,16 +376,16 @@ def phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", lea
     vocabulary, own = vocabulary_and_shards(docs, text_col, lang_col, size)
     total = vocabulary.groupBy("lang").agg(F.sum("f").alias("n"))
     one = vocabulary.where(F.col("f") >= least)
-    indices = stored(_indices(own, *_bitmap(one.select(F.col("id").alias("x"), F.lit(0).cast("long").alias("y")))), "indices", "zstd")
+    indices = stored(_indices(own, *_bitmap(one, "id")), "indices", "zstd")
     if not total.isEmpty():
         discard(own)
     pairs = stored(enough(_pairs(indices), "x", "y"), "frequent-pairs")
-    bitmap, bits = _bitmap(pairs)
-    longer = stored(enough(_longer(indices, bitmap, bits), "w1", "w2", "w3", "w4"), "longer-phrases")
+    often = _bitmap(pairs, "x", "y")
+    three = stored(enough(_longer(indices, often), "w1", "w2", "w3"), "frequent-triples")
+    four = stored(enough(_longer(indices, often, _bitmap(three, "w1", "w2", "w3")), "w1", "w2", "w3", "w4"), "frequent-fours")
 
     two = pairs.join(_named(one, x="id", lang="lang", first="word", f_first="f"), "x").join(_named(one, y="id", last="word", f_last="f"), "y")
     two = stored(two, "pairs-with-words")
-    three, four = longer.where("w4 is null").drop("w4"), longer.where("w4 is not null")
     three_words = (three.join(_named(two, w1="x", w2="y", lang="lang", t1="first", t2="last", f1="f_first", f12="f"), ["w1", "w2"])
                    .join(_named(two, w2="x", w3="y", t3="last", f23="f", f3="f_last"), ["w2", "w3"]))
     four_words = (four.join(_named(two, w1="x", w2="y", lang="lang", t1="first", t2="last", f1="f_first", f12="f"), ["w1", "w2"])
