@@ -48,7 +48,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from deidlake.llm.common import binary_array, discard, lower_ascii, mix64, pieces, small_batches, stored, utf8, word_spans
+from deidlake.llm.common import binary_array, discard, lower_ascii, mix64, pieces, shuffles_removed, small_batches, stored, utf8, word_spans
 
 LEAST = 30
 LONGEST = 4
@@ -57,7 +57,7 @@ COVER = 80
 SCALE = 2_000_000
 TOP = 2000
 NO_LANG = "und"
-SHARD_WORDS = 1 << 20
+SHARD_WORDS = 1 << 19
 #: Seed of Spark's xxhash64, by which the shards name words too.
 HASH_SEED = 42
 #: Bits of a bitmap for each word or pair in it, and as a power of two at most.
@@ -373,19 +373,20 @@ def phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", lea
     """All candidates, covered ones dropped: (lang, phrase, a, l, r, n, score)."""
     small_batches(docs.sparkSession)
     enough = lambda df, *key: df.groupBy(*key).agg(F.sum("n").alias("f")).where(F.col("f") >= least)
-    vocabulary, own = vocabulary_and_shards(docs, text_col, lang_col, size)
-    total = vocabulary.groupBy("lang").agg(F.sum("f").alias("n"))
-    one = vocabulary.where(F.col("f") >= least)
-    indices = stored(_indices(own, *_bitmap(one, "id")), "indices", "zstd")
-    if not total.isEmpty():
-        discard(own)
-    pairs = stored(enough(_pairs(indices), "x", "y"), "frequent-pairs")
-    often = _bitmap(pairs, "x", "y")
-    three = stored(enough(_longer(indices, often), "w1", "w2", "w3"), "frequent-triples")
-    four = stored(enough(_longer(indices, often, _bitmap(three, "w1", "w2", "w3")), "w1", "w2", "w3", "w4"), "frequent-fours")
-
-    two = pairs.join(_named(one, x="id", lang="lang", first="word", f_first="f"), "x").join(_named(one, y="id", last="word", f_last="f"), "y")
-    two = stored(two, "pairs-with-words")
+    with shuffles_removed(docs.sparkSession):
+        vocabulary, own = vocabulary_and_shards(docs, text_col, lang_col, size)
+        total = vocabulary.groupBy("lang").agg(F.sum("f").alias("n"))
+        one = vocabulary.where(F.col("f") >= least)
+        indices = stored(_indices(own, *_bitmap(one, "id")), "indices", "zstd")
+        if not total.isEmpty():
+            discard(own)
+        pairs = stored(enough(_pairs(indices), "x", "y"), "frequent-pairs")
+        often = _bitmap(pairs, "x", "y")
+        three = stored(enough(_longer(indices, often), "w1", "w2", "w3"), "frequent-triples")
+        four = stored(enough(_longer(indices, often, _bitmap(three, "w1", "w2", "w3")), "w1", "w2", "w3", "w4"), "frequent-fours")
+
+        two = pairs.join(_named(one, x="id", lang="lang", first="word", f_first="f"), "x").join(_named(one, y="id", last="word", f_last="f"), "y")
+        two = stored(two, "pairs-with-words")
     three_words = (three.join(_named(two, w1="x", w2="y", lang="lang", t1="first", t2="last", f1="f_first", f12="f"), ["w1", "w2"])
                    .join(_named(two, w2="x", w3="y", t3="last", f23="f", f3="f_last"), ["w2", "w3"]))
     four_words = (four.join(_named(two, w1="x", w2="y", lang="lang", t1="first", t2="last", f1="f_first", f12="f"), ["w1", "w2"])
