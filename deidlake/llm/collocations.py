@@ -58,8 +58,6 @@ SCALE = 2_000_000
 TOP = 2000
 NO_LANG = "und"
 SHARD_WORDS = 1 << 19
-#: Shards whose pairs and triples one task adds up before they are shuffled.
-TASK_SHARDS = 16
 #: Seed of Spark's xxhash64, by which the shards name words too.
 HASH_SEED = 42
 #: Bits of a bitmap for each word or pair in it, and as a power of two at most.
@@ -382,7 +380,6 @@ def phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", lea
         indices = stored(_indices(own, *_bitmap(one, "id")), "indices", "zstd")
         if not total.isEmpty():
             discard(own)
-        indices = indices.coalesce(max(1, -(-indices.count() // TASK_SHARDS)))
         pairs = stored(enough(_pairs(indices), "x", "y"), "frequent-pairs")
         often = _bitmap(pairs, "x", "y")
         three = stored(enough(_longer(indices, often), "w1", "w2", "w3"), "frequent-triples")
