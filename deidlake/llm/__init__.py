@@ -1,2 +1,2 @@
-"""Operators for training-data pipelines.  Nothing outside this subpackage
-imports it."""
+"""Training-data operators and their queries; nothing else in the library
+imports this subpackage."""
