@@ -194,9 +194,40 @@ def rolling(values: np.ndarray, start: np.ndarray, end: np.ndarray, base: int =
 _BYTE = mix64(np.arange(256, dtype=np.uint64), 77)
 
 
+_PLACES: list[np.ndarray] = [np.zeros(0, np.uint64)]
+
+
+def _places(n: int) -> np.ndarray:
+    """A number for each place of a byte in its word, kept between calls."""
+    if len(_PLACES[0]) < n:
+        size = KEPT_POWERS if n <= KEPT_POWERS else n
+        made = mix64(np.arange(size, dtype=np.uint64), 78)
+        if size > KEPT_POWERS:
+            return made
+        _PLACES[0] = made
+    return _PLACES[0][:n]
+
+
 def word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """64-bit hash of each word."""
-    return rolling(_BYTE[data], start, end)
+    """64-bit hash of each word; the words follow each other, without overlap.
+
+    Each byte is mixed with its place in the word before the sum is taken, so
+    the hash is no polynomial: words built to make every polynomial modulo a
+    power of two equal (Thue-Morse words) have different hashes."""
+    n = len(data)
+    if not len(start):
+        return np.zeros(0, np.uint64)
+    begins = np.concatenate([[0], start])
+    lengths = np.diff(np.append(begins, n))
+    place = np.arange(n) - np.repeat(begins, lengths)
+    x = _BYTE[data] ^ _places(int(lengths.max()) + 1)[place]
+    x ^= x >> np.uint64(32)
+    x *= np.uint64(0xD6E8FEB86659FD93)
+    x ^= x >> np.uint64(29)
+    prefix = np.zeros(n + 1, np.uint64)
+    np.cumsum(x, dtype=np.uint64, out=prefix[1:])
+    # the length too: no bytes of a word can add up to nothing
+    return mix64(prefix[end] - prefix[start] + (end - start).astype(np.uint64))
 
 
 def lower_ascii(data: np.ndarray) -> np.ndarray:

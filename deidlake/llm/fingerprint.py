@@ -5,9 +5,9 @@ text is the sum of its paragraphs' vectors, each lane modulo 2^32.  Sums don't
 depend on the order, and paragraphs can be added or deleted without the rest
 of the text (``add``, ``subtract``).
 
-A paragraph's vector has three parts.  ``EXACT`` lanes are uniform 32-bit
-numbers from a hash of the whole paragraph: equal sums mean, but for a
-negligible chance, equal multisets of fewer than 2^32 paragraphs.  ``SKETCH``
+A paragraph's vector has three parts.  ``EXACT`` lanes are the 32-bit words
+of a 256-bit cryptographic hash of the whole paragraph: equal sums mean, but
+for a negligible chance, equal multisets of fewer than 2^32 paragraphs.  ``SKETCH``
 lanes add up +1 or -1 for each word triple of the paragraph (a shorter
 paragraph is one shingle), and the last lane counts the shingles.  The mean
 square of the sketch lanes estimates the sum of the squared counts of a text's
@@ -27,7 +27,7 @@ are ignored."""
 from __future__ import annotations
 
 from collections.abc import Iterator
-from hashlib import sha256
+from hashlib import blake2b, sha256
 
 import numpy as np
 import pandas as pd
@@ -58,10 +58,7 @@ def vectors(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     doc = np.searchsorted(offsets, start, side="right") - 1
     # rows of equal documents are neighbours, so sums go by segments
     edges = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]])) if len(doc) else np.zeros(0, np.int64)
-    whole = word_hashes(data, start, end)
-    lanes = np.empty((len(start), EXACT), np.uint32)
-    for k in range(EXACT):
-        lanes[:, k] = mix64(whole, k + 1).astype(np.uint32)
+    lanes = exact_lanes(data, start, end)
     if len(doc):
         out[doc[edges], :EXACT] = np.add.reduceat(lanes, edges, axis=0, dtype=np.uint32)
     # shingles inside the paragraphs
@@ -89,6 +86,14 @@ def vectors(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return out
 
 
+def exact_lanes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """The ``EXACT`` lanes (uint32) of each paragraph data[start:end]: its
+    BLAKE2b hash, of which every bit depends on every byte."""
+    whole = data.tobytes()
+    hashes = [blake2b(whole[a:b], digest_size=4 * EXACT).digest() for a, b in zip(start.tolist(), end.tolist())]
+    return np.frombuffer(b"".join(hashes), "<u4").reshape(len(hashes), EXACT)
+
+
 def _covering(paragraphs: np.ndarray) -> np.ndarray:
     """Offsets that start at 0, as word_spans takes them."""
     return paragraphs if paragraphs[0] == 0 else np.concatenate([[0], paragraphs])
