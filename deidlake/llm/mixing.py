@@ -19,7 +19,7 @@ Defined results: a null or empty text has size 0 and takes nothing; sources
 without words have target 0; ties and repeated rows are separate documents,
 ranked by size, id and text hash; an empty table gives an empty result;
 a run on the same rows gives the same copies, whatever their order.
-``with_copies`` replaces columns called like an output column (``OUTPUTS``)
+``with_copies`` (and ``copies``, which carries the id alone) replaces columns called like an output column (``OUTPUTS``)
 and keeps others, ``mix`` keeps all."""
 
 from __future__ import annotations
@@ -66,16 +66,27 @@ def with_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 seed: int = 0, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
     """Add ``OUTPUTS``: a document's words, its source's words and target,
     the document's copies, and the words these take."""
-    kept = [F.col(f"doc.`{c}`") for c in docs.columns if c.lower() not in OUTPUTS]
-    return _placed(docs, id_col, text_col, source_col, seed, weights).select(*kept, *OUTPUTS)
+    return _with_copies(docs, docs.columns, id_col, text_col, source_col, seed, weights)
+
+
+def copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+           seed: int = 0, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
+    """(id, ``OUTPUTS``) of each document: the numbers alone.  No text leaves
+    the task that reads it."""
+    return _with_copies(docs, [id_col], id_col, text_col, source_col, seed, weights)
+
+
+def _with_copies(docs: DataFrame, carry: list[str], *options) -> DataFrame:
+    kept = [F.col(f"doc.`{c}`") for c in carry if c.lower() not in OUTPUTS]
+    return _placed(docs, *options, carry=carry).select(*kept, *OUTPUTS)
 
 
 def _placed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-            seed: int = 0, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
-    """(doc, OUTPUTS): the columns of ``docs`` as one struct, so that their
-    names clash with nothing."""
+            seed: int = 0, weights: tuple[int, ...] = WEIGHTS, carry: list[str] | None = None) -> DataFrame:
+    """(doc, OUTPUTS): the columns ``carry`` of ``docs`` (default: all) as one
+    struct, so that their names clash with nothing."""
     sized = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.size(words(F.col(f"`{text_col}`").cast("string"))).cast("long").alias("size"),
+        F.struct(*[F.col(f"`{c}`") for c in carry or docs.columns]).alias("doc"), F.size(words(F.col(f"`{text_col}`").cast("string"))).cast("long").alias("size"),
         F.col(f"`{source_col}`").cast("string").alias("__source"),
         F.xxhash64(F.col(f"`{id_col}`"), F.lit(seed)).alias("__deal"),
         F.xxhash64(F.col(f"`{text_col}`")).alias("__tie"), F.col(f"`{id_col}`").alias("__id"),

@@ -51,7 +51,7 @@ def op9_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.with_copies(table(spark, sf_dir, "documents")).select(
+    return mixing.copies(table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "source_size", "target", "taken", "copies")
 
 
