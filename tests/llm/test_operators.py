@@ -17,6 +17,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from deidlake.llm import bpe, fingerprint, mixing, pii, quality, simhash, substring_dedup, toxicity, url_filter, warc
+from deidlake.llm.common import word_hashes
 from deidlake.llm.queries import ORACLES, QUERIES, RANKS
 
 SF = "/root/testdata/sf0.001"
@@ -541,3 +542,42 @@ def test_urls_without_a_rule_are_allowed(spark):
     got = url_filter.judge(spark.createDataFrame(rows, "page_id long, url string")).collect()
     assert sorted(r["page_id"] for r in got) == sorted(i for i, _ in rows)
     assert {(r["rule"], r["verdict"]) for r in got} == {(None, "allow")}
+
+
+# ----------------------------------------------------------- strong hashes
+
+def _thue_morse(steps: int = 10) -> tuple[str, str]:
+    a, b = "a", "b"
+    for _ in range(steps):
+        a, b = a + b, b + a
+    return a, b
+
+
+def test_words_built_to_collide_are_told_apart(spark):
+    """Equal under every polynomial modulo 2^64 with an odd base."""
+    a, b = _thue_morse()
+    for words in ([a, b], [a, a + "x"], ["x" + a, "x" + b], ["\0", "\0\0"]):
+        data = " ".join(words).encode()
+        start = np.cumsum([0] + [len(w) + 1 for w in words[:-1]])
+        hashes = word_hashes(np.frombuffer(data, np.uint8), start, start + [len(w) for w in words])
+        assert hashes[0] != hashes[1]
+    same = word_hashes(np.frombuffer(f" {a}  {b} {a}".encode(), np.uint8), np.array([1, 1027, 2052]), np.array([1025, 2051, 3076]))
+    assert same[0] == same[2] != same[1]
+    tail = " ".join(f"w{i}" for i in range(20))
+    frame = spark.createDataFrame([(1, f"{a} {tail}"), (2, f"{b} {tail}"), (3, a), (4, b)], "doc_id long, text string")
+    # the 20 words after the first repeat, the first word doesn't
+    assert {r["id"]: r["n_removed"] for r in substring_dedup.remove_repeats(frame).collect()} == {1: 0, 2: 20, 3: 0, 4: 0}
+    one_window = spark.createDataFrame(
+        [(k, f"{w} " + " ".join(f"w{i}" for i in range(19))) for k, w in ((1, a), (2, b), (3, a))], "doc_id long, text string")
+    assert {r["id"]: r["n_removed"] for r in substring_dedup.remove_repeats(one_window).collect()} == {1: 0, 2: 0, 3: 20}
+    prints = {r["doc_id"]: r["fingerprint"] for r in fingerprint.fingerprints(frame).collect()}
+    assert len(set(prints.values())) == 4
+
+
+def test_mixing_numbers_alone_read_no_other_column(docs):
+    out = mixing.copies(docs)
+    assert bag(map(tuple, out.collect())) == bag(map(tuple, mixing.with_copies(docs).select(*out.columns).collect()))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    for line in plan.splitlines():  # the text ends in the projection above its scan
+        if "Exchange" in line or "Sort" in line:
+            assert "text" not in line
