@@ -860,3 +860,19 @@ def q_consumer_catch_up(spark, sf_dir):
     source.mark_consumed(spark, "copy", 1)
     run_available_now(spark, source, "copy", apply, lambda: copy.read_snapshot(spark))
     return copy.read_snapshot(spark)
+
+
+@register("clean_touched_buckets", d.ORDERS_NEW_SQL)
+def q_clean_touched_buckets(spark, sf_dir):
+    """The orders compacted, changed and compacted again: only key buckets
+    with changes are rewritten, and what expires leaves the others in place."""
+    root = f"{workspace_root(spark)}/zone-queries/{spark.sparkContext.applicationId}"
+    orders = ZoneTable(root, "gold", "dbo.orders_cleaned")
+    orders.drop(spark)  # of an earlier run in this application
+    feed = d.orders_feed(spark, sf_dir)
+    for batch in (0, 1):
+        rows = feed.where(F.col(BATCH_ID_COLUMN) == batch).drop(BATCH_ID_COLUMN).withColumnRenamed(CHANGE_TYPE_COLUMN, SIDE)
+        orders.write_batch(spark, rows, batch + 1, list(d.ORDERS_SPEC.keys))
+        orders.compact(spark)
+    orders.expire(spark, 3)
+    return orders.read_snapshot(spark)

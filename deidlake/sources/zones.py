@@ -4,8 +4,12 @@ monitoring under one root.
 ``<root>/<zone>/<schema.table>/changes/batch_id=N/``
     the change rows of batch N, with ``_change_type`` insert or delete: a
     batch writes in proportion to the change, not to the table;
-``<root>/<zone>/<schema.table>/base/batch_id=N/``
-    the whole snapshot as of batch N (:meth:`ZoneTable.compact`).
+``<root>/<zone>/<schema.table>/base/batch_id=N/_key_bucket=K/``
+    the rows of key bucket K as of batch N (:meth:`ZoneTable.compact`), only
+    for buckets with changes since the compaction before.
+``<root>/<zone>/<schema.table>/layout/batch_id=N/``
+    one row for each bucket of the snapshot as of batch N: the batch whose
+    base directory holds it.  The base counts when this is published.
 ``<root>/<zone>/<schema.table>/consumers/consumer=NAME/batch_id=N/``
     one row: the registered consumer NAME has consumed batch N (0: none yet).
     No batch beyond the smallest of these marks ever expires.
@@ -27,13 +31,14 @@ import re
 from dataclasses import dataclass
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from deidlake.constants import BATCH_ID_COLUMN, CHANGE_TYPE_COLUMN, DELETE, INSERT
 
 SIDE = "_side"
+KEY_BUCKET = "_key_bucket"
 ZONES = ("bronze", "silver", "gold", "internal", "monitoring")
 
 
@@ -74,9 +79,13 @@ class Unconsumed(NamedTuple):
 
 @dataclass(frozen=True)
 class ZoneTable:
+    """``buckets``: key buckets of the compacted table; about its size in
+    units that one compaction may rewrite for a single changed row."""
+
     root: str
     zone: str
     name: str
+    buckets: int = 64
 
     @property
     def path(self) -> str:
@@ -95,7 +104,26 @@ class ZoneTable:
         return self._batches(spark, "changes")
 
     def bases(self, spark: SparkSession) -> list[int]:
-        return self._batches(spark, "base")
+        return self._batches(spark, "layout")
+
+    # ---- key buckets of a base -----------------------------------------------
+    def _bucket(self, keys) -> Column:
+        return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(self.buckets)).cast("int").alias(KEY_BUCKET)
+
+    def _form(self, schema: T.StructType, keys) -> str:
+        """What decides the bucket of a row; rows move if it changes."""
+        return f"{self.buckets}:" + ",".join(f"{k} {schema[k].dataType.simpleString()}" for k in keys)
+
+    def _layout(self, spark: SparkSession, base: int, form: str | None = None) -> dict[int, int] | None:
+        """Bucket -> batch whose directory holds it, at most ``buckets``
+        entries; None if the base was dealt in another form than ``form``."""
+        rows = spark.read.parquet(self._dir("layout", base)).collect()
+        return None if form is not None and any(r["form"] != form for r in rows) else {r["bucket"]: r["holder"] for r in rows}
+
+    def _read_base(self, spark: SparkSession, base: int, schema: T.StructType, only: set[int] | None = None) -> DataFrame:
+        paths = [f"{self._dir('base', holder)}/{KEY_BUCKET}={k}"
+                 for k, holder in self._layout(spark, base).items() if only is None or k in only]
+        return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
 
     def latest(self, spark: SparkSession) -> int | None:
         c = self.committed(spark)
@@ -135,6 +163,11 @@ class ZoneTable:
 
     def read_snapshot(self, spark: SparkSession, batch: int | None = None) -> DataFrame | None:
         """Snapshot as of ``batch`` (default: latest); None if never committed."""
+        return self._snapshot(spark, batch)
+
+    def _snapshot(self, spark: SparkSession, batch: int | None, only: set[int] | None = None) -> DataFrame | None:
+        """The snapshot; with ``only``, of these buckets of the base and all
+        later changes."""
         from deidlake.operators.changes import net_changes, replace_by_key
 
         committed = [b for b in self.committed(spark) if batch is None or b <= batch]
@@ -144,7 +177,7 @@ class ZoneTable:
         bases = [b for b in self.bases(spark) if b <= committed[-1]]
         if bases:
             start = bases[-1]
-            base = spark.read.schema(schema).parquet(self._dir("base", start))
+            base = self._read_base(spark, start, schema, only)
         elif self._is_first_load(spark, committed[0]):
             # a first load holds one insert per key: those rows are the snapshot
             start = committed[0]
@@ -240,10 +273,33 @@ class ZoneTable:
 
     def compact(self, spark: SparkSession, batch: int | None = None) -> int | None:
         """Write the snapshot as of ``batch`` (default: latest) as that
-        batch's base; later reads start there.  Returns the batch id."""
+        batch's base; later reads start there.  Only key buckets with changes
+        since the base before are read and written, the others stay where they
+        are.  Returns the batch id."""
         batch = self.latest(spark) if batch is None else batch
-        if batch is not None and batch not in self.bases(spark):
-            _publish(self.read_snapshot(spark, batch), self._dir("base", batch))
+        if batch is None or batch in self.bases(spark):
+            return batch
+        committed = [b for b in self.committed(spark) if b <= batch]
+        bases = [b for b in self.bases(spark) if b < batch]
+        keys = self.keys(spark, committed[-1])
+        form = self._form(self.schema(spark, committed[-1]), keys)
+        before = self._layout(spark, bases[-1], form) if bases else None
+        touched = None
+        if before is not None:
+            tail = [b for b in committed if b > bases[-1]]
+            # at most ``buckets`` numbers
+            touched = {r[0] for r in self._read(spark, tail).select(self._bucket(keys)).distinct().collect()} if tail else set()
+        path = self._dir("base", batch)
+        rows = self._snapshot(spark, batch, touched).withColumn(KEY_BUCKET, self._bucket(keys))
+        # large buckets are split over tasks, small ones share a task
+        rows.hint("rebalance", KEY_BUCKET).write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
+            KEY_BUCKET).parquet(path)
+        # a bucket whose rows are all gone has no directory
+        fs, pattern = _fs(spark, f"{path}/{KEY_BUCKET}=*")
+        written = {int(st.getPath().getName().split("=")[1]): batch for st in fs.globStatus(pattern) or []}
+        kept = {k: holder for k, holder in (before or {}).items() if k not in touched}
+        _publish(spark.createDataFrame([(k, h, form) for k, h in {**kept, **written}.items()],
+                                       "bucket int, holder long, form string").coalesce(1), self._dir("layout", batch))
         return batch
 
     def expire(self, spark: SparkSession, before: int) -> list[int]:
@@ -256,12 +312,19 @@ class ZoneTable:
             return []
         limit = min([before, bases[-1], *[m + 1 for m in self.consumers(spark).values()]])
         removed = [b for b in self.committed(spark) if b < limit]
-        for kind in ("changes", "base"):
+        # buckets of older bases stay while a later base still uses them
+        needed = {(holder, k) for base in bases if base >= limit for k, holder in self._layout(spark, base).items()}
+        for kind in ("changes", "layout", "base"):
             for b in self._batches(spark, kind, marker=""):
                 if b < limit:
                     fs, marker = _fs(spark, self._dir(kind, b) + "/_SUCCESS")
                     fs.delete(marker, False)
-                    fs.delete(_fs(spark, self._dir(kind, b))[1], True)
+                    if kind != "base" or all(holder != b for holder, _ in needed):
+                        fs.delete(_fs(spark, self._dir(kind, b))[1], True)
+                        continue
+                    for st in fs.globStatus(_fs(spark, f"{self._dir(kind, b)}/{KEY_BUCKET}=*")[1]) or []:
+                        if (b, int(st.getPath().getName().split("=")[1])) not in needed:
+                            fs.delete(st.getPath(), True)
         return removed
 
     def drop(self, spark: SparkSession) -> None:
@@ -271,16 +334,24 @@ class ZoneTable:
 
 def register_table(spark: SparkSession, table: ZoneTable, qualified_name: str) -> DataFrame:
     """Register the current snapshot in the catalog as an external table over
-    its base directory, which is written if there is none yet.  A table
-    registered before is moved to the new base."""
-    batch = table.compact(spark)
+    a directory of its own (``table/batch_id=N``), which is written if there is
+    none yet.  A table registered before is moved there, and the directories
+    of older snapshots go."""
+    batch = table.latest(spark)
     if batch is None:
         raise ValueError(f"{table.name} has no committed batch")
-    location = table._dir("base", batch).replace("'", "\\'")
+    directory = table._dir("table", batch)
+    if batch not in table._batches(spark, "table"):
+        _publish(table.read_snapshot(spark), directory)
+    location = directory.replace("'", "\\'")
     name = ".".join(f"`{part}`" for part in qualified_name.split("."))
     if "." in qualified_name:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {name.rsplit('.', 1)[0]}")
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING parquet LOCATION '{location}'")
     spark.sql(f"ALTER TABLE {name} SET LOCATION '{location}'")
     spark.catalog.refreshTable(name)
+    for old in table._batches(spark, "table", marker=""):
+        if old < batch:
+            fs, path = _fs(spark, table._dir("table", old))
+            fs.delete(path, True)
     return spark.table(name)
