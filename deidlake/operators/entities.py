@@ -2,18 +2,20 @@
 
 Plan (all JVM-side, no Python worker):
 
-1. group the texts by ids (null-safe) and text, with the number of rows, so
-   that copies of a row are searched once and texts with a repeated id stay
-   apart;
-2. tokenize each text into words (``split`` on non-letter/digit runs);
-3. one row per word position with the following words, as many as the
-   longest term of the lexicon has (one number read from the lexicon);
-4. semi-join the position rows with the lexicon's first words, then equi-join
-   the n-grams at these positions with the terms; Catalyst and AQE choose the
-   join by the lexicon's measured size;
+1. group equal rows (ids, null-safe, and text) under one row key, with their
+   number, so that copies of a row are searched once and texts with a
+   repeated id stay apart; all later steps keep that partitioning;
+2. tokenize each text into words (``split`` on non-letter/digit runs), one
+   row for each word: its position and the word alone;
+3. join them with the lexicon's first words, each with the lengths of the
+   terms that begin with it; Catalyst and AQE choose the join by the lexicon's
+   measured size;
+4. collect the surviving positions of each text and cut word sequences out
+   of its tokens there, of just these lengths; equi-join them with the terms;
 5. per text, resolve overlaps like ``filter_spans``: longest first, then
-   earliest; accept a span if none of its words is taken (a fold over the
-   text's own candidates, bounded by the text's length).
+   earliest; accept a span if none of its words is taken.  Spans that overlap
+   nothing need no comparison: a window over the text's candidates cuts them
+   into islands (runs of overlapping spans), and each island is resolved alone.
 
 Outputs: long form (ids, label, pos, text) and the nested form
 ``array<array<string>>`` with one list per label in label order.
@@ -21,13 +23,14 @@ Outputs: long form (ids, label, pos, text) and the nested form
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from deidlake.constants import FEATURE_EXTRACTION_LABELS, FEATURE_EXTRACTION_SUFFIX
 from deidlake.functions.patterns import ENTITY_LEXICON, TOKEN_SPLIT
 
 TEXT_KEY = "_text_key"
+ROW_KEY = "_row_key"
 
 
 def normalised(terms: DataFrame) -> DataFrame:
@@ -47,44 +50,47 @@ def lexicon_df(spark: SparkSession, entries=ENTITY_LEXICON) -> DataFrame:
     return normalised(spark.createDataFrame(list(entries), "term string, label string"))
 
 
-def longest_term(lexicon: DataFrame) -> int:
-    """Words of the longest term (0 for an empty lexicon)."""
-    return lexicon.agg(F.max("n_words").alias("n")).first()["n"] or 0
-
-
-def entity_candidates(texts: DataFrame, id_columns, lexicon: DataFrame, max_words: int) -> DataFrame:
-    """All lexicon hits in ``texts`` (ids, _text): ids, label, pos (word
-    index), n (words), text."""
+def keyed_texts(texts: DataFrame, id_columns) -> DataFrame:
+    """Equal rows of ``texts`` (ids, _text) as one row under ``ROW_KEY``, which
+    is never null: ids, ``TEXT_KEY``, the text and the number of rows."""
     ids = list(id_columns)
-    base = texts.select(*ids, F.split("_text", TOKEN_SPLIT).alias("_tok"))
-    # native array functions: arrays_zip of shifted slices, no per-element lambda
-    n = F.size("_tok")
-    shifted = [F.slice("_tok", k + 1, n).alias(f"t{k}") for k in range(max(max_words, 1))]
-    zipped = F.arrays_zip(F.sequence(F.lit(0), n - 1).alias("pos"), *shifted)
-    positions = base.select(*ids, F.inline(zipped)).where(F.col("t0") != "")
-    first = lexicon.select(F.col("first_word").alias("_w")).distinct()
-    cands = positions.join(first, F.lower(F.col("t0")) == F.col("_w"), "left_semi")
-
-    grams = []
-    for n in range(1, max(max_words, 1) + 1):
-        words = [F.col(f"t{k}") for k in range(n)]
-        grams.append(F.struct(F.lit(n).alias("n"), F.concat_ws(" ", *words).alias("text"),
-                              F.size(F.array_compact(F.array(*words))).alias("have")))
-    exploded = cands.select(*ids, "pos", F.explode(F.array(*grams)).alias("g")).where(
-        F.col("g.have") == F.col("g.n")
-    ).select(*ids, "pos", F.col("g.n").alias("n"), F.col("g.text").alias("text"))
+    every = texts.select(*ids, "_text", text_key("_text").alias(TEXT_KEY))
+    row = F.md5(F.to_json(F.struct(*[F.col(c) for c in ids], F.col(TEXT_KEY))).cast("binary"))
+    return every.groupBy(row.alias(ROW_KEY)).agg(
+        *[F.first(c).alias(c) for c in (*ids, TEXT_KEY, "_text")], F.count(F.lit(1)).alias("_n"))
+
+
+def entity_candidates(texts: DataFrame, lexicon: DataFrame, key: str = ROW_KEY) -> DataFrame:
+    """All lexicon hits in ``texts`` (``key``, never null, _text): ``key``, label,
+    pos (word index), n (words), text."""
+    base = texts.select(key, F.split("_text", TOKEN_SPLIT).alias("_tok"))
+    words = base.select(key, F.posexplode("_tok").alias("pos", "_w")).where(F.col("_w") != "")
+    first = lexicon.groupBy(F.col("first_word").alias("_first")).agg(F.collect_set("n_words").alias("lengths"))
+    begun = words.join(first, F.lower("_w") == F.col("_first")).groupBy(key).agg(
+        F.collect_list(F.struct("pos", "lengths")).alias("_at"))
+
+    def sequences(at):
+        return F.transform(F.filter(at["lengths"], lambda n: at["pos"] + n <= F.size("_tok")), lambda n: F.struct(
+            at["pos"].alias("pos"), n.alias("n"), F.array_join(F.slice("_tok", at["pos"] + 1, n), " ").alias("text")))
+
+    found = base.join(begun, key).select(key, F.flatten(F.transform("_at", sequences)).alias("_seq"))
+    found = found.select(key, F.inline("_seq"))
     lex = lexicon.select(F.col("term").alias("_term"), "label", F.col("n_words").alias("_nw"))
-    return exploded.join(
-        lex, (F.lower(F.col("text")) == F.col("_term")) & (F.col("n") == F.col("_nw")),
-    ).select(*ids, "label", "pos", "n", "text")
+    hit = (F.lower(F.col("text")) == F.col("_term")) & (F.col("n") == F.col("_nw"))
+    return found.join(lex, hit).select(key, "label", "pos", "n", "text")
 
 
 def resolve_overlaps(cands: DataFrame, id_columns) -> DataFrame:
     """Keep non-overlapping spans per text: longest first, then earliest,
     then label; a span is accepted when none of its words is taken."""
     ids = list(id_columns)
+    before = Window.partitionBy(*ids).orderBy("pos", "n", "label").rowsBetween(Window.unboundedPreceding, -1)
+    reached = F.coalesce(F.max(F.col("pos") + F.col("n")).over(before), F.lit(0))
+    upto = Window.partitionBy(*ids).orderBy("pos", "n", "label").rowsBetween(Window.unboundedPreceding, 0)
+    # spans that no earlier span reaches begin a new island
+    cut = cands.withColumn("_new", (F.col("pos") >= reached).cast("long")).withColumn("_island", F.sum("_new").over(upto))
     item = F.struct((-F.col("n")).alias("neg_n"), "pos", "label", "n", "text")
-    per_text = cands.groupBy(*ids).agg(F.sort_array(F.collect_list(item)).alias("_c"))
+    islands = cut.groupBy(*ids, "_island").agg(F.sort_array(F.collect_list(item)).alias("_c"))
     empty = F.array().cast("array<struct<label:string,pos:int,n:int,text:string>>")
 
     def step(acc, c):
@@ -93,7 +99,7 @@ def resolve_overlaps(cands: DataFrame, id_columns) -> DataFrame:
                             c["text"].alias("text"))
         return F.when(overlaps, acc).otherwise(F.concat(acc, F.array(accepted)))
 
-    kept = per_text.select(*ids, F.aggregate("_c", empty, step).alias("_k"))
+    kept = islands.select(*ids, F.aggregate("_c", empty, step).alias("_k"))
     return kept.select(*ids, F.inline("_k")).select(*ids, "label", "pos", "n", "text")
 
 
@@ -111,10 +117,9 @@ def extract_entities(df: DataFrame, id_columns, column: str, lexicon: DataFrame
     ``nested_entities`` takes them."""
     ids = list(id_columns)
     lexicon = lexicon_df(df.sparkSession) if lexicon is None else lexicon
-    texts = df.where(F.col(column).isNotNull()).groupBy(*ids, text_key(column).alias(TEXT_KEY)).agg(
-        F.first(column).alias("_text"), F.count(F.lit(1)).alias("_n"))
-    keys = [*ids, TEXT_KEY, "_n"]
-    found = resolve_overlaps(entity_candidates(texts, keys, lexicon, longest_term(lexicon)), keys)
+    texts = keyed_texts(df.where(F.col(column).isNotNull()).select(*ids, F.col(column).alias("_text")), ids)
+    found = resolve_overlaps(entity_candidates(texts, lexicon), [ROW_KEY])
+    found = found.join(texts.select(ROW_KEY, *ids, TEXT_KEY, "_n"), ROW_KEY)
     if by_text:
         return found.select(*ids, TEXT_KEY, "label", "pos", "text")
     each = found.withColumn("_k", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_n"))))

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from deidlake.constants import PII_ENTITIES
 from deidlake.functions.patterns import TOKEN_SPLIT, patterns_for
 from deidlake.functions.text import empty_to_null, may_match, redact_expr
-from deidlake.operators.entities import entity_candidates, longest_term, normalised, resolve_overlaps, text_key
+from deidlake.operators.entities import entity_candidates, normalised, resolve_overlaps, text_key
 from deidlake.operators.parallel import spread
 
 
@@ -126,7 +126,7 @@ def redact_names(df: DataFrame, column: str, lexicon: DataFrame, case_sensitive:
     marked = df.withColumn("_marked", text).withColumn("_name_key", text_key("_marked"))
     texts = marked.where("_marked IS NOT NULL").groupBy("_name_key").agg(F.first("_marked").alias("_text"))
     terms = normalised(lexicon)
-    cands = entity_candidates(texts, ["_name_key"], terms, longest_term(terms))
+    cands = entity_candidates(texts, terms, "_name_key")
     if case_sensitive:
         words = F.filter(F.split("term", TOKEN_SPLIT), lambda w: w != "")
         cased = lexicon.select(F.array_join(words, " ").alias("_cased"), F.col("label").alias("_label")).distinct()

@@ -174,3 +174,22 @@ def test_provision_filter_then_project_pushes_down(spark, tmp_path):
     parsed = spark.createDataFrame([(encode_request({"t": TableRequest(("x",), None)}),)], "q string")
     m = parsed.select(request_entries(parsed.q).alias("m")).collect()[0]["m"]
     assert m["t"]["columns"] == ["x"] and m["t"]["where_statement"] is None
+
+
+def test_entities_of_a_text_with_many_hits(spark):
+    """Islands of overlapping terms in one text of 60,000 words, and terms of
+    different lengths that begin with the same word."""
+    lex = [("a b", "DISEASE"), ("b c d", "CHEMICAL"), ("d e", "DISEASE"), ("x", "CHEMICAL"), ("x y z w v u", "DISEASE")]
+    unit = "a b c d e x x y z w v u q "
+    df = spark.createDataFrame([(1, unit * 5000)], "id long, t string")
+    got = extract_entities(df, ["id"], "t", lexicon_df(spark, lex)).collect()
+    # "b c d" wins over "a b" and "d e"; the long term over the "x" it begins with
+    want = [(13 * k + at, label, text) for k in range(5000)
+            for at, label, text in ((1, "CHEMICAL", "b c d"), (5, "CHEMICAL", "x"), (6, "DISEASE", "x y z w v u"))]
+    assert sorted((r["pos"], r["label"], r["text"]) for r in got) == want
+
+
+def test_entity_plan_makes_word_sequences_at_begun_terms_only(spark):
+    df = spark.createDataFrame([(1, "a b c")], "id long, t string")
+    plan = extract_entities(df, ["id"], "t", lexicon_df(spark, [("a b", "DISEASE")]))._jdf.queryExecution().optimizedPlan().toString()
+    assert "posexplode" in plan and "arrays_zip" not in plan
