@@ -40,17 +40,33 @@ FILLER = "\ue000"
 SPAN_ARRAY = "array<struct<entity:string,span:string,start:int,end:int>>"
 
 
-def _starts(gaps, spans):
-    """Code point offsets of the spans, given the text between them."""
-    lengths = F.arrays_zip(F.transform(gaps, F.length).alias("g"), F.transform(spans, F.length).alias("s"))
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("starts"))
-
+def _running(values, gap, span):
+    """Fold ``values`` into the offset after them and the offset of each span."""
     def step(acc, x):
-        start = acc["at"] + x["g"]
-        return F.struct((start + F.coalesce(x["s"], F.lit(0))).alias("at"),
-                        F.concat(acc["starts"], F.array(start)).alias("starts"))
+        at = acc["at"] + gap(x)
+        return F.struct((at + span(x)).alias("at"), F.concat(acc["starts"], F.array(at)).alias("starts"))
+
+    return F.aggregate(values, F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("starts")), step)
 
-    return F.aggregate(lengths, zero, step)["starts"]
+
+def _starts(gaps, spans):
+    """Code point offsets of the spans, given the text between them.
+
+    A fold copies its array at each step, so the spans are taken in blocks of
+    about the square root of their number: offsets inside each block, then
+    those of the blocks (100,000 spans: 3e7 numbers copied, not 5e9)."""
+    n = F.greatest(F.size(gaps), F.lit(1))
+    size = F.ceil(F.sqrt(n)).cast("int")
+
+    def block(i):
+        values = F.arrays_zip(F.slice(gaps, i, size).alias("g"), F.slice(spans, i, size).alias("s"))
+        length = lambda c: F.coalesce(F.length(c), F.lit(0))
+        return _running(values, lambda x: length(x["g"]), lambda x: length(x["s"]))
+
+    blocks = F.transform(F.sequence(F.lit(1), n, size), block)
+    # a block is to its neighbours like a span without a gap
+    placed = F.arrays_zip(blocks.alias("b"), _running(blocks, lambda b: F.lit(0), lambda b: b["at"])["starts"].alias("at"))
+    return F.flatten(F.transform(placed, lambda p: F.transform(p["b"]["starts"], lambda start: start + p["at"])))
 
 
 def _located(entity: str):

@@ -121,3 +121,13 @@ def test_deidentify_takes_names(spark):
     spec = TableSpec("dbo.N", ("k", "note"), UpdateMode.APPEND_AND_REMOVE, {ColumnRole.FREE_TEXT: ("note",)}, keys=("k",))
     df = spark.createDataFrame([(1, "priya Smith in London")], "k int, note string")
     assert deidentify(df, spec, "s", names=names).first()["note"] == "<PERSON> in <LOCATION>"
+
+
+@pytest.mark.parametrize("k", [0, 1, 2, 3, 5, 10, 30_000])
+def test_span_offsets_of_a_text_with_many_spans(spark, k):
+    from deidlake.operators.redact import pii_spans
+
+    text = "".join(f"some text {'é' * (i % 5)} mail{i}@example{i % 9}.org, " for i in range(k)) + "end"
+    df = spark.createDataFrame([(1, text), (2, None), (3, "")], "id long, t string")
+    found = [(r["start"], r["end"], r["span"]) for r in pii_spans(df, ["id"], "t", ("EMAIL_ADDRESS",)).collect()]
+    assert len(found) == k and all(text[a:b] == span and "@" in span for a, b, span in found)
