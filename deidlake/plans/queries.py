@@ -862,6 +862,34 @@ def q_consumer_catch_up(spark, sf_dir):
     return copy.read_snapshot(spark)
 
 
+@register("stream_propagation", d.ORDERS_NEW_SQL)
+def q_stream_propagation(spark, sf_dir):
+    """A copy of the orders kept by a stream: the first load in one run, the
+    restart consumes the change and an empty batch in one trigger."""
+    from deidlake.streaming.structured import stream_available_now
+
+    root = f"{workspace_root(spark)}/zone-queries/{spark.sparkContext.applicationId}"
+    keys = list(d.ORDERS_SPEC.keys)
+    source, copy = ZoneTable(root, "bronze", "dbo.orders_streamed"), ZoneTable(root, "silver", "dbo.orders_streamed")
+    for zone_table in (source, copy):
+        zone_table.drop(spark)  # of an earlier run in this application
+    feed = d.orders_feed(spark, sf_dir)
+
+    def publish(batch: int, rows) -> None:
+        source.write_batch(spark, rows.drop(BATCH_ID_COLUMN).withColumnRenamed(CHANGE_TYPE_COLUMN, SIDE), batch, keys)
+        source.announce(spark)
+
+    def apply(changes, newest: int) -> None:
+        copy.write_batch(spark, changes.drop(BATCH_ID_COLUMN).withColumnRenamed(CHANGE_TYPE_COLUMN, SIDE), newest, keys)
+
+    publish(1, feed.where(F.col(BATCH_ID_COLUMN) == 0))
+    stream_available_now(spark, source, "copy", apply)
+    publish(2, feed.where(F.col(BATCH_ID_COLUMN) == 1))
+    publish(3, feed.where(F.lit(False)))
+    stream_available_now(spark, source, "copy", apply)
+    return copy.read_snapshot(spark)
+
+
 @register("clean_touched_buckets", d.ORDERS_NEW_SQL)
 def q_clean_touched_buckets(spark, sf_dir):
     """The orders compacted, changed and compacted again: only key buckets

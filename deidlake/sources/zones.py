@@ -13,6 +13,9 @@ monitoring under one root.
 ``<root>/<zone>/<schema.table>/consumers/consumer=NAME/batch_id=N/``
     one row: the registered consumer NAME has consumed batch N (0: none yet).
     No batch beyond the smallest of these marks ever expires.
+``<root>/<zone>/<schema.table>/markers/batch_id=N/``
+    one row: batch N is published (:meth:`ZoneTable.announce`), for consumers
+    that read the table as a stream.
 
 A directory counts when Spark's own ``_SUCCESS`` file is in it.  Nothing that
 is published is ever rewritten or renamed: compaction writes a directory of
@@ -199,13 +202,14 @@ class ZoneTable:
                      if (after is None or b > after) and (upto is None or b <= upto)]
         return self._read(spark, committed) if committed else None
 
-    def unconsumed(self, spark: SparkSession, mark: int | None) -> Unconsumed | None:
+    def unconsumed(self, spark: SparkSession, mark: int | None, upto: int | None = None) -> Unconsumed | None:
         """What is new to a consumer that has consumed ``mark`` (None: nothing
-        yet), or None.  The ids are listed first and exactly these are read, so
+        yet), up to batch ``upto`` if given, or None.  The ids are listed first
+        and exactly these are read, so
         a batch that appears meanwhile waits for the next call.  If batches
         after the mark have expired, the snapshot comes instead (``reset``),
         never a part of the changes."""
-        ids = [b for b in self.committed(spark) if mark is None or b > mark]
+        ids = [b for b in self.committed(spark) if (mark is None or b > mark) and (upto is None or b <= upto)]
         if not ids:
             return None
         whole = self._is_first_load(spark, ids[0]) if mark is None else self._follows(spark, ids[0], mark)
@@ -271,6 +275,21 @@ class ZoneTable:
             *data, F.col(SIDE).alias(CHANGE_TYPE_COLUMN, metadata=about))
         _publish(out, self._dir("changes", batch))
 
+    def announce(self, spark: SparkSession) -> list[int]:
+        """Publish a marker for every published batch that has none, and remove
+        those of expired batches.  A crash between writing a batch and announcing
+        it is mended by the next call; a marker written twice does no harm.
+        Returns the batches announced."""
+        committed, marked = self.committed(spark), self._batches(spark, "markers")
+        new = sorted(set(committed) - set(marked))
+        for b in new:
+            # one file, moved into place as a whole
+            _publish(spark.range(1).select(F.lit(b).cast("long").alias("batch")).coalesce(1), self._dir("markers", b))
+        for b in set(marked) - set(committed):
+            fs, path = _fs(spark, self._dir("markers", b))
+            fs.delete(path, True)
+        return new
+
     def compact(self, spark: SparkSession, batch: int | None = None) -> int | None:
         """Write the snapshot as of ``batch`` (default: latest) as that
         batch's base; later reads start there.  Only key buckets with changes

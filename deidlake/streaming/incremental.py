@@ -40,16 +40,12 @@ def with_deletes(new: Unconsumed, held: DataFrame, keys) -> DataFrame:
     return new.feed.unionByName(deletes)
 
 
-def run_available_now(spark: SparkSession, src: ZoneTable, consumer: str, apply: Callable[[DataFrame, int], None],
-                      held: Callable[[], DataFrame] | None = None) -> int | None:
-    """Consume all committed changes of ``src`` that ``consumer`` hasn't
-    consumed; ``apply(feed, newest_batch_id)`` writes the result.  ``held``
-    returns rows with the key columns of what the consumer holds (None:
-    nothing); it is asked only if batches have expired.  Returns the newest batch id, None if there
-    was nothing new."""
-    src.register_consumer(spark, consumer)
+def _consume(spark: SparkSession, src: ZoneTable, consumer: str, apply: Callable[[DataFrame, int], None],
+             held: Callable[[], DataFrame] | None, upto: int | None) -> int | None:
+    """Apply the batches beyond the consumer's mark, up to ``upto``, and move
+    the mark."""
     mark = src.mark(spark, consumer)
-    new = src.unconsumed(spark, mark)
+    new = src.unconsumed(spark, mark, upto)
     if new is None:
         return None
     feed = new.feed
@@ -61,3 +57,14 @@ def run_available_now(spark: SparkSession, src: ZoneTable, consumer: str, apply:
     apply(feed, new.newest)
     src.mark_consumed(spark, consumer, new.newest)
     return new.newest
+
+
+def run_available_now(spark: SparkSession, src: ZoneTable, consumer: str, apply: Callable[[DataFrame, int], None],
+                      held: Callable[[], DataFrame] | None = None) -> int | None:
+    """Consume all committed changes of ``src`` that ``consumer`` hasn't
+    consumed; ``apply(feed, newest_batch_id)`` writes the result.  ``held``
+    returns rows with the key columns of what the consumer holds (None:
+    nothing); it is asked only if batches have expired.  Returns the newest batch id, None if there
+    was nothing new."""
+    src.register_consumer(spark, consumer)
+    return _consume(spark, src, consumer, apply, held, None)
