@@ -12,7 +12,7 @@ from __future__ import annotations
 import datetime
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -62,14 +62,52 @@ def snapshot_database(tables: dict[tuple[str, str], DataFrame], staging_root: st
     return out
 
 
+def _framed(text: Column) -> Column:
+    """The text after its length, ``n`` for null: no two rows of frames look alike."""
+    return F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("n"))
+
+
+def canonical(column: Column, kind: T.DataType) -> Column:
+    """A value of any type as text that tells unequal values apart, whatever the
+    engine, session time zone or file it was read from; null stays null.
+
+    Floating point by its bits in hexadecimal (``0x1.8p0``, ``nan``, ``inf``),
+    times as microseconds and dates as days since 1970, binary as hexadecimal,
+    arrays and structs element by element, maps in order of their keys."""
+    if isinstance(kind, (T.FloatType, T.DoubleType)):
+        text = F.replace(F.lower(F.format_string("%a", column.cast("double"))), F.lit(".0p"), F.lit("p"))
+        return F.when(column.isNotNull(), F.replace(text, F.lit("infinity"), F.lit("inf")))
+    if isinstance(kind, T.TimestampType):
+        return F.unix_micros(column).cast("string")
+    if isinstance(kind, T.TimestampNTZType):
+        # from the fields of the wall clock, so that no session time zone takes part
+        minutes = (F.unix_date(column.cast("date")).cast("long") * 24 + F.hour(column)) * 60 + F.minute(column)
+        micros = (F.extract(F.lit("SECOND"), column) * F.lit(1_000_000)).cast("long")
+        return (minutes * 60_000_000 + micros).cast("string")
+    if isinstance(kind, T.DateType):
+        return F.unix_date(column).cast("string")
+    if isinstance(kind, T.BinaryType):
+        return F.hex(column)
+    if isinstance(kind, T.ArrayType):
+        parts = F.transform(column, lambda x: _framed(canonical(x, kind.elementType)))
+        return F.concat(F.lit("["), F.size(column).cast("string"), F.lit("]"), F.array_join(parts, ""))
+    if isinstance(kind, T.StructType):
+        parts = [_framed(canonical(column.getField(f.name), f.dataType)) for f in kind.fields]
+        return F.when(column.isNotNull(), F.concat(F.lit("{"), *parts))
+    if isinstance(kind, T.MapType):
+        entry = T.StructType([T.StructField("key", kind.keyType), T.StructField("value", kind.valueType)])
+        parts = F.array_sort(F.transform(F.map_entries(column), lambda e: _framed(canonical(e, entry))))
+        return F.concat(F.lit("<"), F.size(column).cast("string"), F.lit(">"), F.array_join(parts, ""))
+    return column.cast("string")
+
+
 def content_checksum(df: DataFrame) -> DataFrame:
     """One row: ``row_count`` and ``content_sum``, the sum over all rows of
-    the first 32 bits of the MD5 of the row's integer and string columns (in
-    column order, nulls left out), as decimal text.  The sum doesn't depend on
-    the order of rows or files; null for an empty table."""
-    whole = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.StringType)
-    cols = [F.col(f.name).cast("string") for f in df.schema.fields if isinstance(f.dataType, whole)]
-    digest = F.conv(F.substring(F.md5(F.concat_ws("|", *cols)), 1, 8), 16, 10).cast("decimal(20,0)")
+    the first 64 bits of the MD5 of the row's values (every column, in column
+    order, framed), as decimal text.  The sum doesn't depend on the order of
+    rows or files, and counts repeated rows each; null for an empty table."""
+    row = F.concat(*[_framed(canonical(F.col(f"`{f.name}`"), f.dataType)) for f in df.schema.fields], F.lit(""))
+    digest = F.conv(F.substring(F.md5(row.cast("binary")), 1, 16), 16, 10).cast("decimal(20,0)")
     return df.agg(F.count(F.lit(1)).alias("row_count"), F.sum(digest).cast("string").alias("content_sum"))
 
 

@@ -304,3 +304,53 @@ def test_snapshot_checksum_sees_contents(spark):
     other = spark.createDataFrame([(1, "y"), (2, None)], "k int, v string")
     assert content_checksum(a).first() == content_checksum(same).first() != content_checksum(other).first()
     assert content_checksum(a.limit(0)).first() == (0, None)
+
+
+def test_checksum_sees_every_type_and_no_order(spark):
+    from decimal import Decimal
+
+    from pyspark.sql import functions as F
+
+    from deidlake.operators.snapshot import canonical, content_checksum
+
+    schema = ("b boolean, i int, d decimal(20,4), f float, g double, s string, x binary, day date, t timestamp, n timestamp_ntz, "
+              "a array<double>, m map<string,int>, r struct<p:int,q:string>")
+    when = dt.datetime(2020, 1, 2, 3, 4, 5, 6)
+    row = (True, 1, Decimal(2), 0.1, 0.1, "s", bytearray(b"x"), when.date(), when, when, [1.5, None], {"a": 1, "b": 2}, (1, "q"))
+    others = {"b": False, "i": None, "d": Decimal(3), "f": 0.2, "g": 0.1 + 2 ** -56, "s": "", "x": bytearray(b""), "day": dt.date(1969, 12, 31),
+              "t": dt.datetime(2020, 1, 2, 3, 4, 5, 7), "n": dt.datetime(1960, 1, 1), "a": [1.5], "m": {"a": 2, "b": 1}, "r": (1, None)}
+
+    def total(data):
+        return tuple(content_checksum(spark.createDataFrame(data, schema)).first())
+
+    names = [f.split(" ")[0] for f in schema.split(", ")]
+    base, seen = total([row]), set()
+    for i, name in enumerate(names):
+        seen.add(total([(*row[:i], others[name], *row[i + 1:])]))
+    assert len(seen) == len(names) and base not in seen
+    # null and empty, and where a value ends
+    assert total([(None,) * len(names)]) not in seen | {base}
+    two = spark.createDataFrame([("a", "bc"), ("ab", "c")], "p string, q string")
+    assert content_checksum(two.limit(1)).first()[1] != content_checksum(two.where("q = 'c'")).first()[1]
+    # order and partitions don't count, copies do
+    many = spark.createDataFrame([row, row, (None,) * len(names)], schema)
+    assert content_checksum(many).first() == content_checksum(many.repartition(3).orderBy("i")).first()
+    assert content_checksum(many).first()["row_count"] == 3
+    assert tuple(content_checksum(many.limit(0)).first()) == (0, None)
+    special = spark.createDataFrame([(x,) for x in (float("nan"), float("inf"), float("-inf"), 0.0, -0.0, 5e-324)], "g double")
+    assert [r[0] for r in special.select(canonical(F.col("g"), special.schema["g"].dataType)).collect()] == [
+        "nan", "inf", "-inf", "0x0p0", "-0x0p0", "0x0.0000000000001p-1022"]
+
+
+def test_checksum_ignores_the_session_time_zone(spark):
+    from deidlake.operators.snapshot import content_checksum
+
+    df = spark.sql("SELECT timestamp_ntz'2021-03-28 02:30:00.123456' AS n, 1.25D AS g")
+    before, sums = spark.conf.get("spark.sql.session.timeZone"), set()
+    try:
+        for zone in ("UTC", "Europe/Paris", "America/New_York"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            sums.add(tuple(content_checksum(df).first()))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert len(sums) == 1
