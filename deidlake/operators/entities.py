@@ -80,27 +80,31 @@ def entity_candidates(texts: DataFrame, lexicon: DataFrame, key: str = ROW_KEY)
     return found.join(lex, hit).select(key, "label", "pos", "n", "text")
 
 
-def resolve_overlaps(cands: DataFrame, id_columns) -> DataFrame:
+def resolve_overlaps(cands: DataFrame, id_columns, first: str | None = None) -> DataFrame:
     """Keep non-overlapping spans per text: longest first, then earliest,
-    then label; a span is accepted when none of its words is taken."""
+    then label; a span is accepted when none of its words is taken.  With
+    ``first``, an integer column that is returned as well, spans of a smaller
+    number go before longer ones."""
     ids = list(id_columns)
+    if first is None:
+        return resolve_overlaps(cands.withColumn("_first", F.lit(0)), ids, "_first").drop("_first")
     before = Window.partitionBy(*ids).orderBy("pos", "n", "label").rowsBetween(Window.unboundedPreceding, -1)
     reached = F.coalesce(F.max(F.col("pos") + F.col("n")).over(before), F.lit(0))
     upto = Window.partitionBy(*ids).orderBy("pos", "n", "label").rowsBetween(Window.unboundedPreceding, 0)
     # spans that no earlier span reaches begin a new island
     cut = cands.withColumn("_new", (F.col("pos") >= reached).cast("long")).withColumn("_island", F.sum("_new").over(upto))
-    item = F.struct((-F.col("n")).alias("neg_n"), "pos", "label", "n", "text")
+    item = F.struct(F.col(first).cast("int").alias("first"), (-F.col("n")).alias("neg_n"), "pos", "label", "n", "text")
     islands = cut.groupBy(*ids, "_island").agg(F.sort_array(F.collect_list(item)).alias("_c"))
-    empty = F.array().cast("array<struct<label:string,pos:int,n:int,text:string>>")
+    empty = F.array().cast("array<struct<label:string,pos:int,n:int,text:string,first:int>>")
 
     def step(acc, c):
         overlaps = F.exists(acc, lambda a: (a["pos"] < c["pos"] + c["n"]) & (c["pos"] < a["pos"] + a["n"]))
         accepted = F.struct(c["label"].alias("label"), c["pos"].alias("pos"), c["n"].alias("n"),
-                            c["text"].alias("text"))
+                            c["text"].alias("text"), c["first"].alias("first"))
         return F.when(overlaps, acc).otherwise(F.concat(acc, F.array(accepted)))
 
     kept = islands.select(*ids, F.aggregate("_c", empty, step).alias("_k"))
-    return kept.select(*ids, F.inline("_k")).select(*ids, "label", "pos", "n", "text")
+    return kept.select(*ids, F.inline("_k")).select(*ids, "label", "pos", "n", "text", F.col("first").alias(first))
 
 
 def text_key(column: str) -> Column:

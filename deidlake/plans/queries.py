@@ -701,6 +701,46 @@ def q_entity_counts(spark, sf_dir):
     return entity_counts(extract_entities(d.table(spark, sf_dir, "documents"), ["doc_id"], "text", benchmark_lexicon(spark, sf_dir)))
 
 
+# ---------------------------------------------------------------- scored detectors
+
+# a note for each order; {} are the customer, the nation, two numbers and the date
+NOTE = ("Call ", " about the parcel, lives in ", "; phone ", " on ", "; the number of the parcel in our warehouse since then is ")
+_NOTE_VALUES = ("c_name", "n_name", "lpad(CAST(o_custkey AS VARCHAR), 7, '0')", "CAST(CAST(o_orderdate AS DATE) AS VARCHAR)",
+                "lpad(CAST(o_orderkey AS VARCHAR), 9, '0')")
+
+
+def _detected_sql() -> str:
+    """Spans by the construction of the note: the customer's digits are a number
+    after "call" too, but the name scores higher; the last number has no context."""
+    parts, before = [], []
+    for text, value, entity, score in zip(NOTE, _NOTE_VALUES, ("PERSON", "LOCATION", "PHONE_NUMBER", "DATE_TIME", None), (85, 100, 65, 95, 0)):
+        before += [f"'{text}'"]
+        if entity:
+            start = f"length({' || '.join(before)})"
+            parts.append(f"SELECT o_orderkey, 'note' AS column_name, '{entity}' AS entity, {value} AS span, {start} AS \"start\", "
+                         f"{start} + length({value}) AS \"end\", {score} AS score FROM o")
+        before += [value]
+    return ("WITH o AS (SELECT * FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey) "
+            + " UNION ALL ".join(parts))
+
+
+@register("detect_names", _detected_sql())
+def q_detect_names(spark, sf_dir):
+    """Scored detection in a note for each order, with all customers and nations
+    as the lexicon of names."""
+    from deidlake.functions.patterns import DATE_TIME, Pattern
+    from deidlake.operators.detect import Detector, detect
+
+    orders, customer, nation = (d.table(spark, sf_dir, t) for t in ("orders", "customer", "nation"))
+    notes = orders.join(customer, F.col("o_custkey") == F.col("c_custkey")).join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
+    pieces = [x for text, value in zip(NOTE, _NOTE_VALUES) for x in (F.lit(text), F.expr(value.replace("VARCHAR", "STRING")))]
+    notes = notes.select("o_orderkey", F.concat(*pieces).alias("note"))
+    names = customer.select(F.col("c_name").alias("term"), F.lit("PERSON").alias("label")).unionByName(
+        nation.select(F.col("n_name").alias("term"), F.lit("LOCATION").alias("label")))
+    number = Detector(Pattern("PHONE_NUMBER", "[0-9]{7,9}", "0-9A-Za-z", "0-9A-Za-z"), 30)
+    return detect(notes, ["o_orderkey"], "note", names, (number, Detector(DATE_TIME, 60)))
+
+
 # ---------------------------------------------------------------- step 7: provisioning, snapshots
 
 from functools import reduce  # noqa: E402
