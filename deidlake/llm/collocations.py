@@ -13,6 +13,11 @@ Phrases are found in four steps, each summed up over all shards by Spark:
 4. four words: phrases of three are extended to the left, if the first three
    are one of them.
 
+Each step from 2 counts twice: first only hashes of 40 bits of the phrases, which
+are small rows and can't miss a frequent phrase; then the phrases themselves, of
+those whose hash was counted often enough, exactly.  Most phrases are rare and
+are shuffled in the first form alone.
+
 What is frequent of a step reaches the shards as a bitmap of 2^28 bits at most:
 its size is bounded, and a bit that is set by chance costs work but changes no
 count.
@@ -37,7 +42,7 @@ empty table gives an empty result; other columns are ignored."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import reduce
 
 import numpy as np
@@ -62,6 +67,8 @@ SHARD_WORDS = 1 << 19
 HASH_SEED = 42
 #: Bits of a bitmap for each word or pair in it, and as a power of two at most.
 BITS_EACH, MOST_BITS = 16, 28
+#: Bits of a phrase's hash, in the first count of each step, and its column.
+HASH_BITS, HASHED = 40, "h"
 #: Parts of a language that are ranked on their own first.
 SPREAD = 64
 
@@ -294,25 +301,17 @@ def _open(row: dict) -> tuple[Index, np.ndarray]:
     return Index(_unpacked(row["forward"]), _unpacked(row["backward"])), np.frombuffer(row["names"], "<i8")
 
 
-def _pairs(indices: DataFrame) -> DataFrame:
-    """(x, y, n) of the pairs of words of every shard."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                index, names = _open(row)
-                which, symbol, found = index.left(index.words())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(names[symbol - 1]), pa.array(names[which]), pa.array(found.size.astype(np.int64))], ["x", "y", "n"])
-
-    return indices.mapInArrow(run, "x long, y long, n long")
-
-
-def _bit(words: list[np.ndarray], bits: int) -> np.ndarray:
-    """Place of each phrase, given by the names of its words, in a bitmap."""
+def _hash(words: list[np.ndarray]) -> np.ndarray:
+    """A hash of HASH_BITS bits of each phrase, given by the names of its words."""
     out = np.zeros(len(words[0]), np.uint64)
     for k, name in enumerate(words):
         out = mix64(out ^ name.view(np.uint64), k)
-    return (out >> np.uint64(64 - bits)).astype(np.int64)
+    return (out >> np.uint64(64 - HASH_BITS)).astype(np.int64)
+
+
+def _bit(words: list[np.ndarray], bits: int) -> np.ndarray:
+    """Place of each phrase in a bitmap."""
+    return _hash(words) >> (HASH_BITS - bits)
 
 
 def _in_bitmap(bitmap: np.ndarray, bit: np.ndarray) -> np.ndarray:
@@ -320,13 +319,16 @@ def _in_bitmap(bitmap: np.ndarray, bit: np.ndarray) -> np.ndarray:
 
 
 def _bitmap(found: DataFrame, *words: str) -> tuple[Broadcast, int]:
-    """2^bits bits, as bytes, with those of the phrases set; bits."""
+    """2^bits bits, as bytes, with those of the phrases set; bits.  ``words``
+    names the columns of their words, or the one of their hash, HASHED."""
     spark = found.sparkSession
     bits = min(MOST_BITS, max(15, (BITS_EACH * found.count()).bit_length()))
+    hashed = words == (HASHED,)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            bit = _bit([c.to_numpy() for c in batch.columns], bits)
+            columns = [c.to_numpy() for c in batch.columns]
+            bit = columns[0] >> (HASH_BITS - bits) if hashed else _bit(columns, bits)
             yield pa.RecordBatch.from_arrays([pa.array(bit >> 15), pa.array(bit & 32767)], ["part", "place"])
 
     parts = found.select(*words).mapInArrow(run, "part long, place long").groupBy("part").agg(
@@ -337,11 +339,38 @@ def _bitmap(found: DataFrame, *words: str) -> tuple[Broadcast, int]:
     return spark.sparkContext.broadcast(out), bits
 
 
-def _longer(indices: DataFrame, pairs: tuple[Broadcast, int], triples: tuple[Broadcast, int] | None = None) -> DataFrame:
-    """(w1, w2, w3, n) of the phrases of three words of every shard whose pairs
-    are in the broadcast bitmap; with that of phrases of three,
-    (w1, w2, w3, w4, n) of those of four."""
-    names_ = ["w1", "w2", "w3", *(["w4"] if triples else []), "n"]
+def _counts(words: list[np.ndarray], n: np.ndarray, names: list[str], among: tuple[Broadcast, int] | None) -> pa.RecordBatch:
+    """The hashes of a shard's phrases and their counts; with ``among``, the
+    words of those whose hash is in that bitmap instead."""
+    n = n.astype(np.int64)
+    if among is None:
+        return pa.RecordBatch.from_arrays([pa.array(_hash(words)), pa.array(n)], [HASHED, "n"])
+    kept = np.flatnonzero(_in_bitmap(among[0].value, _bit(words, among[1])))
+    return pa.RecordBatch.from_arrays([*[pa.array(c[kept]) for c in words], pa.array(n[kept])], [*names, "n"])
+
+
+def _columns(names: list[str], among) -> str:
+    return ", ".join(f"{c} long" for c in ([HASHED] if among is None else names) + ["n"])
+
+
+def _pairs(indices: DataFrame, among: tuple[Broadcast, int] | None) -> DataFrame:
+    """``_counts`` (x, y) of the pairs of words of every shard."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                index, names = _open(row)
+                which, symbol, found = index.left(index.words())
+                yield _counts([names[symbol - 1], names[which]], found.size, ["x", "y"], among)
+
+    return indices.mapInArrow(run, _columns(["x", "y"], among))
+
+
+def _longer(indices: DataFrame, among: tuple[Broadcast, int] | None, pairs: tuple[Broadcast, int],
+            triples: tuple[Broadcast, int] | None = None) -> DataFrame:
+    """``_counts`` (w1, w2, w3) of the phrases of three words of every shard whose
+    pairs are in the broadcast bitmap; with that of phrases of three,
+    (w1, w2, w3, w4) of those of four."""
+    names_ = ["w1", "w2", "w3", *(["w4"] if triples else [])]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -360,9 +389,9 @@ def _longer(indices: DataFrame, pairs: tuple[Broadcast, int], triples: tuple[Bro
                     which, symbol, found = index.left(three)
                     both = np.flatnonzero(_holder(three.low, three.size, found.low) >= 0)
                     found, words = found[both], [names[symbol[both] - 1], *[c[which[both]] for c in words]]
-                yield pa.RecordBatch.from_arrays([*map(pa.array, words), pa.array(found.size.astype(np.int64))], names_)
+                yield _counts(words, found.size, names_, among)
 
-    return indices.mapInArrow(run, ", ".join(f"{c} long" for c in names_))
+    return indices.mapInArrow(run, _columns(names_, among))
 
 
 def _named(df: DataFrame, **columns: str) -> DataFrame:
@@ -380,10 +409,17 @@ def phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", lea
         indices = stored(_indices(own, *_bitmap(one, "id")), "indices", "zstd")
         if not total.isEmpty():
             discard(own)
-        pairs = stored(enough(_pairs(indices), "x", "y"), "frequent-pairs")
+
+        def frequent(counts: Callable[[tuple[Broadcast, int] | None], DataFrame], name: str, *words: str) -> DataFrame:
+            # a hash counts all phrases that share it, so none that is frequent is missed
+            likely = stored(enough(counts(None), HASHED), f"likely-{name}")
+            return stored(enough(counts(_bitmap(likely, HASHED)), *words), f"frequent-{name}")
+
+        pairs = frequent(lambda among: _pairs(indices, among), "pairs", "x", "y")
         often = _bitmap(pairs, "x", "y")
-        three = stored(enough(_longer(indices, often), "w1", "w2", "w3"), "frequent-triples")
-        four = stored(enough(_longer(indices, often, _bitmap(three, "w1", "w2", "w3")), "w1", "w2", "w3", "w4"), "frequent-fours")
+        three = frequent(lambda among: _longer(indices, among, often), "triples", "w1", "w2", "w3")
+        triples = _bitmap(three, "w1", "w2", "w3")
+        four = frequent(lambda among: _longer(indices, among, often, triples), "fours", "w1", "w2", "w3", "w4")
 
         two = pairs.join(_named(one, x="id", lang="lang", first="word", f_first="f"), "x").join(_named(one, y="id", last="word", f_last="f"), "y")
         two = stored(two, "pairs-with-words")
