@@ -11,6 +11,8 @@ from __future__ import annotations
 
 import datetime
 from concurrent.futures import ThreadPoolExecutor
+from decimal import Decimal
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +21,8 @@ from pyspark.sql import types as T
 # Tables are written by concurrent Spark jobs (the scheduler interleaves
 # their tasks); this bounds how many are in flight.
 DEFAULT_PARALLEL_TABLES = 8
+# Columns whose text one projection of the checksum makes.
+COLUMNS_AT_ONCE = 2
 
 
 def snapshot_stamp(now: datetime.datetime | None = None) -> str:
@@ -67,16 +71,34 @@ def _framed(text: Column) -> Column:
     return F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("n"))
 
 
-def canonical(column: Column, kind: T.DataType) -> Column:
+def _bits(x: Column) -> Column:
+    """The 64 bits of a double; of zero for null.  (Java's, as Spark has none.)"""
+    return F.reflect(F.lit("java.lang.Double"), F.lit("doubleToLongBits"), F.coalesce(x.cast("double"), F.lit(0.0))).cast("long")
+
+
+def _hexadecimal(bits: Column) -> Column:
+    """The double of these bits as ``%a`` writes it, ``.0p`` as ``p``: cut out of the
+    bits, without the pattern searches that ``%a`` makes for each value."""
+    power, rest = F.shiftright(bits, 52).bitwiseAND(F.lit(2047)), bits.bitwiseAND(F.lit((1 << 52) - 1))
+    digits = F.rtrim(F.lower(F.lpad(F.hex(rest), 13, "0")), F.lit("0"))
+    text = F.concat(
+        F.when(bits < 0, F.lit("-0x")).otherwise(F.lit("0x")), F.when(power > 0, F.lit("1")).otherwise(F.lit("0")),
+        F.when(rest != 0, F.concat(F.lit("."), digits)).otherwise(F.lit("")), F.lit("p"),
+        F.when(power > 0, power - 1023).when(rest == 0, 0).otherwise(-1022).cast("string"))
+    endless = F.when(rest != 0, F.lit("nan")).when(bits < 0, F.lit("-inf")).otherwise(F.lit("inf"))
+    return F.when(power == 2047, endless).otherwise(text)
+
+
+def canonical(column: Column, kind: T.DataType, bits: Column | None = None) -> Column:
     """A value of any type as text that tells unequal values apart, whatever the
     engine, session time zone or file it was read from; null stays null.
 
     Floating point by its bits in hexadecimal (``0x1.8p0``, ``nan``, ``inf``),
     times as microseconds and dates as days since 1970, binary as hexadecimal,
-    arrays and structs element by element, maps in order of their keys."""
+    arrays and structs element by element, maps in order of their keys.
+    ``bits`` may give those of a floating-point column, made once."""
     if isinstance(kind, (T.FloatType, T.DoubleType)):
-        text = F.replace(F.lower(F.format_string("%a", column.cast("double"))), F.lit(".0p"), F.lit("p"))
-        return F.when(column.isNotNull(), F.replace(text, F.lit("infinity"), F.lit("inf")))
+        return F.when(column.isNotNull(), _hexadecimal(_bits(column) if bits is None else bits))
     if isinstance(kind, T.TimestampType):
         return F.unix_micros(column).cast("string")
     if isinstance(kind, T.TimestampNTZType):
@@ -89,7 +111,11 @@ def canonical(column: Column, kind: T.DataType) -> Column:
     if isinstance(kind, T.BinaryType):
         return F.hex(column)
     if isinstance(kind, T.ArrayType):
-        parts = F.transform(column, lambda x: _framed(canonical(x, kind.elementType)))
+        if isinstance(kind.elementType, (T.FloatType, T.DoubleType)):
+            both = F.transform(column, lambda x: F.struct(x.alias("x"), _bits(x).alias("bits")))
+            parts = F.transform(both, lambda b: _framed(canonical(b["x"], kind.elementType, b["bits"])))
+        else:
+            parts = F.transform(column, lambda x: _framed(canonical(x, kind.elementType)))
         return F.concat(F.lit("["), F.size(column).cast("string"), F.lit("]"), F.array_join(parts, ""))
     if isinstance(kind, T.StructType):
         parts = [_framed(canonical(column.getField(f.name), f.dataType)) for f in kind.fields]
@@ -106,9 +132,22 @@ def content_checksum(df: DataFrame) -> DataFrame:
     the first 64 bits of the MD5 of the row's values (every column, in column
     order, framed), as decimal text.  The sum doesn't depend on the order of
     rows or files, and counts repeated rows each; null for an empty table."""
-    row = F.concat(*[_framed(canonical(F.col(f"`{f.name}`"), f.dataType)) for f in df.schema.fields], F.lit(""))
-    digest = F.conv(F.substring(F.md5(row.cast("binary")), 1, 16), 16, 10).cast("decimal(20,0)")
-    return df.agg(F.count(F.lit(1)).alias("row_count"), F.sum(digest).cast("string").alias("content_sum"))
+    floats = [i for i, f in enumerate(df.schema.fields) if isinstance(f.dataType, (T.FloatType, T.DoubleType))]
+    own = df.toDF(*[f"_{i}" for i in range(len(df.columns))])
+    own = own.select("*", *[_bits(F.col(f"_{i}")).alias(f"_bits{i}") for i in floats])
+    # few texts a projection: the JVM doesn't compile methods of more than 8000 bytes
+    for start in range(0, len(df.columns), COLUMNS_AT_ONCE):
+        some = list(enumerate(df.schema.fields))[start:start + COLUMNS_AT_ONCE]
+        own = own.select("*", *[canonical(F.col(f"_{i}"), f.dataType, F.col(f"_bits{i}") if i in floats else None).alias(f"_text{i}") for i, f in some])
+    row = F.concat(*[_framed(F.col(f"_text{i}")) for i in range(len(df.columns))], F.lit(""))
+    digest = own.select(F.md5(row.cast("binary")).alias("_md5"))
+    bits = digest.select(F.conv(F.substring("_md5", 1, 16), 16, -10).cast("long").alias("_bits"))
+    # added up in three parts of 22 bits, as longs: exact up to 2^41 rows
+    part, low = 22, F.lit((1 << 22) - 1)
+    sums = bits.agg(F.count(F.lit(1)).alias("row_count"), *[
+        F.sum(F.shiftrightunsigned("_bits", k * part).bitwiseAND(low)).cast("decimal(20,0)").alias(f"_sum{k}") for k in range(3)])
+    total = reduce(Column.__add__, [F.col(f"_sum{k}") * F.lit(Decimal(1 << k * part)) for k in range(3)])
+    return sums.select("row_count", total.cast("string").alias("content_sum"))
 
 
 def fan_out(spark: SparkSession, staged: dict[str, str], destinations, stamp: str,

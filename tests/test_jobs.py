@@ -354,3 +354,26 @@ def test_checksum_ignores_the_session_time_zone(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
     assert len(sums) == 1
+
+
+def test_checksum_of_doubles_without_a_pattern_search_for_each(spark):
+    import math
+    import random
+    import struct
+
+    from pyspark.sql import functions as F
+
+    from deidlake.operators.snapshot import canonical, content_checksum
+
+    rnd = random.Random(5)
+    values = [struct.unpack("<d", struct.pack("<Q", rnd.getrandbits(64) >> rnd.choice((0, 0, 0, 13, 40))))[0] for _ in range(2000)]
+    values = [x for x in values if math.isfinite(x)] + [math.ldexp(s, e) for e in range(-1074, 1024, 7) for s in (1, -1)] + [0.01, 1e22, 0.0]
+    df = spark.createDataFrame([(x, [x, None]) for x in values], "g double, a array<double>")
+    got = df.select("g", *[canonical(F.col(c), df.schema[c].dataType).alias(c + "_text") for c in ("g", "a")]).collect()
+    for r in got:
+        head, _, power = r["g"].hex().partition("p")
+        digits = head.rstrip("0").rstrip(".") if "." in head else head
+        want = ("-" if math.copysign(1, r["g"]) < 0 else "") + "0x0p0" if r["g"] == 0 else f"{digits}p{int(power)}"
+        assert r["g_text"] == want and r["a_text"] == f"[2]{len(want)}:{want}n"
+    plan = content_checksum(df)._jdf.queryExecution().toString()
+    assert "format_string" not in plan
