@@ -62,7 +62,7 @@ def _of_pattern(texts: DataFrame, d: Detector) -> DataFrame:
     hits = texts.select(ROW_KEY, "_text", (found if guard is None else F.when(guard, found)).alias("_f")).where(F.size("_f") > 0)
     hits = hits.select(ROW_KEY, "_f", F.split("_text", d.pattern.regex, -1).alias("_g"))
     starts = F.slice(_starts(F.col("_g"), F.col("_f")), F.lit(1), F.size("_f"))
-    hits = hits.select(ROW_KEY, F.inline(F.arrays_zip(F.col("_f").alias("text"), starts.alias("pos"))))
+    hits = hits.select(ROW_KEY, F.inline(F.transform(starts, lambda at, i: F.struct(F.get(F.col("_f"), i).alias("text"), at.alias("pos")))))
     return hits.select(ROW_KEY, F.lit(d.pattern.entity).alias("label"), "pos", F.length("text").alias("n"), "text",
                        F.lit(d.score).alias("score"))
 
@@ -73,12 +73,14 @@ def _of_words(texts: DataFrame, terms: DataFrame, score: int) -> DataFrame:
     cut = texts.join(hits, ROW_KEY).select(
         ROW_KEY, "_hits", F.split("_text", TOKEN_SPLIT, -1).alias("_tok"), F.regexp_extract_all("_text", F.lit(TOKEN_SPLIT), 0).alias("_gap"))
     # text = token 0, gap 0, token 1, gap 1, ...
-    cut = cut.select(ROW_KEY, "_hits", "_tok", _starts(F.concat(F.array(F.lit("")), F.col("_gap")), F.col("_tok")).alias("_at"), F.transform(
-        F.arrays_zip(F.col("_tok").alias("t"), F.col("_gap").alias("g")), lambda x: F.concat(x["t"], F.coalesce(x["g"], F.lit("")))).alias("_pair"))
+    cut = cut.select(ROW_KEY, "_hits", "_tok", F.concat(F.array(F.lit("")), F.col("_gap")).alias("_before"), F.transform(
+        "_tok", lambda t, i: F.concat(t, F.coalesce(F.get(F.col("_gap"), i), F.lit("")))).alias("_pair"))
+    cut = cut.select(ROW_KEY, "_hits", "_tok", "_pair", _starts(F.col("_before"), F.col("_tok")).alias("_at"))
 
     def placed(h):
         last = F.get(F.col("_tok"), h["pos"] + h["n"] - 1)
-        text = F.concat(F.array_join(F.slice("_pair", h["pos"] + 1, h["n"] - 1), ""), last)
+        # of one word: no slice, which reads the whole array
+        text = F.when(h["n"] == 1, last).otherwise(F.concat(F.array_join(F.slice("_pair", h["pos"] + 1, h["n"] - 1), ""), last))
         return F.struct(h["label"].alias("label"), F.get(F.col("_at"), h["pos"]).alias("pos"), text.alias("text"))
 
     found = cut.select(ROW_KEY, F.inline(F.transform("_hits", placed)))

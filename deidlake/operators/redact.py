@@ -58,15 +58,18 @@ def _starts(gaps, spans):
     n = F.greatest(F.size(gaps), F.lit(1))
     size = F.ceil(F.sqrt(n)).cast("int")
 
+    length = lambda c: F.coalesce(F.length(c), F.lit(0))
+
     def block(i):
-        values = F.arrays_zip(F.slice(gaps, i, size).alias("g"), F.slice(spans, i, size).alias("s"))
-        length = lambda c: F.coalesce(F.length(c), F.lit(0))
-        return _running(values, lambda x: length(x["g"]), lambda x: length(x["s"]))
+        # by index: arrays_zip is slower than all the rest
+        values = F.transform(F.slice(gaps, i, size), lambda g, k: F.struct(length(g).alias("g"), length(F.get(spans, i + k - 1)).alias("s")))
+        return _running(values, lambda x: x["g"], lambda x: x["s"])
 
-    blocks = F.transform(F.sequence(F.lit(1), n, size), block)
     # a block is to its neighbours like a span without a gap
-    placed = F.arrays_zip(blocks.alias("b"), _running(blocks, lambda b: F.lit(0), lambda b: b["at"])["starts"].alias("at"))
-    return F.flatten(F.transform(placed, lambda p: F.transform(p["b"]["starts"], lambda start: start + p["at"])))
+    zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("starts"))
+    return F.aggregate(F.transform(F.sequence(F.lit(1), n, size), block), zero, lambda acc, b: F.struct(
+        (acc["at"] + b["at"]).alias("at"),
+        F.concat(acc["starts"], F.transform(b["starts"], lambda start: start + acc["at"])).alias("starts")), lambda acc: acc["starts"])
 
 
 def _located(entity: str):
