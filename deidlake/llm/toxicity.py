@@ -21,11 +21,13 @@ haven't seen (one of the four learning folds), else their own counts would
 flatter them.
 
 Size: the counts are gathered by Spark from all labelled documents (they grow
-with the input).  The scoring model has fixed numbers of slots, so it may be
-broadcast: ``WORDS`` slots for words, shared by words with the same hash, and
-``PAIRS`` slots that each keep the most frequent of the bigrams hashed to it
-(the others back off to their words).  One task makes it of the counts by
-slot; 14 MB reach the driver and the workers, whatever the corpus.
+with the input).  ``WORDS`` slots for words are broadcast, shared by words with
+the same hash.  Every bigram seen has a weight: the most frequent of those
+hashed to each of ``PAIRS`` slots is broadcast with the words, as a cache; the
+others of a text are joined with the table of all bigrams, and their weights
+(in units of 2^-32, so that sums are exact) added up by a hash of the text.
+One task makes the arrays of the counts by slot; 12 and 14 MB reach the driver
+and the workers, whatever the corpus.
 
 Defined results: a null or empty text is scored by the share of toxic labels;
 without any label of one of the classes every score is that share (0 without
@@ -58,6 +60,10 @@ LEAST_MEMBERS = 30
 CHI_MEDIAN = 0.455
 WORD_BITS, PAIR_BITS = 19, 20
 WORDS, PAIRS = 1 << WORD_BITS, 1 << PAIR_BITS
+#: Weights of bigrams are added up in these units.
+UNIT = float(1 << 32)
+#: Steps an octave of the deviances whose median is taken.
+STEPS = 32
 #: Rows (about) that fit the logistic curve (two numbers); a documented bound.
 CALIBRATION_ROWS = 20_000
 
@@ -84,7 +90,10 @@ def pair_slot(key: np.ndarray) -> np.ndarray:
 
 def discount(counts: np.ndarray) -> np.ndarray:
     """Kneser-Ney's absolute discount of each class, from counts of counts."""
-    once, twice = (counts == 1).sum(axis=0), (counts == 2).sum(axis=0)
+    return _discount((counts == 1).sum(axis=0), (counts == 2).sum(axis=0))
+
+
+def _discount(once: np.ndarray, twice: np.ndarray) -> np.ndarray:
     return np.where(once > 0, np.clip(once / np.maximum(once + 2 * twice, 1), 0.05, 0.95), 0.5)
 
 
@@ -95,46 +104,70 @@ def deviance(counts: np.ndarray, odds: np.ndarray) -> np.ndarray:
     return 2 * np.where(counts > 0, counts * np.log(np.maximum(counts, 1) / np.maximum(expected, 1e-300)), 0).sum(axis=1)
 
 
-def differs(counts: np.ndarray, odds: np.ndarray, against: float) -> np.ndarray:
+def band_of(counts: np.ndarray) -> np.ndarray:
+    return np.floor(np.log2(np.maximum(counts.sum(axis=1), 1))).astype(int)
+
+
+def spreads(medians: dict[int, tuple[int, float]]) -> np.ndarray:
+    """The usual deviance of each band, of (members, median) by band."""
+    usual, spread = 1.0, np.ones(64)
+    for k in sorted(medians):
+        members, median = medians[k]
+        if members >= LEAST_MEMBERS:
+            usual = max(1.0, median / CHI_MEDIAN)
+        spread[k] = usual
+    return spread
+
+
+def differs(counts: np.ndarray, odds: np.ndarray, against: float, spread: np.ndarray | None = None) -> np.ndarray:
     """Probability that the classes differ: the likelihood ratio with a
     penalty for the free share, tempered by the usual deviance of counts of
-    that size (what languages, topics and lengths of documents make)."""
-    n, far = counts.sum(axis=1), deviance(counts, odds)
-    band = np.floor(np.log2(np.maximum(n, 1))).astype(int)
-    usual, spread = 1.0, np.ones(len(n))
-    for k in np.unique(band[n > 0]):
-        own = (band == k) & (n > 0)
-        if own.sum() >= LEAST_MEMBERS:
-            usual = max(1.0, float(np.median(far[own])) / CHI_MEDIAN)
-        spread[own] = usual
-    return np.where(n > 0, 1 / (1 + against * np.sqrt(n + 1) * np.exp(-np.minimum(far / spread, 1400) / 2)), 0)
-
-
-def weights(words: np.ndarray, continuations: np.ndarray, contexts: np.ndarray, keys: np.ndarray,
-            pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """What each word slot and each kept bigram adds to the log-odds, from
-    counts by slot (column 0 ordinary, column 1 toxic): occurrences of words
-    (WORDS, 2), their different contexts in both classes together (WORDS,),
-    occurrences as context (WORDS, 2), and of the bigram kept in a slot its key
-    (context * WORDS + word, or -1) and occurrences (PAIRS, 2)."""
+    that size (what languages, topics and lengths of documents make), which
+    are those of ``counts`` unless given by band."""
+    n, far, band = counts.sum(axis=1), deviance(counts, odds), band_of(counts)
+    if spread is None:
+        spread = spreads({int(k): (int(own.sum()), float(np.median(far[own])))
+                          for k in np.unique(band[n > 0]) for own in [(band == k) & (n > 0)]})
+    return np.where(n > 0, 1 / (1 + against * np.sqrt(n + 1) * np.exp(-np.minimum(far / spread[band], 1400) / 2)), 0)
+
+
+def word_weights(words: np.ndarray, continuations: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """What each word slot adds to the log-odds, and its probability among
+    ordinary words, from occurrences (WORDS, 2; column 0 ordinary, column 1
+    toxic) and different contexts in both classes together (WORDS,)."""
     shared = (continuations + 0.5) / (continuations.sum() + 0.5 * WORDS)
     total = np.maximum(words.sum(axis=0), 1)
     over = np.maximum(words - discount(words), 0)
     unigram = over / total + (1 - over.sum(axis=0) / total) * shared[:, None]
     telling = differs(words, np.full(WORDS, total[1] / total[0]), WORD_AGAINST)
-    word = telling * np.log(unigram[:, 1] / unigram[:, 0])
-    kept = keys >= 0
-    context, after = np.where(kept, keys // WORDS, 0), np.where(kept, keys % WORDS, 0)
-    seen = contexts[context]
-    over = np.maximum(pairs - discount(pairs), 0)
-    types = np.zeros((WORDS, 2))
-    np.add.at(types, context[kept], over[kept])
-    free = np.where(contexts > 0, 1 - types / np.maximum(contexts, 1), 1)[context]
-    lower = unigram[after, 0, None] * np.exp(np.stack([np.zeros(PAIRS), word[after]], axis=1))
-    p = over / np.maximum(seen, 1) + np.maximum(free, 1e-9) * lower
-    odds = (seen[:, 1] + 0.5) / (seen[:, 0] + 0.5) * np.exp(word[after])
-    telling = differs(pairs, odds, PAIR_AGAINST) * kept
-    return word.astype(np.float32), (telling * (np.log(p[:, 1] / p[:, 0]) - word[after])).astype(np.float32)
+    return telling * np.log(unigram[:, 1] / unigram[:, 0]), unigram[:, 0]
+
+
+@dataclass
+class Slots:
+    """What the weight of a bigram takes of its two words: log-odds and ordinary
+    probability of the second, occurrences and different successors of the first
+    by class; the discount of bigrams, and the usual deviances by band."""
+
+    word: np.ndarray
+    ordinary: np.ndarray
+    seen: np.ndarray
+    successors: np.ndarray
+    discount: np.ndarray
+    spread: np.ndarray | None = None
+
+    def odds(self, keys: np.ndarray) -> np.ndarray:
+        seen = self.seen[keys // WORDS].astype(np.float64)
+        return (seen[:, 1] + 0.5) / (seen[:, 0] + 0.5) * np.exp(self.word[keys % WORDS].astype(np.float64))
+
+    def weights(self, keys: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """What each bigram adds to the log-odds of its word."""
+        context, after = keys // WORDS, keys % WORDS
+        seen, word = self.seen[context].astype(np.float64), self.word[after].astype(np.float64)
+        free = np.where(seen > 0, self.discount * self.successors[context] / np.maximum(seen, 1), 1)
+        lower = self.ordinary[after, None] * np.exp(np.stack([np.zeros(len(keys)), word], axis=1))
+        p = np.maximum(counts - self.discount, 0) / np.maximum(seen, 1) + np.maximum(free, 1e-9) * lower
+        return differs(counts, self.odds(keys), PAIR_AGAINST, self.spread) * (np.log(p[:, 1] / p[:, 0]) - word)
 
 
 @dataclass
@@ -146,19 +179,26 @@ class Table:
     keys: np.ndarray
     bigram: np.ndarray
 
-    def log_odds(self, word: np.ndarray, context: np.ndarray) -> np.ndarray:
-        """log p(word | context, toxic) - log p(word | context, ordinary), as
-        far as the classes differ."""
+    def raw(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of each text, the sum of log p(word | context, toxic) - log p(word |
+        context, ordinary), as far as the classes differ, without the bigrams
+        that aren't in the table; and the number of its words."""
+        word, context, first = bigrams(data, offsets)
         key = context * WORDS + word
         slot = pair_slot(key)
-        return self.word[word].astype(np.float64) + np.where(self.keys[slot] == key, self.bigram[slot], 0)
+        odds = self.word[word].astype(np.float64) + np.where(self.keys[slot] == key, self.bigram[slot], 0)
+        sums = np.concatenate([[0.0], np.cumsum(odds)])
+        return sums[first[1:]] - sums[first[:-1]], np.diff(first)
 
-    def raw(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(mean log odds of each text, number of its words)."""
+    def others(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(index of the text, key, occurrences) of the bigrams not in the table."""
         word, context, first = bigrams(data, offsets)
-        sums = np.concatenate([[0.0], np.cumsum(self.log_odds(word, context))])
-        n = np.diff(first)
-        return (sums[first[1:]] - sums[first[:-1]]) / np.maximum(n, 1), n
+        key, doc = context * WORDS + word, np.repeat(np.arange(len(offsets) - 1), np.diff(first))
+        rest = np.flatnonzero(self.keys[pair_slot(key)] != key)
+        rest = rest[np.lexsort((key[rest], doc[rest]))]
+        key, doc = key[rest], doc[rest]
+        new = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (doc[1:] != doc[:-1])])) if len(rest) else rest
+        return doc[new], key[new], np.diff(np.append(new, len(rest)))
 
 
 @dataclass
@@ -177,9 +217,10 @@ class Curve:
 @dataclass
 class Model:
     """The table as a broadcast variable (the driver keeps no copy of its
-    own), and the curve."""
+    own), the weights (key, weight in units) of all bigrams, and the curve."""
 
     table: Broadcast[Table]
+    weights: DataFrame
     curve: Curve
 
 
@@ -222,25 +263,57 @@ def _pair_counts(labelled: DataFrame) -> DataFrame:
     return rows.groupBy("key").agg(F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic"))
 
 
-def _built(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The scoring table of counts by slot, (kind, slot, key, ordinary, toxic,
-    contexts): one task, whose arrays have a fixed size."""
-    words, contexts, pairs = np.zeros((WORDS, 2)), np.zeros((WORDS, 2)), np.zeros((PAIRS, 2))
-    continuations, keys = np.zeros(WORDS), np.full(PAIRS, -1, np.int64)
+def _word_slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The arrays of ``Slots`` of counts by slot, (kind, slot, ordinary, toxic,
+    more, most): one task, whose arrays have a fixed size."""
+    words, seen, successors, continuations = np.zeros((WORDS, 2)), np.zeros((WORDS, 2)), np.zeros((WORDS, 2)), np.zeros(WORDS)
     for batch in batches:
-        kind, slot, key, ordinary, toxic, different = (np.asarray(c) for c in batch.columns)
-        for k, counts in enumerate((words, contexts, pairs)):
-            own = kind == k
-            counts[slot[own], 0], counts[slot[own], 1] = ordinary[own], toxic[own]
-        own = kind == 0
-        continuations[slot[own]] = different[own]
-        own = kind == 2
-        keys[slot[own]] = key[own]
+        kind, slot, ordinary, toxic, more, most = (np.asarray(c) for c in batch.columns)
+        own, as_context = kind == 0, kind == 1
+        words[slot[own]] = np.stack([ordinary[own], toxic[own]], axis=1)
+        continuations[slot[own]] = more[own]
+        seen[slot[as_context]] = np.stack([ordinary[as_context], toxic[as_context]], axis=1)
+        successors[slot[as_context]] = np.stack([more[as_context], most[as_context]], axis=1)
     if words.any(axis=0).all():
-        word, bigram = weights(words, continuations, contexts, keys, pairs)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(["word", "keys", "bigram"]), pa.array([x.tobytes() for x in (word, keys, bigram)], pa.binary())],
-            ["name", "data"])
+        word, ordinary = word_weights(words, continuations)
+        arrays = [x.astype(np.float32).tobytes() for x in (word, ordinary, seen, successors)]
+        yield pa.RecordBatch.from_arrays([pa.array(["word", "ordinary", "seen", "successors"]), pa.array(arrays, pa.binary())], ["name", "data"])
+
+
+def _cache(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The arrays of the bigram cache of (slot, key, weight)."""
+    keys, bigram = np.full(PAIRS, -1, np.int64), np.zeros(PAIRS, np.float32)
+    for batch in batches:
+        slot, key, weight = (np.asarray(c) for c in batch.columns)
+        keys[slot], bigram[slot] = key, weight / UNIT
+    yield pa.RecordBatch.from_arrays([pa.array(["keys", "bigram"]), pa.array([keys.tobytes(), bigram.tobytes()], pa.binary())], ["name", "data"])
+
+
+def _counts(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    key, *counts = (np.asarray(batch.column(c)) for c in ("key", "ordinary", "toxic"))
+    return key, np.stack(counts, axis=1).astype(np.float64)
+
+
+def _usual(pairs: DataFrame, slots: Broadcast[Slots]) -> np.ndarray:
+    """The usual deviance of bigrams by band; medians to one step of an octave."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            key, counts = _counts(batch)
+            far = deviance(counts, slots.value.odds(key))
+            step = np.floor(np.log2(np.maximum(far, 1e-9)) * STEPS).astype(np.int64)
+            code, n = np.unique(band_of(counts) * (1 << 20) + step + (1 << 19), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(code), pa.array(n)], ["code", "n"])
+
+    found = pairs.mapInArrow(run, "code long, n long").groupBy("code").agg(F.sum("n").alias("n")).orderBy("code").collect()
+    code, n = (np.array([r[c] for r in found], np.int64) for c in ("code", "n"))
+    medians = {}
+    for k in np.unique(code >> 20):
+        own = (code >> 20) == k
+        upto = np.cumsum(n[own])
+        step = (code[own] & ((1 << 20) - 1))[np.searchsorted(upto, (upto[-1] + 1) // 2)] - (1 << 19)
+        medians[int(k)] = int(upto[-1]), float(2 ** ((step + 0.5) / STEPS))
+    return spreads(medians)
 
 
 def labelled_texts(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -257,74 +330,108 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     """The model, or the share of toxic labels where a class is missing."""
     small_batches(docs.sparkSession)
     rows = labelled_texts(docs, labels, id_col, text_col)
+    spark = docs.sparkSession
     pairs = stored(_pair_counts(rows.where(F.col("fold") != CALIBRATION)), "bigrams")
     both = (F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic"))
     word, context = F.pmod("key", F.lit(WORDS)), F.floor(F.col("key") / WORDS)
-    words = pairs.groupBy(word.alias("slot")).agg(*both, F.count(F.lit(1)).alias("contexts"))
-    contexts = pairs.groupBy(context.alias("slot")).agg(*both)
-
-    def slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            slot = pair_slot(np.asarray(batch.column("key"), np.int64))
-            yield pa.RecordBatch.from_arrays([pa.array(slot), *batch.columns], ["slot", "key", "ordinary", "toxic"])
-
-    # a bigram seen once tells next to nothing and would only fill slots
-    often = pairs.where(F.col("ordinary") + F.col("toxic") > 1)
-    slotted = often.mapInArrow(slots, "slot long, key long, ordinary long, toxic long")
-    top = F.max(F.struct((F.col("ordinary") + F.col("toxic")).alias("n"), "key", "ordinary", "toxic")).alias("top")
-    kept = slotted.groupBy("slot").agg(top).select("slot", "top.key", "top.ordinary", "top.toxic")
-    # at most 2 * WORDS + PAIRS rows, whatever the corpus: one task makes the table of them
-    none = F.lit(0).cast("long")
-    counted = reduce(DataFrame.unionByName, [part.select(
-        F.lit(k).alias("kind"), "slot", (F.col("key") if "key" in part.columns else none).alias("key"), "ordinary", "toxic",
-        (F.col("contexts") if "contexts" in part.columns else none).alias("contexts"),
-    ) for k, part in enumerate((words, contexts, kept))])
-    built = counted.repartition(1).mapInArrow(_built, "name string, data binary")
+    words = pairs.groupBy(word.alias("slot")).agg(*both, F.count(F.lit(1)).alias("more"), F.lit(0).cast("long").alias("most"))
+    contexts = pairs.groupBy(context.alias("slot")).agg(
+        *both, F.count_if(F.col("ordinary") > 0).alias("more"), F.count_if(F.col("toxic") > 0).alias("most"))
+    # at most 2 * WORDS rows, whatever the corpus: one task makes the arrays of them
+    counted = reduce(DataFrame.unionByName, [part.select(F.lit(k).alias("kind"), "slot", "ordinary", "toxic", "more", "most")
+                                             for k, part in enumerate((words, contexts))])
+    built = counted.repartition(1).mapInArrow(_word_slots, "name string, data binary")
     unseen = F.col("fold") == CALIBRATION
     known = rows.agg(F.avg("toxic").alias("share"), F.count_if(unseen).alias("unseen")).first()
     # a hash of the text draws about CALIBRATION_ROWS rows, wherever they lie
     drawn = min(1.0, CALIBRATION_ROWS / max(known["unseen"], 1))
     calibration = rows.where(unseen & (F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < int(drawn * (1 << 30))))
     curve = Curve(float(known["share"] or 0.0))
-    arrays = {r["name"]: r["data"] for r in built.collect()}
+    arrays = {r["name"]: np.frombuffer(r["data"], np.float32) for r in built.collect()}
     if not arrays:  # a class is missing
         return curve.prior
-    table = docs.sparkSession.sparkContext.broadcast(Table(
-        np.frombuffer(arrays["word"], np.float32), np.frombuffer(arrays["keys"], np.int64), np.frombuffer(arrays["bigram"], np.float32)))
-    del arrays
-    model = Model(table, curve)
-    scored = _apply(calibration, model, "raw", ["toxic"]).toArrow()
-    x, y = np.asarray(scored.column("score")), np.asarray(scored.column("toxic"), np.float64)
+    few = pairs.agg(*[F.count_if(F.col(c) == k) for k in (1, 2) for c in ("ordinary", "toxic")]).first()
+    once, twice = np.array(few[:2], float), np.array(few[2:], float)
+    slots = Slots(arrays["word"], arrays["ordinary"], arrays["seen"].reshape(-1, 2), arrays["successors"].reshape(-1, 2),
+                  _discount(once, twice))
+    spread = _usual(pairs, spark.sparkContext.broadcast(slots))
+    slots.spread = spread
+    shared = spark.sparkContext.broadcast(slots)
+
+    def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            key, counts = _counts(batch)
+            weight = np.rint(shared.value.weights(key, counts) * UNIT).astype(np.int64)
+            n = counts.sum(axis=1).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(pair_slot(key)), pa.array(n), pa.array(key), pa.array(weight)], ["slot", "n", "key", "weight"])
+
+    rated = pairs.mapInArrow(rate, "slot long, n long, key long, weight long")
+    top = rated.groupBy("slot").agg(F.max(F.struct("n", "key", "weight")).alias("top")).select("slot", "top.key", "top.weight")
+    cache = {r["name"]: r["data"] for r in top.repartition(1).mapInArrow(_cache, "name string, data binary").collect()}
+    table = spark.sparkContext.broadcast(Table(
+        arrays["word"], np.frombuffer(cache["keys"], np.int64), np.frombuffer(cache["bigram"], np.float32)))
+    del arrays, cache, slots
+    model = Model(table, rated.select("key", "weight"), curve)
+    scored = _raw(calibration, model, ["toxic"]).select("mean", "toxic").toArrow()
+    x, y = np.asarray(scored.column("mean")), np.asarray(scored.column("toxic"), np.float64)
     if len(np.unique(y)) == 2:
         curve.slope, curve.shift = fit_curve(x, y)
     return model
 
 
-def _apply(rows: DataFrame, model: Model | float, kind: str, keep: list[str]) -> DataFrame:
-    """Add ``score`` to the columns ``keep``."""
-    if isinstance(model, float):
-        return rows.select(*keep, F.lit(model).alias("score"))
-    shared, curve = model.table, model.curve
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.select(*keep).schema), "score double"])
+def _raw(rows: DataFrame, model: Model, keep: list[str]) -> DataFrame:
+    """The columns ``keep``, ``tie`` (a hash of the text), ``mean`` log-odds and
+    ``n``, the number of words, of every row of (``keep``, text)."""
+    shared = model.table
+    rows = rows.select(*keep, F.xxhash64(F.coalesce("text", F.lit(""))).alias("tie"), "text")
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.select(*keep).schema), "tie long, sum double, n long"])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def known(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = utf8(batch.column("text"))
-            scores = [np.zeros(0)]
+            found = [(np.zeros(0), np.zeros(0, np.int64))]
             for i, j in pieces(offsets):
-                mean, n = shared.value.raw(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
-                scores.append(curve.score(mean, n) if kind == "score" else mean)
+                found.append(shared.value.raw(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i]))
+            sums, n = (np.concatenate(x) for x in zip(*found))
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in keep), pa.array(np.concatenate(scores))], [*keep, "score"])
+                [*(batch.column(c) for c in (*keep, "tie")), pa.array(sums), pa.array(n.astype(np.int64))], [*keep, "tie", "sum", "n"])
+
+    def others(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, offsets = utf8(batch.column("text"))
+            tie = np.asarray(batch.column("tie"))
+            for i, j in pieces(offsets):
+                doc, key, times = shared.value.others(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
+                yield pa.RecordBatch.from_arrays([pa.array(tie[i:j][doc]), pa.array(key), pa.array(times)], ["tie", "key", "times"])
+
+    found = rows.select("tie", "text").mapInArrow(others, "tie long, key long, times long")
+    weights = model.weights.select(F.col("key").alias("own"), "weight")
+    each = found.join(weights.hint("merge"), F.col("key") == F.col("own"))
+    sums = each.select("tie", (F.col("times") * F.col("weight")).alias("more"), F.lit(0).cast("long").alias("copies"))
+    copies = rows.select("tie", F.lit(0).cast("long").alias("more"), F.lit(1).cast("long").alias("copies"))
+    more = sums.unionByName(copies).groupBy(F.col("tie").alias("text_tie")).agg(
+        (F.sum("more") / F.sum("copies") / UNIT).alias("more"))
+    out = rows.select(*keep, "tie", "text").mapInArrow(known, schema).join(more.hint("merge"), F.col("tie") == F.col("text_tie"))
+    return out.select(*keep, "tie", ((F.col("sum") + F.col("more")) / F.greatest("n", F.lit(1))).alias("mean"), "n")
 
-    return rows.select(*keep, "text").mapInArrow(run, schema)
+
+def _score(model: Model) -> Column:
+    """The curve at ``mean`` of ``_raw``."""
+    c = model.curve
+    if c.slope <= 0:
+        return F.lit(c.prior)
+    at = F.greatest(F.least(F.col("mean") * c.slope + c.shift, F.lit(500.0)), F.lit(-500.0))
+    return F.when(F.col("n") > 0, 1 / (1 + F.exp(-at))).otherwise(F.lit(c.prior))
 
 
 def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, held_out, score, predicted) of every row."""
     model = train(docs, labels, id_col, text_col)
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
-    out = _apply(rows, model, "score", ["doc_id"])
+    if isinstance(model, float):
+        out = rows.select("doc_id", F.lit(model).alias("score"))
+    else:
+        out = _raw(rows, model, ["doc_id"]).select("doc_id", _score(model).alias("score"))
     return out.select("doc_id", (fold_of(F.col("doc_id")) == HELD_OUT).alias("held_out"), "score",
                       (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
@@ -334,15 +441,9 @@ def without_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
     model = train(docs, labels, id_col, text_col)
     if isinstance(model, float):
         return docs if model < 0.5 else docs.limit(0)
-    shared, curve = model.table, model.curve
-    names, (own,) = docs.columns, unused(docs, "own")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            data, offsets = utf8(batch.column(own))
-            for i, j in pieces(offsets):
-                clean = curve.score(*shared.value.raw(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])) < 0.5
-                yield batch.select(names).slice(i, j - i).filter(pa.array(clean))
-
-    text = F.col(f"`{text_col}`").cast("string").alias(own)
-    return docs.select(*[F.col(f"`{c}`") for c in names], text).mapInArrow(run, docs.schema)
+    text = F.col(f"`{text_col}`").cast("string")
+    toxic = _raw(docs.select(text.alias("text")), model, []).where(_score(model) >= 0.5)
+    # equal texts have equal scores
+    (own,) = unused(docs, "own")
+    toxic = stored(toxic.select(F.col("tie").alias(own)).distinct(), "toxic")
+    return docs.join(toxic, F.xxhash64(F.coalesce(text, F.lit(""))) == F.col(own), "left_anti")

@@ -306,6 +306,42 @@ def test_toxicity_at_any_share_of_toxic_documents(spark, share):
     assert sum(word) >= 0.8 * len(word) and sum(pair) >= 0.8 * len(pair) and sum(clean) <= 0.05 * len(clean)
 
 
+def test_toxicity_counts_bigrams_that_share_a_slot(spark):
+    """A toxic pair of ordinary words whose slot a more frequent bigram holds."""
+    def numbers(words):
+        return [toxicity.bigrams(np.frombuffer(w.encode(), np.uint8), np.array([0, len(w)]))[0][0] for w in words]
+
+    first, second = ([f"{x}{k}" for k in range(3000)] for x in ("left", "right"))
+    cold, fish = numbers(["cold", "fish"])
+    keys = np.array(numbers(first))[:, None] * toxicity.WORDS + np.array(numbers(second))[None, :]
+    i, j = np.argwhere(toxicity.pair_slot(keys.ravel()).reshape(keys.shape) == toxicity.pair_slot(np.array([cold * toxicity.WORDS + fish]))[0])[0]
+    rnd = random.Random(3)
+    rows, truth = [], {}
+    for k in range(1000):
+        truth[k] = int(rnd.random() < 0.2)
+        ws = [f"w{int(200 * rnd.random())}" for _ in range(40)]
+        ws[5:5] = ["cold", "fish"]
+        ws[20:20] = [first[i], second[j]] * 3 if truth[k] else [first[i], "and", second[j], "or"] * 3
+        rows.append((k, " ".join(ws)))
+    labels = spark.createDataFrame(list(truth.items()), "doc_id long, toxic int")
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model = toxicity.train(docs, labels)
+    key = int(keys[i, j])
+    assert key not in model.table.value.keys and model.weights.where(F.col("key") == key).first()["weight"] > toxicity.UNIT
+    # scores are those of the whole texts, word by word
+    weights = {r["key"]: r["weight"] / toxicity.UNIT for r in model.weights.collect()}
+    scored = toxicity._raw(docs.unionByName(docs.where("doc_id < 20")), model, ["doc_id"]).select("doc_id", toxicity._score(model).alias("score")).collect()
+    got = {r["doc_id"]: r["score"] for r in scored}
+    assert len(scored) == 1020 and len(got) == 1000
+    for k, text in rows[:50]:
+        word, context, _ = toxicity.bigrams(np.frombuffer(text.encode(), np.uint8), np.array([0, len(text)]))
+        odds = [float(model.table.value.word[w]) + weights.get(int(c) * toxicity.WORDS + int(w), 0) for w, c in zip(word, context)]
+        want = model.curve.score(np.array([sum(odds) / len(odds)]), np.array([len(odds)]))[0]
+        assert abs(got[k] - want) < 1e-6
+    kept = {r["doc_id"] for r in toxicity.without_toxic(docs, labels).collect()}
+    assert kept == {k for k, x in got.items() if x < 0.5}
+
+
 def test_toxicity_odd_rows(spark, odd, empty):
     labels = spark.createDataFrame([(4, 1, 0), (5, 0, 1), (6, 1, None), (None, 0, 1)], "doc_id long, quality int, toxic int")
     out = toxicity.score(odd, labels).collect()
