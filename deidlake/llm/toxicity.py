@@ -38,9 +38,9 @@ by ``without_toxic``."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from functools import reduce
+from functools import partial, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -48,7 +48,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from deidlake.llm.common import PUNCTUATION, lower_ascii, mix64, pieces, small_batches, stored, unused, utf8, word_hashes, word_spans
+from deidlake.llm.common import PUNCTUATION, lower_ascii, mix64, pieces, shuffles_removed, small_batches, stored, unused, utf8, word_hashes, word_spans
 
 FOLDS = 5
 HELD_OUT, CALIBRATION = 0, 4
@@ -62,6 +62,9 @@ WORD_BITS, PAIR_BITS = 19, 20
 WORDS, PAIRS = 1 << WORD_BITS, 1 << PAIR_BITS
 #: Weights of bigrams are added up in these units.
 UNIT = float(1 << 32)
+#: Passes over the texts in which the bigrams outside the cache are joined, each
+#: with its share of the keys: the disk holds the rows of one pass at a time.
+PASSES = 3
 #: Steps an octave of the deviances whose median is taken.
 STEPS = 32
 #: Rows (about) that fit the logistic curve (two numbers); a documented bound.
@@ -147,27 +150,27 @@ def word_weights(words: np.ndarray, continuations: np.ndarray) -> tuple[np.ndarr
 class Slots:
     """What the weight of a bigram takes of its two words: log-odds and ordinary
     probability of the second, occurrences and different successors of the first
-    by class; the discount of bigrams, and the usual deviances by band."""
+    by class; and the discount of bigrams."""
 
     word: np.ndarray
     ordinary: np.ndarray
     seen: np.ndarray
     successors: np.ndarray
     discount: np.ndarray
-    spread: np.ndarray | None = None
 
     def odds(self, keys: np.ndarray) -> np.ndarray:
         seen = self.seen[keys // WORDS].astype(np.float64)
         return (seen[:, 1] + 0.5) / (seen[:, 0] + 0.5) * np.exp(self.word[keys % WORDS].astype(np.float64))
 
-    def weights(self, keys: np.ndarray, counts: np.ndarray) -> np.ndarray:
-        """What each bigram adds to the log-odds of its word."""
+    def weights(self, keys: np.ndarray, counts: np.ndarray, spread: np.ndarray) -> np.ndarray:
+        """What each bigram adds to the log-odds of its word; ``spread`` has the
+        usual deviances by band."""
         context, after = keys // WORDS, keys % WORDS
         seen, word = self.seen[context].astype(np.float64), self.word[after].astype(np.float64)
         free = np.where(seen > 0, self.discount * self.successors[context] / np.maximum(seen, 1), 1)
         lower = self.ordinary[after, None] * np.exp(np.stack([np.zeros(len(keys)), word], axis=1))
         p = np.maximum(counts - self.discount, 0) / np.maximum(seen, 1) + np.maximum(free, 1e-9) * lower
-        return differs(counts, self.odds(keys), PAIR_AGAINST, self.spread) * (np.log(p[:, 1] / p[:, 0]) - word)
+        return differs(counts, self.odds(keys), PAIR_AGAINST, spread) * (np.log(p[:, 1] / p[:, 0]) - word)
 
 
 @dataclass
@@ -190,11 +193,13 @@ class Table:
         sums = np.concatenate([[0.0], np.cumsum(odds)])
         return sums[first[1:]] - sums[first[:-1]], np.diff(first)
 
-    def others(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(index of the text, key, occurrences) of the bigrams not in the table."""
+    def others(self, data: np.ndarray, offsets: np.ndarray, part: int, passes: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(index of the text, key, occurrences) of the bigrams not in the table,
+        those of one pass."""
         word, context, first = bigrams(data, offsets)
         key, doc = context * WORDS + word, np.repeat(np.arange(len(offsets) - 1), np.diff(first))
-        rest = np.flatnonzero(self.keys[pair_slot(key)] != key)
+        rest = np.flatnonzero(key % passes == part)
+        rest = rest[self.keys[pair_slot(key[rest])] != key[rest]]
         rest = rest[np.lexsort((key[rest], doc[rest]))]
         key, doc = key[rest], doc[rest]
         new = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (doc[1:] != doc[:-1])])) if len(rest) else rest
@@ -217,10 +222,11 @@ class Curve:
 @dataclass
 class Model:
     """The table as a broadcast variable (the driver keeps no copy of its
-    own), the weights (key, weight in units) of all bigrams, and the curve."""
+    own), the weights (key, weight in units) of all bigrams or of those of a
+    pass, and the curve."""
 
     table: Broadcast[Table]
-    weights: DataFrame
+    weights: Callable[..., DataFrame]
     curve: Curve
 
 
@@ -305,8 +311,8 @@ def _usual(pairs: DataFrame, slots: Broadcast[Slots]) -> np.ndarray:
             code, n = np.unique(band_of(counts) * (1 << 20) + step + (1 << 19), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(code), pa.array(n)], ["code", "n"])
 
-    found = pairs.mapInArrow(run, "code long, n long").groupBy("code").agg(F.sum("n").alias("n")).orderBy("code").collect()
-    code, n = (np.array([r[c] for r in found], np.int64) for c in ("code", "n"))
+    found = pairs.mapInArrow(run, "code long, n long").groupBy("code").agg(F.sum("n").alias("n")).orderBy("code").toArrow()
+    code, n = (np.asarray(found.column(c), np.int64) for c in ("code", "n"))
     medians = {}
     for k in np.unique(code >> 20):
         own = (code >> 20) == k
@@ -328,6 +334,11 @@ def labelled_texts(docs: DataFrame, labels: DataFrame, id_col: str, text_col: st
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Model | float:
     """The model, or the share of toxic labels where a class is missing."""
+    with shuffles_removed(docs.sparkSession):
+        return _train(docs, labels, id_col, text_col)
+
+
+def _train(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str) -> Model | float:
     small_batches(docs.sparkSession)
     rows = labelled_texts(docs, labels, id_col, text_col)
     spark = docs.sparkSession
@@ -354,32 +365,38 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     once, twice = np.array(few[:2], float), np.array(few[2:], float)
     slots = Slots(arrays["word"], arrays["ordinary"], arrays["seen"].reshape(-1, 2), arrays["successors"].reshape(-1, 2),
                   _discount(once, twice))
-    spread = _usual(pairs, spark.sparkContext.broadcast(slots))
-    slots.spread = spread
     shared = spark.sparkContext.broadcast(slots)
+    del slots
+    spread = _usual(pairs, shared)
 
     def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             key, counts = _counts(batch)
-            weight = np.rint(shared.value.weights(key, counts) * UNIT).astype(np.int64)
+            weight = np.rint(shared.value.weights(key, counts, spread) * UNIT).astype(np.int64)
             n = counts.sum(axis=1).astype(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(pair_slot(key)), pa.array(n), pa.array(key), pa.array(weight)], ["slot", "n", "key", "weight"])
 
-    rated = pairs.mapInArrow(rate, "slot long, n long, key long, weight long")
-    top = rated.groupBy("slot").agg(F.max(F.struct("n", "key", "weight")).alias("top")).select("slot", "top.key", "top.weight")
+    schema = "slot long, n long, key long, weight long"
+
+    def weighed(part: int = 0, passes: int = 1) -> DataFrame:
+        own = pairs if passes == 1 else pairs.where(F.pmod("key", F.lit(passes)) == part)
+        return own.mapInArrow(rate, schema).select("key", "weight")
+
+    # bigrams seen once would gain little in the cache, and are most
+    top = pairs.where(F.col("ordinary") + F.col("toxic") > 1).mapInArrow(rate, schema).groupBy("slot").agg(F.max(F.struct("n", "key", "weight")).alias("top")).select("slot", "top.key", "top.weight")
     cache = {r["name"]: r["data"] for r in top.repartition(1).mapInArrow(_cache, "name string, data binary").collect()}
     table = spark.sparkContext.broadcast(Table(
         arrays["word"], np.frombuffer(cache["keys"], np.int64), np.frombuffer(cache["bigram"], np.float32)))
-    del arrays, cache, slots
-    model = Model(table, rated.select("key", "weight"), curve)
-    scored = _raw(calibration, model, ["toxic"]).select("mean", "toxic").toArrow()
+    del arrays, cache
+    model = Model(table, weighed, curve)
+    scored = _raw(calibration, model, ["toxic"], passes=1).select("mean", "toxic").toArrow()
     x, y = np.asarray(scored.column("mean")), np.asarray(scored.column("toxic"), np.float64)
     if len(np.unique(y)) == 2:
         curve.slope, curve.shift = fit_curve(x, y)
     return model
 
 
-def _raw(rows: DataFrame, model: Model, keep: list[str]) -> DataFrame:
+def _raw(rows: DataFrame, model: Model, keep: list[str], passes: int = PASSES) -> DataFrame:
     """The columns ``keep``, ``tie`` (a hash of the text), ``mean`` log-odds and
     ``n``, the number of words, of every row of (``keep``, text)."""
     shared = model.table
@@ -396,20 +413,24 @@ def _raw(rows: DataFrame, model: Model, keep: list[str]) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(c) for c in (*keep, "tie")), pa.array(sums), pa.array(n.astype(np.int64))], [*keep, "tie", "sum", "n"])
 
-    def others(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def others(part: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = utf8(batch.column("text"))
             tie = np.asarray(batch.column("tie"))
             for i, j in pieces(offsets):
-                doc, key, times = shared.value.others(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
+                doc, key, times = shared.value.others(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i], part, passes)
                 yield pa.RecordBatch.from_arrays([pa.array(tie[i:j][doc]), pa.array(key), pa.array(times)], ["tie", "key", "times"])
 
-    found = rows.select("tie", "text").mapInArrow(others, "tie long, key long, times long")
-    weights = model.weights.select(F.col("key").alias("own"), "weight")
-    each = found.join(weights.hint("merge"), F.col("key") == F.col("own"))
-    sums = each.select("tie", (F.col("times") * F.col("weight")).alias("more"), F.lit(0).cast("long").alias("copies"))
-    copies = rows.select("tie", F.lit(0).cast("long").alias("more"), F.lit(1).cast("long").alias("copies"))
-    more = sums.unionByName(copies).groupBy(F.col("tie").alias("text_tie")).agg(
+    # copies of a text add up to as many times its sum
+    sums = [rows.groupBy("tie").agg(F.lit(0).cast("long").alias("more"), F.count(F.lit(1)).alias("copies"))]
+    for part in range(passes):
+        found = rows.select("tie", "text").mapInArrow(partial(others, part), "tie long, key long, times long")
+        weights = model.weights(part, passes).withColumnRenamed("key", "own")
+        each = found.join(weights.hint("merge"), F.col("key") == F.col("own"))
+        each = each.groupBy("tie").agg(F.sum(F.col("times") * F.col("weight")).alias("more"))
+        with shuffles_removed(rows.sparkSession):
+            sums.append(stored(each.withColumn("copies", F.lit(0).cast("long")), "odds"))
+    more = reduce(DataFrame.unionByName, sums).groupBy(F.col("tie").alias("text_tie")).agg(
         (F.sum("more") / F.sum("copies") / UNIT).alias("more"))
     out = rows.select(*keep, "tie", "text").mapInArrow(known, schema).join(more.hint("merge"), F.col("tie") == F.col("text_tie"))
     return out.select(*keep, "tie", ((F.col("sum") + F.col("more")) / F.greatest("n", F.lit(1))).alias("mean"), "n")

@@ -327,9 +327,9 @@ def test_toxicity_counts_bigrams_that_share_a_slot(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     model = toxicity.train(docs, labels)
     key = int(keys[i, j])
-    assert key not in model.table.value.keys and model.weights.where(F.col("key") == key).first()["weight"] > toxicity.UNIT
+    assert key not in model.table.value.keys and model.weights().where(F.col("key") == key).first()["weight"] > toxicity.UNIT
     # scores are those of the whole texts, word by word
-    weights = {r["key"]: r["weight"] / toxicity.UNIT for r in model.weights.collect()}
+    weights = {r["key"]: r["weight"] / toxicity.UNIT for r in model.weights().collect()}
     scored = toxicity._raw(docs.unionByName(docs.where("doc_id < 20")), model, ["doc_id"]).select("doc_id", toxicity._score(model).alias("score")).collect()
     got = {r["doc_id"]: r["score"] for r in scored}
     assert len(scored) == 1020 and len(got) == 1000
