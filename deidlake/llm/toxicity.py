@@ -16,7 +16,7 @@ deviance divided by the usual one of words of that frequency.  No count is
 cut: evidence grows with the counts in either class, whatever its share.
 The difference of the two
 log-likelihoods, divided by the number of words, becomes a probability by a
-logistic curve.  That curve is fitted on labelled documents that the models
+logistic curve.  That curve is fitted on all labelled documents that the models
 haven't seen (one of the four learning folds), else their own counts would
 flatter them.
 
@@ -27,7 +27,8 @@ hashed to each of ``PAIRS`` slots is broadcast with the words, as a cache; the
 others of a text are joined with the table of all bigrams, and their weights
 (in units of 2^-32, so that sums are exact) added up by a hash of the text.
 One task makes the arrays of the counts by slot; 12 and 14 MB reach the driver
-and the workers, whatever the corpus.
+(in small pieces) and the workers, whatever the corpus.  The curve is fitted to
+counts by steps of the mean log-odds, of which there are few.
 
 Defined results: a null or empty text is scored by the share of toxic labels;
 without any label of one of the classes every score is that share (0 without
@@ -67,8 +68,10 @@ UNIT = float(1 << 32)
 PASSES = 3
 #: Steps an octave of the deviances whose median is taken.
 STEPS = 32
-#: Rows (about) that fit the logistic curve (two numbers); a documented bound.
-CALIBRATION_ROWS = 20_000
+#: Steps of the mean log-odds by which the calibration rows are counted.
+CURVE_STEPS = 1 << 16
+#: The model's arrays reach the driver in pieces: large objects swell its heap.
+ARRAY_PIECE, ARRAY_TASKS = 1 << 18, 32
 
 
 def fold_of(doc_id: Column) -> Column:
@@ -150,26 +153,25 @@ def word_weights(words: np.ndarray, continuations: np.ndarray) -> tuple[np.ndarr
 class Slots:
     """What the weight of a bigram takes of its two words: log-odds and ordinary
     probability of the second, occurrences and different successors of the first
-    by class; and the discount of bigrams."""
+    by class."""
 
     word: np.ndarray
     ordinary: np.ndarray
     seen: np.ndarray
     successors: np.ndarray
-    discount: np.ndarray
 
     def odds(self, keys: np.ndarray) -> np.ndarray:
         seen = self.seen[keys // WORDS].astype(np.float64)
         return (seen[:, 1] + 0.5) / (seen[:, 0] + 0.5) * np.exp(self.word[keys % WORDS].astype(np.float64))
 
-    def weights(self, keys: np.ndarray, counts: np.ndarray, spread: np.ndarray) -> np.ndarray:
+    def weights(self, keys: np.ndarray, counts: np.ndarray, spread: np.ndarray, less: np.ndarray) -> np.ndarray:
         """What each bigram adds to the log-odds of its word; ``spread`` has the
-        usual deviances by band."""
+        usual deviances by band, ``less`` the discount of bigrams."""
         context, after = keys // WORDS, keys % WORDS
         seen, word = self.seen[context].astype(np.float64), self.word[after].astype(np.float64)
-        free = np.where(seen > 0, self.discount * self.successors[context] / np.maximum(seen, 1), 1)
+        free = np.where(seen > 0, less * self.successors[context] / np.maximum(seen, 1), 1)
         lower = self.ordinary[after, None] * np.exp(np.stack([np.zeros(len(keys)), word], axis=1))
-        p = np.maximum(counts - self.discount, 0) / np.maximum(seen, 1) + np.maximum(free, 1e-9) * lower
+        p = np.maximum(counts - less, 0) / np.maximum(seen, 1) + np.maximum(free, 1e-9) * lower
         return differs(counts, self.odds(keys), PAIR_AGAINST, spread) * (np.log(p[:, 1] / p[:, 0]) - word)
 
 
@@ -230,16 +232,18 @@ class Model:
     curve: Curve
 
 
-def fit_curve(x: np.ndarray, y: np.ndarray, steps: int = 60) -> tuple[float, float]:
+def fit_curve(x: np.ndarray, y: np.ndarray, n: np.ndarray, steps: int = 60) -> tuple[float, float]:
     """Slope and shift of a logistic curve, by Newton steps on standardised
-    values with a little regularisation."""
-    mean, scale = x.mean(), x.std() or 1.0
+    values with a little regularisation; ``y`` of ``n`` rows at each ``x`` are
+    toxic."""
+    mean = (n * x).sum() / n.sum()
+    scale = np.sqrt((n * (x - mean) ** 2).sum() / n.sum()) or 1.0
     z = np.stack([(x - mean) / scale, np.ones(len(x))], axis=1)
     w = np.zeros(2)
     for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
-        grad = z.T @ (p - y) + np.array([1e-2, 0]) * w
-        hess = (z * (p * (1 - p))[:, None]).T @ z + np.diag([1e-2, 1e-6])
+        grad = z.T @ (n * p - y) + np.array([1e-2, 0]) * w
+        hess = (z * (n * p * (1 - p))[:, None]).T @ z + np.diag([1e-2, 1e-6])
         w = w - np.linalg.solve(hess, grad)
     return float(w[0] / scale), float(w[1] - w[0] * mean / scale)
 
@@ -269,6 +273,28 @@ def _pair_counts(labelled: DataFrame) -> DataFrame:
     return rows.groupBy("key").agg(F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic"))
 
 
+_PIECE = "name string, place int, data binary"
+
+
+def _in_pieces(arrays: dict[str, np.ndarray], dtype: type | None = None) -> pa.RecordBatch:
+    """Rows of ``_PIECE``."""
+    rows = []
+    for name, array in arrays.items():
+        data = array.astype(dtype or array.dtype).tobytes()
+        rows += [(name, at, data[at:at + ARRAY_PIECE]) for at in range(0, len(data), ARRAY_PIECE)]
+    name, place, data = zip(*rows)
+    return pa.RecordBatch.from_arrays([pa.array(name), pa.array(place, pa.int32()), pa.array(data, pa.binary())], ["name", "place", "data"])
+
+
+def _fetched(rows: DataFrame) -> dict[str, bytes]:
+    """The arrays of rows of ``_PIECE``."""
+    found = rows.repartition(ARRAY_TASKS).toArrow().sort_by([("name", "ascending"), ("place", "ascending")])
+    out: dict[str, bytearray] = {}
+    for name, data in zip(found.column("name").to_pylist(), found.column("data")):
+        out.setdefault(name, bytearray()).extend(data.as_buffer())
+    return {name: bytes(data) for name, data in out.items()}
+
+
 def _word_slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The arrays of ``Slots`` of counts by slot, (kind, slot, ordinary, toxic,
     more, most): one task, whose arrays have a fixed size."""
@@ -282,8 +308,7 @@ def _word_slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         successors[slot[as_context]] = np.stack([more[as_context], most[as_context]], axis=1)
     if words.any(axis=0).all():
         word, ordinary = word_weights(words, continuations)
-        arrays = [x.astype(np.float32).tobytes() for x in (word, ordinary, seen, successors)]
-        yield pa.RecordBatch.from_arrays([pa.array(["word", "ordinary", "seen", "successors"]), pa.array(arrays, pa.binary())], ["name", "data"])
+        yield _in_pieces({"word": word, "ordinary": ordinary, "seen": seen, "successors": successors}, np.float32)
 
 
 def _cache(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -292,7 +317,7 @@ def _cache(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         slot, key, weight = (np.asarray(c) for c in batch.columns)
         keys[slot], bigram[slot] = key, weight / UNIT
-    yield pa.RecordBatch.from_arrays([pa.array(["keys", "bigram"]), pa.array([keys.tobytes(), bigram.tobytes()], pa.binary())], ["name", "data"])
+    yield _in_pieces({"keys": keys, "bigram": bigram})
 
 
 def _counts(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
@@ -300,8 +325,9 @@ def _counts(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     return key, np.stack(counts, axis=1).astype(np.float64)
 
 
-def _usual(pairs: DataFrame, slots: Broadcast[Slots]) -> np.ndarray:
-    """The usual deviance of bigrams by band; medians to one step of an octave."""
+def _usual(pairs: DataFrame, slots: Broadcast[Slots]) -> tuple[np.ndarray, np.ndarray]:
+    """The usual deviance of bigrams by band (medians to one step of an octave),
+    and their discount."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -309,36 +335,75 @@ def _usual(pairs: DataFrame, slots: Broadcast[Slots]) -> np.ndarray:
             far = deviance(counts, slots.value.odds(key))
             step = np.floor(np.log2(np.maximum(far, 1e-9)) * STEPS).astype(np.int64)
             code, n = np.unique(band_of(counts) * (1 << 20) + step + (1 << 19), return_counts=True)
+            # counts of counts have codes below zero
+            few = [(counts[:, c] == k).sum() for k in (1, 2) for c in (0, 1)]
+            code, n = np.concatenate([[-4, -3, -2, -1], code]), np.concatenate([few, n])
             yield pa.RecordBatch.from_arrays([pa.array(code), pa.array(n)], ["code", "n"])
 
     found = pairs.mapInArrow(run, "code long, n long").groupBy("code").agg(F.sum("n").alias("n")).orderBy("code").toArrow()
     code, n = (np.asarray(found.column(c), np.int64) for c in ("code", "n"))
+    few, code, n = n[code < 0], code[code >= 0], n[code >= 0]
     medians = {}
     for k in np.unique(code >> 20):
         own = (code >> 20) == k
         upto = np.cumsum(n[own])
         step = (code[own] & ((1 << 20) - 1))[np.searchsorted(upto, (upto[-1] + 1) // 2)] - (1 << 19)
         medians[int(k)] = int(upto[-1]), float(2 ** ((step + 0.5) / STEPS))
-    return spreads(medians)
+    return spreads(medians), _discount(few[:2], few[2:])
+
+
+def known_labels(labels: DataFrame) -> DataFrame:
+    """(__id, toxic) of the labels outside the test fold."""
+    known = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").where(fold_of(F.col("doc_id")) != HELD_OUT)
+    return known.groupBy(F.col("doc_id").cast("long").alias("__id")).agg((F.max("toxic") > 0).cast("long").alias("toxic"))
 
 
 def labelled_texts(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(fold, text, toxic) of the labelled documents outside the test fold."""
-    known = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").where(fold_of(F.col("doc_id")) != HELD_OUT)
-    known = known.groupBy(F.col("doc_id").cast("long").alias("__id")).agg((F.max("toxic") > 0).cast("long").alias("toxic"))
     own = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     # one plan at every size: labels grow with the documents, so they aren't broadcast
-    return own.where(fold_of(F.col("id")) != HELD_OUT).join(known.hint("merge"), F.col("id") == F.col("__id")).select(
+    return own.where(fold_of(F.col("id")) != HELD_OUT).join(known_labels(labels).hint("merge"), F.col("id") == F.col("__id")).select(
         fold_of(F.col("id")).alias("fold"), F.coalesce("text", F.lit("")).alias("text"), "toxic")
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Model | float:
     """The model, or the share of toxic labels where a class is missing."""
     with shuffles_removed(docs.sparkSession):
-        return _train(docs, labels, id_col, text_col)
+        model = _learn(docs, labels, id_col, text_col)
+        if not isinstance(model, float):
+            rows = _rows(docs, id_col, text_col).where(fold_of(F.col("doc_id")) == CALIBRATION)
+            _calibrate(model, _raw(rows, model, ["doc_id"], passes=1), labels)
+        return model
 
 
-def _train(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str) -> Model | float:
+def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
+
+
+def _scored(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, Model] | float:
+    """(doc_id, tie, mean, n) of every row and the model, whose curve is fitted
+    to those rows that calibrate; or the share of toxic labels."""
+    with shuffles_removed(docs.sparkSession):
+        model = _learn(docs, labels, id_col, text_col)
+        if isinstance(model, float):
+            return model
+        raw = stored(_raw(_rows(docs, id_col, text_col), model, ["doc_id"]), "log-odds")
+        _calibrate(model, raw, labels)
+        return raw, model
+
+
+def _calibrate(model: Model, raw: DataFrame, labels: DataFrame) -> None:
+    """Fit the curve to all labelled rows of the calibration fold."""
+    rows = raw.where(fold_of(F.col("doc_id")) == CALIBRATION).join(known_labels(labels).hint("merge"), F.col("doc_id") == F.col("__id"))
+    steps = rows.groupBy(F.floor(F.col("mean") * CURVE_STEPS).alias("step")).agg(
+        F.sum("mean").alias("sum"), F.sum("toxic").alias("toxic"), F.count(F.lit(1)).alias("n"))
+    found = steps.select("sum", "toxic", "n").toArrow()
+    x, y, n = (np.asarray(found.column(c), np.float64) for c in ("sum", "toxic", "n"))
+    if 0 < y.sum() < n.sum():
+        model.curve.slope, model.curve.shift = fit_curve(x / n, y, n)
+
+
+def _learn(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str) -> Model | float:
     small_batches(docs.sparkSession)
     rows = labelled_texts(docs, labels, id_col, text_col)
     spark = docs.sparkSession
@@ -351,28 +416,19 @@ def _train(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str) -> Mo
     # at most 2 * WORDS rows, whatever the corpus: one task makes the arrays of them
     counted = reduce(DataFrame.unionByName, [part.select(F.lit(k).alias("kind"), "slot", "ordinary", "toxic", "more", "most")
                                              for k, part in enumerate((words, contexts))])
-    built = counted.repartition(1).mapInArrow(_word_slots, "name string, data binary")
-    unseen = F.col("fold") == CALIBRATION
-    known = rows.agg(F.avg("toxic").alias("share"), F.count_if(unseen).alias("unseen")).first()
-    # a hash of the text draws about CALIBRATION_ROWS rows, wherever they lie
-    drawn = min(1.0, CALIBRATION_ROWS / max(known["unseen"], 1))
-    calibration = rows.where(unseen & (F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < int(drawn * (1 << 30))))
-    curve = Curve(float(known["share"] or 0.0))
-    arrays = {r["name"]: np.frombuffer(r["data"], np.float32) for r in built.collect()}
+    built = counted.repartition(1).mapInArrow(_word_slots, _PIECE)
+    curve = Curve(float(rows.agg(F.avg("toxic")).first()[0] or 0.0))
+    arrays = {name: np.frombuffer(data, np.float32) for name, data in _fetched(built).items()}
     if not arrays:  # a class is missing
         return curve.prior
-    few = pairs.agg(*[F.count_if(F.col(c) == k) for k in (1, 2) for c in ("ordinary", "toxic")]).first()
-    once, twice = np.array(few[:2], float), np.array(few[2:], float)
-    slots = Slots(arrays["word"], arrays["ordinary"], arrays["seen"].reshape(-1, 2), arrays["successors"].reshape(-1, 2),
-                  _discount(once, twice))
-    shared = spark.sparkContext.broadcast(slots)
-    del slots
-    spread = _usual(pairs, shared)
+    shared = spark.sparkContext.broadcast(Slots(
+        arrays["word"], arrays["ordinary"], arrays["seen"].reshape(-1, 2), arrays["successors"].reshape(-1, 2)))
+    spread, less = _usual(pairs, shared)
 
     def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             key, counts = _counts(batch)
-            weight = np.rint(shared.value.weights(key, counts, spread) * UNIT).astype(np.int64)
+            weight = np.rint(shared.value.weights(key, counts, spread, less) * UNIT).astype(np.int64)
             n = counts.sum(axis=1).astype(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(pair_slot(key)), pa.array(n), pa.array(key), pa.array(weight)], ["slot", "n", "key", "weight"])
 
@@ -384,16 +440,10 @@ def _train(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str) -> Mo
 
     # bigrams seen once would gain little in the cache, and are most
     top = pairs.where(F.col("ordinary") + F.col("toxic") > 1).mapInArrow(rate, schema).groupBy("slot").agg(F.max(F.struct("n", "key", "weight")).alias("top")).select("slot", "top.key", "top.weight")
-    cache = {r["name"]: r["data"] for r in top.repartition(1).mapInArrow(_cache, "name string, data binary").collect()}
+    cache = _fetched(top.repartition(1).mapInArrow(_cache, _PIECE))
     table = spark.sparkContext.broadcast(Table(
         arrays["word"], np.frombuffer(cache["keys"], np.int64), np.frombuffer(cache["bigram"], np.float32)))
-    del arrays, cache
-    model = Model(table, weighed, curve)
-    scored = _raw(calibration, model, ["toxic"], passes=1).select("mean", "toxic").toArrow()
-    x, y = np.asarray(scored.column("mean")), np.asarray(scored.column("toxic"), np.float64)
-    if len(np.unique(y)) == 2:
-        curve.slope, curve.shift = fit_curve(x, y)
-    return model
+    return Model(table, weighed, curve)
 
 
 def _raw(rows: DataFrame, model: Model, keep: list[str], passes: int = PASSES) -> DataFrame:
@@ -447,23 +497,24 @@ def _score(model: Model) -> Column:
 
 def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, held_out, score, predicted) of every row."""
-    model = train(docs, labels, id_col, text_col)
-    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
-    if isinstance(model, float):
-        out = rows.select("doc_id", F.lit(model).alias("score"))
+    found = _scored(docs, labels, id_col, text_col)
+    if isinstance(found, float):
+        out = _rows(docs, id_col, text_col).select("doc_id", F.lit(found).alias("score"))
     else:
-        out = _raw(rows, model, ["doc_id"]).select("doc_id", _score(model).alias("score"))
+        raw, model = found
+        out = raw.select("doc_id", _score(model).alias("score"))
     return out.select("doc_id", (fold_of(F.col("doc_id")) == HELD_OUT).alias("held_out"), "score",
                       (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` whose score is below one half."""
-    model = train(docs, labels, id_col, text_col)
-    if isinstance(model, float):
-        return docs if model < 0.5 else docs.limit(0)
+    found = _scored(docs, labels, id_col, text_col)
+    if isinstance(found, float):
+        return docs if found < 0.5 else docs.limit(0)
+    raw, model = found
     text = F.col(f"`{text_col}`").cast("string")
-    toxic = _raw(docs.select(text.alias("text")), model, []).where(_score(model) >= 0.5)
+    toxic = raw.where(_score(model) >= 0.5)
     # equal texts have equal scores
     (own,) = unused(docs, "own")
     toxic = stored(toxic.select(F.col("tie").alias(own)).distinct(), "toxic")

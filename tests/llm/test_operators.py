@@ -10,6 +10,7 @@ import zlib
 
 import duckdb
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pytest
 import tiktoken
@@ -342,6 +343,22 @@ def test_toxicity_counts_bigrams_that_share_a_slot(spark):
     assert kept == {k for k, x in got.items() if x < 0.5}
 
 
+def test_toxicity_curve_is_fitted_to_all_rows_of_its_fold(spark):
+    """More labelled rows than were once drawn; those of other folds don't count."""
+    ids = [i for i in range(150_000) if zlib.crc32(str(i).encode()) % 5 in (toxicity.CALIBRATION, 1)]
+    rnd = random.Random(5)
+    rows = [(i, rnd.gauss(0.02, 0.1)) for i in ids]
+    labels = {i: int(rnd.random() < 1 / (1 + np.exp(-20 * x + 1))) for i, x in rows}
+    model = toxicity.Model(None, None, toxicity.Curve(0.5))
+    raw = spark.createDataFrame(pd.DataFrame(rows, columns=["doc_id", "mean"]))
+    toxicity._calibrate(model, raw, spark.createDataFrame(pd.DataFrame(list(labels.items()), columns=["doc_id", "toxic"])))
+    own = [(x, labels[i]) for i, x in rows if zlib.crc32(str(i).encode()) % 5 == toxicity.CALIBRATION]
+    assert len(own) > 25_000
+    x, y = np.array(own).T
+    want = toxicity.fit_curve(x, y, np.ones(len(x)))
+    assert np.allclose((model.curve.slope, model.curve.shift), want, rtol=1e-5)
+
+
 def test_toxicity_odd_rows(spark, odd, empty):
     labels = spark.createDataFrame([(4, 1, 0), (5, 0, 1), (6, 1, None), (None, 0, 1)], "doc_id long, quality int, toxic int")
     out = toxicity.score(odd, labels).collect()
