@@ -11,8 +11,10 @@ with document counts n(e), n(t), n(e, t) over the whole corpus of N documents
 which is 1 if the term never occurs without the entity and about 0 if it is
 independent of it.  Terms above ``REMOVE`` are removed, those above
 ``GENERALISE`` are replaced by a general token; both only where they stand
-near the entity.  A pair seen in fewer than ``LEAST_DOCUMENTS`` documents is
-no estimate and is left alone.
+near the entity.  Every pair has an estimate.  Counts of two and more are taken
+as they are, as in Katz's smoothing; a pair seen in one document counts by Good
+and Turing's estimate, twice the pairs seen in two documents by those seen in
+one: where hardly any pair comes again, a single meeting is chance.
 
 Shape of the job: one scan writes the spans and contexts (without the text)
 to the shared folder.  A second scan counts the documents of the candidate
@@ -42,7 +44,8 @@ from deidlake.llm.common import PUNCTUATION, lower_ascii, mix64, pieces, small_b
 #: Kinds in the order of results.
 KINDS = ("email", "ip", "card", "phone", "term")
 CONTEXT_WORDS = 8
-LEAST_DOCUMENTS = 2
+#: Least count of a pair seen once (where no pair comes twice).
+LEAST_COUNT = 1e-9
 GENERALISE, REMOVE = 0.8, 0.95
 SHORTEST_TERM = 3
 #: Bits of the array that tells candidate terms (512 KB).
@@ -237,15 +240,18 @@ def _document_counts(docs: DataFrame, text_col: str, candidates: DataFrame) -> D
 
 
 def disclosures(docs: DataFrame, found: DataFrame, text_col: str = "text") -> DataFrame:
-    """(entity, term, disclosure) of the pairs that can be estimated."""
+    """(entity, term, disclosure) of all pairs."""
     total = found.count()
     near = found.select(F.explode(F.array_distinct(F.transform("context", lambda c: F.struct(c["entity"], c["term"])))).alias("p"))
-    pairs = near.groupBy("p.entity", "p.term").agg(F.count(F.lit(1)).alias("n_pair")).where(F.col("n_pair") >= LEAST_DOCUMENTS)
+    pairs = near.groupBy("p.entity", "p.term").agg(F.count(F.lit(1)).alias("n_pair"))
     pairs = stored(pairs, "pairs")
+    once, twice = pairs.agg(*[F.count_if(F.col("n_pair") == k) for k in (1, 2)]).first()
+    single = min(1.0, max(2 * twice / max(once, 1), LEAST_COUNT))
+    count = F.when(F.col("n_pair") == 1, single).otherwise(F.col("n_pair"))
     own = found.select(F.explode(F.array_distinct(F.transform("spans", lambda s: s["entity"]))).alias("entity"))
     entities = own.groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
     terms = _document_counts(docs, text_col, pairs)
-    gain = F.log(F.lit(float(total)) * F.col("n_pair") / (F.col("n_entity") * F.col("n_term")))
+    gain = F.log(F.lit(float(total)) * count / (F.col("n_entity") * F.col("n_term")))
     least = F.log(F.lit(float(total)) / F.col("n_entity"))
     share = F.when(least > 0, gain / least).otherwise(F.lit(0.0))
     return pairs.join(entities, "entity").join(terms, "term").select("entity", "term", share.alias("disclosure"))

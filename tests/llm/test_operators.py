@@ -194,6 +194,27 @@ def test_pii_counts_entities_without_neighbours(spark):
     assert gains == {0.0}  # n(e, t) = 2, n(t) = 4, n(e) = 30, N = 60: log(60 * 2 / (30 * 4)) / log(60 / 30)
 
 
+def test_pii_estimates_pairs_seen_once(spark):
+    """Where most pairs come again, one meeting tells too; where none does, it doesn't."""
+    alone = [(0, "zebulon wrote from z@q.org today")]
+    others = [(k, f"day {k} was today") for k in range(1, 300)]
+    again = [(1000 + k, f"name{k // 2} wrote from a{k // 2}@q.org today") for k in range(60)]
+    for rows, gone in ((alone + others + again, True), (alone + others, False)):
+        docs = spark.createDataFrame(rows, "doc_id long, text string")
+        out = {r["doc_id"]: r["text"] for r in pii.sanitise(docs).collect()}
+        assert ("zebulon" not in out[0]) == gone and out[0].endswith("[EMAIL] today")
+        # every pair has an estimate, that of a plain version
+        words = {i: set(re.findall("[0-9a-z]+", re.sub(EMAIL, " ", t))) for i, t in rows}
+        entity = {i: m.group() for i, t in rows if (m := re.search(EMAIL, t))}
+        n_pair = collections.Counter((e, t) for i, e in entity.items() for t in words[i] if len(t) >= pii.SHORTEST_TERM)
+        n_entity, n_term = collections.Counter(entity.values()), collections.Counter(t for ws in words.values() for t in ws)
+        once, twice = (sum(n == k for n in n_pair.values()) for k in (1, 2))
+        count = lambda n: n if n > 1 else min(1, max(2 * twice / once, 1e-9))
+        want = [np.log(len(rows) * count(n) / (n_entity[e] * n_term[t])) / np.log(len(rows) / n_entity[e]) for (e, t), n in n_pair.items()]
+        found = [r["disclosure"] for r in pii.disclosures(docs, pii._scan(docs, "doc_id", "text")).collect()]
+        assert np.allclose(sorted(found), sorted(want))
+
+
 def test_pii_sanitise_keeps_rows(odd, empty):
     out = pii.sanitise(odd)
     assert out.columns == odd.columns and out.count() == odd.count()
