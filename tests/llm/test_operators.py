@@ -589,7 +589,7 @@ def test_operators_that_keep_rows_keep_columns_of_any_name(spark, odd):
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_equals_its_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "conversations", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     df = QUERIES[name](spark, SF)
     want = con.execute(ORACLES[name])
